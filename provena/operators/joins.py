@@ -1,0 +1,29 @@
+"""Join helpers.
+
+Broadcasting is used only behind an explicit size check; beyond the bound the
+plain join is kept (sort-merge, with AQE free to re-plan it at run time from
+measured shuffle sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs one bounded job (``limit(max_rows + 1).count()``): it stops reading
+    after ``max_rows + 1`` rows, so the check itself stays cheap on a big input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
+               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small; broadcast it only if checked small."""
+    side = F.broadcast(small) if is_small(small, max_rows) else small
+    return big.join(side, on, how)
