@@ -121,6 +121,7 @@ def classify_plan(nodes: DataFrame) -> DataFrame:
         F.max((F.col("cls") == "ExecutedCommandExec").cast("int")).cast("boolean").alias("has_ddl"),
         F.max(is_write.cast("int")).cast("boolean").alias("has_write"),
         F.max((F.col("cls") == "WriteToDataSourceV2Exec").cast("int")).cast("boolean").alias("has_v2"),
-        (F.sum(is_write.cast("int"))
-         + F.sum((is_write & (F.col("parent_cls") == "UnionExec")).cast("int"))).cast("bigint").alias("n_write_cmds"),
+        (F.sum(F.when(is_write, 1).otherwise(0))
+         + F.sum(F.when(is_write & (F.col("parent_cls") == "UnionExec"), 1).otherwise(0)))
+        .cast("bigint").alias("n_write_cmds"),
     )

@@ -154,3 +154,306 @@ SELECT root_kind, branch, dep_type, count(*) AS n FROM ox_colineage GROUP BY roo
 def emission_matrix(spark, sf_dir):
     c = lineage(spark, sf_dir).column_lineage
     return c.groupBy("root_kind", "branch", "dep_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# L7-L10, K12, A5
+
+
+@query("process_entities", with_views("""
+SELECT process_qn AS qualified_name, op_type AS operation_type, query_text, '5k' AS cluster_name,
+  'Spark' AS user_name, query_text AS recent_queries FROM ox_good""", "ox_good"))
+def process_entities(spark, sf_dir):
+    p = lineage(spark, sf_dir).process_entities
+    a = F.col("attributes")
+    return p.select(F.col("qualified_name"), a["operationType"].alias("operation_type"),
+                    a["queryText"].alias("query_text"), a["clusterName"].alias("cluster_name"),
+                    a["userName"].alias("user_name"), _join(a["recentQueries"]).alias("recent_queries"))
+
+
+@query("column_entities", with_views("""
+SELECT lineage_id AS qualified_name, dep_type, expression, CAST(n_inputs AS BIGINT) AS n_inputs,
+  output_qn, process_qn FROM ox_colineage""", "ox_colineage"))
+def column_entities(spark, sf_dir):
+    c = lineage(spark, sf_dir).column_entities
+    a, r = F.col("attributes"), F.col("relationships")
+    return c.select("qualified_name", a[K.DEP_TYPE_ATTR].alias("dep_type"), a["expression"].alias("expression"),
+                    F.size(r["inputs"]).cast("bigint").alias("n_inputs"),
+                    r["outputs"][0]["qualified_name"].alias("output_qn"),
+                    r["query"]["qualified_name"].alias("process_qn"))
+
+
+@query("envelope_sizes", with_views("""
+SELECT 'ATLAS_HOOK' AS topic, g.target_qn AS key, CAST(1 + coalesce(c.n, 0) AS BIGINT) AS n_entities,
+  'hive_process' AS first_type
+FROM ox_good g LEFT JOIN (SELECT event_id, count(*) AS n FROM ox_colineage GROUP BY event_id) c
+  ON g.event_id = c.event_id""", "ox_good", "ox_colineage"))
+def envelope_sizes(spark, sf_dir):
+    from .operators.deliver import to_messages
+    m = to_messages(lineage(spark, sf_dir))
+    return m.select("topic", "key", F.col("n_entities").cast("bigint").alias("n_entities"), "first_type")
+
+
+@query("edges", with_views("""
+SELECT DISTINCT kind, src, dst FROM (
+  SELECT 'dataset_process_inputs' AS kind, coalesce(r.db, 'default') || '.' || r.tbl || '@5k' AS src, g.process_qn AS dst
+  FROM ox_good g JOIN fx_scan_relation r ON g.event_id = r.event_id WHERE r.is_catalog
+  UNION ALL SELECT 'process_dataset_outputs', process_qn, target_qn FROM ox_good
+  UNION ALL SELECT 'dataset_process_inputs', unnest(string_split(inputs_txt, '|')), lineage_id
+  FROM ox_colineage WHERE inputs_txt <> ''
+  UNION ALL SELECT 'process_dataset_outputs', lineage_id, output_qn FROM ox_colineage
+  UNION ALL SELECT 'hive_process_column_lineage', lineage_id, process_qn FROM ox_colineage
+) e""", "ox_good", "fx_scan_relation", "ox_colineage"))
+def edges_q(spark, sf_dir):
+    from .operators.entities import edges
+    return edges(lineage(spark, sf_dir))
+
+
+@query("dedupe_entities", with_views("""
+SELECT type_name, qualified_name, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY type_name, qualified_name ORDER BY ts DESC, event_id DESC) AS rn
+  FROM (SELECT 'hive_process' AS type_name, process_qn AS qualified_name, ts, event_id FROM ox_good
+        UNION ALL SELECT 'hive_column_lineage', lineage_id, ts, event_id FROM ox_colineage) e
+) x WHERE rn = 1""", "ox_good", "ox_colineage"))
+def dedupe_entities_q(spark, sf_dir):
+    from .operators.entities import dedupe_entities
+    ents = lineage(spark, sf_dir).entities.select("type_name", "qualified_name", "ts", "event_id")
+    return dedupe_entities(ents).select("type_name", "qualified_name", "event_id")
+
+
+# ---------------------------------------------------------------------------
+# Q1-Q3, T4, A4, X-H, P2
+
+_STRICT_REASON = """
+SELECT e.event_id, e.ts,
+  CASE WHEN e.sql_text IS NULL THEN 'NO_SQL_TEXT'
+       WHEN e.route = 'FS_WRITE' THEN 'FS_WRITE'
+       WHEN e.route = 'UNSUPPORTED' THEN 'UNSUPPORTED_COMMAND'
+       WHEN e.empty_inputs = 'QUARANTINE' AND e.n_inputs = 0 THEN 'NO_INPUT_TABLE'
+       WHEN e.root_kind = 'PROJECT' AND l.event_id IS NOT NULL THEN 'LITERAL_LEAF' END AS reason
+FROM ox_events e LEFT JOIN (
+  SELECT DISTINCT o.event_id FROM ox_outputs o
+  WHERE o.pass_qn IS NULL AND o.n_children >= 1
+    AND EXISTS (SELECT 1 FROM fx_output_leaf f WHERE f.event_id = o.event_id AND f.out_pos = o.out_pos AND NOT f.is_named)
+) l ON e.event_id = l.event_id"""
+
+
+@query("quarantine_default", with_views("""
+SELECT event_id, reason FROM ox_events_q WHERE reason IS NOT NULL""", "ox_events_q"))
+def quarantine_default(spark, sf_dir):
+    return lineage(spark, sf_dir).quarantine.select("event_id", "reason")
+
+
+@query("quarantine_strict", with_views(f"""
+SELECT event_id, reason FROM ({_STRICT_REASON}) q WHERE reason IS NOT NULL""", "ox_events", "ox_outputs",
+                                       "fx_output_leaf"))
+def quarantine_strict(spark, sf_dir):
+    return lineage(spark, sf_dir, STRICT_POLICY).quarantine.select("event_id", "reason")
+
+
+@query("quarantine_summary", with_views(f"""
+SELECT 'default' AS policy, reason, count(*) AS n FROM ox_events_q WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'strict', reason, count(*) FROM ({_STRICT_REASON}) q WHERE reason IS NOT NULL GROUP BY reason""",
+                                       "ox_events_q", "ox_events", "ox_outputs", "fx_output_leaf"))
+def quarantine_summary(spark, sf_dir):
+    out = None
+    for name, pol in (("default", DEFAULT_POLICY), ("strict", STRICT_POLICY)):
+        q = (lineage(spark, sf_dir, pol).quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("policy"), "reason", "n"))
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
+@query("route_rules", with_views("""
+SELECT CASE WHEN e.command = 'OTHER' THEN 'LINEAGE' ELSE coalesce(r.route, 'UNSUPPORTED') END AS route,
+  e.command, count(*) AS n
+FROM fx_write_event e LEFT JOIN ox_rules r ON e.command = r.command
+WHERE e.status = 'SUCCESS' GROUP BY 1, 2""", "fx_write_event", "ox_rules"))
+def route_rules_q(spark, sf_dir):
+    from .operators.route import register_route, route_rules
+    rules = register_route(route_rules(spark), "OTHER")
+    lin = lineage(spark, sf_dir, rules=rules)
+    return lin.routed.groupBy("route", "command").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("classify_plan", with_views("""
+SELECT event_id, bool_or(cls = 'ExecutedCommandExec') AS has_ddl, bool_or(cls = 'DataWritingCommandExec') AS has_write,
+  bool_or(cls = 'WriteToDataSourceV2Exec') AS has_v2,
+  CAST(sum(CASE WHEN cls = 'DataWritingCommandExec' THEN 1 ELSE 0 END)
+     + sum(CASE WHEN cls = 'DataWritingCommandExec' AND parent_cls = 'UnionExec' THEN 1 ELSE 0 END) AS BIGINT)
+    AS n_write_cmds
+FROM (SELECT *, lag(cls) OVER (PARTITION BY event_id ORDER BY node_pos) AS parent_cls FROM fx_plan_node) n
+GROUP BY event_id""", "fx_plan_node"))
+def classify_plan_q(spark, sf_dir):
+    from .operators.route import classify_plan
+    return classify_plan(fx.plan_node(Tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# J1
+
+MAX_AGE_SECONDS = 6 * 3600
+
+
+@query("sql_text_asof", with_views("""
+SELECT e.event_id, t.sql_text FROM fx_exec e
+ASOF LEFT JOIN fx_sql_text t ON e.session_id = t.session_id AND e.ts >= t.ts""", "fx_exec", "fx_sql_text"))
+def sql_text_asof(spark, sf_dir):
+    from .operators.asof import attach_sql
+    t = Tables(spark, sf_dir)
+    return attach_sql(fx.exec_event(t), fx.sql_text(t)).select("event_id", "sql_text")
+
+
+@query("sql_text_asof_max_age", with_views(f"""
+SELECT e.event_id,
+  CASE WHEN e.ts - t.ts <= INTERVAL {MAX_AGE_SECONDS} SECOND THEN t.sql_text END AS sql_text
+FROM fx_exec e ASOF LEFT JOIN fx_sql_text t ON e.session_id = t.session_id AND e.ts >= t.ts""",
+                                           "fx_exec", "fx_sql_text"))
+def sql_text_asof_max_age(spark, sf_dir):
+    from .operators.asof import attach_sql
+    t = Tables(spark, sf_dir)
+    return attach_sql(fx.exec_event(t), fx.sql_text(t), max_age_seconds=MAX_AGE_SECONDS).select(
+        "event_id", "sql_text")
+
+
+# ---------------------------------------------------------------------------
+# S2, C1-C10, J4, J5
+
+_CHANGES = """
+SELECT event_id, ts, kind, 0 AS seq,
+  CASE kind WHEN 'CreateDatabase' THEN 'CREATE_DATABASE' WHEN 'DropDatabase' THEN 'DROP_DATABASE'
+            WHEN 'AlterDatabase' THEN 'ALTER_DATABASE' WHEN 'CreateTable' THEN 'CREATE_TABLE'
+            WHEN 'DropTable' THEN 'DROP_TABLE' WHEN 'AlterTable' THEN 'ALTER_TABLE' ELSE 'RENAME_TABLE' END AS change,
+  db, tbl,
+  CASE kind WHEN 'AlterTable' THEN change_kind WHEN 'RenameTable' THEN new_name END AS detail
+FROM fx_catalog_event
+WHERE kind IN ('CreateDatabase', 'DropDatabase', 'AlterDatabase', 'CreateTable', 'DropTable', 'AlterTable', 'RenameTable')
+UNION ALL
+SELECT event_id, ts, kind, 1, 'CREATE_TABLE', db, new_name, NULL FROM fx_catalog_event WHERE kind = 'RenameTable'"""
+
+
+def _changes(spark, sf_dir, with_db=True):
+    from .operators.catalog import catalog_changes
+    t = Tables(spark, sf_dir)
+    return catalog_changes(fx.catalog_event(t), fx.database(t) if with_db else None)
+
+
+@query("catalog_feed", with_views("""
+SELECT kind, count(*) AS n FROM fx_catalog_event
+WHERE kind IN ('CreateDatabase', 'DropDatabase', 'AlterDatabase', 'CreateTable', 'DropTable', 'AlterTable', 'RenameTable')
+GROUP BY kind""", "fx_catalog_event"))
+def catalog_feed(spark, sf_dir):
+    from .operators.catalog import read_catalog_events
+    return read_catalog_events(fx.catalog_event(Tables(spark, sf_dir))).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("catalog_changes", with_views(f"""
+SELECT c.event_id, c.change, c.db, c.tbl,
+  CASE WHEN c.change = 'CREATE_DATABASE' THEN d.description || '|' || d.location_uri ELSE c.detail END AS detail
+FROM ({_CHANGES}) c LEFT JOIN fx_database d ON c.db = d.name""", "fx_catalog_event", "fx_database"))
+def catalog_changes_q(spark, sf_dir):
+    return _changes(spark, sf_dir).select("event_id", "change", "db", "tbl", "detail")
+
+
+def _table_columns_sql(kind: str) -> str:
+    return with_views(f"""
+SELECT c.event_id, c.change, c.db, c.tbl, c2.pos, c2.name, c2.data_type,
+  CASE WHEN c2.name IS NOT NULL THEN coalesce(c2.comment, '') END AS comment
+FROM ({_CHANGES}) c LEFT JOIN fx_catalog_column c2 ON c.db = c2.db AND c.tbl = c2.tbl
+WHERE c.change = 'CREATE_TABLE' AND c.kind = '{kind}'""", "fx_catalog_event", "fx_catalog_column")
+
+
+def _table_columns(spark, sf_dir, kind):
+    from .operators.catalog import table_columns
+    ch = _changes(spark, sf_dir, with_db=False).where(F.col("kind") == kind)
+    tc = table_columns(ch, fx.catalog_column(Tables(spark, sf_dir)))
+    return tc.select("event_id", "change", "db", "tbl", "pos", "name", "data_type", "comment")
+
+
+@query("create_table_columns", _table_columns_sql("CreateTable"))
+def create_table_columns(spark, sf_dir):
+    return _table_columns(spark, sf_dir, "CreateTable")
+
+
+@query("rename_table_columns", _table_columns_sql("RenameTable"))
+def rename_table_columns(spark, sf_dir):
+    return _table_columns(spark, sf_dir, "RenameTable")
+
+
+@query("catalog_state", with_views(f"""
+SELECT db, tbl, change AS last_kind, event_id AS last_event_id,
+  change IN ('CREATE_DATABASE', 'ALTER_DATABASE', 'CREATE_TABLE', 'ALTER_TABLE') AS alive
+FROM (SELECT *, row_number() OVER (PARTITION BY db, tbl ORDER BY ts DESC, event_id DESC, seq DESC) AS rn
+      FROM ({_CHANGES}) c) x WHERE rn = 1""", "fx_catalog_event"))
+def catalog_state_q(spark, sf_dir):
+    from .operators.catalog import catalog_state
+    return catalog_state(_changes(spark, sf_dir, with_db=False))
+
+
+@query("ddl_changes", with_views("""
+SELECT command,
+  CASE command WHEN 'DropTableCommand' THEN CASE WHEN coalesce(is_view, false) THEN 'drop_view' ELSE 'drop_table' END
+               WHEN 'CreateTableCommand' THEN 'create_table' WHEN 'CreateTableLikeCommand' THEN 'create_table_like'
+               WHEN 'AlterTableRenameCommand' THEN 'rename_table' WHEN 'CreateViewCommand' THEN 'create_view'
+               ELSE 'unsupported' END AS change,
+  count(*) AS n
+FROM fx_ddl_event GROUP BY 1, 2""", "fx_ddl_event"))
+def ddl_changes_q(spark, sf_dir):
+    from .operators.catalog import ddl_changes
+    return ddl_changes(fx.ddl_event(Tables(spark, sf_dir))).groupBy("command", "change").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# K13, K14
+
+
+@query("delivery_status", with_views("""
+SELECT msg_id, CAST(coalesce(min(CASE WHEN ok THEN attempt END), max(attempt)) AS INT) AS attempts_used,
+  min(CASE WHEN ok THEN attempt END) IS NOT NULL AS delivered
+FROM fx_delivery_attempt WHERE attempt <= 3 GROUP BY msg_id""", "fx_delivery_attempt"))
+def delivery_status_q(spark, sf_dir):
+    from .operators.deliver import delivery_status
+    return delivery_status(fx.delivery_attempt(Tables(spark, sf_dir)), K.MAX_RETRIES)
+
+
+@query("dead_letters", with_views("""
+SELECT msg_id, CAST(max(attempt) AS INT) AS last_attempt
+FROM fx_delivery_attempt WHERE attempt <= 3 GROUP BY msg_id HAVING NOT bool_or(ok)""", "fx_delivery_attempt"))
+def dead_letters_q(spark, sf_dir):
+    from .operators.deliver import dead_letters
+    return dead_letters(fx.delivery_attempt(Tables(spark, sf_dir)), K.MAX_RETRIES)
+
+
+# ---------------------------------------------------------------------------
+# F10, F12 over customer rows
+
+
+@query("trim_and_purge", """
+SELECT c_custkey, array_to_string(list_filter(list_transform(string_split(raw, ','), lambda x: trim(x)),
+                                              lambda x: x <> ''), '|') AS items,
+  CAST(len(list_filter(list_transform(string_split(raw, ','), lambda x: trim(x)), lambda x: x <> '')) AS INT)
+    AS n_items
+FROM (SELECT c_custkey, ' ' || c_mktsegment || ' , ,' || c_name || ' ,  ' AS raw FROM customer) c""")
+def trim_and_purge_q(spark, sf_dir):
+    from .functions.names import split_list
+    c = Tables(spark, sf_dir).customer
+    raw = F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" , ,"), F.col("c_name"), F.lit(" ,  "))
+    items = split_list(raw, ",")
+    return c.select("c_custkey", F.array_join(items, "|").alias("items"), F.size(items).alias("n_items"))
+
+
+@query("user_preference", """
+SELECT c_custkey, coalesce(nullif(given, ''), nullif(grp, ''), 'system') AS user_name
+FROM (SELECT c_custkey,
+        CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN '' END AS given,
+        CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS grp FROM customer) c""")
+def user_preference_q(spark, sf_dir):
+    from .functions.names import user_preference
+    c = Tables(spark, sf_dir).customer
+    k = F.col("c_custkey")
+    given = F.when(k % 3 == 0, F.col("c_name")).when(k % 3 == 1, F.lit(""))
+    grp = F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise(F.lit(""))
+    return c.select("c_custkey", user_preference(given, grp, F.lit("system")).alias("user_name"))
