@@ -457,3 +457,7 @@ def user_preference_q(spark, sf_dir):
     given = F.when(k % 3 == 0, F.col("c_name")).when(k % 3 == 1, F.lit(""))
     grp = F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise(F.lit(""))
     return c.select("c_custkey", user_preference(given, grp, F.lit("system")).alias("user_name"))
+
+
+# warehouse workload queries register themselves on import
+from . import warehouse_queries as _warehouse_queries  # noqa: E402,F401
