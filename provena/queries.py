@@ -461,3 +461,60 @@ def user_preference_q(spark, sf_dir):
 
 # warehouse workload queries register themselves on import
 from . import warehouse_queries as _warehouse_queries  # noqa: E402,F401
+
+
+# ---------------------------------------------------------------------------
+# S3-S5 over a plan log that grows with the tables
+
+
+def _plan_tables(spark, sf_dir):
+    from .plans.shred import event_tables_from_plans
+    from .sources.plan_log import plan_log
+    return event_tables_from_plans(plan_log(Tables(spark, sf_dir)))
+
+
+@query("plan_scans", with_views("""
+SELECT pr.event_id, CAST(pr.node_pos AS BIGINT) AS rel_pos,
+  CASE WHEN pr.is_catalog THEN pr.db END AS db, CASE WHEN pr.is_catalog THEN pr.tbl END AS tbl, pr.is_catalog,
+  c.attr_id, c.col, pr.is_catalog AND c.is_partition_col AS is_partition_col
+FROM (SELECT r.*, CASE WHEN w.root_kind = 'RELATION' THEN 0
+                       ELSE 1 + row_number() OVER (PARTITION BY r.event_id ORDER BY r.rel_pos) END AS node_pos
+      FROM fx_scan_relation r JOIN fx_write_event w ON r.event_id = w.event_id) pr
+JOIN fx_scan_column c ON pr.event_id = c.event_id AND pr.rel_pos = c.rel_pos""",
+                                "fx_scan_relation", "fx_write_event", "fx_scan_column"))
+def plan_scans(spark, sf_dir):
+    t = _plan_tables(spark, sf_dir)
+    return t.scan_relation.join(t.scan_column, ["event_id", "rel_pos"]).select(
+        "event_id", "rel_pos", "db", "tbl", "is_catalog", "attr_id", "col", "is_partition_col")
+
+
+@query("plan_outputs", with_views("""
+SELECT o.event_id, CAST(o.pos AS INT) AS out_pos, o.out_name, o.out_attr_id, o.n_children, o.expr_text,
+  CASE WHEN o.n_children = 0 THEN CAST(o.out_attr_id AS VARCHAR) ELSE l.leaves END AS leaves
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY out_pos) - 1 AS pos FROM fx_output_expr) o
+JOIN fx_write_event w ON o.event_id = w.event_id AND w.root_kind = 'PROJECT'
+LEFT JOIN (SELECT event_id, out_pos,
+             string_agg(coalesce(CAST(attr_id AS VARCHAR), 'lit'), '|' ORDER BY leaf_pos) AS leaves
+           FROM fx_output_leaf GROUP BY event_id, out_pos) l
+  ON o.event_id = l.event_id AND o.out_pos = l.out_pos""", "fx_output_expr", "fx_write_event", "fx_output_leaf"))
+def plan_outputs(spark, sf_dir):
+    t = _plan_tables(spark, sf_dir)
+    lv = (t.output_leaf.groupBy("event_id", "out_pos")
+          .agg(F.sort_array(F.collect_list(F.struct("leaf_pos", "attr_id"))).alias("l"))
+          .select("event_id", "out_pos", F.array_join(
+              F.transform("l", lambda x: F.coalesce(x["attr_id"].cast("string"), F.lit("lit"))), "|").alias("leaves")))
+    return t.output_expr.join(lv, ["event_id", "out_pos"], "left").select(
+        "event_id", "out_pos", "out_name", "out_attr_id", "n_children", "expr_text", "leaves")
+
+
+@query("plan_table_lineage", ORACLE["table_lineage"])
+def plan_table_lineage(spark, sf_dir):
+    g = Lineage(_plan_tables(spark, sf_dir)).good
+    return g.select("event_id", "target_qn", _join("inputs").alias("inputs"),
+                    F.col("n_inputs").cast("bigint").alias("n_inputs"))
+
+
+@query("plan_column_lineage", ORACLE["column_lineage"])
+def plan_column_lineage(spark, sf_dir):
+    c = Lineage(_plan_tables(spark, sf_dir)).column_lineage
+    return c.select("event_id", "branch", "lineage_id", _join("inputs").alias("inputs"), "dep_type", "expression")
