@@ -459,8 +459,6 @@ def user_preference_q(spark, sf_dir):
     return c.select("c_custkey", user_preference(given, grp, F.lit("system")).alias("user_name"))
 
 
-# warehouse workload queries register themselves on import
-from . import warehouse_queries as _warehouse_queries  # noqa: E402,F401
 
 
 # ---------------------------------------------------------------------------
@@ -518,3 +516,7 @@ def plan_table_lineage(spark, sf_dir):
 def plan_column_lineage(spark, sf_dir):
     c = Lineage(_plan_tables(spark, sf_dir)).column_lineage
     return c.select("event_id", "branch", "lineage_id", _join("inputs").alias("inputs"), "dep_type", "expression")
+
+# warehouse and streaming queries register themselves on import
+from . import warehouse_queries as _warehouse_queries  # noqa: E402,F401
+from . import streaming_queries as _streaming_queries  # noqa: E402,F401
