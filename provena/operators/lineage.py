@@ -179,30 +179,40 @@ class Lineage:
                                    F.col("input_qn").alias("pass_qn"))
         return self.t.output_expr.join(d, ["event_id", "out_attr_id"], "left")
 
+    @cached_property
+    def project_rows(self) -> DataFrame:
+        """L3 + L4 in one pass over the root project list (all events; the
+        root-kind gate is applied when the rows meet their event).
+
+        L3: the output attribute itself is a source column -> SIMPLE, one input.
+        L4: otherwise, with children: inputs = dictionary hits among the leaves
+        in leaf order; a single hit whose text lacks "(" or ")" is a rename
+        (SIMPLE), anything else EXPRESSION.  No children and no hit: no row."""
+        outs = self._outputs.where(F.col("pass_qn").isNotNull() | (F.col("n_children") >= 1))
+        hits = resolve_leaves(self.t.output_leaf, self.dictionary)
+        j = outs.join(hits, ["event_id", "out_pos"], "left")
+        is_pass = F.col("pass_qn").isNotNull()
+        inputs = F.when(is_pass, F.array("pass_qn")).otherwise(
+            F.coalesce(F.col("inputs"), F.array().cast("array<string>")))
+        expr = (F.when(is_pass | ((F.size(inputs) == 1) & ~N.has_both_parens("expr_text")),
+                       F.lit(None).cast("string"))
+                .otherwise(F.col("expr_text")))
+        branch = F.when(is_pass, F.lit(K.BRANCH_PASSTHROUGH)).otherwise(F.lit(K.BRANCH_DERIVED))
+        return j.select("event_id", "out_pos", "out_name", inputs.alias("inputs"), expr.alias("expression"),
+                        branch.alias("branch"))
+
     @cached_property
     def passthrough_rows(self) -> DataFrame:
-        """L3: the output attribute itself is a source column."""
-        return (self._outputs.where(F.col("pass_qn").isNotNull())
-                .select("event_id", "out_pos", "out_name", F.array("pass_qn").alias("inputs"),
-                        F.lit(None).cast("string").alias("expression"),
-                        F.lit(K.BRANCH_PASSTHROUGH).alias("branch")))
+        return self.project_rows.where(F.col("branch") == K.BRANCH_PASSTHROUGH)
 
     @cached_property
     def derived_rows(self) -> DataFrame:
-        """L4: derived column; single hit without both parens is a rename (SIMPLE)."""
-        outs = self._outputs.where(F.col("pass_qn").isNull() & (F.col("n_children") >= 1))
-        hits = resolve_leaves(self.t.output_leaf, self.dictionary)
-        j = outs.join(hits, ["event_id", "out_pos"], "left")
-        inputs = F.coalesce(F.col("inputs"), F.array().cast("array<string>"))
-        expr = F.when((F.size(inputs) == 1) & ~N.has_both_parens("expr_text"),
-                      F.lit(None).cast("string")).otherwise(F.col("expr_text"))
-        return j.select("event_id", "out_pos", "out_name", inputs.alias("inputs"), expr.alias("expression"),
-                        F.lit(K.BRANCH_DERIVED).alias("branch"))
+        return self.project_rows.where(F.col("branch") == K.BRANCH_DERIVED)
 
     @cached_property
     def direct_rows(self) -> DataFrame:
         """Bare-relation query: each column maps to the same-named target column."""
-        rel_events = self.good.where(F.col("root_kind") == K.ROOT_RELATION).select("event_id")
+        rel_events = self.t.write_event.where(F.col("root_kind") == K.ROOT_RELATION).select("event_id")
         cols = self.catalog_cols.join(rel_events, "event_id", "left_semi")
         return (cols.groupBy("event_id", "col")
                 .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col")).alias("input_qn"))
@@ -213,13 +223,14 @@ class Lineage:
     @cached_property
     def column_lineage(self) -> DataFrame:
         """L3-L6 with the root-kind gate (P4): PROJECT -> pass-through/derived,
-        RELATION -> direct mapping, anything else -> no column rows."""
-        project = self.passthrough_rows.unionByName(self.derived_rows)
-        g = self.good.select("event_id", "ts", "root_kind", "database", "target_table", "process_qn")
-        proj = project.join(g.where(F.col("root_kind") == K.ROOT_PROJECT), "event_id")
-        direct = self.direct_rows.join(g.where(F.col("root_kind") == K.ROOT_RELATION), "event_id")
-        rows = proj.unionByName(direct)
-        return rows.select(
+        RELATION -> direct mapping, anything else -> no column rows.  The
+        harvested events are joined once, to all branches together."""
+        rows = self.project_rows.unionByName(self.direct_rows)
+        g = self.good.where(F.col("root_kind").isin(K.ROOT_PROJECT, K.ROOT_RELATION)).select(
+            "event_id", "ts", "root_kind", "database", "target_table", "process_qn")
+        j = rows.join(g, "event_id").where(
+            (F.col("branch") == K.BRANCH_DIRECT) == (F.col("root_kind") == K.ROOT_RELATION))
+        return j.select(
             "event_id", "ts", "root_kind", "branch", "out_pos", "out_name", "process_qn",
             N.lineage_id("database", "target_table", "out_name", self.ns).alias("lineage_id"),
             N.output_col_qn("database", "target_table", "out_name", self.ns).alias("output_qn"),

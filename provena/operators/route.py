@@ -53,11 +53,18 @@ DEFAULT_POLICY = Policy()
 STRICT_POLICY = Policy(sql="strict", literal="strict")
 
 
+def _literal_rows(spark: SparkSession, rows) -> DataFrame:
+    """Rows as a JVM-side literal relation (no Python workers at run time)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, RULE_SCHEMA.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def route_rules(spark: SparkSession, rows=None) -> DataFrame:
     rows = list(DEFAULT_RULES if rows is None else rows)
     if len(rows) > MAX_RULES:
         raise ValueError(f"route rule table too large to broadcast: {len(rows)} rows")
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return _literal_rows(spark, rows)
 
 
 def register_route(rules: DataFrame, command: str, route: str = K.ROUTE_LINEAGE,
@@ -65,9 +72,7 @@ def register_route(rules: DataFrame, command: str, route: str = K.ROUTE_LINEAGE,
                    id_rule: str | None = "QUERY", db_rule: str | None = "DEFAULT",
                    empty_inputs: str | None = "QUARANTINE") -> DataFrame:
     """X-H: add (or replace) the rule of one command."""
-    spark = rules.sparkSession
-    row = spark.createDataFrame([(command, route, op_type, fallback_sql, id_rule, db_rule, empty_inputs)],
-                                RULE_SCHEMA)
+    row = _literal_rows(rules.sparkSession, [(command, route, op_type, fallback_sql, id_rule, db_rule, empty_inputs)])
     return rules.where(F.col("command") != command).unionByName(row)
 
 

@@ -30,8 +30,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_LINEAGE: dict = {}
+
+
 def lineage(spark: SparkSession, sf_dir: str, policy: Policy = DEFAULT_POLICY, rules=None) -> Lineage:
-    return Lineage(EventTables.from_tables(Tables(spark, sf_dir)), rules=rules, policy=policy)
+    """The lineage plans of one scale-factor folder.  Plans (not data) are
+    shared by all queries of one session: DataFrames are immutable, so a
+    plan built once is reused, and only its execution is repeated."""
+    if rules is not None:
+        return Lineage(EventTables.from_tables(Tables(spark, sf_dir)), rules=rules, policy=policy)
+    key = (spark._jsparkSession.hashCode(), sf_dir, policy)
+    if key not in _LINEAGE:
+        _LINEAGE[key] = Lineage(EventTables.from_tables(Tables(spark, sf_dir)), policy=policy)
+    return _LINEAGE[key]
 
 
 def _join(c) -> F.Column:

@@ -69,8 +69,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._read:  # one footer read per table, one relation in the plan
+            self._read[name] = read_table(self.spark, self.sf_dir, name)
+        return self._read[name]

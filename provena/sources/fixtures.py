@@ -13,41 +13,26 @@ attribute and ``events`` doubles as catalog log and SQL/execution log.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Tables
 
 
-def _txt(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _null_str() -> Column:
-    return F.lit(None).cast("string")
-
-
 def write_event(t: Tables) -> DataFrame:
-    o = t.orders
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    pri = F.col("o_orderpriority")
-    command = (F.when(pri == "1-URGENT", "CREATE_HIVE_TABLE_AS_SELECT")
-               .when(pri == "2-HIGH", "INSERT_INTO_HIVE_TABLE")
-               .when(pri == "3-MEDIUM", "CREATE_DATASOURCE_TABLE_AS_SELECT")
-               .when(pri == "4-NOT SPECIFIED", "INSERT_INTO_HADOOP_FS")
-               .otherwise("OTHER"))
-    return o.select(
-        k.alias("event_id"),
-        F.col("o_orderdate").alias("ts"),
-        c.alias("session_id"),
-        F.when(k % 17 == 0, "FAILED").otherwise("SUCCESS").alias("status"),
-        command.alias("command"),
-        F.when(c % 7 == 0, _null_str()).otherwise(F.concat(F.lit("db"), _txt(c % 5))).alias("target_db"),
-        F.concat(F.lit("T_"), _txt(c % 50)).alias("target_table"),
-        F.concat(F.lit("cur"), _txt(c % 3)).alias("current_db"),
-        F.when(k % 11 == 0, _null_str()).when(k % 13 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("q"), _txt(k))).alias("sql_text"),
-        F.when(k % 10 == 0, "RELATION").when(k % 10 == 1, "OTHER").otherwise("PROJECT").alias("root_kind"),
+    return t.orders.selectExpr(
+        "o_orderkey AS event_id", "o_orderdate AS ts", "o_custkey AS session_id",
+        "CASE WHEN o_orderkey % 17 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'CREATE_HIVE_TABLE_AS_SELECT'
+                                WHEN '2-HIGH' THEN 'INSERT_INTO_HIVE_TABLE'
+                                WHEN '3-MEDIUM' THEN 'CREATE_DATASOURCE_TABLE_AS_SELECT'
+                                WHEN '4-NOT SPECIFIED' THEN 'INSERT_INTO_HADOOP_FS' ELSE 'OTHER' END AS command""",
+        "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE concat('db', CAST(o_custkey % 5 AS STRING)) END AS target_db",
+        "concat('T_', CAST(o_custkey % 50 AS STRING)) AS target_table",
+        "concat('cur', CAST(o_custkey % 3 AS STRING)) AS current_db",
+        """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN ''
+                ELSE concat('q', CAST(o_orderkey AS STRING)) END AS sql_text""",
+        "CASE o_orderkey % 10 WHEN 0 THEN 'RELATION' WHEN 1 THEN 'OTHER' ELSE 'PROJECT' END AS root_kind",
     )
 
 
@@ -60,160 +45,140 @@ def scan_relation(t: Tables) -> DataFrame:
     events; both combine map-side, so a huge event never lands whole in one
     task before the reduce.
     """
-    li = t.lineitem.select(F.col("l_orderkey").alias("event_id"), F.col("l_suppkey").alias("rel_pos"))
-    many = li.where(F.col("event_id") % 10 != 0).distinct()
-    one = (li.where(F.col("event_id") % 10 == 0)
-           .groupBy("event_id").agg(F.min("rel_pos").alias("rel_pos")))
-    s = F.col("rel_pos")
-    return many.unionByName(one).select(
+    li = t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos")
+    many = li.where("event_id % 10 <> 0").distinct()
+    one = li.where("event_id % 10 = 0").groupBy("event_id").agg(F.min("rel_pos").alias("rel_pos"))
+    return many.unionByName(one).selectExpr(
         "event_id", "rel_pos",
-        F.when(s % 9 == 0, _null_str()).otherwise(F.concat(F.lit("src"), _txt(s % 4))).alias("db"),
-        F.concat(F.lit("S_"), _txt(s % 40)).alias("tbl"),
-        (s % 8 != 0).alias("is_catalog"),
+        "CASE WHEN rel_pos % 9 = 0 THEN NULL ELSE concat('src', CAST(rel_pos % 4 AS STRING)) END AS db",
+        "concat('S_', CAST(rel_pos % 40 AS STRING)) AS tbl",
+        "rel_pos % 8 <> 0 AS is_catalog",
     )
 
 
 def scan_column(t: Tables, relations: DataFrame | None = None) -> DataFrame:
     """Data and partition columns of every scanned relation; attr ids are unique per event."""
     rel = (relations if relations is not None else scan_relation(t)).select("event_id", "rel_pos")
-    li = t.lineitem.select(F.col("l_orderkey").alias("event_id"), F.col("l_suppkey").alias("rel_pos"),
-                           F.col("l_partkey").alias("pk"))
-    part = t.part.select(F.col("p_partkey").alias("pk"), (F.col("p_type") == "PROMO").alias("is_partition_col"))
+    li = t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos", "l_partkey AS pk")
+    part = t.part.selectExpr("p_partkey AS pk", "p_type = 'PROMO' AS is_partition_col")
     return (li.join(rel, ["event_id", "rel_pos"], "left_semi")
             .join(part, "pk")
-            .select("event_id", "rel_pos",
-                    (F.col("pk") * 1000 + F.col("rel_pos")).alias("attr_id"),
-                    F.concat(F.lit("Col_"), _txt(F.col("pk"))).alias("col"),
-                    "is_partition_col")
+            .selectExpr("event_id", "rel_pos", "pk * 1000 + rel_pos AS attr_id",
+                        "concat('Col_', CAST(pk AS STRING)) AS col", "is_partition_col")
             .distinct())
 
 
 def output_leaf(t: Tables) -> DataFrame:
     """Leaves of every output column in leaf order; a null attr id is a literal."""
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey")
-    s, p = F.col("l_suppkey"), F.col("l_partkey")
-    return t.lineitem.select(
-        F.col("l_orderkey").alias("event_id"),
-        F.col("l_linenumber").alias("out_pos"),
-        F.row_number().over(w).cast("int").alias("leaf_pos"),
-        F.when(s % 20 == 3, F.lit(None).cast("bigint")).otherwise(p * 1000 + s).alias("attr_id"),
-        (s % 20 != 3).alias("is_named"),
+    return t.lineitem.selectExpr(
+        "l_orderkey AS event_id", "l_linenumber AS out_pos",
+        "CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS INT)"
+        " AS leaf_pos",
+        "CASE WHEN l_suppkey % 20 = 3 THEN NULL ELSE l_partkey * 1000 + l_suppkey END AS attr_id",
+        "l_suppkey % 20 <> 3 AS is_named",
     )
 
 
 def output_expr(t: Tables) -> DataFrame:
     """Root project list: per output column its name, attr id, child count and text."""
     g = (t.lineitem.groupBy("l_orderkey", "l_linenumber")
-         .agg(F.count(F.lit(1)).alias("n"), F.min("l_returnflag").alias("flag"),
-              F.min(F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("attr")))
-    ln = F.col("l_linenumber")
-    single = (F.col("n") == 1) & (F.col("flag") == "N")
-    return g.select(
-        F.col("l_orderkey").alias("event_id"),
-        ln.alias("out_pos"),
-        F.concat(F.lit("Out_"), _txt(ln)).alias("out_name"),
-        F.when(single, F.col("attr")).otherwise(-ln).alias("out_attr_id"),
-        F.when(single, 0).otherwise(1).alias("n_children"),
-        F.when(single, _null_str())
-         .when(F.col("flag") == "A", F.concat(F.lit("f("), _txt(ln), F.lit(")")))
-         .otherwise(F.concat(F.lit("x"), _txt(ln))).alias("expr_text"),
+         .agg(F.expr("count(1) AS n"), F.expr("min(l_returnflag) AS flag"),
+              F.expr("min(l_partkey * 1000 + l_suppkey) AS attr")))
+    single = "(n = 1 AND flag = 'N')"
+    return g.selectExpr(
+        "l_orderkey AS event_id", "l_linenumber AS out_pos",
+        "concat('Out_', CAST(l_linenumber AS STRING)) AS out_name",
+        f"CASE WHEN {single} THEN attr ELSE -l_linenumber END AS out_attr_id",
+        f"CASE WHEN {single} THEN 0 ELSE 1 END AS n_children",
+        f"""CASE WHEN {single} THEN NULL
+                 WHEN flag = 'A' THEN concat('f(', CAST(l_linenumber AS STRING), ')')
+                 ELSE concat('x', CAST(l_linenumber AS STRING)) END AS expr_text""",
     )
 
 
 def catalog_event(t: Tables) -> DataFrame:
-    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k, et, eid = F.col("k"), F.col("event_type"), F.col("event_id")
-    db_kind = (F.when(et == "signup", "CreateDatabase").when(et == "error", "DropDatabase")
-               .when(et == "purchase", "AlterDatabase").otherwise("Ignored"))
-    tbl_kind = (F.when(et == "signup", "CreateTable").when(et == "error", "DropTable")
-                .when(et == "purchase", "AlterTable").when(et == "click", "RenameTable")
-                .otherwise("CreateTablePre"))
-    return e.select(
-        eid, "ts", F.col("user_id").alias("session_id"),
-        F.when(k < 5, db_kind).otherwise(tbl_kind).alias("kind"),
-        F.concat(F.lit("db"), _txt(k % 5)).alias("db"),
-        F.when(k < 5, _null_str()).otherwise(F.concat(F.lit("t_"), _txt(k))).alias("tbl"),
-        F.when((k >= 5) & (et == "click"), F.concat(F.lit("t_"), _txt(5 + (k + eid) % 95))).alias("new_name"),
-        F.when((k >= 5) & (et == "purchase"),
-               F.when(eid % 2 == 0, "dataSchema").otherwise("stats")).alias("change_kind"),
+    e = t.events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    return e.selectExpr(
+        "event_id", "ts", "user_id AS session_id",
+        """CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabase' WHEN 'error' THEN 'DropDatabase'
+                                                WHEN 'purchase' THEN 'AlterDatabase' ELSE 'Ignored' END
+                ELSE CASE event_type WHEN 'signup' THEN 'CreateTable' WHEN 'error' THEN 'DropTable'
+                                     WHEN 'purchase' THEN 'AlterTable' WHEN 'click' THEN 'RenameTable'
+                                     ELSE 'CreateTablePre' END END AS kind""",
+        "concat('db', CAST(k % 5 AS STRING)) AS db",
+        "CASE WHEN k < 5 THEN NULL ELSE concat('t_', CAST(k AS STRING)) END AS tbl",
+        """CASE WHEN k >= 5 AND event_type = 'click'
+                THEN concat('t_', CAST(5 + (k + event_id) % 95 AS STRING)) END AS new_name""",
+        """CASE WHEN k >= 5 AND event_type = 'purchase'
+                THEN CASE WHEN event_id % 2 = 0 THEN 'dataSchema' ELSE 'stats' END END AS change_kind""",
     )
 
 
 def catalog_column(t: Tables) -> DataFrame:
     """Current table definitions: one row per column.  Tables t_5..t_9 have none on purpose."""
-    grp = F.col("p_partkey") % 100
-    w = Window.partitionBy(grp).orderBy("p_partkey")
-    return t.part.where(grp >= 10).select(
-        F.concat(F.lit("db"), _txt(grp % 5)).alias("db"),
-        F.concat(F.lit("t_"), _txt(grp)).alias("tbl"),
-        F.row_number().over(w).cast("int").alias("pos"),
-        F.concat(F.lit("Col_"), _txt(F.col("p_partkey"))).alias("name"),
-        F.lower("p_type").alias("data_type"),
-        F.when(F.col("p_size") % 3 == 0, _null_str()).otherwise(F.col("p_name")).alias("comment"),
+    return t.part.where("p_partkey % 100 >= 10").selectExpr(
+        "concat('db', CAST((p_partkey % 100) % 5 AS STRING)) AS db",
+        "concat('t_', CAST(p_partkey % 100 AS STRING)) AS tbl",
+        "CAST(row_number() OVER (PARTITION BY p_partkey % 100 ORDER BY p_partkey) AS INT) AS pos",
+        "concat('Col_', CAST(p_partkey AS STRING)) AS name",
+        "lower(p_type) AS data_type",
+        "CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_name END AS comment",
     )
 
 
 def database(t: Tables) -> DataFrame:
     """Database definitions; ``db4`` is missing on purpose."""
-    return t.nation.where(F.col("n_nationkey") < 4).select(
-        F.concat(F.lit("db"), _txt(F.col("n_nationkey"))).alias("name"),
-        F.col("n_name").alias("description"),
-        F.concat(F.lit("/wh/"), F.lower("n_name")).alias("location_uri"),
-    )
+    return t.nation.where("n_nationkey < 4").selectExpr(
+        "concat('db', CAST(n_nationkey AS STRING)) AS name", "n_name AS description",
+        "concat('/wh/', lower(n_name)) AS location_uri")
 
 
 def sql_text(t: Tables) -> DataFrame:
-    return (t.events.where(F.col("event_type") == "view")
-            .select(F.col("user_id").alias("session_id"), "ts",
-                    F.concat(F.lit("sql_"), _txt(F.col("event_id"))).alias("sql_text")))
+    return t.events.where("event_type = 'view'").selectExpr(
+        "user_id AS session_id", "ts", "concat('sql_', CAST(event_id AS STRING)) AS sql_text")
 
 
 def exec_event(t: Tables) -> DataFrame:
-    return (t.events.where(F.col("event_type") == "purchase")
-            .select("event_id", F.col("user_id").alias("session_id"), "ts"))
+    return t.events.where("event_type = 'purchase'").selectExpr("event_id", "user_id AS session_id", "ts")
 
 
 def delivery_attempt(t: Tables) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return t.lineitem.select(
-        F.col("l_orderkey").alias("msg_id"),
-        F.row_number().over(w).cast("int").alias("attempt"),
-        ((F.col("l_partkey") + F.col("l_suppkey")) % 3 == 0).alias("ok"),
+    return t.lineitem.selectExpr(
+        "l_orderkey AS msg_id",
+        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)"
+        " AS attempt",
+        "(l_partkey + l_suppkey) % 3 = 0 AS ok",
     )
 
 
 def ddl_event(t: Tables) -> DataFrame:
     """DDL command log derived from the catalog log (table events only)."""
-    c = catalog_event(t).where(F.col("kind").isin("CreateTable", "DropTable", "RenameTable", "AlterTable"))
-    eid, kind = F.col("event_id"), F.col("kind")
-    command = (F.when(kind == "CreateTable",
-                      F.when(eid % 5 == 0, "CreateViewCommand")
-                       .when(eid % 2 == 0, "CreateTableCommand")
-                       .otherwise("CreateTableLikeCommand"))
-               .when(kind == "DropTable", "DropTableCommand")
-               .when(kind == "RenameTable", "AlterTableRenameCommand")
-               .otherwise("AlterTableSetPropertiesCommand"))
-    return c.select(
-        "event_id", "ts", command.alias("command"), "db", "tbl", "new_name",
-        F.when(kind == "DropTable", eid % 3 == 0).alias("is_view"),
-        F.when((kind == "CreateTable") & (eid % 2 == 1),
-               F.concat(F.lit("t_"), _txt(eid % 90 + 10))).alias("source_tbl"),
+    c = catalog_event(t).where("kind IN ('CreateTable', 'DropTable', 'RenameTable', 'AlterTable')")
+    return c.selectExpr(
+        "event_id", "ts",
+        """CASE kind WHEN 'CreateTable' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
+                                                   WHEN event_id % 2 = 0 THEN 'CreateTableCommand'
+                                                   ELSE 'CreateTableLikeCommand' END
+                     WHEN 'DropTable' THEN 'DropTableCommand'
+                     WHEN 'RenameTable' THEN 'AlterTableRenameCommand'
+                     ELSE 'AlterTableSetPropertiesCommand' END AS command""",
+        "db", "tbl", "new_name",
+        "CASE WHEN kind = 'DropTable' THEN event_id % 3 = 0 END AS is_view",
+        """CASE WHEN kind = 'CreateTable' AND event_id % 2 = 1
+                THEN concat('t_', CAST(event_id % 90 + 10 AS STRING)) END AS source_tbl""",
     )
 
 
 def plan_node(t: Tables) -> DataFrame:
     """Physical plan nodes of executions in pre-order (node_pos), as a chain
     (each node's parent is the previous node)."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    m = F.col("l_partkey") % 7
-    cls = (F.when(m == 0, "ExecutedCommandExec").when(m == 1, "DataWritingCommandExec")
-           .when(m == 2, "WriteToDataSourceV2Exec").when(m == 3, "UnionExec")
-           .when(m == 4, "ProjectExec").when(m == 5, "FileSourceScanExec")
-           .otherwise("FilterExec"))
-    return t.lineitem.select(
-        F.col("l_orderkey").alias("event_id"),
-        F.row_number().over(w).cast("int").alias("node_pos"),
-        cls.alias("cls"),
+    return t.lineitem.selectExpr(
+        "l_orderkey AS event_id",
+        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)"
+        " AS node_pos",
+        """CASE l_partkey % 7 WHEN 0 THEN 'ExecutedCommandExec' WHEN 1 THEN 'DataWritingCommandExec'
+                WHEN 2 THEN 'WriteToDataSourceV2Exec' WHEN 3 THEN 'UnionExec' WHEN 4 THEN 'ProjectExec'
+                WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls""",
     )
 
 
