@@ -14,21 +14,22 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
+def _edge(kind: str, src, dst):
+    return F.struct(F.lit(kind).alias("kind"), src.alias("src"), dst.alias("dst"))
+
+
 def edges(lineage) -> DataFrame:
-    """Distinct (kind, src, dst) from the entity references."""
-    p = lineage.good.select("process_qn", "target_qn", "inputs")
-    c = lineage.column_lineage.select("lineage_id", "output_qn", "process_qn", "inputs")
-    e_in = p.select(F.lit(K.REL_INPUTS).alias("kind"), F.explode("inputs").alias("src"),
-                    F.col("process_qn").alias("dst"))
-    e_out = p.select(F.lit(K.REL_OUTPUTS).alias("kind"), F.col("process_qn").alias("src"),
-                     F.col("target_qn").alias("dst"))
-    c_in = c.select(F.lit(K.REL_INPUTS).alias("kind"), F.explode("inputs").alias("src"),
-                    F.col("lineage_id").alias("dst"))
-    c_out = c.select(F.lit(K.REL_OUTPUTS).alias("kind"), F.col("lineage_id").alias("src"),
-                     F.col("output_qn").alias("dst"))
-    c_q = c.select(F.lit(K.REL_QUERY).alias("kind"), F.col("lineage_id").alias("src"),
-                   F.col("process_qn").alias("dst"))
-    return e_in.unionByName(e_out).unionByName(c_in).unionByName(c_out).unionByName(c_q).distinct()
+    """Distinct (kind, src, dst) from the entity references.  Each
+    process and each column row emits its edges as one array that is
+    exploded, so every product is read once."""
+    pq, cq = F.col("process_qn"), F.col("lineage_id")
+    p = lineage.good.select(F.explode(F.concat(
+        F.transform("inputs", lambda x: _edge(K.REL_INPUTS, x, pq)),
+        F.array(_edge(K.REL_OUTPUTS, pq, F.col("target_qn"))))).alias("e"))
+    c = lineage.column_lineage.select(F.explode(F.concat(
+        F.transform("inputs", lambda x: _edge(K.REL_INPUTS, x, cq)),
+        F.array(_edge(K.REL_OUTPUTS, cq, F.col("output_qn")), _edge(K.REL_QUERY, cq, pq)))).alias("e"))
+    return p.unionByName(c).select("e.*").distinct()
 
 
 def dedupe_entities(entities: DataFrame, keys=("type_name", "qualified_name")) -> DataFrame:

@@ -2,10 +2,10 @@
 of nodes per execution (Catalyst's ``toJSON`` format, pre-order), becomes
 the normalised event tables.
 
-All of it runs as Spark SQL over the ``plan_json`` column: ``from_json``
-into ``array<string>`` keeps each node as raw JSON text, ``posexplode`` gives
-the pre-order position, and typed ``from_json`` calls read the few fields
-lineage needs.  No plan is ever parsed on the driver.
+All of it runs as Spark SQL over the ``plan_json`` column: one ``from_json``
+per plan reads the node array straight into typed structs holding only the
+fields lineage needs, and ``posexplode`` gives the pre-order position.  No
+plan is ever parsed on the driver.
 """
 
 from __future__ import annotations
@@ -21,22 +21,32 @@ PROJECT = "org.apache.spark.sql.catalyst.plans.logical.Project"
 ALIAS = "org.apache.spark.sql.catalyst.expressions.Alias"
 ATTRIBUTE = "org.apache.spark.sql.catalyst.expressions.AttributeReference"
 
-_ATTRS = "array<array<struct<class:string,name:string,exprId:struct<id:bigint>>>>"
-_EXPR = "array<struct<class:string,`num-children`:int,name:string,exprId:struct<id:bigint>>>"
-_IDENT = "struct<identifier:struct<table:string,database:string>,partitionColumnNames:array<string>>"
+_EXPR = "struct<class:string,`num-children`:int,name:string,exprId:struct<id:bigint>>"
+_META = "struct<identifier:struct<table:string,database:string>,partitionColumnNames:array<string>>"
+# The few node fields lineage needs; every other field of Catalyst's JSON is ignored by the parser.
+NODE_SCHEMA = (f"struct<class:string,`num-children`:int,catalogTable:{_META},tableMeta:{_META},"
+               f"output:array<array<{_EXPR}>>,dataCols:array<array<{_EXPR}>>,"
+               f"partitionCols:array<array<{_EXPR}>>,projectList:array<array<{_EXPR}>>>")
 
 
 def explode_plan(events: DataFrame, plan_col: str = "plan_json") -> DataFrame:
-    """S3: one row per plan node: ``event_id, node_pos, cls, node`` (node = raw JSON)."""
-    nodes = events.select("event_id", F.posexplode(F.from_json(plan_col, "array<string>")).alias("node_pos", "node"))
+    """S3: one row per plan node: ``event_id, node_pos, cls, node`` (node = typed struct).
+    Each plan string is parsed once, straight into the typed node array."""
+    nodes = events.select("event_id", F.posexplode(F.from_json(plan_col, f"array<{NODE_SCHEMA}>"))
+                          .alias("node_pos", "node"))
     return nodes.select("event_id", F.col("node_pos").cast("bigint").alias("node_pos"),
-                        F.get_json_object("node", "$.class").alias("cls"), "node")
+                        F.col("node")["class"].alias("cls"), "node")
 
 
 def _is_relation(cls):
     return cls.isin(LOGICAL_RELATION, HIVE_RELATION) | cls.endswith("Relation") | cls.endswith("LogicalRDD")
 
 
+def _meta():
+    n = F.col("node")
+    return F.coalesce(n["catalogTable"], n["tableMeta"])
+
+
 def shred_scans(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Leaf relations -> ``scan_relation`` and ``scan_column``.
 
@@ -44,27 +54,21 @@ def shred_scans(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     (``LogicalRelation.catalogTable`` or ``HiveTableRelation.tableMeta``);
     temp views over local rows, RDDs and path scans are not.
     """
-    leaves = nodes.where(_is_relation(F.col("cls")))
-    meta_txt = F.coalesce(F.get_json_object("node", "$.catalogTable"), F.get_json_object("node", "$.tableMeta"))
-    meta = F.from_json(meta_txt, _IDENT)
-    rel = leaves.select(
-        "event_id", F.col("node_pos").alias("rel_pos"), "node",
+    n, meta = F.col("node"), _meta()
+    rel = nodes.where(_is_relation(F.col("cls"))).select(
+        "event_id", F.col("node_pos").alias("rel_pos"),
         meta["identifier"]["database"].alias("db"), meta["identifier"]["table"].alias("tbl"),
+        meta["identifier"].isNotNull().alias("is_catalog"),
         F.coalesce(meta["partitionColumnNames"], F.array().cast("array<string>")).alias("_pcols"),
-        meta["identifier"].isNotNull().alias("is_catalog"))
+        # LogicalRelation: output; HiveTableRelation: dataCols ++ partitionCols
+        F.coalesce(F.when(n["dataCols"].isNotNull(),
+                          F.concat(n["dataCols"], F.coalesce(n["partitionCols"], F.array()))),
+                   n["output"], F.array()).alias("_attrs"))
     scan_relation = rel.select("event_id", "rel_pos", "db", "tbl", "is_catalog")
-    # LogicalRelation: output; HiveTableRelation: dataCols ++ partitionCols
-    out_txt = F.coalesce(F.get_json_object("node", "$.output"), F.lit("[]"))
-    data_txt = F.get_json_object("node", "$.dataCols")
-    part_txt = F.get_json_object("node", "$.partitionCols")
-    attrs = F.when(data_txt.isNotNull(),
-                   F.concat(F.coalesce(F.from_json(data_txt, _ATTRS), F.array().cast(_ATTRS)),
-                            F.coalesce(F.from_json(part_txt, _ATTRS), F.array().cast(_ATTRS))))
-    attrs = F.coalesce(attrs, F.from_json(out_txt, _ATTRS))
-    cols = rel.select("event_id", "rel_pos", "_pcols", F.explode(attrs).alias("a"))
-    scan_column = cols.select(
-        "event_id", "rel_pos", F.col("a")[0]["exprId"]["id"].alias("attr_id"), F.col("a")[0]["name"].alias("col"),
-        F.array_contains("_pcols", F.col("a")[0]["name"]).alias("is_partition_col"))
+    cols = rel.select("event_id", "rel_pos", "_pcols", F.explode("_attrs").alias("a"))
+    a = F.col("a")[0]
+    scan_column = cols.select("event_id", "rel_pos", a["exprId"]["id"].alias("attr_id"), a["name"].alias("col"),
+                              F.array_contains("_pcols", a["name"]).alias("is_partition_col"))
     return scan_relation, scan_column
 
 
@@ -72,10 +76,8 @@ def root_kind(nodes: DataFrame) -> DataFrame:
     """PROJECT when the query root is a Project, RELATION when it is a
     catalog relation, OTHER otherwise."""
     root = nodes.where(F.col("node_pos") == 0)
-    is_cat = F.coalesce(F.get_json_object("node", "$.catalogTable"),
-                        F.get_json_object("node", "$.tableMeta")).isNotNull()
     kind = (F.when(F.col("cls") == PROJECT, F.lit(K.ROOT_PROJECT))
-            .when(_is_relation(F.col("cls")) & is_cat, F.lit(K.ROOT_RELATION))
+            .when(_is_relation(F.col("cls")) & _meta()["identifier"].isNotNull(), F.lit(K.ROOT_RELATION))
             .otherwise(F.lit(K.ROOT_OTHER)))
     return root.select("event_id", kind.alias("root_kind"))
 
@@ -89,10 +91,8 @@ def shred_outputs(nodes: DataFrame, expr_texts: DataFrame | None = None) -> tupl
     the rendered child text per output position.
     """
     root = nodes.where((F.col("node_pos") == 0) & (F.col("cls") == PROJECT))
-    items = root.select("event_id", F.posexplode(
-        F.from_json(F.get_json_object("node", "$.projectList"), "array<string>")).alias("out_pos", "item"))
-    items = items.select("event_id", F.col("out_pos").cast("int").alias("out_pos"),
-                         F.from_json("item", _EXPR).alias("e"))
+    items = root.select("event_id", F.posexplode(F.col("node")["projectList"]).alias("out_pos", "e"))
+    items = items.select("event_id", F.col("out_pos").cast("int").alias("out_pos"), "e")
     top = F.col("e")[0]
     out = items.select(
         "event_id", "out_pos", top["name"].alias("out_name"), top["exprId"]["id"].alias("out_attr_id"),
