@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
-def _atlas_ref(r):
+def _entity_ref(r):
     return F.struct(r["type_name"].alias("typeName"),
                     F.struct(r["qualified_name"].alias("qualifiedName")).alias("uniqueAttributes"),
                     r["relationship_type"].alias("relationshipType"))
 
 
-def atlas_entity(entities: DataFrame) -> DataFrame:
+def entity_json(entities: DataFrame) -> DataFrame:
     """Entity rows -> the JSON-shaped struct of one entity (null attributes are omitted by ``to_json``)."""
     rel = F.col("relationships")
     q = rel["query"]
@@ -30,21 +30,21 @@ def atlas_entity(entities: DataFrame) -> DataFrame:
         F.col("type_name").alias("typeName"),
         F.col("attributes").alias("attributes"),
         F.struct(
-            F.transform(rel["inputs"], _atlas_ref).alias("inputs"),
-            F.transform(rel["outputs"], _atlas_ref).alias("outputs"),
-            F.when(q.isNotNull(), _atlas_ref(q)).alias("query"),
+            F.transform(rel["inputs"], _entity_ref).alias("inputs"),
+            F.transform(rel["outputs"], _entity_ref).alias("outputs"),
+            F.when(q.isNotNull(), _entity_ref(q)).alias("query"),
         ).alias("relationshipAttributes"),
     ))
 
 
 def envelopes(lineage) -> DataFrame:
     """One row per harvested event: key, entity list (process first), count."""
-    cols = atlas_entity(lineage.column_entities)
+    cols = entity_json(lineage.column_entities)
     per_event = (cols.groupBy("event_id")
                  .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("out_pos", F.lit(0)).alias("p"),
                                                            F.col("out_name").alias("n"),
                                                            F.col("entity").alias("e")))).alias("_cols")))
-    procs = atlas_entity(lineage.process_entities).select("event_id", "ts", "message_key", "entity")
+    procs = entity_json(lineage.process_entities).select("event_id", "ts", "message_key", "entity")
     j = procs.join(per_event, "event_id", "left")
     col_list = F.transform(F.coalesce(F.col("_cols"), F.array()), lambda x: x["e"])
     return j.select("event_id", "ts", F.col("message_key").alias("key"),
