@@ -113,12 +113,25 @@ def shred_outputs(nodes: DataFrame, expr_texts: DataFrame | None = None) -> tupl
     return out, leaves
 
 
-def event_tables_from_plans(log: DataFrame):
-    """Plan log (see ``plans.capture.PLAN_LOG_SCHEMA``) -> ``EventTables``."""
+def event_tables_from_plans(log: DataFrame, stage_path: str | None = None):
+    """Plan log (see ``plans.capture.PLAN_LOG_SCHEMA``) -> ``EventTables``.
+
+    With ``stage_path`` the plans are parsed exactly once: the typed node
+    table and the event columns are written there (columnar, shared
+    folder) and the five event tables are derived from that copy.  Without
+    it every derived table re-parses the JSON, which is fine for small logs.
+    """
     from ..operators.lineage import EventTables
     nodes = explode_plan(log)
+    events = log.drop("plan_json")
+    if stage_path is not None:
+        spark = log.sparkSession
+        nodes.write.mode("overwrite").parquet(f"{stage_path}/nodes")
+        events.write.mode("overwrite").parquet(f"{stage_path}/events")
+        nodes = spark.read.parquet(f"{stage_path}/nodes")
+        events = spark.read.parquet(f"{stage_path}/events")
     rel, col = shred_scans(nodes)
-    out, leaves = shred_outputs(nodes, log.select("event_id", "expr_texts"))
-    ev = (log.drop("plan_json", "expr_texts").join(root_kind(nodes), "event_id", "left")
+    out, leaves = shred_outputs(nodes, events.select("event_id", "expr_texts"))
+    ev = (events.drop("expr_texts").join(root_kind(nodes), "event_id", "left")
           .withColumn("root_kind", F.coalesce("root_kind", F.lit(K.ROOT_OTHER))))
     return EventTables(ev, rel, col, out, leaves)

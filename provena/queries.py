@@ -477,9 +477,11 @@ def user_preference_q(spark, sf_dir):
 
 
 def _plan_tables(spark, sf_dir):
+    """Plan log -> parsed once into the shared scratch folder -> event tables."""
     from .plans.shred import event_tables_from_plans
+    from .session import scratch_path
     from .sources.plan_log import plan_log
-    return event_tables_from_plans(plan_log(Tables(spark, sf_dir)))
+    return event_tables_from_plans(plan_log(Tables(spark, sf_dir)), stage_path=scratch_path(spark, "plan_nodes"))
 
 
 @query("plan_scans", with_views("""

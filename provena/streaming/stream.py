@@ -83,7 +83,8 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
     also sent with retry; failed batches land in ``dead_letter_path``.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        lin = Lineage(event_tables_from_plans(batch), policy=policy, ns=ns)
+        tables = event_tables_from_plans(batch, stage_path=f"{out}/_nodes/batch_id={batch_id}")
+        lin = Lineage(tables, policy=policy, ns=ns)
         good = lin.good.select("event_id", "ts", "target_qn", "process_qn", "op_type", "inputs", "n_inputs",
                                "query_text")
         _write_batch(good, out, "table_lineage", batch_id)
