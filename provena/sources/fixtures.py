@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import ordinal
 from ..session import Tables
 
 
@@ -115,11 +116,17 @@ def catalog_event(t: Tables) -> DataFrame:
 
 
 def catalog_column(t: Tables) -> DataFrame:
-    """Current table definitions: one row per column.  Tables t_5..t_9 have none on purpose."""
-    return t.part.where("p_partkey % 100 >= 10").selectExpr(
-        "concat('db', CAST((p_partkey % 100) % 5 AS STRING)) AS db",
-        "concat('t_', CAST(p_partkey % 100 AS STRING)) AS tbl",
-        "CAST(row_number() OVER (PARTITION BY p_partkey % 100 ORDER BY p_partkey) AS INT) AS pos",
+    """Current table definitions: one row per column.  Tables t_5..t_9 have none on purpose.
+
+    Only 90 tables exist, so column positions are numbered with ``ordinal``
+    (exact row numbers, each table split over many tasks) rather than a
+    window that would sort every table in one task."""
+    base = t.part.where("p_partkey % 100 >= 10").selectExpr(
+        "p_partkey % 100 AS grp", "p_partkey", "p_type", "p_size", "p_name")
+    return ordinal(base, ["grp"], ["p_partkey"], "pos").selectExpr(
+        "concat('db', CAST(grp % 5 AS STRING)) AS db",
+        "concat('t_', CAST(grp AS STRING)) AS tbl",
+        "pos",
         "concat('Col_', CAST(p_partkey AS STRING)) AS name",
         "lower(p_type) AS data_type",
         "CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_name END AS comment",

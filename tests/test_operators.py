@@ -132,3 +132,17 @@ def test_asof_matches_brute_force(spark):
     got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, max_age_seconds=3600, bucket_seconds=600).collect()}
     exp = brute(3600)
     assert {k: v for k, v in got.items() if k not in amb} == {k: v for k, v in exp.items() if k not in amb}
+
+
+def test_ordinal_equals_row_number(spark):
+    from pyspark.sql import Window
+
+    from provena.operators.ranking import ordinal
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1, 1, 1, 2, 3, None]), i, rnd.random()) for i in range(2000)]  # group 1 is hot
+    df = spark.createDataFrame(rows, "g int, k int, v double")
+    exp = {(r.g, r.k): r.p for r in df.withColumn(
+        "p", F.row_number().over(Window.partitionBy("g").orderBy("k"))).collect()}
+    for n in (1, 7, 32):
+        got = {(r.g, r.k): r.p for r in ordinal(df, ["g"], ["k"], "p", num_partitions=n).collect()}
+        assert got == exp
