@@ -123,6 +123,16 @@ class Lineage:
         self.policy = policy
         self.ns = ns
 
+    def pin(self, **products: DataFrame) -> "Lineage":
+        """Replace lazily built products (e.g. ``good``, ``column_lineage``) by
+        materialised copies, so later products read them instead of
+        recomputing the pipeline.  Used per micro-batch after writing them."""
+        for name, df in products.items():
+            if not isinstance(getattr(type(self), name, None), cached_property):
+                raise AttributeError(name)
+            self.__dict__[name] = df
+        return self
+
     # -- events -------------------------------------------------------------
     @cached_property
     def routed(self) -> DataFrame:

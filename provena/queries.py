@@ -476,12 +476,29 @@ def user_preference_q(spark, sf_dir):
 # S3-S5 over a plan log that grows with the tables
 
 
+_PLAN_LOG: dict = {}
+
+
+def plan_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """The plan log derived from the tables of ``sf_dir``, written once per
+    session to the shared scratch folder (it is the input log, like a
+    captured one would be) and read by the plan and stream queries."""
+    from .session import scratch_path
+    from .sources.plan_log import plan_log
+    key = (spark._jsparkSession.hashCode(), sf_dir)
+    if key not in _PLAN_LOG:
+        path = scratch_path(spark, "plan_log")
+        plan_log(Tables(spark, sf_dir)).repartition(3, "event_id").write.parquet(path)
+        _PLAN_LOG[key] = path
+    return _PLAN_LOG[key]
+
+
 def _plan_tables(spark, sf_dir):
     """Plan log -> parsed once into the shared scratch folder -> event tables."""
     from .plans.shred import event_tables_from_plans
     from .session import scratch_path
-    from .sources.plan_log import plan_log
-    return event_tables_from_plans(plan_log(Tables(spark, sf_dir)), stage_path=scratch_path(spark, "plan_nodes"))
+    log = spark.read.parquet(plan_log_path(spark, sf_dir))
+    return event_tables_from_plans(log, stage_path=scratch_path(spark, "plan_nodes"))
 
 
 @query("plan_scans", with_views("""

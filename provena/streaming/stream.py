@@ -84,14 +84,19 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         tables = event_tables_from_plans(batch, stage_path=f"{out}/_nodes/batch_id={batch_id}")
+        spark = batch.sparkSession
         lin = Lineage(tables, policy=policy, ns=ns)
         good = lin.good.select("event_id", "ts", "target_qn", "process_qn", "op_type", "inputs", "n_inputs",
                                "query_text")
         _write_batch(good, out, "table_lineage", batch_id)
         _write_batch(lin.column_lineage, out, "column_lineage", batch_id)
         _write_batch(lin.quarantine, out, "quarantine", batch_id)
+        # messages are built from the stored products: the batch pipeline runs once
+        lin.pin(good=spark.read.parquet(f"{out}/table_lineage/batch_id={batch_id}"),
+                column_lineage=spark.read.parquet(f"{out}/column_lineage/batch_id={batch_id}"))
         msgs = to_messages(lin)
         _write_batch(msgs, out, "messages", batch_id)
+        msgs = spark.read.parquet(f"{out}/messages/batch_id={batch_id}")
         if send is not None:
             send_with_retry(msgs.select("topic", "key", "value"), send, dead_letter_path)
     return run

@@ -12,18 +12,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .oracle import with_views
-from .queries import ORACLE, lineage, query
+from .queries import ORACLE, lineage, plan_log_path, query
 from .session import Tables, scratch_path
 from .sources import fixtures as fx
-from .sources.plan_log import plan_log
 from .streaming import stream as S
 
-N_FILES = 4
+N_FILES = 3
 
 
 def _lineage_stream(spark, sf_dir) -> str:
-    src = scratch_path(spark, "plan_log")
-    plan_log(Tables(spark, sf_dir)).repartition(N_FILES, "event_id").write.parquet(src)
+    src = plan_log_path(spark, sf_dir)  # N_FILES files, one per micro-batch
     out, ck = scratch_path(spark, "lineage_out"), scratch_path(spark, "lineage_ck")
     S.stream_lineage(S.read_plan_log_stream(spark, src, max_files_per_trigger=1), out, ck).awaitTermination()
     return out
