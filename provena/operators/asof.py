@@ -6,12 +6,20 @@ text at the same instant counts).  Text is never cleared, so a DataFrame-API
 write inherits the last text of its session; ``max_age_seconds`` optionally
 cuts texts that are too old.
 
-Scale: a session may hold a third of all rows, so time is split into
-buckets.  Inside a (session, bucket) a running ``last(.., ignorenulls)``
-window fills the text; the last text of each earlier bucket is carried
-forward by a window over the small (session, bucket) table; the two are
-combined per row.  No group larger than one bucket of one session is ever
-sorted in one task, and the result is exact.
+Scale: a session may hold a third of all rows, in any stretch of time, so
+the split is by row count, not by clock.  Texts and executions are range
+partitioned on (session, time): every range partition ("bucket") is a
+contiguous run of about rows / n rows, and a hot session spans many of them.
+Inside a (session, bucket) a running ``last(.., ignorenulls)`` window fills
+the text; the last text of each earlier bucket is carried forward by a
+window over the small (session, bucket) table (at most sessions + buckets
+rows); the two are combined per row.  No task sorts more than one bucket,
+and the result is exact.
+
+Both steps read the bucket of every row, so they must see one range
+partitioning.  Range bounds come from a sample seeded per RDD, so the
+bucketed rows are checkpointed once to ``spark.checkpoint.dir`` and both
+steps read that copy (which also survives lost executors).
 """
 
 from __future__ import annotations
@@ -19,8 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_SECONDS = 86_400
-
 
 def micros(ts: str | Column) -> Column:
     """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ, independent of time zone for NTZ."""
@@ -31,9 +37,15 @@ def micros(ts: str | Column) -> Column:
 
 def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: str = "ts",
                text_col: str = "sql_text", max_age_seconds: float | None = None,
-               bucket_seconds: int = DAY_SECONDS) -> DataFrame:
-    """Return ``execs`` plus ``sql_text`` (null when no text) and ``sql_ts``."""
-    bucket_us = int(bucket_seconds) * 1_000_000
+               num_buckets: int | None = None) -> DataFrame:
+    """Return ``execs`` plus ``sql_text`` (null when no text) and ``sql_ts``.
+
+    ``num_buckets`` (default ``spark.sql.shuffle.partitions``) is the number of
+    range buckets the (session, time) order is cut into."""
+    from ..session import checkpoint_dir
+    spark = execs.sparkSession
+    checkpoint_dir(spark)
+    n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     ex_cols = execs.columns
     ex = execs.select(*[F.col(c) for c in ex_cols],
                       micros(ts).alias("_us"), F.lit(1).alias("_is_exec"),
@@ -43,7 +55,9 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
         if c != by:
             tx = tx.withColumn(c, F.lit(None).cast(execs.schema[c].dataType))
     tx = tx.withColumn("_is_exec", F.lit(0)).select(*ex.columns)
-    u = ex.unionByName(tx).withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
+    # a text sorts before an execution at the same instant (the parse precedes it)
+    u = (ex.unionByName(tx).repartitionByRange(n, by, "_us", "_is_exec")
+         .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
 
     # 1. inside (session, bucket): latest text at or before each row
     w_in = (Window.partitionBy(by, "_b").orderBy("_us", "_is_exec")
@@ -51,13 +65,13 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
     text_here = F.when(F.col("_is_exec") == 0, F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")))
     filled = u.withColumn("_in", F.last(text_here, ignorenulls=True).over(w_in)).where(F.col("_is_exec") == 1)
 
-    # 2. last text of every text bucket, carried forward to later buckets of the session
-    last_per_bucket = (tx.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
+    # 2. last text of every (session, bucket), carried forward to later buckets of the session
+    last_per_bucket = (u.where(F.col("_is_exec") == 0)
                        .groupBy(by, "_b")
                        .agg(F.max_by(F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")),
                                      F.col("_us")).alias("_last"))
                        .withColumn("_k", F.lit(1)))
-    exec_buckets = (ex.select(by, F.floor(F.col("_us") / F.lit(bucket_us)).alias("_b")).distinct()
+    exec_buckets = (u.where(F.col("_is_exec") == 1).select(by, "_b").distinct()
                     .withColumn("_last", F.lit(None).cast("struct<t:bigint,s:string>"))
                     .withColumn("_k", F.lit(0)))
     w_carry = (Window.partitionBy(by).orderBy("_b", "_k")

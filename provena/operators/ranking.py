@@ -14,8 +14,15 @@ every group over many tasks:
 4. position = offset + local number.
 
 The order keys must be unique within a group (as for a deterministic
-``row_number``).  Range bounds live in the shuffle dependency, so a
-recomputed task after an executor loss lands in the same partition.
+``row_number``).
+
+Steps 2 and 3 both read the partition id of every row, so they must see one
+and the same range partitioning.  Range bounds come from a random sample
+seeded per RDD, and column pruning gives each branch its own exchange, so
+two branches computed separately get different bounds on large input.  The
+range-partitioned rows are therefore checkpointed once to the shared folder
+named by ``spark.checkpoint.dir`` and both branches read that copy; it also
+survives the loss of the executors that computed it.
 """
 
 from __future__ import annotations
@@ -26,8 +33,12 @@ from pyspark.sql import functions as F
 
 def ordinal(df: DataFrame, by: list[str], order: list[str], name: str = "pos",
             num_partitions: int | None = None) -> DataFrame:
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *by, *order).withColumn("_pid", F.spark_partition_id())
+    from ..session import checkpoint_dir
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = (df.repartitionByRange(n, *by, *order).withColumn("_pid", F.spark_partition_id())
+         .checkpoint(eager=True))
     local = r.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *by).orderBy(*order)))
     counts = r.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

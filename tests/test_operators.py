@@ -122,18 +122,40 @@ def test_asof_matches_brute_force(spark):
             out[eid] = best[1] if best else None
         return out
 
-    for bucket in (600, 86_400):
-        got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, bucket_seconds=bucket).collect()}
+    for buckets in (1, 7, 40):
+        got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=buckets).collect()}
         exp = brute()
         amb = {eid for eid, s, ts in execs
                if len({tts for ss, tts, _ in texts if ss == s and tts <= ts} or {0}) !=
                len([1 for ss, tts, _ in texts if ss == s and tts <= ts] or [0])}
         assert {k: v for k, v in got.items() if k not in amb} == {k: v for k, v in exp.items() if k not in amb}
-    got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, max_age_seconds=3600, bucket_seconds=600).collect()}
+    got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, max_age_seconds=3600, num_buckets=13).collect()}
     exp = brute(3600)
     assert {k: v for k, v in got.items() if k not in amb} == {k: v for k, v in exp.items() if k not in amb}
 
 
+def test_asof_hot_session_spans_buckets(spark):
+    """One session holds most rows: it is cut over many range buckets and
+    every execution still gets the latest earlier text."""
+    rnd = random.Random(11)
+    texts = [(1 if i % 4 else rnd.randint(2, 6), t(rnd.randint(0, 3600)), f"q{i}") for i in range(2000)]
+    ts_texts = [x[1] for x in texts]
+    execs = [(i, 1 if i % 5 else rnd.randint(2, 6), t(rnd.randint(0, 3600))) for i in range(3000)]
+    execs = [e for e in execs if e[2] not in ts_texts]  # keep text/exec instants distinct
+    tx = spark.createDataFrame(texts, "session_id bigint, ts timestamp_ntz, sql_text string")
+    ex = spark.createDataFrame(execs, "event_id bigint, session_id bigint, ts timestamp_ntz")
+    best = {}
+    for eid, s, ts in execs:
+        cands = sorted((tts, txt) for ss, tts, txt in texts if ss == s and tts <= ts)
+        # texts sharing the latest instant are ambiguous: skip those executions
+        if cands and len([c for c in cands if c[0] == cands[-1][0]]) > 1:
+            continue
+        best[eid] = cands[-1][1] if cands else None
+    got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=32).collect()}
+    assert len(got) == len(execs)
+    assert {k: got[k] for k in best} == best
+
+
 def test_ordinal_equals_row_number(spark):
     from pyspark.sql import Window
 
@@ -146,3 +168,21 @@ def test_ordinal_equals_row_number(spark):
     for n in (1, 7, 32):
         got = {(r.g, r.k): r.p for r in ordinal(df, ["g"], ["k"], "p", num_partitions=n).collect()}
         assert got == exp
+
+
+def test_ordinal_exact_without_exchange_reuse(spark):
+    """Positions stay exact when each branch plans its own exchange: the
+    range-partitioned rows are stored once, so both read one partitioning."""
+    from pyspark.sql import Window
+
+    from provena.operators.ranking import ordinal
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 400_000, 1, 12).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("g"), F.xxhash64("id").alias("k"))
+        got = ordinal(df, ["g"], ["k"], num_partitions=8)
+        exp = df.withColumn("p2", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+        assert got.count() == 400_000
+        assert got.join(exp, ["g", "k"]).where("pos <> p2").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
