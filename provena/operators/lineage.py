@@ -75,22 +75,30 @@ def attr_dictionary(cat_cols: DataFrame) -> DataFrame:
             .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col")).alias("input_qn")))
 
 
-def resolve_leaves(output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Per output column, the dictionary hits among its leaves in leaf
-    order (duplicates kept, literals and unknown ids skipped)."""
-    hits = output_leaf.where(F.col("attr_id").isNotNull()).join(dictionary, ["event_id", "attr_id"])
-    return (hits.groupBy("event_id", "out_pos")
-            .agg(F.sort_array(F.collect_list(F.struct("leaf_pos", "input_qn"))).alias("_hits"))
-            .select("event_id", "out_pos", F.transform("_hits", lambda h: h["input_qn"]).alias("inputs")))
-
-
-def literal_outputs(output_expr: DataFrame, output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
+def resolve_leaves(output_expr: DataFrame, output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """One dictionary lookup for both lineage branches.  Each output
+    probes its own attribute id (L3, ``leaf_pos`` -1) next to the ids of its
+    leaves (L4).  Per output: ``pass_qn`` (its own id's source column) and
+    ``inputs`` (leaf hits in leaf order, duplicates kept, literals and unknown
+    ids skipped).  The dictionary is built and shuffled once, and only narrow
+    probe rows cross the lookup shuffle."""
+    own = output_expr.select("event_id", "out_pos", F.col("out_attr_id").alias("attr_id"),
+                             F.lit(-1).alias("leaf_pos"))
+    leaves = output_leaf.where(F.col("attr_id").isNotNull()).select("event_id", "out_pos", "attr_id", "leaf_pos")
+    hits = own.unionByName(leaves).join(dictionary, ["event_id", "attr_id"])
+    is_own = F.col("leaf_pos") < 0
+    agg = hits.groupBy("event_id", "out_pos").agg(
+        F.max(F.when(is_own, F.col("input_qn"))).alias("pass_qn"),
+        F.sort_array(F.collect_list(F.when(~is_own, F.struct("leaf_pos", "input_qn")))).alias("_hits"))
+    return agg.select("event_id", "out_pos", "pass_qn", F.transform("_hits", lambda h: h["input_qn"]).alias("inputs"))
+
+
+def literal_outputs(outputs: DataFrame, output_leaf: DataFrame) -> DataFrame:
     """Events where a derived output (not in the dictionary, has children)
-    holds a non-named leaf: the original hook throws on these (Q2)."""
+    holds a non-named leaf: the original hook throws on these (Q2).
+    ``outputs`` is ``output_expr`` with its pass-through hit ``pass_qn``."""
     lit_out = output_leaf.where(~F.col("is_named")).select("event_id", "out_pos").distinct()
-    d = dictionary.select("event_id", F.col("attr_id").alias("out_attr_id"))
-    derived = (output_expr.where(F.col("n_children") >= 1)
-               .join(d, ["event_id", "out_attr_id"], "left_anti"))
+    derived = outputs.where((F.col("n_children") >= 1) & F.col("pass_qn").isNull())
     return derived.join(lit_out, ["event_id", "out_pos"], "left_semi").select("event_id").distinct()
 
 
@@ -161,7 +169,7 @@ class Lineage:
                   .when((F.col("empty_inputs") == "QUARANTINE") & (F.col("n_inputs") == 0),
                         F.lit(K.REASON_NO_INPUT_TABLE)))
         if p.literal == "strict":
-            lit_ev = (literal_outputs(self.t.output_expr, self.t.output_leaf, self.dictionary)
+            lit_ev = (literal_outputs(self._outputs, self.t.output_leaf)
                       .withColumn("_has_literal", F.lit(True)))
             ev = ev.join(lit_ev, "event_id", "left")
             reason = reason.when((F.col("root_kind") == K.ROOT_PROJECT) & F.col("_has_literal"),
@@ -185,9 +193,9 @@ class Lineage:
     # -- column lineage -----------------------------------------------------
     @cached_property
     def _outputs(self) -> DataFrame:
-        d = self.dictionary.select("event_id", F.col("attr_id").alias("out_attr_id"),
-                                   F.col("input_qn").alias("pass_qn"))
-        return self.t.output_expr.join(d, ["event_id", "out_attr_id"], "left")
+        """``output_expr`` with its lookups (``pass_qn``, ``inputs``; null when nothing hit)."""
+        hits = resolve_leaves(self.t.output_expr, self.t.output_leaf, self.dictionary)
+        return self.t.output_expr.join(hits, ["event_id", "out_pos"], "left")
 
     @cached_property
     def project_rows(self) -> DataFrame:
@@ -198,9 +206,7 @@ class Lineage:
         L4: otherwise, with children: inputs = dictionary hits among the leaves
         in leaf order; a single hit whose text lacks "(" or ")" is a rename
         (SIMPLE), anything else EXPRESSION.  No children and no hit: no row."""
-        outs = self._outputs.where(F.col("pass_qn").isNotNull() | (F.col("n_children") >= 1))
-        hits = resolve_leaves(self.t.output_leaf, self.dictionary)
-        j = outs.join(hits, ["event_id", "out_pos"], "left")
+        j = self._outputs.where(F.col("pass_qn").isNotNull() | (F.col("n_children") >= 1))
         is_pass = F.col("pass_qn").isNotNull()
         inputs = F.when(is_pass, F.array("pass_qn")).otherwise(
             F.coalesce(F.col("inputs"), F.array().cast("array<string>")))
