@@ -550,3 +550,26 @@ def plan_column_lineage(spark, sf_dir):
 # warehouse and streaming queries register themselves on import
 from . import warehouse_queries as _warehouse_queries  # noqa: E402,F401
 from . import streaming_queries as _streaming_queries  # noqa: E402,F401
+
+
+@query("catalog_app_tag", with_views(f"""
+SELECT change, count(*) AS n, true AS tagged FROM ({_CHANGES}) c GROUP BY change""", "fx_catalog_event"))
+def catalog_app_tag(spark, sf_dir):
+    """Every catalog change carries the application name and master of the session that saw it."""
+    from .operators.catalog import with_app
+    tagged = with_app(_changes(spark, sf_dir))
+    return tagged.groupBy("change").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.col("app_name").isNotNull() & F.col("master").isNotNull()).alias("tagged"))
+
+
+@query("keyed_messages", with_views("""
+SELECT target_qn AS key, count(*) AS n_messages, CAST(1 AS BIGINT) AS n_partitions
+FROM ox_good GROUP BY target_qn""", "ox_good"))
+def keyed_messages(spark, sf_dir):
+    """T5: messages keyed by target table; all messages of one key land in one
+    partition (as Kafka partitions by key), ordered by event inside it."""
+    from .operators.deliver import keyed_for_sink, to_messages
+    keyed = keyed_for_sink(to_messages(lineage(spark, sf_dir)), partitions=8)
+    return (keyed.withColumn("_pid", F.spark_partition_id()).groupBy("key")
+            .agg(F.count(F.lit(1)).alias("n_messages"), F.count_distinct("_pid").alias("n_partitions")))

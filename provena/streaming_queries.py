@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import constants as K
 from .oracle import with_views
 from .queries import ORACLE, lineage, plan_log_path, query
 from .session import Tables, scratch_path
@@ -80,3 +81,26 @@ def stream_dedupe(spark, sf_dir):
          .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("event_id", "type_name", "qualified_name")
+
+
+@query("notification_feed", with_views("""
+SELECT 'ATLAS_HOOK' AS topic, target_qn AS key, count(*) AS n_messages FROM ox_good GROUP BY target_qn""",
+                                       "ox_good"))
+def notification_feed(spark, sf_dir):
+    """S10 + T3: the hook's messages are written as a notification log (with
+    a second topic that is not subscribed), then read back as a stream with a
+    topic list that needs trimming and bounded intake per trigger; nothing is
+    dropped, every message of the subscribed topic arrives once."""
+    from .operators.deliver import to_messages
+    msgs = to_messages(lineage(spark, sf_dir)).select("topic", "key", "value")
+    other = msgs.withColumn("topic", F.lit("OTHER_TOPIC"))
+    src = scratch_path(spark, "notifications")
+    msgs.unionByName(other).repartition(N_FILES * 2, "key").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    feed = S.read_notifications(spark, f" {K.HOOK_TOPIC} , ,", fmt="parquet", path=src, schema=schema,
+                                max_per_trigger=1)
+    out, ck = scratch_path(spark, "notifications_out"), scratch_path(spark, "notifications_ck")
+    (feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return (spark.read.parquet(out).groupBy("topic", "key")
+            .agg(F.count(F.lit(1)).alias("n_messages")))
