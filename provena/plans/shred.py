@@ -2,10 +2,14 @@
 of nodes per execution (Catalyst's ``toJSON`` format, pre-order), becomes
 the normalised event tables.
 
-All of it runs as Spark SQL over the ``plan_json`` column: one ``from_json``
-per plan reads the node array straight into typed structs holding only the
-fields lineage needs, and ``posexplode`` gives the pre-order position.  No
-plan is ever parsed on the driver.
+All of it runs as Spark SQL over the ``plan_json`` column, in one pass per
+plan: one ``from_json`` reads the node array straight into typed structs
+holding only the fields lineage needs, and higher-order functions over that
+array (``transform`` with the node index, ``filter``, ``flatten``) build the
+rows of all five event tables at once.  One ``inline`` emits them, tagged
+with the table they belong to, so the staged copy is written in one job
+(partitioned by table) and every later read is a flat, pruned column scan.
+No plan is ever parsed on the driver, and none is parsed twice.
 """
 
 from __future__ import annotations
@@ -29,109 +33,131 @@ NODE_SCHEMA = (f"struct<class:string,`num-children`:int,catalogTable:{_META},tab
                f"partitionCols:array<array<{_EXPR}>>,projectList:array<array<{_EXPR}>>>")
 
 
-def explode_plan(events: DataFrame, plan_col: str = "plan_json") -> DataFrame:
-    """S3: one row per plan node: ``event_id, node_pos, cls, node`` (node = typed struct).
-    Each plan string is parsed once, straight into the typed node array."""
-    nodes = events.select("event_id", F.posexplode(F.from_json(plan_col, f"array<{NODE_SCHEMA}>"))
-                          .alias("node_pos", "node"))
-    return nodes.select("event_id", F.col("node_pos").cast("bigint").alias("node_pos"),
-                        F.col("node")["class"].alias("cls"), "node")
+_ROW_FIELDS = (  # one row type for the rows of all five tables
+    ("_t", "string"),            # event | rel | col | out | leaf
+    ("event_id", "bigint"),
+    ("pos", "bigint"),           # rel_pos (rel, col) or out_pos (out, leaf)
+    ("leaf_pos", "int"),
+    ("attr_id", "bigint"),       # col / leaf attribute id, out: the output's own id
+    ("name", "string"),          # col name, out name
+    ("flag", "boolean"),         # rel: is_catalog, col: is_partition_col, leaf: is_named
+    ("db", "string"),
+    ("tbl", "string"),
+    ("n_children", "int"),
+    ("expr_text", "string"),
+    ("root_kind", "string"),
+)
+_EVENT_PREFIX = "e_"
+_SKIP = ("plan_json", "expr_texts")
+
+
+def _row(event_cols, log_schema, **vals):
+    fields = [(vals[n] if n in vals else F.lit(None)).cast(t).alias(n) for n, t in _ROW_FIELDS]
+    for c in event_cols:
+        v = vals.get(_EVENT_PREFIX + c, F.lit(None))
+        fields.append(v.cast(log_schema[c].dataType).alias(_EVENT_PREFIX + c))
+    return F.struct(*fields)
 
 
 def _is_relation(cls):
     return cls.isin(LOGICAL_RELATION, HIVE_RELATION) | cls.endswith("Relation") | cls.endswith("LogicalRDD")
 
 
-def _meta():
-    n = F.col("node")
+def _meta(n):
     return F.coalesce(n["catalogTable"], n["tableMeta"])
 
 
-def shred_scans(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Leaf relations -> ``scan_relation`` and ``scan_column``.
+def _attrs(n):
+    """LogicalRelation: output; HiveTableRelation: dataCols ++ partitionCols."""
+    return F.coalesce(F.when(n["dataCols"].isNotNull(), F.concat(n["dataCols"], F.coalesce(n["partitionCols"], F.array()))),
+                      n["output"], F.array())
 
-    A relation is a catalog table when it carries a catalog identifier
-    (``LogicalRelation.catalogTable`` or ``HiveTableRelation.tableMeta``);
-    temp views over local rows, RDDs and path scans are not.
-    """
-    n, meta = F.col("node"), _meta()
-    rel = nodes.where(_is_relation(F.col("cls"))).select(
-        "event_id", F.col("node_pos").alias("rel_pos"),
-        meta["identifier"]["database"].alias("db"), meta["identifier"]["table"].alias("tbl"),
-        meta["identifier"].isNotNull().alias("is_catalog"),
-        F.coalesce(meta["partitionColumnNames"], F.array().cast("array<string>")).alias("_pcols"),
-        # LogicalRelation: output; HiveTableRelation: dataCols ++ partitionCols
-        F.coalesce(F.when(n["dataCols"].isNotNull(),
-                          F.concat(n["dataCols"], F.coalesce(n["partitionCols"], F.array()))),
-                   n["output"], F.array()).alias("_attrs"))
-    scan_relation = rel.select("event_id", "rel_pos", "db", "tbl", "is_catalog")
-    cols = rel.select("event_id", "rel_pos", "_pcols", F.explode("_attrs").alias("a"))
-    a = F.col("a")[0]
-    scan_column = cols.select("event_id", "rel_pos", a["exprId"]["id"].alias("attr_id"), a["name"].alias("col"),
-                              F.array_contains("_pcols", a["name"]).alias("is_partition_col"))
-    return scan_relation, scan_column
-
-
-def root_kind(nodes: DataFrame) -> DataFrame:
+
+def root_kind_of(root):
     """PROJECT when the query root is a Project, RELATION when it is a
-    catalog relation, OTHER otherwise."""
-    root = nodes.where(F.col("node_pos") == 0)
-    kind = (F.when(F.col("cls") == PROJECT, F.lit(K.ROOT_PROJECT))
-            .when(_is_relation(F.col("cls")) & _meta()["identifier"].isNotNull(), F.lit(K.ROOT_RELATION))
+    catalog relation, OTHER otherwise (also for an empty or missing plan)."""
+    cls = root["class"]
+    return (F.when(cls == PROJECT, F.lit(K.ROOT_PROJECT))
+            .when(_is_relation(cls) & _meta(root)["identifier"].isNotNull(), F.lit(K.ROOT_RELATION))
             .otherwise(F.lit(K.ROOT_OTHER)))
-    return root.select("event_id", kind.alias("root_kind"))
 
 
-def shred_outputs(nodes: DataFrame, expr_texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Root project list -> ``output_expr`` and ``output_leaf``.
+def shred_plans(log: DataFrame, plan_col: str = "plan_json") -> DataFrame:
+    """S3-S5 in one pass: every plan is parsed once and yields, per event,
 
-    Each project-list item is its expression tree in pre-order; the first
-    node is the output (Alias or attribute), leaves are the nodes without
-    children, in order.  ``expr_texts`` (event_id, expr_texts array) gives
-    the rendered child text per output position.
+    * ``event``: the event's own columns (prefixed ``e_``) and its ``root_kind``;
+    * ``rel``: every leaf relation with its pre-order position, catalog name
+      and whether it is a catalog table (S4, Q6);
+    * ``col``: data and partition columns of each relation with attr ids;
+    * ``out``: the root project list, per output its name, id, child count
+      and rendered child text (``expr_texts``) (S5);
+    * ``leaf``: the leaves of every output in order (the output itself when
+      it is a bare attribute); a leaf without an id is a literal.
+
+    A relation is a catalog table when it carries a catalog identifier
+    (``LogicalRelation.catalogTable`` or ``HiveTableRelation.tableMeta``);
+    temp views over local rows, RDDs and path scans are not.
     """
-    root = nodes.where((F.col("node_pos") == 0) & (F.col("cls") == PROJECT))
-    items = root.select("event_id", F.posexplode(F.col("node")["projectList"]).alias("out_pos", "e"))
-    items = items.select("event_id", F.col("out_pos").cast("int").alias("out_pos"), "e")
-    top = F.col("e")[0]
-    out = items.select(
-        "event_id", "out_pos", top["name"].alias("out_name"), top["exprId"]["id"].alias("out_attr_id"),
-        F.when(top["class"] == ATTRIBUTE, F.lit(0)).otherwise(F.coalesce(top["num-children"], F.lit(0)))
-        .alias("n_children"))
-    if expr_texts is not None:
-        out = (out.join(expr_texts.select("event_id", "expr_texts"), "event_id", "left")
-               .withColumn("expr_text", F.col("expr_texts")[F.col("out_pos")]).drop("expr_texts"))
-    else:
-        out = out.withColumn("expr_text", F.lit(None).cast("string"))
-    # leaves of the item (the item itself when it is a bare attribute)
-    lv = items.select("event_id", "out_pos", F.posexplode(F.filter("e", lambda x: x["num-children"] == 0))
-                      .alias("p", "leaf"))
-    leaves = lv.select(
-        "event_id", "out_pos", (F.col("p") + 1).cast("int").alias("leaf_pos"),
-        F.col("leaf")["exprId"]["id"].alias("attr_id"),
-        F.col("leaf")["exprId"].isNotNull().alias("is_named"))
-    return out, leaves
+    schema = log.schema
+    ev_cols = [c for c in log.columns if c not in _SKIP]
+    has_texts = "expr_texts" in log.columns
+    row = lambda **kw: _row(ev_cols, schema, event_id=F.col("event_id"), **kw)
+    parsed = log.select(*[F.col(c) for c in log.columns if c != plan_col],
+                        F.from_json(plan_col, f"array<{NODE_SCHEMA}>").alias("_n"))
+    nodes = F.coalesce(F.col("_n"), F.array())
+    empty = F.array_repeat(row(_t=F.lit("none")), 0)
+    # S3: every node with its pre-order index
+    indexed = F.transform(nodes, lambda n, i: F.struct(i.cast("bigint").alias("i"), n.alias("n")))
+    rels = F.filter(indexed, lambda x: _is_relation(x["n"]["class"]))
+    rel_rows = F.transform(rels, lambda x: row(
+        _t=F.lit("rel"), pos=x["i"], db=_meta(x["n"])["identifier"]["database"],
+        tbl=_meta(x["n"])["identifier"]["table"], flag=_meta(x["n"])["identifier"].isNotNull()))
+    col_rows = F.flatten(F.transform(rels, lambda x: F.transform(_attrs(x["n"]), lambda a: row(
+        _t=F.lit("col"), pos=x["i"], attr_id=a[0]["exprId"]["id"], name=a[0]["name"],
+        flag=F.array_contains(F.coalesce(_meta(x["n"])["partitionColumnNames"], F.array().cast("array<string>")),
+                              a[0]["name"])))))
+    root = F.get(nodes, 0)
+    items = F.when(root["class"] == PROJECT, F.coalesce(root["projectList"], F.array())).otherwise(F.array())
+    texts = F.col("expr_texts") if has_texts else F.lit(None).cast("array<string>")
+    out_rows = F.transform(items, lambda e, i: row(
+        _t=F.lit("out"), pos=i, name=e[0]["name"], attr_id=e[0]["exprId"]["id"],
+        n_children=F.when(e[0]["class"] == ATTRIBUTE, F.lit(0)).otherwise(F.coalesce(e[0]["num-children"], F.lit(0))),
+        expr_text=F.get(texts, i)))
+    leaf_rows = F.flatten(F.transform(items, lambda e, i: F.transform(
+        F.filter(e, lambda x: x["num-children"] == 0), lambda leaf, j: row(
+            _t=F.lit("leaf"), pos=i, leaf_pos=j + 1, attr_id=leaf["exprId"]["id"], flag=leaf["exprId"].isNotNull()))))
+    event_row = F.array(row(_t=F.lit("event"), root_kind=root_kind_of(root),
+                            **{_EVENT_PREFIX + c: F.col(c) for c in ev_cols}))
+    parts = [event_row] + [F.coalesce(p, empty) for p in (rel_rows, col_rows, out_rows, leaf_rows)]
+    return parsed.select(F.inline(F.concat(*parts)))
 
 
 def event_tables_from_plans(log: DataFrame, stage_path: str | None = None):
     """Plan log (see ``plans.capture.PLAN_LOG_SCHEMA``) -> ``EventTables``.
 
-    With ``stage_path`` the plans are parsed exactly once: the typed node
-    table and the event columns are written there (columnar, shared
-    folder) and the five event tables are derived from that copy.  Without
-    it every derived table re-parses the JSON, which is fine for small logs.
+    With ``stage_path`` (a folder under the shared ``spark.checkpoint.dir``)
+    the plans are parsed exactly once: the shredded rows of all five tables
+    are written there in one job, partitioned by table, and each table is
+    read back with partition pruning.  Without it every derived table
+    re-parses the JSON, which is fine for small logs.
     """
     from ..operators.lineage import EventTables
-    nodes = explode_plan(log)
-    events = log.drop("plan_json")
+    ev_cols = [c for c in log.columns if c not in _SKIP]
+    rows = shred_plans(log)
     if stage_path is not None:
-        spark = log.sparkSession
-        nodes.write.mode("overwrite").parquet(f"{stage_path}/nodes")
-        events.write.mode("overwrite").parquet(f"{stage_path}/events")
-        nodes = spark.read.parquet(f"{stage_path}/nodes")
-        events = spark.read.parquet(f"{stage_path}/events")
-    rel, col = shred_scans(nodes)
-    out, leaves = shred_outputs(nodes, events.select("event_id", "expr_texts"))
-    ev = (events.drop("expr_texts").join(root_kind(nodes), "event_id", "left")
-          .withColumn("root_kind", F.coalesce("root_kind", F.lit(K.ROOT_OTHER))))
+        rows.write.mode("overwrite").partitionBy("_t").parquet(stage_path)
+        rows = log.sparkSession.read.parquet(stage_path)
+
+    def part(t):
+        return rows.where(F.col("_t") == t)
+
+    ev = part("event").select(*[F.col(_EVENT_PREFIX + c).alias(c) for c in ev_cols], "root_kind")
+    rel = part("rel").select("event_id", F.col("pos").alias("rel_pos"), "db", "tbl",
+                             F.col("flag").alias("is_catalog"))
+    col = part("col").select("event_id", F.col("pos").alias("rel_pos"), "attr_id", F.col("name").alias("col"),
+                             F.col("flag").alias("is_partition_col"))
+    out = part("out").select("event_id", F.col("pos").cast("int").alias("out_pos"), F.col("name").alias("out_name"),
+                             F.col("attr_id").alias("out_attr_id"), "n_children", "expr_text")
+    leaves = part("leaf").select("event_id", F.col("pos").cast("int").alias("out_pos"), "leaf_pos", "attr_id",
+                                 F.col("flag").alias("is_named"))
     return EventTables(ev, rel, col, out, leaves)

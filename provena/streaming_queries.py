@@ -21,11 +21,19 @@ from .streaming import stream as S
 N_FILES = 3
 
 
+_STREAM_OUT: dict = {}
+
+
 def _lineage_stream(spark, sf_dir) -> str:
-    src = plan_log_path(spark, sf_dir)  # N_FILES files, one per micro-batch
-    out, ck = scratch_path(spark, "lineage_out"), scratch_path(spark, "lineage_ck")
-    S.stream_lineage(S.read_plan_log_stream(spark, src, max_files_per_trigger=1), out, ck).awaitTermination()
-    return out
+    """Run the lineage stream over the plan log once per session and folder;
+    the three stream queries read its products."""
+    key = (spark._jsparkSession.hashCode(), sf_dir)
+    if key not in _STREAM_OUT:
+        src = plan_log_path(spark, sf_dir)  # N_FILES files, one per micro-batch
+        out, ck = scratch_path(spark, "lineage_out"), scratch_path(spark, "lineage_ck")
+        S.stream_lineage(S.read_plan_log_stream(spark, src, max_files_per_trigger=1), out, ck).awaitTermination()
+        _STREAM_OUT[key] = out
+    return _STREAM_OUT[key]
 
 
 @query("stream_table_lineage", ORACLE["table_lineage"])
