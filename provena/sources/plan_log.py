@@ -79,11 +79,16 @@ def project_items(outputs: DataFrame, leaves: DataFrame) -> DataFrame:
 
 def plan_log(t) -> DataFrame:
     """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``."""
-    ev = fx.write_event(t)
     rel = fx.scan_relation(t)
-    rels = (relation_nodes(rel, fx.scan_column(t, rel)).groupBy("event_id")
+    return plan_log_from(fx.write_event(t), rel, fx.scan_column(t, rel), fx.output_expr(t), fx.output_leaf(t))
+
+
+def plan_log_from(ev: DataFrame, rel: DataFrame, columns: DataFrame, outputs: DataFrame,
+                  leaves: DataFrame) -> DataFrame:
+    """The plan log of given event tables (e.g. ones already stored), without re-deriving them."""
+    rels = (relation_nodes(rel, columns).groupBy("event_id")
             .agg(F.sort_array(F.collect_list(F.struct("rel_pos", "json"))).alias("r")))
-    items = project_items(fx.output_expr(t), fx.output_leaf(t))
+    items = project_items(outputs, leaves)
     j = ev.join(rels, "event_id", "left").join(items, "event_id", "left")
     rel_json = F.transform(F.coalesce("r", F.array().cast("array<struct<rel_pos:bigint,json:string>>")),
                            lambda x: x["json"])
