@@ -123,3 +123,27 @@ def test_g10_local_rows_no_catalog_input(wh):
     p = ct.good.select("process_qn", F.size("inputs").alias("n")).first()
     assert p.process_qn == "d1.t_user@5k" and p.n == 0
     assert ct.column_lineage.count() == 0
+
+
+def test_shred_missing_empty_and_short_plans(spark):
+    """A null or empty plan still yields its event (root kind OTHER) and no
+    other rows; an output without a rendered text gets a null text."""
+    import datetime as dt
+
+    from provena.plans.capture import PLAN_LOG_SCHEMA
+    from provena.plans.shred import ATTRIBUTE, PROJECT
+    proj = ('[{"class":"%s","num-children":0,"projectList":[[{"class":"%s","num-children":0,"name":"a",'
+            '"exprId":{"id":7}}],[{"class":"%s","num-children":0,"name":"b","exprId":{"id":8}}]]}]'
+            % (PROJECT, ATTRIBUTE, ATTRIBUTE))
+    ts = dt.datetime(2024, 1, 1)
+    rows = [(1, ts, 1, "SUCCESS", CTAS, "d", "t", "d", "q", None, None),
+            (2, ts, 1, "SUCCESS", CTAS, "d", "t", "d", "q", "[]", []),
+            (3, ts, 1, "SUCCESS", CTAS, "d", "t", "d", "q", proj, ["only_first"])]
+    t = event_tables_from_plans(spark.createDataFrame(rows, PLAN_LOG_SCHEMA))
+    kinds = {r.event_id: r.root_kind for r in t.write_event.collect()}
+    assert kinds == {1: "OTHER", 2: "OTHER", 3: "PROJECT"}
+    assert t.scan_relation.count() == 0 and t.scan_column.count() == 0
+    outs = {r.out_pos: (r.out_name, r.out_attr_id, r.n_children, r.expr_text) for r in t.output_expr.collect()}
+    assert outs == {0: ("a", 7, 0, "only_first"), 1: ("b", 8, 0, None)}
+    leaves = sorted((r.out_pos, r.leaf_pos, r.attr_id, r.is_named) for r in t.output_leaf.collect())
+    assert leaves == [(0, 1, 7, True), (1, 1, 8, True)]
