@@ -93,12 +93,14 @@ def resolve_leaves(output_expr: DataFrame, output_leaf: DataFrame, dictionary: D
     return agg.select("event_id", "out_pos", "pass_qn", F.transform("_hits", lambda h: h["input_qn"]).alias("inputs"))
 
 
-def literal_outputs(outputs: DataFrame, output_leaf: DataFrame) -> DataFrame:
+def literal_outputs(output_expr: DataFrame, output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Events where a derived output (not in the dictionary, has children)
-    holds a non-named leaf: the original hook throws on these (Q2).
-    ``outputs`` is ``output_expr`` with its pass-through hit ``pass_qn``."""
+    holds a non-named leaf: the original hook throws on these (Q2).  Only
+    the outputs' own ids are looked up (an anti join), not their leaves."""
     lit_out = output_leaf.where(~F.col("is_named")).select("event_id", "out_pos").distinct()
-    derived = outputs.where((F.col("n_children") >= 1) & F.col("pass_qn").isNull())
+    d = dictionary.select("event_id", F.col("attr_id").alias("out_attr_id"))
+    derived = (output_expr.where(F.col("n_children") >= 1)
+               .join(d, ["event_id", "out_attr_id"], "left_anti"))
     return derived.join(lit_out, ["event_id", "out_pos"], "left_semi").select("event_id").distinct()
 
 
@@ -169,7 +171,7 @@ class Lineage:
                   .when((F.col("empty_inputs") == "QUARANTINE") & (F.col("n_inputs") == 0),
                         F.lit(K.REASON_NO_INPUT_TABLE)))
         if p.literal == "strict":
-            lit_ev = (literal_outputs(self._outputs, self.t.output_leaf)
+            lit_ev = (literal_outputs(self.t.output_expr, self.t.output_leaf, self.dictionary)
                       .withColumn("_has_literal", F.lit(True)))
             ev = ev.join(lit_ev, "event_id", "left")
             reason = reason.when((F.col("root_kind") == K.ROOT_PROJECT) & F.col("_has_literal"),
