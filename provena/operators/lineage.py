@@ -77,19 +77,19 @@ def attr_dictionary(cat_cols: DataFrame) -> DataFrame:
 
 def resolve_leaves(output_expr: DataFrame, output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One dictionary lookup for both lineage branches.  Each output
-    probes its own attribute id (L3, ``leaf_pos`` -1) next to the ids of its
-    leaves (L4).  Per output: ``pass_qn`` (its own id's source column) and
-    ``inputs`` (leaf hits in leaf order, duplicates kept, literals and unknown
-    ids skipped).  The dictionary is built and shuffled once, and only narrow
-    probe rows cross the lookup shuffle."""
+    probes its own attribute id (L3) next to the ids of its leaves (L4).  Per
+    output: ``pass_qn`` (its own id's source column) and ``inputs`` (leaf hits
+    in leaf order, duplicates kept, literals and unknown ids skipped).  The
+    dictionary is built and shuffled once, and only narrow probe rows cross
+    the lookup shuffle."""
     own = output_expr.select("event_id", "out_pos", F.col("out_attr_id").alias("attr_id"),
-                             F.lit(-1).alias("leaf_pos"))
-    leaves = output_leaf.where(F.col("attr_id").isNotNull()).select("event_id", "out_pos", "attr_id", "leaf_pos")
+                             F.lit(None).cast("int").alias("leaf_pos"), F.lit(True).alias("_own"))
+    leaves = (output_leaf.where(F.col("attr_id").isNotNull())
+              .select("event_id", "out_pos", "attr_id", "leaf_pos", F.lit(False).alias("_own")))
     hits = own.unionByName(leaves).join(dictionary, ["event_id", "attr_id"])
-    is_own = F.col("leaf_pos") < 0
     agg = hits.groupBy("event_id", "out_pos").agg(
-        F.max(F.when(is_own, F.col("input_qn"))).alias("pass_qn"),
-        F.sort_array(F.collect_list(F.when(~is_own, F.struct("leaf_pos", "input_qn")))).alias("_hits"))
+        F.max(F.when(F.col("_own"), F.col("input_qn"))).alias("pass_qn"),
+        F.sort_array(F.collect_list(F.when(~F.col("_own"), F.struct("leaf_pos", "input_qn")))).alias("_hits"))
     return agg.select("event_id", "out_pos", "pass_qn", F.transform("_hits", lambda h: h["input_qn"]).alias("inputs"))
 
 
