@@ -143,6 +143,23 @@ class Lineage:
             self.__dict__[name] = df
         return self
 
+    def stage(self, path: str) -> "Lineage":
+        """Store ``good`` and ``column_lineage`` once under ``path`` (a folder
+        in the shared ``spark.checkpoint.dir``) and build every later product
+        (entities, messages, edges, de-dup) from the stored copies.  A batch
+        job producing several products plans the harvested events once
+        instead of once per product branch."""
+        spark = self.t.write_event.sparkSession
+        self.good.write.mode("overwrite").parquet(f"{path}/good")
+        self.pin(good=spark.read.parquet(f"{path}/good"))
+        for name in ("column_lineage", "process_entities", "column_entities", "entities"):
+            self.__dict__.pop(name, None)  # rebuild from the stored events
+        self.column_lineage.write.mode("overwrite").parquet(f"{path}/column_lineage")
+        self.pin(column_lineage=spark.read.parquet(f"{path}/column_lineage"))
+        for name in ("column_entities", "entities"):
+            self.__dict__.pop(name, None)
+        return self
+
     # -- events -------------------------------------------------------------
     @cached_property
     def routed(self) -> DataFrame:
