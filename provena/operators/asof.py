@@ -4,7 +4,9 @@ Each execution takes the latest SQL text parsed in the same session at or
 before its timestamp (a parse precedes the execution it belongs to, so a
 text at the same instant counts).  Text is never cleared, so a DataFrame-API
 write inherits the last text of its session; ``max_age_seconds`` optionally
-cuts texts that are too old.
+cuts texts that are too old.  Texts sharing the latest instant are a tie the
+log cannot order: the greatest text wins, so the answer is deterministic and a
+task recomputed after a lost executor gives the same rows.
 
 Scale: a session may hold a third of all rows, in any stretch of time, so
 the split is by row count, not by clock.  Texts and executions are range
@@ -60,7 +62,7 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
          .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
 
     # 1. inside (session, bucket): latest text at or before each row
-    w_in = (Window.partitionBy(by, "_b").orderBy("_us", "_is_exec")
+    w_in = (Window.partitionBy(by, "_b").orderBy("_us", "_is_exec", "_txt")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     text_here = F.when(F.col("_is_exec") == 0, F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")))
     filled = u.withColumn("_in", F.last(text_here, ignorenulls=True).over(w_in)).where(F.col("_is_exec") == 1)
@@ -68,8 +70,7 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
     # 2. last text of every (session, bucket), carried forward to later buckets of the session
     last_per_bucket = (u.where(F.col("_is_exec") == 0)
                        .groupBy(by, "_b")
-                       .agg(F.max_by(F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")),
-                                     F.col("_us")).alias("_last"))
+                       .agg(F.max(F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s"))).alias("_last"))
                        .withColumn("_k", F.lit(1)))
     exec_buckets = (u.where(F.col("_is_exec") == 1).select(by, "_b").distinct()
                     .withColumn("_last", F.lit(None).cast("struct<t:bigint,s:string>"))

@@ -186,3 +186,14 @@ def test_ordinal_exact_without_exchange_reuse(spark):
         assert got.join(exp, ["g", "k"]).where("pos <> p2").count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_asof_ties_pick_greatest_text(spark):
+    """Two texts at the same instant: the greatest wins, whatever the bucketing."""
+    tx = spark.createDataFrame([(1, t(0), "b"), (1, t(0), "c"), (1, t(0), "a"), (1, t(5), "z"), (1, t(5), "y")],
+                               "session_id bigint, ts timestamp_ntz, sql_text string")
+    ex = spark.createDataFrame([(1, 1, t(0)), (2, 1, t(3)), (3, 1, t(5)), (4, 1, t(9))],
+                               "event_id bigint, session_id bigint, ts timestamp_ntz")
+    for buckets in (1, 3, 8):
+        got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=buckets).collect()}
+        assert got == {1: "c", 2: "c", 3: "z", 4: "z"}
