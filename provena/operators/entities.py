@@ -33,8 +33,10 @@ def edges(lineage) -> DataFrame:
 
 
 def dedupe_entities(entities: DataFrame, keys=("type_name", "qualified_name")) -> DataFrame:
-    """A5: latest event wins per (typeName, qualifiedName); order key (ts, event_id)."""
+    """A5: latest event wins per (typeName, qualifiedName); order key (ts, event_id).
+    The remaining fields break ties (two outputs of one event with the same
+    name), so the kept row is deterministic and a recomputed task keeps the same."""
     others = [c for c in entities.columns if c not in keys]
-    order = F.struct("ts", "event_id")
-    latest = F.max_by(F.struct(*others), order).alias("_latest")
-    return entities.groupBy(*keys).agg(latest).select(*keys, "_latest.*")
+    rest = [c for c in others if c not in ("ts", "event_id")]
+    latest = F.max(F.struct("ts", "event_id", *rest)).alias("_latest")
+    return entities.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in others])

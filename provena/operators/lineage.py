@@ -68,11 +68,12 @@ def catalog_columns(scan_relation: DataFrame, scan_column: DataFrame, ns: str =
 
 def attr_dictionary(cat_cols: DataFrame) -> DataFrame:
     """J2 dictionary: (event, attr id) -> source column.  If an id occurs twice
-    the later registration wins (later relation, partition after data).
+    the later registration wins (later relation, partition after data; the
+    greater name if even that ties, so the pick is deterministic).
     The aggregate's output is hash-partitioned on (event_id, attr_id): exactly
     what the lookup join needs, so it costs no extra exchange."""
     return (cat_cols.groupBy("event_id", "attr_id")
-            .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col")).alias("input_qn")))
+            .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col", "input_qn")).alias("input_qn")))
 
 
 def resolve_leaves(output_expr: DataFrame, output_leaf: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -250,7 +251,7 @@ class Lineage:
         rel_events = self.t.write_event.where(F.col("root_kind") == K.ROOT_RELATION).select("event_id")
         cols = self.catalog_cols.join(rel_events, "event_id", "left_semi")
         return (cols.groupBy("event_id", "col")
-                .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col")).alias("input_qn"))
+                .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col", "input_qn")).alias("input_qn"))
                 .select("event_id", F.lit(None).cast("int").alias("out_pos"), F.col("col").alias("out_name"),
                         F.array("input_qn").alias("inputs"), F.lit(K.DIRECT_MAPPING).alias("expression"),
                         F.lit(K.BRANCH_DIRECT).alias("branch")))
