@@ -51,10 +51,18 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+# Plan nodes that must never appear: Python evaluated per row or per group, and
+# joins that pair every row with every row.
+FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                   "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in FORBIDDEN_NODES if n in plan], plan
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
