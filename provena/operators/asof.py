@@ -64,7 +64,9 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
     # 1. inside (session, bucket): latest text at or before each row
     w_in = (Window.partitionBy(by, "_b").orderBy("_us", "_is_exec", "_txt")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    text_here = F.when(F.col("_is_exec") == 0, F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")))
+    # a null session matches nothing (SQL equality), inside a bucket as across buckets
+    text_here = F.when((F.col("_is_exec") == 0) & F.col(by).isNotNull(),
+                       F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")))
     filled = u.withColumn("_in", F.last(text_here, ignorenulls=True).over(w_in)).where(F.col("_is_exec") == 1)
 
     # 2. last text of every (session, bucket), carried forward to later buckets of the session

@@ -197,3 +197,12 @@ def test_asof_ties_pick_greatest_text(spark):
     for buckets in (1, 3, 8):
         got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=buckets).collect()}
         assert got == {1: "c", 2: "c", 3: "z", 4: "z"}
+
+
+def test_asof_null_session_gets_no_text(spark):
+    """As in SQL (and an ASOF JOIN), a null session matches no text."""
+    tx = spark.createDataFrame([(None, t(0), "n"), (1, t(0), "a")], "session_id bigint, ts timestamp_ntz, sql_text string")
+    ex = spark.createDataFrame([(1, None, t(1)), (2, 1, t(1))], "event_id bigint, session_id bigint, ts timestamp_ntz")
+    for buckets in (1, 4):
+        got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=buckets).collect()}
+        assert got == {1: None, 2: "a"}
