@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import unicodedata
 
 import numpy as np
@@ -33,7 +32,7 @@ from .common import Lookup, add_columns, ship
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 MAX_FILE_BYTES = 64 << 20
 MEMO_WORDS = 200_000
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
 def byte_alphabet() -> list[str]:
@@ -46,7 +45,54 @@ def byte_alphabet() -> list[str]:
     return [chars[b] for b in range(256)]
 
 
-class WordBpe:
+class ChunkEncoder:
+    """Encodes texts by their pieces between white space, each distinct piece once while the memo holds it.  White
+    space never takes part in a token, and special tokens are cut out of the raw text first, so a text's ids are its
+    pieces' ids in order."""
+
+    def __init__(self, special: dict[str, int]):
+        self.special = special
+        self.split = regex.compile("(" + "|".join(regex.escape(s) for s in special) + ")") if special else None
+        self.gap = regex.compile(r"\p{White_Space}+")
+        self.memo: dict[str, bytes] = {}
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def _chunks(self, piece: str) -> list[str]:
+        if _SEPARATORS.search(piece):  # white space to str.split, not to the tokenizer
+            return [c for c in self.gap.split(piece) if c]
+        return piece.split()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        parts: list[list[str]] = []
+        special: set[str] = set()
+        for t in texts:
+            if self.split is not None and "<" in t:
+                row: list[str] = []
+                for k, piece in enumerate(self.split.split(t)):
+                    if k % 2:
+                        row.append("\n" + piece)  # a special token; no chunk holds a line end
+                        special.add(row[-1])
+                    else:
+                        row.extend(self._chunks(piece))
+            else:
+                row = self._chunks(t)
+            parts.append(row)
+        memo = self.memo
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        for c in special:
+            memo[c] = self.special[c[1:]].to_bytes(4, "little")
+        fresh = list({c for row in parts for c in row if c not in memo})
+        if fresh:
+            memo.update(zip(fresh, self._encode_chunks(fresh)))
+        get = memo.__getitem__
+        return [b"".join(map(get, row)) for row in parts]
+
+
+class WordBpe(ChunkEncoder):
     """Encoder over one tokenizer file.  Symbols 0-255: a byte; 256-511: a word's last byte."""
 
     def __init__(self, spec: bytes):
@@ -78,11 +124,9 @@ class WordBpe:
         back = {c: b for b, c in enumerate(alphabet)}
         self._grow_trie([(self._symbols(s, back), i) for s, i in vocab.items()])
         self.sound = self._self_encoding(vocab, back)
-        self.memo: dict[str, bytes] = {}
         self.verdicts = np.zeros(1 << 18, np.uint64)  # direct-mapped: pair + 1, verdict in the lowest bit
         #: the tokenizer's words, and the line ends that this module puts between two pieces
         self.word = regex.compile(r"\n|" + WORD)
-        self.gap = regex.compile(r"\p{White_Space}+")
         self.stats = {"words": 0, "repaired": 0}
 
     def _symbols(self, s: str, back: dict[str, int]) -> list[int]:
@@ -263,38 +307,6 @@ class WordBpe:
         return token, count
 
     # -- texts ----------------------------------------------------------------------------------------------
-    def _chunks(self, piece: str) -> list[str]:
-        if _SEPARATORS.search(piece):  # white space to str.split, not to the tokenizer
-            return [c for c in self.gap.split(piece) if c]
-        return piece.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts: list[list[str]] = []
-        special: set[str] = set()
-        for t in texts:
-            if self.split is not None and "<" in t:
-                row: list[str] = []
-                for k, piece in enumerate(self.split.split(t)):
-                    if k % 2:
-                        row.append("\n" + piece)  # a special token; no chunk holds a line end
-                        special.add(row[-1])
-                    else:
-                        row.extend(self._chunks(piece))
-            else:
-                row = self._chunks(t)
-            parts.append(row)
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for c in special:
-            memo[c] = self.special[c[1:]].to_bytes(4, "little")
-        fresh = list({c for row in parts for c in row if c not in memo})
-        if fresh:
-            memo.update(zip(fresh, self._encode_chunks(fresh)))
-        get = memo.__getitem__
-        return [b"".join(map(get, row)) for row in parts]
-
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of pieces without white space: normalised and cut into words all at once, a line end between two."""
         text = "\n".join(chunks)

@@ -38,3 +38,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_decode(ids, tokenizer_path())
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of all texts to token files, read the files back, digest the ids of each document."""
+    from .tokenfile import read_token_files, token_folder, write_token_files
+    folder = token_folder(spark)
+    manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
+    return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
