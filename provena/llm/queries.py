@@ -47,3 +47,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_folder(spark)
     manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
     return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every text and its edited text, and their likeness."""
+    from .fingerprint import fingerprint_neighbours
+    out = fingerprint_neighbours(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                      F.lower(F.hex("fingerprint")).alias("fingerprint"),
+                      F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
