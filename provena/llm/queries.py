@@ -57,3 +57,25 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                       F.lower(F.hex("fingerprint")).alias("fingerprint"),
                       F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the pages to WARC archives, read them back."""
+    from ..session import scratch_path
+    from .warc import read_archives, write_archives
+    folder = scratch_path(spark, "warc")
+    files = write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(files, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op4_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, lower(sha1(b)) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+FROM m
+"""

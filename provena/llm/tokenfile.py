@@ -124,7 +124,7 @@ class FileWriter:
         self.fs, base = store_of(folder)
         self.fs.create_dir(base, recursive=True)
         self.path, self.part = f"{base}/{name}", f"{base}/_{name}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.part)
+        self.out = self.fs.open_output_stream(self.part, compression=None)
         self.out.write(MAGIC)
         self.at, self.starts, self.doc, self.there, self.count, self.n = len(MAGIC), [], [], [], [], 0
         self.wait: list[np.ndarray] = []
