@@ -101,8 +101,7 @@ class WordBpe(ChunkEncoder):
         self.end = model["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
         alphabet = byte_alphabet()
-        self.special = {t["content"]: t["id"] for t in d["added_tokens"]}
-        self.split = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")") if self.special else None
+        super().__init__({t["content"]: t["id"] for t in d["added_tokens"]})
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.texts = [""] * size
         for s, i in [*vocab.items(), *self.special.items()]:
