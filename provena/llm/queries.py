@@ -79,3 +79,10 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
 FROM m
 """
+
+
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles have a Jaccard similarity of at least 0.9."""
+    from .jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
