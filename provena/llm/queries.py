@@ -86,3 +86,12 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles have a Jaccard similarity of at least 0.9."""
     from .jaccard import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every text under a byte model of the training texts, beside a word-count baseline."""
+    from .ppm import ppm_score
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return ppm_score(docs.withColumn("held", held))
