@@ -224,8 +224,9 @@ def write_archives(pages: DataFrame, folder: str, archives: int | None = None, m
     ship(spark)
     n = archives or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    rows = (src.join(pair_copies(src, minimum), "page_id", "left").withColumn("tie", F.xxhash64("url", "html"))
-            .repartition(n, "page_id", "tie").sortWithinPartitions("page_id", "tie")
+    # dealt by page_id once: the join keeps that dealing, and the tasks that write get it
+    rows = (src.repartition(n, "page_id").join(pair_copies(src, minimum), "page_id", "left")
+            .withColumn("tie", F.xxhash64("url", "html")).sortWithinPartitions("page_id", "tie")
             .select("page_id", "url", "html", "refers_to"))
 
     def write(batches):
