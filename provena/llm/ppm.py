@@ -3,7 +3,7 @@
 A text is read as its words (A-Z folded), a space between two and a line end behind the last; no word holds either byte,
 so this stream and the sequence of words say the same.  The model is the trie of all contexts of up to ``ORDER`` bytes
 that the training texts hold.  A byte's probability comes from the longest context seen: with T the count of the
-context and D its distinct next bytes, a byte seen C times there has (C - 1/2) / T and the escape has D / 2T; after an
+context and D its distinct next bytes, a byte seen C times there has (C - ESCAPE) / T and the escape has ESCAPE * D / T; after an
 escape the next shorter context is asked, without the bytes that the longer one already had (symbol exclusion, in T and
 in D), down to single bytes and then to an even share.  A text starts behind ``ORDER`` line ends.
 
@@ -39,6 +39,8 @@ from .common import _FOLD, Lookup, buffer_of, ship, slices, span_hash, stored, t
 from .tokenfile import store_of
 
 ORDER = 5
+#: what the escape takes from each distinct next byte; on held-out texts 0.3 codes shorter than 0.1, 0.2, 0.4 and 0.5
+ESCAPE = 0.3
 BLOCK_ROWS = 16_384
 #: the end token's key among the word hashes
 END = np.uint64(0x656E642D746F6B65)
@@ -115,8 +117,8 @@ def trie_logs(key: np.ndarray, count: np.ndarray, order: int, pairs: np.ndarray)
             te, de = te - above, de - above_d
         live = open_ & (de > 0)
         hit, miss = live & (c > 0), live & (c == 0)
-        out[hit] += np.log10((c[hit] - 0.5) / te[hit])
-        out[miss] += np.log10(0.5 * de[miss] / te[miss])
+        out[hit] += np.log10((c[hit] - ESCAPE) / te[hit])
+        out[miss] += np.log10(ESCAPE * de[miss] / te[miss])
         open_ &= ~hit
 
         if j >= 2:
