@@ -95,3 +95,10 @@ def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
     return ppm_score(docs.withColumn("held", held))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document holds, give or take a tenth of edits."""
+    from .decontam import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
