@@ -225,3 +225,60 @@ class Lookup:
         return out
 
 
+
+
+#: byte classes: 0 white space and control, 1 letters (and all of UTF-8's multi-byte characters), 2 digits, 3 other marks
+_CLASS = np.full(256, 1, np.uint8)
+_CLASS[:33] = 0
+_CLASS[127] = 0
+_CLASS[33:48] = _CLASS[58:65] = _CLASS[91:97] = _CLASS[123:127] = 3
+_CLASS[48:58] = 2
+
+
+def class_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, text number and class of every run of bytes of one class (white space left out)."""
+    kind = _CLASS[raw]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[off] = True
+    cut[1:-1] |= kind[1:] != kind[:-1]
+    edge = np.flatnonzero(cut)
+    start, end = edge[:-1], edge[1:]
+    k = kind[start] if len(start) else kind[:0]
+    solid = k > 0
+    start, end = start[solid], end[solid]
+    return start, end, np.searchsorted(off, start, side="right") - 1, k[solid]
+
+
+def class_tokens(raw: np.ndarray, off: np.ndarray):
+    """(hash, start, end, text number, class) of every run, A-Z folded."""
+    start, end, doc, kind = class_spans(raw, off)
+    h = span_hash(_FOLDED[raw], start, end) if len(start) else np.zeros(0, np.uint64)
+    return h, start, end, doc, kind
+
+
+def training_rows(labels: DataFrame, fold: int = 5) -> DataFrame:
+    """The label rows that models may learn from: crc32 of the id as text does not divide by ``fold``."""
+    return labels.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % fold != 0)
+
+
+def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, fit: Callable[[pa.Array, np.ndarray], object]):
+    """``fit(texts, labels)`` on at most ``n`` labelled documents, chosen by a hash of their ids, in one task; returns
+    what it returns.  ``n`` bounds the task, the model and what comes to the driver."""
+    import pickle
+    spark = docs.sparkSession
+    ship(spark)
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+             .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+            .select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id"))
+
+    def run(batches):
+        parts = list(batches)
+        if parts:
+            t = pa.Table.from_batches(parts)
+            model = fit(pa.chunked_array([texts_of(b, "text") for b in parts]).combine_chunks(), t["label"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    got = rows.mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0][0]) if got else None

@@ -102,3 +102,31 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each document holds, give or take a tenth of edits."""
     from .decontam import contamination
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def held_out(fold: int = 5):
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % fold == 0
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learnt from the labels outside the held-out fold."""
+    from .common import training_rows
+    from .toxicity import fit_toxicity, score_toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, training_rows(table(spark, sf_dir, "labels")))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from the labels outside the held-out fold."""
+    from .common import training_rows
+    from .quality import fit_quality, score_quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, training_rows(table(spark, sf_dir, "labels")))
+    return score_quality(docs, model).select(
+        "doc_id", held_out().alias("held_out"), F.col("quality").alias("score"),
+        F.when(F.col("quality") >= 0.3, 1).otherwise(0).alias("predicted"))
