@@ -130,3 +130,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select(
         "doc_id", held_out().alias("held_out"), F.col("quality").alias("score"),
         F.when(F.col("quality") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence paragraphs of every text that a template confirms."""
+    from .license import fit_licences, scan_licences
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(docs, fit_licences(docs)).where("confirmed")
