@@ -1,20 +1,87 @@
-"""The corpus pipeline: documents go through the stages in order; each stage's result is stored and read by the next."""
+"""The corpus pipeline: documents go through the stages in order; each stage's result is stored and read by the next.
+
+A ``doc_id`` names a document: rows that share one stay or go together in the near-duplicate stage, and a row without
+an id is a group of its own there.  Null and empty texts go through the stages like any other: they have no toxic passage,
+whatever quality the classifier gives them, no near copy, no benchmark item and no tokens.  All columns of the input
+stay, whatever their names.
+"""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from provena.llm.bpe import bpe_decode, bpe_encode
+from provena.llm.common import stored, training_rows
+from provena.llm.decontam import mark_items
+from provena.llm.jaccard import jaccard_components
+from provena.llm.quality import fit_quality, score_quality
+from provena.llm.queries import table, tokenizer_path
+from provena.llm.toxicity import fit_toxicity, score_toxicity
+
+TOXIC_FROM = 0.5
+QUALITY_FROM = 0.3
+SHINGLE, SIMILAR = 5, (80, 100)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the input does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is under ``TOXIC_FROM``."""
+    model = fit_toxicity(docs, training_rows(table(spark, sf_dir, "labels")))
+    score, passages = _free(docs, "toxicity"), _free(docs, "passages")
+    return score_toxicity(docs, model, name=score, passages_name=passages).where(F.col(score) < TOXIC_FROM).select(*docs.columns)
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality is ``QUALITY_FROM`` or more."""
+    model = fit_quality(docs, training_rows(table(spark, sf_dir, "labels")))
+    score = _free(docs, "quality")
+    return score_quality(docs, model, name=score).where(F.col(score) >= QUALITY_FROM).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    linked = jaccard_components(docs, SHINGLE, *SIMILAR)
+    gone = stored(linked.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = _free(docs, "benchmark_items")
+    return mark_items(docs, table(spark, sf_dir, "benchmark"), name=items).where(F.size(items) == 0).select(*docs.columns)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' columns but for the text, with token_ids (binary), n_tokens and the decoded text's digest."""
+    ids = bpe_encode(docs, tokenizer_path()).drop("text")
+    out = bpe_decode(ids, tokenizer_path())
+    return out.withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality classifier", drop_poor),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", tokenise),
+]
 
-#: SQL cannot express the trained classifiers; the pipeline is tested against plain versions of its stages.
+#: SQL cannot express the trained classifiers; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    from provena.llm.common import stored
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

@@ -21,11 +21,11 @@ overlapping ones the nearest (then the first) only; repeated rows and items are
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Lookup, mix64, ship, slices, texts_of
+from .common import Lookup, add_columns, mix64
 
 Q = 8
 RATE = 0.1
@@ -177,33 +177,38 @@ def find_items(items: Items, texts: list[str]) -> list[tuple[int, int, int, int,
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per item found in a document: doc_id, item_id, start, end (characters), distance (edits)."""
-    spark = docs.sparkSession
-    ship(spark)
+def item_blocks(benchmark: DataFrame):
+    """The items in blocks of about ``BLOCK_CHARS`` characters: broadcasts of (ids, texts), one at a time."""
+    spark = benchmark.sparkSession
     sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = sized.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
     for b in range(blocks):
         rows = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        items = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-        part = src.mapInArrow(_finder(items), "doc_id long, item_id long, start long, end long, distance int")
-        out = part if out is None else out.unionByName(part)
-    return out
+        yield spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+
+
+def mark_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "benchmark_items") -> DataFrame:
+    """All columns plus ``benchmark_items``: array of (item_id, start, end in characters, distance in edits)."""
+    kind = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start", T.LongType()),
+                                     T.StructField("end", T.LongType()), T.StructField("distance", T.IntegerType())]))
+    out = docs.drop(name)
+    names = []
+    for items in item_blocks(benchmark):
+        names.append(f"{name}_{len(names)}")
 
+        def fn(index, texts, _):
+            found: list[list] = [[] for _ in range(len(texts))]
+            for d, i, start, end, distance in find_items(index, texts.to_pylist()) if index.ids else []:
+                found[d].append({"item_id": index.ids[i], "start": start, "end": end, "distance": distance})
+            return [found]
 
-def _finder(items):
-    def run(batches):
-        index = Items(*items.value)
-        for b in slices(batches, "text", 1 << 20):
-            hits = find_items(index, texts_of(b, "text").to_pylist()) if index.ids else []
-            if hits:
-                ids = b.column(0).to_pylist()
-                cols = list(zip(*hits))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[d] for d in cols[0]], pa.int64()), pa.array([index.ids[i] for i in cols[1]], pa.int64()),
-                     pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32())],
-                    names=["doc_id", "item_id", "start", "end", "distance"])
-    return run
+        out = add_columns(out, text, [T.StructField(names[-1], kind, False)], fn, limit=1 << 20,
+                          setup=lambda items=items: Items(*items.value))
+    return out.withColumn(name, F.concat(*names)).drop(*names)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per item found in a document: doc_id, item_id, start, end (characters), distance (edits)."""
+    marked = mark_items(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+    return marked.select("doc_id", F.explode("benchmark_items").alias("i")).select("doc_id", "i.item_id", "i.start", "i.end", "i.distance")

@@ -153,11 +153,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", n: i
     return fit_on_sample(docs, labels, label, n, Model)
 
 
-def score_quality(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def score_quality(docs: DataFrame, model: Model | None, text: str = "text", name: str = "quality") -> DataFrame:
     """All columns plus ``quality`` (0 to 1, higher: better)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def fn(texts, _):
         return [np.full(len(texts), 0.5) if shared.value is None else shared.value.score(texts)]
 
-    return add_columns(docs, text, [T.StructField("quality", T.DoubleType(), False)], fn)
+    return add_columns(docs, text, [T.StructField(name, T.DoubleType(), False)], fn)

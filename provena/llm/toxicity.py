@@ -151,12 +151,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", n: in
     return fit_on_sample(docs, labels, label, n, Model)
 
 
-def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text", name: str = "toxicity",
+                   passages_name: str = "passages") -> DataFrame:
     """All columns plus ``toxicity`` (0 to 1) and ``passages``: array of (start, end in characters, score, expected)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passage = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                             T.StructField("score", T.DoubleType()), T.StructField("expected", T.DoubleType())])
-    fields = [T.StructField("toxicity", T.DoubleType(), False), T.StructField("passages", T.ArrayType(passage), False)]
+    fields = [T.StructField(name, T.DoubleType(), False), T.StructField(passages_name, T.ArrayType(passage), False)]
 
     def fn(texts, _):
         m = shared.value
