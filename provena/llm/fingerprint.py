@@ -106,6 +106,7 @@ def fingerprint_neighbours(docs: DataFrame, groups: int | None = None, k: int =
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.select(F.col("doc_id").cast("double").alias("at"))
     cuts = sorted(set(ids.approxQuantile("at", [i / n for i in range(1, n)], 1 / (8 * n)))) if n > 1 else []
+    cuts = cuts or [0.0]  # a table without ids, or one range asked for: any cut will do
     ranges = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="range", handleInvalid="keep")
 
     def placed(df: DataFrame) -> DataFrame:

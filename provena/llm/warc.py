@@ -195,14 +195,14 @@ def parse_record(data: bytes, where: str) -> dict:
     block, tail = data[end + 4:end + 4 + int(fields["content-length"])], data[end + 4 + int(fields["content-length"]):]
     if len(block) != int(fields["content-length"]) or tail != b"\r\n\r\n":
         raise WarcError(f"{where}: content-length {fields['content-length']}, the block and its end have {len(data) - end - 4} bytes")
-    fields_block = {"block": block}
-    for name, content in (("warc-block-digest", block), ("warc-payload-digest", block[block.find(b"\r\n\r\n") + 4:])):
-        if name == "warc-payload-digest" and fields["warc-type"] != "response":
-            continue
-        if name in fields and fields[name] != "sha1:" + base64.b32encode(hashlib.sha1(content).digest()).decode():
+    content = {"block": block}
+    if fields["warc-type"] == "response":
+        content["payload"] = block[block.find(b"\r\n\r\n") + 4:]
+    for name, part in content.items():
+        name = f"warc-{name}-digest"
+        if name in fields and fields[name] != "sha1:" + base64.b32encode(hashlib.sha1(part).digest()).decode():
             raise WarcError(f"{where}: {name} doesn't fit")
-        fields_block["payload"] = content
-    return fields | fields_block
+    return fields | content
 
 
 def pair_copies(pages: DataFrame, minimum: int = MIN_REVISIT) -> DataFrame:
