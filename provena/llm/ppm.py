@@ -42,6 +42,8 @@ ORDER = 5
 #: what the escape takes from each distinct next byte; on held-out texts 0.3 codes shorter than 0.1, 0.2, 0.4 and 0.5
 ESCAPE = 0.3
 BLOCK_ROWS = 16_384
+#: bytes of text that are scored or counted at once; their runs take many times the room
+SLICE = 1 << 19
 #: the end token's key among the word hashes
 END = np.uint64(0x656E642D746F6B65)
 WORD, RUN = 0, 1
@@ -178,7 +180,7 @@ def count_blocks(docs: DataFrame, order: int) -> DataFrame:
                             [pa.array(np.full(m, kind, np.int8)), pa.array(key[s].view(np.int64)), pa.array(np.full(m, block, np.int64)),
                              pa.array(n[s]), pa.array(held[s])], names=["kind", "key", "block", "cnt", "held"])
 
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             blocks = b.column(3).to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1], True])
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
@@ -194,7 +196,7 @@ def count_blocks(docs: DataFrame, order: int) -> DataFrame:
                         if (mark == flag).any():
                             parts[kind].append(tally(keys[mark == flag], flag))
                 waiting += len(runs)
-                if waiting > 1 << 23:
+                if waiting > 1 << 22:
                     parts, waiting = {k: [_merge(p)] if p else [] for k, p in parts.items()}, 0
         yield from close()
 
@@ -245,7 +247,7 @@ def ppm_score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def score(batches):
         block, word_at, word_c, run_at, run_v = None, None, None, None, None
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             blocks = b.column(3).to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1], True])
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
