@@ -39,16 +39,16 @@ REL_QUERY = "hive_process_column_lineage"
 MAX_RETRIES = 3                       # send attempts
 RETRY_INTERVAL_MS = 1000              # wait between attempts
 
-# --- fixed values: write commands recognised by the hook --------------------------
-CMD_HIVE_CTAS = "CREATE_HIVE_TABLE_AS_SELECT"
-CMD_HIVE_INSERT = "INSERT_INTO_HIVE_TABLE"
-CMD_DATASOURCE_CTAS = "CREATE_DATASOURCE_TABLE_AS_SELECT"
-CMD_HADOOP_FS_INSERT = "INSERT_INTO_HADOOP_FS"
+# --- fixed values: Spark's class names of the write commands that are harvested or reported -----
+CMD_HIVE_CTAS = "CreateHiveTableAsSelectCommand"
+CMD_HIVE_INSERT = "InsertIntoHiveTable"
+CMD_DATASOURCE_CTAS = "CreateDataSourceTableAsSelectCommand"
+CMD_HADOOP_FS_INSERT = "InsertIntoHadoopFsRelationCommand"
 
-# --- fixed values: catalog event kinds ----------------------------------------
+# --- fixed values: Spark's class names of the catalog events ----------------------
 CATALOG_KINDS = (
-    "CreateDatabase", "DropDatabase", "AlterDatabase",
-    "CreateTable", "DropTable", "AlterTable", "RenameTable",
+    "CreateDatabaseEvent", "DropDatabaseEvent", "AlterDatabaseEvent",
+    "CreateTableEvent", "DropTableEvent", "AlterTableEvent", "RenameTableEvent",
 )
 
 # --- our own vocabulary (not from the hook) ---------------------------------------
@@ -59,6 +59,7 @@ ROUTE_UNSUPPORTED = "UNSUPPORTED"
 ROOT_PROJECT = "PROJECT"
 ROOT_RELATION = "RELATION"
 ROOT_OTHER = "OTHER"
+ROOT_BAD = "BAD"                      # a plan that cannot be read
 
 BRANCH_PASSTHROUGH = "PASSTHROUGH"
 BRANCH_DERIVED = "DERIVED"
@@ -69,3 +70,4 @@ REASON_LITERAL_LEAF = "LITERAL_LEAF"
 REASON_NO_INPUT_TABLE = "NO_INPUT_TABLE"
 REASON_UNSUPPORTED = "UNSUPPORTED_COMMAND"
 REASON_FS_WRITE = "FS_WRITE"
+REASON_BAD_PLAN = "BAD_PLAN"

@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 
 def micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ, independent of time zone for NTZ."""
+    """Microseconds since the epoch of a TIMESTAMP (its instant) or a TIMESTAMP_NTZ (its clock face)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            c.cast("timestamp_ntz"))
+    clock = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+    return F.when(F.typeof(c) == "timestamp", F.unix_micros(c.cast("timestamp"))).otherwise(clock)
 
 
 def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: str = "ts",
@@ -52,7 +52,10 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
     ex = execs.select(*[F.col(c) for c in ex_cols],
                       micros(ts).alias("_us"), F.lit(1).alias("_is_exec"),
                       F.lit(None).cast("string").alias("_txt"))
-    tx = texts.select(F.col(by), micros(ts).alias("_us"), F.col(text_col).cast("string").alias("_txt"))
+    # a text without a time precedes nothing; the text keeps its own time, whatever its type
+    tx = texts.where(F.col(ts).isNotNull()).select(F.col(by), micros(ts).alias("_us"), F.col(text_col).cast("string").alias("_txt"),
+                                                   F.col(ts).alias("_tts"))
+    ex = ex.withColumn("_tts", F.lit(None).cast(texts.schema[ts].dataType))
     for c in ex_cols:
         if c != by:
             tx = tx.withColumn(c, F.lit(None).cast(execs.schema[c].dataType))
@@ -66,16 +69,16 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # a null session matches nothing (SQL equality), inside a bucket as across buckets
     text_here = F.when((F.col("_is_exec") == 0) & F.col(by).isNotNull(),
-                       F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s")))
+                       F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s"), F.col("_tts").alias("at")))
     filled = u.withColumn("_in", F.last(text_here, ignorenulls=True).over(w_in)).where(F.col("_is_exec") == 1)
 
     # 2. last text of every (session, bucket), carried forward to later buckets of the session
     last_per_bucket = (u.where(F.col("_is_exec") == 0)
                        .groupBy(by, "_b")
-                       .agg(F.max(F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s"))).alias("_last"))
+                       .agg(F.max(F.struct(F.col("_us").alias("t"), F.col("_txt").alias("s"), F.col("_tts").alias("at"))).alias("_last"))
                        .withColumn("_k", F.lit(1)))
     exec_buckets = (u.where(F.col("_is_exec") == 1).select(by, "_b").distinct()
-                    .withColumn("_last", F.lit(None).cast("struct<t:bigint,s:string>"))
+                    .withColumn("_last", F.lit(None).cast(last_per_bucket.schema["_last"].dataType))
                     .withColumn("_k", F.lit(0)))
     w_carry = (Window.partitionBy(by).orderBy("_b", "_k")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -87,9 +90,9 @@ def attach_sql(execs: DataFrame, texts: DataFrame, by: str = "session_id", ts: s
     j = filled.join(carry, [by, "_b"], "left")
     found = F.when(F.col("_in").isNotNull(), F.col("_in")).otherwise(F.col("_prev"))
     j = j.withColumn("_found", found)
-    keep = F.col("_found").isNotNull()
+    keep = F.col("_found").isNotNull() & F.col("_us").isNotNull()  # an execution without a time follows nothing
     if max_age_seconds is not None:
         keep = keep & (F.col("_us") - F.col("_found.t") <= F.lit(int(max_age_seconds * 1_000_000)))
     return j.select(*[F.col(c) for c in ex_cols],
                     F.when(keep, F.col("_found.s")).alias("sql_text"),
-                    F.when(keep, F.timestamp_micros(F.col("_found.t"))).alias("sql_ts"))
+                    F.when(keep, F.col("_found.at")).alias("sql_ts"))

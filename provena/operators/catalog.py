@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .joins import join_small
 
 ALIVE_CHANGES = ("CREATE_DATABASE", "ALTER_DATABASE", "CREATE_TABLE", "ALTER_TABLE")
 
@@ -24,6 +23,13 @@ def read_catalog_events(events: DataFrame, skip_when_external: bool = False) ->
     return kept.where(F.lit(False)) if skip_when_external else kept
 
 
+def catalog_tally(events: DataFrame) -> DataFrame:
+    """Events by kind; kinds that are not processed are counted together as UNSUPPORTED, with null among them."""
+    known = F.coalesce(F.col("kind").isin(*K.CATALOG_KINDS), F.lit(False))
+    return (events.groupBy(F.when(known, F.col("kind")).otherwise(F.lit(K.ROUTE_UNSUPPORTED)).alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def with_app(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Application tag (name, master) on each event."""
     sc = (spark or df.sparkSession).sparkContext
@@ -44,13 +50,13 @@ def catalog_changes(events: DataFrame, databases: DataFrame | None = None) -> Da
                         detail.cast("string").alias("detail"), F.lit(seq).alias("seq"))
 
     none = F.lit(None).cast("string")
-    recs = (F.when(kind == "CreateDatabase", F.array(rec("CREATE_DATABASE", none, none, 0)))
-            .when(kind == "DropDatabase", F.array(rec("DROP_DATABASE", none, none, 0)))
-            .when(kind == "AlterDatabase", F.array(rec("ALTER_DATABASE", none, none, 0)))
-            .when(kind == "CreateTable", F.array(rec("CREATE_TABLE", F.col("tbl"), none, 0)))
-            .when(kind == "DropTable", F.array(rec("DROP_TABLE", F.col("tbl"), none, 0)))
-            .when(kind == "AlterTable", F.array(rec("ALTER_TABLE", F.col("tbl"), F.col("change_kind"), 0)))
-            .when(kind == "RenameTable", F.array(rec("RENAME_TABLE", F.col("tbl"), F.col("new_name"), 0),
+    recs = (F.when(kind == "CreateDatabaseEvent", F.array(rec("CREATE_DATABASE", none, none, 0)))
+            .when(kind == "DropDatabaseEvent", F.array(rec("DROP_DATABASE", none, none, 0)))
+            .when(kind == "AlterDatabaseEvent", F.array(rec("ALTER_DATABASE", none, none, 0)))
+            .when(kind == "CreateTableEvent", F.array(rec("CREATE_TABLE", F.col("tbl"), none, 0)))
+            .when(kind == "DropTableEvent", F.array(rec("DROP_TABLE", F.col("tbl"), none, 0)))
+            .when(kind == "AlterTableEvent", F.array(rec("ALTER_TABLE", F.col("tbl"), F.col("change_kind"), 0)))
+            .when(kind == "RenameTableEvent", F.array(rec("RENAME_TABLE", F.col("tbl"), F.col("new_name"), 0),
                                                  rec("CREATE_TABLE", F.col("new_name"), none, 1))))
     ch = (read_catalog_events(events)
           .select("event_id", "ts", "kind", "db", F.explode(recs).alias("r"))
@@ -59,7 +65,7 @@ def catalog_changes(events: DataFrame, databases: DataFrame | None = None) -> Da
         return ch
     d = databases.select(F.col("name").alias("db"),
                          F.concat(F.col("description"), F.lit("|"), F.col("location_uri")).alias("_db_detail"))
-    ch = join_small(ch, d, "db", "left")
+    ch = ch.join(d, "db", "left")
     return ch.withColumn("detail", F.when(F.col("change") == "CREATE_DATABASE", F.col("_db_detail"))
                          .otherwise(F.col("detail"))).drop("_db_detail")
 
@@ -76,12 +82,16 @@ def table_columns(changes: DataFrame, catalog_column: DataFrame) -> DataFrame:
 
 def catalog_state(changes: DataFrame) -> DataFrame:
     """Per object (db, tbl) the last change by (ts, event_id, seq) decides;
-    drops and renames-away leave the object not alive."""
-    last = F.max_by(F.struct("change", "event_id"), F.struct("ts", "event_id", "seq"))
+    drops and renames-away leave the object not alive, and so does a later
+    drop of its database (the last drop per database: one short row each)."""
+    order = F.struct("ts", "event_id", "seq")
+    last = F.max_by(F.struct("change", "event_id", order.alias("at")), order)
     g = changes.groupBy("db", "tbl").agg(last.alias("_l"))
-    return g.select("db", "tbl", F.col("_l.change").alias("last_kind"),
-                    F.col("_l.event_id").alias("last_event_id"),
-                    F.col("_l.change").isin(*ALIVE_CHANGES).alias("alive"))
+    gone = (changes.where(F.col("change") == "DROP_DATABASE").groupBy("db").agg(F.max(order).alias("_gone")))
+    return g.join(gone, "db", "left").select(
+        "db", "tbl", F.col("_l.change").alias("last_kind"), F.col("_l.event_id").alias("last_event_id"),
+        (F.col("_l.change").isin(*ALIVE_CHANGES)
+         & (F.col("_gone").isNull() | (F.col("_l.at") > F.col("_gone")))).alias("alive"))
 
 
 def ddl_changes(ddl: DataFrame) -> DataFrame:

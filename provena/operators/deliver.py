@@ -107,23 +107,36 @@ def dead_letters(attempts: DataFrame, max_retries: int = K.MAX_RETRIES) -> DataF
 # retry / dead letter, live form (inside foreachBatch)
 
 
+class DeliveryError(RuntimeError):
+    """Messages that no attempt could send, and nowhere to keep them."""
+
+
 def send_with_retry(batch: DataFrame, send, dead_letter_path: str | None = None,
                     max_retries: int = K.MAX_RETRIES, retry_interval_ms: int = K.RETRY_INTERVAL_MS,
-                    sleep=time.sleep) -> int:
-    """Call ``send(batch)`` up to ``max_attempts`` times, waiting between
-    attempts; the whole batch is resent (at-least-once).  After the last
-    failure the batch goes to the dead-letter table.  Returns attempts used."""
+                    sleep=time.sleep, batch_id: int = 0) -> tuple[int, bool]:
+    """Call ``send(messages)`` up to ``max_attempts`` times, waiting between attempts.
+
+    ``send`` raises if nothing can be counted as sent, or returns the
+    messages that failed (None or no rows: all are sent); only those go into
+    the next attempt.  What is left after the last one is written to
+    ``<dead_letter_path>/batch_id=N``, replacing what an earlier run of the
+    same batch wrote there; without a path it raises ``DeliveryError``, so
+    that the batch is run again.  Returns (attempts made, all sent).
+    """
     n = max_attempts(max_retries)
+    left, error = batch, None
     for attempt in range(1, n + 1):
         if attempt > 1:
             sleep(retry_interval_ms / 1000.0)
         try:
-            send(batch)
-            return attempt
-        except Exception:  # noqa: BLE001 - any send failure is retried
-            if attempt == n:
-                if dead_letter_path:
-                    (batch.withColumn("last_attempt", F.lit(attempt))
-                     .write.mode("append").parquet(dead_letter_path))
-                return attempt
-    return n
+            failed = send(left)
+        except Exception as e:  # noqa: BLE001 - any send failure is retried
+            error = e
+            continue
+        if failed is None or failed.isEmpty():
+            return attempt, True
+        left, error = failed, None
+    if dead_letter_path is None:
+        raise DeliveryError(f"not delivered after {n} attempts") from error
+    left.withColumn("last_attempt", F.lit(n)).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+    return n, False

@@ -186,6 +186,7 @@ class Lineage:
         reason = F.when(F.lit(p.sql == "strict") & F.col("sql_text").isNull(), F.lit(K.REASON_NO_SQL_TEXT))
         reason = (reason.when(F.col("route") == K.ROUTE_FS_WRITE, F.lit(K.REASON_FS_WRITE))
                   .when(F.col("route") == K.ROUTE_UNSUPPORTED, F.lit(K.REASON_UNSUPPORTED))
+                  .when(F.col("root_kind") == K.ROOT_BAD, F.lit(K.REASON_BAD_PLAN))
                   .when((F.col("empty_inputs") == "QUARANTINE") & (F.col("n_inputs") == 0),
                         F.lit(K.REASON_NO_INPUT_TABLE)))
         if p.literal == "strict":

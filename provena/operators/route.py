@@ -34,7 +34,6 @@ DEFAULT_RULES = [
     (K.CMD_HADOOP_FS_INSERT, K.ROUTE_FS_WRITE, None, None, None, None, None),
 ]
 
-MAX_RULES = 10_000  # the rule table is broadcast; it is config, bounded by this check
 
 
 @dataclass(frozen=True)
@@ -62,8 +61,9 @@ def _literal_rows(spark: SparkSession, rows) -> DataFrame:
 
 def route_rules(spark: SparkSession, rows=None) -> DataFrame:
     rows = list(DEFAULT_RULES if rows is None else rows)
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"route rule table too large to broadcast: {len(rows)} rows")
+    commands = [r[0] for r in rows]
+    if len(set(commands)) < len(commands):
+        raise ValueError(f"more than one rule for a command: {sorted(c for c in set(commands) if commands.count(c) > 1)}")
     return _literal_rows(spark, rows)
 
 
@@ -93,11 +93,15 @@ def read_write_events(spark: SparkSession, path: str, schema=None, streaming: bo
 def route_writes(events: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """Attach the rule of each event's command; unknown commands route UNSUPPORTED.
 
-    The rule table is config with a checked bound (``MAX_RULES``), so it is broadcast.
+    One rule per command: of several in a table handed in, the least by its
+    columns holds, so an event is never multiplied.  How the join is done is
+    left to Spark, which knows the size of the table.
     """
     if rules is None:
         rules = route_rules(events.sparkSession)
-    routed = events.join(F.broadcast(rules), "command", "left")
+    names = [f.name for f in RULE_SCHEMA.fields if f.name != "command"]
+    one = rules.groupBy("command").agg(F.min(F.struct(*names)).alias("r")).select("command", "r.*")
+    routed = events.join(one, "command", "left")
     return routed.withColumn("route", F.coalesce(F.col("route"), F.lit(K.ROUTE_UNSUPPORTED)))
 
 

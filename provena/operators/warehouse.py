@@ -124,18 +124,10 @@ def overwrite_partition(df: DataFrame, table: str, partition: dict, staged: bool
     return spark.table(table)
 
 
-def overwrite_dynamic(df: DataFrame, table: str, staged: bool = True) -> DataFrame:
-    """K5: overwrite only the partitions present in ``df`` (dynamic mode, per write)."""
-    spark = df.sparkSession
-    src = stage(df) if staged else df
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "STATIC")
-    spark.conf.set(key, "dynamic")
-    try:
-        src.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(key, before)
-    return spark.table(table)
+def overwrite_dynamic(df: DataFrame, table: str) -> DataFrame:
+    """K5: overwrite only the partitions present in ``df`` (dynamic mode, for this write alone)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    return df.sparkSession.table(table)
 
 
 def multi_insert(src: DataFrame, table: str, branches: list[tuple[str, dict]], staged: bool = True) -> DataFrame:

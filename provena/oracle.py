@@ -18,8 +18,8 @@ def _view(name: str, deps: tuple[str, ...], body: str) -> None:
 _view("fx_write_event", (), """
 SELECT o_orderkey AS event_id, o_orderdate AS ts, o_custkey AS session_id,
   CASE WHEN o_orderkey % 17 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'CREATE_HIVE_TABLE_AS_SELECT' WHEN '2-HIGH' THEN 'INSERT_INTO_HIVE_TABLE'
-       WHEN '3-MEDIUM' THEN 'CREATE_DATASOURCE_TABLE_AS_SELECT' WHEN '4-NOT SPECIFIED' THEN 'INSERT_INTO_HADOOP_FS' ELSE 'OTHER' END AS command,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'CreateHiveTableAsSelectCommand' WHEN '2-HIGH' THEN 'InsertIntoHiveTable'
+       WHEN '3-MEDIUM' THEN 'CreateDataSourceTableAsSelectCommand' WHEN '4-NOT SPECIFIED' THEN 'InsertIntoHadoopFsRelationCommand' ELSE 'OTHER' END AS command,
   CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE 'db' || CAST(o_custkey % 5 AS VARCHAR) END AS target_db,
   'T_' || CAST(o_custkey % 50 AS VARCHAR) AS target_table,
   'cur' || CAST(o_custkey % 3 AS VARCHAR) AS current_db,
@@ -61,8 +61,8 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber""")
 
 _view("fx_catalog_event", (), """
 SELECT event_id, ts, user_id AS session_id,
-  CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabase' WHEN 'error' THEN 'DropDatabase' WHEN 'purchase' THEN 'AlterDatabase' ELSE 'Ignored' END
-       ELSE CASE event_type WHEN 'signup' THEN 'CreateTable' WHEN 'error' THEN 'DropTable' WHEN 'purchase' THEN 'AlterTable' WHEN 'click' THEN 'RenameTable' ELSE 'CreateTablePre' END END AS kind,
+  CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabaseEvent' WHEN 'error' THEN 'DropDatabaseEvent' WHEN 'purchase' THEN 'AlterDatabaseEvent' ELSE 'Ignored' END
+       ELSE CASE event_type WHEN 'signup' THEN 'CreateTableEvent' WHEN 'error' THEN 'DropTableEvent' WHEN 'purchase' THEN 'AlterTableEvent' WHEN 'click' THEN 'RenameTableEvent' ELSE 'CreateTablePre' END END AS kind,
   'db' || CAST(k % 5 AS VARCHAR) AS db,
   CASE WHEN k < 5 THEN NULL ELSE 't_' || CAST(k AS VARCHAR) END AS tbl,
   CASE WHEN k >= 5 AND event_type = 'click' THEN 't_' || CAST(5 + (k + event_id) % 95 AS VARCHAR) END AS new_name,
@@ -94,16 +94,16 @@ FROM lineitem""")
 
 _view("fx_ddl_event", ("fx_catalog_event",), """
 SELECT event_id, ts,
-  CASE kind WHEN 'CreateTable' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
+  CASE kind WHEN 'CreateTableEvent' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
                                           WHEN event_id % 2 = 0 THEN 'CreateTableCommand'
                                           ELSE 'CreateTableLikeCommand' END
-            WHEN 'DropTable' THEN 'DropTableCommand'
-            WHEN 'RenameTable' THEN 'AlterTableRenameCommand'
+            WHEN 'DropTableEvent' THEN 'DropTableCommand'
+            WHEN 'RenameTableEvent' THEN 'AlterTableRenameCommand'
             ELSE 'AlterTableSetPropertiesCommand' END AS command,
   db, tbl, new_name,
-  CASE WHEN kind = 'DropTable' THEN event_id % 3 = 0 END AS is_view,
-  CASE WHEN kind = 'CreateTable' AND event_id % 2 = 1 THEN 't_' || CAST(event_id % 90 + 10 AS VARCHAR) END AS source_tbl
-FROM fx_catalog_event WHERE kind IN ('CreateTable', 'DropTable', 'RenameTable', 'AlterTable')""")
+  CASE WHEN kind = 'DropTableEvent' THEN event_id % 3 = 0 END AS is_view,
+  CASE WHEN kind = 'CreateTableEvent' AND event_id % 2 = 1 THEN 't_' || CAST(event_id % 90 + 10 AS VARCHAR) END AS source_tbl
+FROM fx_catalog_event WHERE kind IN ('CreateTableEvent', 'DropTableEvent', 'RenameTableEvent', 'AlterTableEvent')""")
 
 _view("fx_plan_node", (), """
 SELECT l_orderkey AS event_id,
@@ -117,10 +117,10 @@ FROM lineitem""")
 
 _view("ox_rules", (), """
 SELECT * FROM (VALUES
-  ('CREATE_HIVE_TABLE_AS_SELECT', 'LINEAGE', 'CREATETABLE_AS_SELECT', 'CREATE_TABLE_AS_SELECT', 'TARGET', 'DEFAULT', 'EMIT'),
-  ('INSERT_INTO_HIVE_TABLE', 'LINEAGE', 'QUERY', 'FROM_TABLE_INSERT_SELECT', 'QUERY', 'DEFAULT', 'QUARANTINE'),
-  ('CREATE_DATASOURCE_TABLE_AS_SELECT', 'LINEAGE', 'QUERY', 'FROM_TABLE_INSERT_SELECT', 'QUERY', 'CURRENT', 'QUARANTINE'),
-  ('INSERT_INTO_HADOOP_FS', 'FS_WRITE', NULL, NULL, NULL, NULL, NULL)
+  ('CreateHiveTableAsSelectCommand', 'LINEAGE', 'CREATETABLE_AS_SELECT', 'CREATE_TABLE_AS_SELECT', 'TARGET', 'DEFAULT', 'EMIT'),
+  ('InsertIntoHiveTable', 'LINEAGE', 'QUERY', 'FROM_TABLE_INSERT_SELECT', 'QUERY', 'DEFAULT', 'QUARANTINE'),
+  ('CreateDataSourceTableAsSelectCommand', 'LINEAGE', 'QUERY', 'FROM_TABLE_INSERT_SELECT', 'QUERY', 'CURRENT', 'QUARANTINE'),
+  ('InsertIntoHadoopFsRelationCommand', 'FS_WRITE', NULL, NULL, NULL, NULL, NULL)
 ) AS r(command, route, op_type, fallback_sql, id_rule, db_rule, empty_inputs)""")
 
 _view("ox_inputs", ("fx_scan_relation",), """

@@ -24,6 +24,9 @@ HIVE_RELATION = "org.apache.spark.sql.catalyst.catalog.HiveTableRelation"
 PROJECT = "org.apache.spark.sql.catalyst.plans.logical.Project"
 ALIAS = "org.apache.spark.sql.catalyst.expressions.Alias"
 ATTRIBUTE = "org.apache.spark.sql.catalyst.expressions.AttributeReference"
+# the leaf expressions with a name; a scalar subquery has an id too, but no name
+NAMED_LEAVES = (ATTRIBUTE, "org.apache.spark.sql.catalyst.expressions.NamedLambdaVariable",
+                "org.apache.spark.sql.catalyst.analysis.UnresolvedAttribute")
 
 _EXPR = "struct<class:string,`num-children`:int,name:string,exprId:struct<id:bigint>>"
 _META = "struct<identifier:struct<table:string,database:string>,partitionColumnNames:array<string>>"
@@ -103,7 +106,10 @@ def shred_plans(log: DataFrame, plan_col: str = "plan_json") -> DataFrame:
     has_texts = "expr_texts" in log.columns
     row = lambda **kw: _row(ev_cols, schema, event_id=F.col("event_id"), **kw)
     parsed = log.select(*[F.col(c) for c in log.columns if c != plan_col],
-                        F.from_json(plan_col, f"array<{NODE_SCHEMA}>").alias("_n"))
+                        F.from_json(plan_col, f"array<{NODE_SCHEMA}>").alias("_n"), F.col(plan_col).alias("_text"))
+    first = F.get(F.col("_n"), 0)["class"]
+    parsed = parsed.withColumn("_unread", F.col("_text").isNotNull() & (F.trim("_text") != "")
+                               & (F.col("_n").isNull() | ((F.size("_n") > 0) & first.isNull())))
     nodes = F.coalesce(F.col("_n"), F.array())
     empty = F.array_repeat(row(_t=F.lit("none")), 0)
     # S3: every node with its pre-order index
@@ -125,8 +131,10 @@ def shred_plans(log: DataFrame, plan_col: str = "plan_json") -> DataFrame:
         expr_text=F.get(texts, i)))
     leaf_rows = F.flatten(F.transform(items, lambda e, i: F.transform(
         F.filter(e, lambda x: x["num-children"] == 0), lambda leaf, j: row(
-            _t=F.lit("leaf"), pos=i, leaf_pos=j + 1, attr_id=leaf["exprId"]["id"], flag=leaf["exprId"].isNotNull()))))
-    event_row = F.array(row(_t=F.lit("event"), root_kind=root_kind_of(root),
+            _t=F.lit("leaf"), pos=i, leaf_pos=j + 1, attr_id=leaf["exprId"]["id"], flag=leaf["class"].isin(*NAMED_LEAVES)))))
+    # a text that is there and cannot be read is an error of its own, not an empty plan
+    kind = F.when(F.col("_unread"), F.lit(K.ROOT_BAD)).otherwise(root_kind_of(root))
+    event_row = F.array(row(_t=F.lit("event"), root_kind=kind,
                             **{_EVENT_PREFIX + c: F.col(c) for c in ev_cols}))
     parts = [event_row] + [F.coalesce(p, empty) for p in (rel_rows, col_rows, out_rows, leaf_rows)]
     return parsed.select(F.inline(F.concat(*parts)))
@@ -146,7 +154,7 @@ def event_tables_from_plans(log: DataFrame, stage_path: str | None = None):
     rows = shred_plans(log)
     if stage_path is not None:
         rows.write.mode("overwrite").partitionBy("_t").parquet(stage_path)
-        rows = log.sparkSession.read.parquet(stage_path)
+        rows = log.sparkSession.read.schema(rows.schema).parquet(stage_path)  # an empty batch writes no file
 
     def part(t):
         return rows.where(F.col("_t") == t)

@@ -308,12 +308,12 @@ MAX_AGE_SECONDS = 6 * 3600
 
 
 @query("sql_text_asof", with_views("""
-SELECT e.event_id, t.sql_text FROM fx_exec e
+SELECT e.event_id, t.sql_text, epoch_us(t.ts) AS sql_us FROM fx_exec e
 ASOF LEFT JOIN fx_sql_text t ON e.session_id = t.session_id AND e.ts >= t.ts""", "fx_exec", "fx_sql_text"))
 def sql_text_asof(spark, sf_dir):
-    from .operators.asof import attach_sql
+    from .operators.asof import attach_sql, micros
     t = Tables(spark, sf_dir)
-    return attach_sql(fx.exec_event(t), fx.sql_text(t)).select("event_id", "sql_text")
+    return attach_sql(fx.exec_event(t), fx.sql_text(t)).select("event_id", "sql_text", micros("sql_ts").alias("sql_us"))
 
 
 @query("sql_text_asof_max_age", with_views(f"""
@@ -333,15 +333,15 @@ def sql_text_asof_max_age(spark, sf_dir):
 
 _CHANGES = """
 SELECT event_id, ts, kind, 0 AS seq,
-  CASE kind WHEN 'CreateDatabase' THEN 'CREATE_DATABASE' WHEN 'DropDatabase' THEN 'DROP_DATABASE'
-            WHEN 'AlterDatabase' THEN 'ALTER_DATABASE' WHEN 'CreateTable' THEN 'CREATE_TABLE'
-            WHEN 'DropTable' THEN 'DROP_TABLE' WHEN 'AlterTable' THEN 'ALTER_TABLE' ELSE 'RENAME_TABLE' END AS change,
+  CASE kind WHEN 'CreateDatabaseEvent' THEN 'CREATE_DATABASE' WHEN 'DropDatabaseEvent' THEN 'DROP_DATABASE'
+            WHEN 'AlterDatabaseEvent' THEN 'ALTER_DATABASE' WHEN 'CreateTableEvent' THEN 'CREATE_TABLE'
+            WHEN 'DropTableEvent' THEN 'DROP_TABLE' WHEN 'AlterTableEvent' THEN 'ALTER_TABLE' ELSE 'RENAME_TABLE' END AS change,
   db, tbl,
-  CASE kind WHEN 'AlterTable' THEN change_kind WHEN 'RenameTable' THEN new_name END AS detail
+  CASE kind WHEN 'AlterTableEvent' THEN change_kind WHEN 'RenameTableEvent' THEN new_name END AS detail
 FROM fx_catalog_event
-WHERE kind IN ('CreateDatabase', 'DropDatabase', 'AlterDatabase', 'CreateTable', 'DropTable', 'AlterTable', 'RenameTable')
+WHERE kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent', 'AlterTableEvent', 'RenameTableEvent')
 UNION ALL
-SELECT event_id, ts, kind, 1, 'CREATE_TABLE', db, new_name, NULL FROM fx_catalog_event WHERE kind = 'RenameTable'"""
+SELECT event_id, ts, kind, 1, 'CREATE_TABLE', db, new_name, NULL FROM fx_catalog_event WHERE kind = 'RenameTableEvent'"""
 
 
 def _changes(spark, sf_dir, with_db=True):
@@ -352,7 +352,7 @@ def _changes(spark, sf_dir, with_db=True):
 
 @query("catalog_feed", with_views("""
 SELECT kind, count(*) AS n FROM fx_catalog_event
-WHERE kind IN ('CreateDatabase', 'DropDatabase', 'AlterDatabase', 'CreateTable', 'DropTable', 'AlterTable', 'RenameTable')
+WHERE kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent', 'AlterTableEvent', 'RenameTableEvent')
 GROUP BY kind""", "fx_catalog_event"))
 def catalog_feed(spark, sf_dir):
     from .operators.catalog import read_catalog_events
@@ -383,19 +383,22 @@ def _table_columns(spark, sf_dir, kind):
     return tc.select("event_id", "change", "db", "tbl", "pos", "name", "data_type", "comment")
 
 
-@query("create_table_columns", _table_columns_sql("CreateTable"))
+@query("create_table_columns", _table_columns_sql("CreateTableEvent"))
 def create_table_columns(spark, sf_dir):
-    return _table_columns(spark, sf_dir, "CreateTable")
+    return _table_columns(spark, sf_dir, "CreateTableEvent")
 
 
-@query("rename_table_columns", _table_columns_sql("RenameTable"))
+@query("rename_table_columns", _table_columns_sql("RenameTableEvent"))
 def rename_table_columns(spark, sf_dir):
-    return _table_columns(spark, sf_dir, "RenameTable")
+    return _table_columns(spark, sf_dir, "RenameTableEvent")
 
 
 @query("catalog_state", with_views(f"""
 SELECT db, tbl, change AS last_kind, event_id AS last_event_id,
-  change IN ('CREATE_DATABASE', 'ALTER_DATABASE', 'CREATE_TABLE', 'ALTER_TABLE') AS alive
+  change IN ('CREATE_DATABASE', 'ALTER_DATABASE', 'CREATE_TABLE', 'ALTER_TABLE')
+  AND NOT EXISTS (SELECT 1 FROM ({_CHANGES}) d WHERE d.change = 'DROP_DATABASE' AND d.db = x.db
+                  AND (d.ts > x.ts OR (d.ts = x.ts AND (d.event_id > x.event_id OR (d.event_id = x.event_id AND d.seq > x.seq)))))
+  AS alive
 FROM (SELECT *, row_number() OVER (PARTITION BY db, tbl ORDER BY ts DESC, event_id DESC, seq DESC) AS rn
       FROM ({_CHANGES}) c) x WHERE rn = 1""", "fx_catalog_event"))
 def catalog_state_q(spark, sf_dir):
@@ -403,6 +406,15 @@ def catalog_state_q(spark, sf_dir):
     return catalog_state(_changes(spark, sf_dir, with_db=False))
 
 
+@query("catalog_tally", with_views("""
+SELECT CASE WHEN kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent',
+                          'AlterTableEvent', 'RenameTableEvent') THEN kind ELSE 'UNSUPPORTED' END AS kind, count(*) AS n
+FROM fx_catalog_event GROUP BY 1""", "fx_catalog_event"))
+def catalog_tally_q(spark, sf_dir):
+    from .operators.catalog import catalog_tally
+    return catalog_tally(fx.catalog_event(Tables(spark, sf_dir)))
+
+
 @query("ddl_changes", with_views("""
 SELECT command,
   CASE command WHEN 'DropTableCommand' THEN CASE WHEN coalesce(is_view, false) THEN 'drop_view' ELSE 'drop_table' END
@@ -485,10 +497,10 @@ def plan_log_path(spark: SparkSession, sf_dir: str) -> str:
     captured one would be) and read by the plan and stream queries."""
     from .session import scratch_path
     from .sources.plan_log import plan_log
-    key = (spark._jsparkSession.hashCode(), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PLAN_LOG:
         path = scratch_path(spark, "plan_log")
-        plan_log(Tables(spark, sf_dir)).repartition(3, "event_id").write.parquet(path)
+        plan_log(Tables(spark, sf_dir)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id").write.parquet(path)
         _PLAN_LOG[key] = path
     return _PLAN_LOG[key]
 
@@ -566,7 +578,7 @@ def keyed_messages(spark, sf_dir):
     """T5: messages keyed by target table; all messages of one key land in one
     partition (as Kafka partitions by key), ordered by event inside it."""
     from .operators.deliver import keyed_for_sink, to_messages
-    keyed = keyed_for_sink(to_messages(lineage(spark, sf_dir)), partitions=8)
+    keyed = keyed_for_sink(to_messages(lineage(spark, sf_dir)))
     return (keyed.withColumn("_pid", F.spark_partition_id()).groupBy("key")
             .agg(F.count(F.lit(1)).alias("n_messages"), F.count_distinct("_pid").alias("n_partitions")))
 

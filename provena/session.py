@@ -4,6 +4,7 @@ scratch folder, and reading the driver-generated tables."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,14 +40,18 @@ def build_session(master: str = "local[8]", app: str = "provena",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    folder is made and registered.
+    Read from the session; only when it is unset and the master is local
+    (tests) a fresh folder is made and registered.  On a cluster an unset
+    folder is an error: a machine-local one would lose what other machines write.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; master {master} needs a shared folder")
         d = tempfile.mkdtemp(prefix="provena-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -24,10 +24,10 @@ def write_event(t: Tables) -> DataFrame:
     return t.orders.selectExpr(
         "o_orderkey AS event_id", "o_orderdate AS ts", "o_custkey AS session_id",
         "CASE WHEN o_orderkey % 17 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
-        """CASE o_orderpriority WHEN '1-URGENT' THEN 'CREATE_HIVE_TABLE_AS_SELECT'
-                                WHEN '2-HIGH' THEN 'INSERT_INTO_HIVE_TABLE'
-                                WHEN '3-MEDIUM' THEN 'CREATE_DATASOURCE_TABLE_AS_SELECT'
-                                WHEN '4-NOT SPECIFIED' THEN 'INSERT_INTO_HADOOP_FS' ELSE 'OTHER' END AS command""",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'CreateHiveTableAsSelectCommand'
+                                WHEN '2-HIGH' THEN 'InsertIntoHiveTable'
+                                WHEN '3-MEDIUM' THEN 'CreateDataSourceTableAsSelectCommand'
+                                WHEN '4-NOT SPECIFIED' THEN 'InsertIntoHadoopFsRelationCommand' ELSE 'OTHER' END AS command""",
         "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE concat('db', CAST(o_custkey % 5 AS STRING)) END AS target_db",
         "concat('T_', CAST(o_custkey % 50 AS STRING)) AS target_table",
         "concat('cur', CAST(o_custkey % 3 AS STRING)) AS current_db",
@@ -101,10 +101,10 @@ def catalog_event(t: Tables) -> DataFrame:
     e = t.events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
     return e.selectExpr(
         "event_id", "ts", "user_id AS session_id",
-        """CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabase' WHEN 'error' THEN 'DropDatabase'
-                                                WHEN 'purchase' THEN 'AlterDatabase' ELSE 'Ignored' END
-                ELSE CASE event_type WHEN 'signup' THEN 'CreateTable' WHEN 'error' THEN 'DropTable'
-                                     WHEN 'purchase' THEN 'AlterTable' WHEN 'click' THEN 'RenameTable'
+        """CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabaseEvent' WHEN 'error' THEN 'DropDatabaseEvent'
+                                                WHEN 'purchase' THEN 'AlterDatabaseEvent' ELSE 'Ignored' END
+                ELSE CASE event_type WHEN 'signup' THEN 'CreateTableEvent' WHEN 'error' THEN 'DropTableEvent'
+                                     WHEN 'purchase' THEN 'AlterTableEvent' WHEN 'click' THEN 'RenameTableEvent'
                                      ELSE 'CreateTablePre' END END AS kind""",
         "concat('db', CAST(k % 5 AS STRING)) AS db",
         "CASE WHEN k < 5 THEN NULL ELSE concat('t_', CAST(k AS STRING)) END AS tbl",
@@ -160,18 +160,18 @@ def delivery_attempt(t: Tables) -> DataFrame:
 
 def ddl_event(t: Tables) -> DataFrame:
     """DDL command log derived from the catalog log (table events only)."""
-    c = catalog_event(t).where("kind IN ('CreateTable', 'DropTable', 'RenameTable', 'AlterTable')")
+    c = catalog_event(t).where("kind IN ('CreateTableEvent', 'DropTableEvent', 'RenameTableEvent', 'AlterTableEvent')")
     return c.selectExpr(
         "event_id", "ts",
-        """CASE kind WHEN 'CreateTable' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
+        """CASE kind WHEN 'CreateTableEvent' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
                                                    WHEN event_id % 2 = 0 THEN 'CreateTableCommand'
                                                    ELSE 'CreateTableLikeCommand' END
-                     WHEN 'DropTable' THEN 'DropTableCommand'
-                     WHEN 'RenameTable' THEN 'AlterTableRenameCommand'
+                     WHEN 'DropTableEvent' THEN 'DropTableCommand'
+                     WHEN 'RenameTableEvent' THEN 'AlterTableRenameCommand'
                      ELSE 'AlterTableSetPropertiesCommand' END AS command""",
         "db", "tbl", "new_name",
-        "CASE WHEN kind = 'DropTable' THEN event_id % 3 = 0 END AS is_view",
-        """CASE WHEN kind = 'CreateTable' AND event_id % 2 = 1
+        "CASE WHEN kind = 'DropTableEvent' THEN event_id % 3 = 0 END AS is_view",
+        """CASE WHEN kind = 'CreateTableEvent' AND event_id % 2 = 1
                 THEN concat('t_', CAST(event_id % 90 + 10 AS STRING)) END AS source_tbl""",
     )
 

@@ -7,7 +7,7 @@
 * ``stream_catalog`` (T2): catalog events -> per batch, the batch's changes
   are folded into the stored last-change-per-object table and a new version
   of it is written (``<state>/v=N``), read back by the next batch.
-* ``dedupe_stream`` (T6): drop redelivered rows within a watermark.
+* ``dedupe_stream`` (T6): drop redelivered rows, however late they come.
 * ``read_notifications`` (S10, T3): Kafka (or file) source with bounded intake.
 """
 
@@ -80,7 +80,8 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
 
     Products: ``table_lineage``, ``column_lineage``, ``quarantine`` and
     ``messages`` (topic, key, value).  If ``send`` is given, messages are
-    also sent with retry; failed batches land in ``dead_letter_path``.
+    also sent with retry; what fails to the end lands in
+    ``dead_letter_path``, or stops the query if there is none.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         tables = event_tables_from_plans(batch, stage_path=f"{out}/_nodes/batch_id={batch_id}")
@@ -98,7 +99,7 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
         _write_batch(msgs, out, "messages", batch_id)
         msgs = spark.read.parquet(f"{out}/messages/batch_id={batch_id}")
         if send is not None:
-            send_with_retry(msgs.select("topic", "key", "value"), send, dead_letter_path)
+            send_with_retry(msgs.select("topic", "key", "value"), send, dead_letter_path, batch_id=batch_id)
     return run
 
 
@@ -143,6 +144,10 @@ def catalog_batch_writer(state: str, databases: DataFrame | None = None):
         last = F.max_by(F.struct("event_id", "ts", "seq", "change"), F.struct("ts", "event_id", "seq"))
         nxt = ch.groupBy("db", "tbl").agg(last.alias("l")).select("l.event_id", "l.ts", "l.seq", "l.change",
                                                                    "db", "tbl")
+        # the last drop of each database stays known when the database is made anew: its older tables are gone
+        gone = (ch.where(F.col("change") == "DROP_DATABASE").groupBy("db").agg(last.alias("l"))
+                .select("l.event_id", "l.ts", "l.seq", "l.change", "db", F.lit(None).cast("string").alias("tbl")))
+        nxt = nxt.unionByName(gone).distinct()
         nxt.write.mode("overwrite").parquet(f"{state}/v={batch_id}")
     return run
 
@@ -168,9 +173,10 @@ def read_catalog_state(spark: SparkSession, state: str) -> DataFrame:
 # De-dup of redelivered rows
 
 
-def dedupe_stream(df: DataFrame, keys=("event_id", "type_name", "qualified_name"), ts: str = "ts",
-                  delay: str = "1 day") -> DataFrame:
-    """Drop repeats of ``keys`` within the watermark, keep the first.  The
-    event-time column is cast to TIMESTAMP (NTZ input is read in the session zone)."""
-    t = df.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    return t.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def dedupe_stream(df: DataFrame, keys=("event_id", "type_name", "qualified_name")) -> DataFrame:
+    """Keep the first row of each ``keys``, whenever it or its repeats arrive.
+
+    No event time takes part, so nothing counts as late and no first delivery
+    is dropped.  The state holds every key seen (keyed, spread over the
+    shuffle partitions, in the checkpoint)."""
+    return df.dropDuplicates(list(keys))

@@ -18,7 +18,16 @@ from .session import Tables, scratch_path
 from .sources import fixtures as fx
 from .streaming import stream as S
 
-N_FILES = 3
+TRIGGERS = 3  # about how many micro-batches each run takes
+
+
+def _files(spark) -> int:
+    """Input files: one per shuffle partition."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _per_trigger(files: int) -> int:
+    return max(1, -(-files // TRIGGERS))
 
 
 _STREAM_OUT: dict = {}
@@ -27,11 +36,11 @@ _STREAM_OUT: dict = {}
 def _lineage_stream(spark, sf_dir) -> str:
     """Run the lineage stream over the plan log once per session and folder;
     the three stream queries read its products."""
-    key = (spark._jsparkSession.hashCode(), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAM_OUT:
-        src = plan_log_path(spark, sf_dir)  # N_FILES files, one per micro-batch
+        src = plan_log_path(spark, sf_dir)
         out, ck = scratch_path(spark, "lineage_out"), scratch_path(spark, "lineage_ck")
-        S.stream_lineage(S.read_plan_log_stream(spark, src, max_files_per_trigger=1), out, ck).awaitTermination()
+        S.stream_lineage(S.read_plan_log_stream(spark, src, max_files_per_trigger=_per_trigger(_files(spark))), out, ck).awaitTermination()
         _STREAM_OUT[key] = out
     return _STREAM_OUT[key]
 
@@ -62,9 +71,9 @@ def stream_envelope_sizes(spark, sf_dir):
 @query("stream_catalog_state", ORACLE["catalog_state"])
 def stream_catalog_state(spark, sf_dir):
     src = scratch_path(spark, "catalog_log")
-    fx.catalog_event(Tables(spark, sf_dir)).repartition(N_FILES, "event_id").write.parquet(src)
+    fx.catalog_event(Tables(spark, sf_dir)).repartition(_files(spark), "event_id").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", _per_trigger(_files(spark))).parquet(src)
     state, ck = scratch_path(spark, "catalog_state"), scratch_path(spark, "catalog_ck")
     S.stream_catalog(stream, state, ck).awaitTermination()
     return S.read_catalog_state(spark, state)
@@ -80,10 +89,12 @@ SELECT DISTINCT event_id, type_name, qualified_name FROM (
 def stream_dedupe(spark, sf_dir):
     ents = lineage(spark, sf_dir).entities.select("event_id", "ts", "type_name", "qualified_name")
     src = scratch_path(spark, "entity_feed")
-    ents.repartition(N_FILES).write.parquet(src)          # first delivery
-    ents.repartition(N_FILES).write.mode("append").parquet(src)  # redelivery of everything
+    # every row twice, the two deliveries in files of their own and the files in no order of time, so that first
+    # deliveries and repeats of all times meet in every trigger
+    twice = ents.withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1))))
+    twice.repartition(_files(spark), F.xxhash64("event_id", "qualified_name", "delivery")).drop("delivery").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", N_FILES).parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", _per_trigger(_files(spark))).parquet(src)
     out, ck = scratch_path(spark, "dedupe_out"), scratch_path(spark, "dedupe_ck")
     q = (S.dedupe_stream(stream).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
@@ -103,10 +114,10 @@ def notification_feed(spark, sf_dir):
     msgs = to_messages(lineage(spark, sf_dir)).select("topic", "key", "value")
     other = msgs.withColumn("topic", F.lit("OTHER_TOPIC"))
     src = scratch_path(spark, "notifications")
-    msgs.unionByName(other).repartition(N_FILES * 2, "key").write.parquet(src)
+    msgs.unionByName(other).repartition(_files(spark), "key", F.xxhash64("value")).write.parquet(src)
     schema = spark.read.parquet(src).schema
     feed = S.read_notifications(spark, f" {K.HOOK_TOPIC} , ,", fmt="parquet", path=src, schema=schema,
-                                max_per_trigger=1)
+                                max_per_trigger=_per_trigger(_files(spark)))
     out, ck = scratch_path(spark, "notifications_out"), scratch_path(spark, "notifications_ck")
     (feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators import warehouse as W
-from .operators.joins import join_small
 from .queries import query
 from .session import Tables, scratch_path
 
@@ -40,7 +39,7 @@ def emp_dept(spark, sf_dir):
     """J3 + P6 + F1 + F2: employee LEFT JOIN department, derived columns, qualified star."""
     t = Tables(spark, sf_dir)
     c, n = t.customer, t.nation
-    j = join_small(c, n, c["c_nationkey"] == n["n_nationkey"], "left")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     return j.select(F.concat(c["c_name"], c["c_mktsegment"]).alias("name_job"),
                     F.abs(c["c_acctbal"]).alias("abs_balance"), c["c_nationkey"], n["*"])
 

@@ -16,7 +16,7 @@ COL = "event_id bigint, rel_pos bigint, attr_id bigint, col string, is_partition
 OUT = "event_id bigint, out_pos int, out_name string, out_attr_id bigint, n_children int, expr_text string"
 LEAF = "event_id bigint, out_pos int, leaf_pos int, attr_id bigint, is_named boolean"
 
-CTAS, INS, DS = "CREATE_HIVE_TABLE_AS_SELECT", "INSERT_INTO_HIVE_TABLE", "CREATE_DATASOURCE_TABLE_AS_SELECT"
+CTAS, INS, DS = "CreateHiveTableAsSelectCommand", "InsertIntoHiveTable", "CreateDataSourceTableAsSelectCommand"
 
 
 def ev(i, command=CTAS, root="PROJECT", db="Tgt", tbl="Tab", sql="q", status="SUCCESS", cur="cur"):
@@ -28,7 +28,7 @@ def tables(spark):
     events = [ev(1), ev(2, root="RELATION", db="d", tbl="t2"), ev(3, root="OTHER", db="d", tbl="t3"),
               ev(4, command=INS, db="d", tbl="t4"), ev(5, command=CTAS, db="d", tbl="t5"),
               ev(6, command=DS, db=None, tbl="t6", cur="curdb"), ev(7, command=CTAS, db=None, tbl="t7"),
-              ev(8, status="FAILED"), ev(9, command="INSERT_INTO_HADOOP_FS"), ev(10, command="OTHER"),
+              ev(8, status="FAILED"), ev(9, command="InsertIntoHadoopFsRelationCommand"), ev(10, command="OTHER"),
               ev(11, sql=None, db="d", tbl="t11"), ev(12, sql="", command=INS, db="d", tbl="t12"),
               ev(13, sql=" ", db="d", tbl="t13")]
     rels = [(1, 1, "Db1", "T_X", True), (1, 2, None, "other", True), (1, 3, "tmp", "rdd", False),

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from provena.functions import names as N
@@ -18,15 +19,15 @@ def t(m):
 
 
 def test_rename_emits_rename_and_create(spark):
-    ev = spark.createDataFrame([(1, t(0), "RenameTable", "db1", "a", "b", None),
+    ev = spark.createDataFrame([(1, t(0), "RenameTableEvent", "db1", "a", "b", None),
                                 (2, t(1), "CreateTablePre", "db1", "x", None, None)], CAT)
     ch = sorted((r.change, r.tbl, r.detail) for r in C.catalog_changes(ev).collect())
     assert ch == [("CREATE_TABLE", "b", None), ("RENAME_TABLE", "a", "b")]
 
 
 def test_table_columns_comment_default(spark):
-    ev = spark.createDataFrame([(1, t(0), "CreateTable", "db1", "a", None, None),
-                                (2, t(1), "CreateTable", "db1", "gone", None, None)], CAT)
+    ev = spark.createDataFrame([(1, t(0), "CreateTableEvent", "db1", "a", None, None),
+                                (2, t(1), "CreateTableEvent", "db1", "gone", None, None)], CAT)
     cols = spark.createDataFrame([("db1", "a", 1, "c1", "int", None), ("db1", "a", 2, "c2", "string", "note")],
                                  "db string, tbl string, pos int, name string, data_type string, comment string")
     r = sorted((x.tbl, x.pos, x.name, x.comment) for x in C.table_columns(C.catalog_changes(ev), cols).collect())
@@ -35,12 +36,12 @@ def test_table_columns_comment_default(spark):
 
 def test_catalog_state_last_change_wins(spark):
     ev = spark.createDataFrame([
-        (1, t(0), "CreateTable", "db1", "a", None, None),
-        (2, t(1), "AlterTable", "db1", "a", None, "stats"),
-        (3, t(2), "DropTable", "db1", "a", None, None),
-        (4, t(3), "CreateTable", "db1", "b", None, None),
-        (5, t(4), "RenameTable", "db1", "b", "c", None),
-        (6, t(5), "CreateDatabase", "db2", None, None, None)], CAT)
+        (1, t(0), "CreateTableEvent", "db1", "a", None, None),
+        (2, t(1), "AlterTableEvent", "db1", "a", None, "stats"),
+        (3, t(2), "DropTableEvent", "db1", "a", None, None),
+        (4, t(3), "CreateTableEvent", "db1", "b", None, None),
+        (5, t(4), "RenameTableEvent", "db1", "b", "c", None),
+        (6, t(5), "CreateDatabaseEvent", "db2", None, None, None)], CAT)
     s = {(r.db, r.tbl): (r.last_kind, r.alive) for r in C.catalog_state(C.catalog_changes(ev)).collect()}
     assert s[("db1", "a")] == ("DROP_TABLE", False)
     assert s[("db1", "b")] == ("RENAME_TABLE", False)
@@ -49,7 +50,7 @@ def test_catalog_state_last_change_wins(spark):
 
 
 def test_skip_when_external(spark):
-    ev = spark.createDataFrame([(1, t(0), "CreateTable", "db1", "a", None, None)], CAT)
+    ev = spark.createDataFrame([(1, t(0), "CreateTableEvent", "db1", "a", None, None)], CAT)
     assert C.read_catalog_events(ev, skip_when_external=True).count() == 0
 
 
@@ -80,14 +81,64 @@ def test_send_with_retry_live(spark, tmp_path):
         if len(calls) < 2:
             raise RuntimeError("broker down")
 
-    assert D.send_with_retry(df, flaky, sleep=lambda s: None) == 2
+    assert D.send_with_retry(df, flaky, sleep=lambda s: None) == (2, True)
     dead = str(tmp_path / "dead")
 
     def down(batch):
         raise RuntimeError("broker down")
 
-    assert D.send_with_retry(df, down, dead, max_retries=3, sleep=lambda s: None) == 3
+    for _ in range(2):  # a batch that is run again replaces its dead letters
+        assert D.send_with_retry(df, down, dead, max_retries=3, sleep=lambda s: None, batch_id=7) == (3, False)
     assert spark.read.parquet(dead).count() == 3
+    with pytest.raises(D.DeliveryError):  # nowhere to keep them
+        D.send_with_retry(df, down, max_retries=2, sleep=lambda s: None)
+
+    # only the messages that failed are sent again and kept
+    sizes = []
+
+    def partly(batch):
+        sizes.append(batch.count())
+        return batch.where("key = '1'")
+
+    assert D.send_with_retry(df, partly, dead, max_retries=2, sleep=lambda s: None, batch_id=8) == (2, False)
+    assert sizes == [3, 1] and [r.key for r in spark.read.parquet(f"{dead}/batch_id=8").collect()] == ["1"]
+
+
+def test_catalog_state_drop_database_ends_its_tables(spark):
+    ev = spark.createDataFrame([
+        (1, "2024-01-01 00:00:00", "CreateTableEvent", "d", "t"), (2, "2024-01-01 00:00:00", "CreateTableEvent", "e", "t"),
+        (3, "2024-01-02 00:00:00", "DropDatabaseEvent", "d", None), (4, "2024-01-03 00:00:00", "CreateDatabaseEvent", "d", None),
+        (5, "2024-01-04 00:00:00", "CreateTableEvent", "d", "u"), (6, "2024-01-04 00:00:00", "NewKindOfEvent", "d", "v")],
+        "event_id bigint, ts string, kind string, db string, tbl string").selectExpr(
+        "event_id", "cast(ts as timestamp_ntz) ts", "kind", "db", "tbl", "cast(null as string) new_name", "cast(null as string) change_kind")
+    alive = {(r.db, r.tbl): r.alive for r in C.catalog_state(C.catalog_changes(ev)).collect()}
+    assert alive == {("d", "t"): False, ("e", "t"): True, ("d", None): True, ("d", "u"): True}
+    assert {r.kind: r.n for r in C.catalog_tally(ev).collect()}["UNSUPPORTED"] == 1
+
+
+def test_asof_times(spark):
+    """A text without a time is attached to nothing; ``sql_ts`` is the text's own time in any session zone."""
+    ex = spark.createDataFrame([(1, 7, "2024-01-01 10:00:00"), (2, 7, None)], "event_id bigint, session_id bigint, ts string")
+    tx = spark.createDataFrame([(7, None, "lost"), (7, "2024-01-01 09:00:00", "found")], "session_id bigint, ts string, sql_text string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for kind in ("timestamp_ntz", "timestamp"):
+            e, t = (x.withColumn("ts", F.col("ts").cast(kind)) for x in (ex, tx))
+            got = {r.event_id: (r.sql_text, r.sql_ts) for r in
+                   attach_sql(e, t).select("event_id", "sql_text", F.col("sql_ts").cast("string").alias("sql_ts")).collect()}
+            assert got == {1: ("found", "2024-01-01 09:00:00"), 2: (None, None)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_one_rule_per_command(spark):
+    from provena.operators import route as R
+    with pytest.raises(ValueError):
+        R.route_rules(spark, [R.DEFAULT_RULES[0], R.DEFAULT_RULES[0]])
+    rules = R.route_rules(spark).unionByName(R.route_rules(spark))
+    ev = spark.createDataFrame([("InsertIntoHiveTable",), ("Other",)], "command string")
+    assert [r.route for r in R.route_writes(ev, rules).orderBy("command").collect()] == ["LINEAGE", "UNSUPPORTED"]
 
 
 def test_trim_and_purge(spark):

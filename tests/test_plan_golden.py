@@ -10,9 +10,9 @@ from provena.operators.route import DEFAULT_POLICY, STRICT_POLICY
 from provena.plans.capture import capture, plan_log
 from provena.plans.shred import event_tables_from_plans
 
-CTAS = "CREATE_HIVE_TABLE_AS_SELECT"
-INSERT = "INSERT_INTO_HIVE_TABLE"
-DS_CTAS = "CREATE_DATASOURCE_TABLE_AS_SELECT"
+CTAS = "CreateHiveTableAsSelectCommand"
+INSERT = "InsertIntoHiveTable"
+DS_CTAS = "CreateDataSourceTableAsSelectCommand"
 
 
 @pytest.fixture(scope="module")

@@ -91,14 +91,33 @@ def test_ddl_helpers(spark):
 
 
 def test_dedupe_stream_drops_redelivery(spark, tmp_path):
-    rows = [(i, f"2024-01-01 00:00:{i:02d}", "hive_process", f"p{i % 5}") for i in range(20)]
+    # deliveries years apart and in no order of time, one file a trigger: every first one stays
+    rows = [(i, f"{2000 + i * 7 % 20}-01-01 00:00:{i:02d}", "hive_process", f"p{i % 5}") for i in range(20)]
     df = (spark.createDataFrame(rows, "event_id bigint, ts string, type_name string, qualified_name string")
           .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
     src = str(tmp_path / "feed")
-    df.write.parquet(src)
-    df.write.mode("append").parquet(src)
-    stream = spark.readStream.schema(df.schema).parquet(src)
+    for part in ("event_id < 9", "event_id BETWEEN 4 AND 15", "event_id > 7", "true"):
+        df.where(part).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     (S.dedupe_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
     assert spark.read.parquet(out).count() == 20
+
+
+def test_empty_batch_and_bad_plans(spark):
+    """A batch without rows writes empty products; a plan that cannot be read is quarantined, the others go on."""
+    src, out = scratch_path(spark, "plan_log_b"), scratch_path(spark, "out_b")
+    plan_log(Tables(spark, SF_SMALL)).write.parquet(src)
+    log = spark.read.parquet(src)
+    S.lineage_batch_writer(out)(log.limit(0), 0)
+    assert spark.read.parquet(f"{out}/table_lineage/batch_id=0").count() == 0
+    good = {r.event_id for r in spark.read.parquet(src).select("event_id").collect()}
+    some = sorted(good)[:40]
+    bad = F.when(F.col("event_id") == some[0], "{not json").when(F.col("event_id") == some[1], "[{\"x\":")
+    S.lineage_batch_writer(out)(log.where(F.col("event_id").isin(some)).withColumn(
+        "plan_json", F.coalesce(bad, F.col("plan_json"))).withColumn("status", F.lit("SUCCESS")).withColumn(
+        "command", F.lit("CreateHiveTableAsSelectCommand")), 1)
+    reasons = {r.event_id: r.reason for r in spark.read.parquet(f"{out}/quarantine/batch_id=1").collect()}
+    assert {i for i, r in reasons.items() if r == "BAD_PLAN"} == set(some[:2])
+    assert spark.read.parquet(f"{out}/table_lineage/batch_id=1").count() == 38
