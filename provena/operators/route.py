@@ -118,13 +118,12 @@ def resolve_target(routed: DataFrame, ns: str = K.NAMESPACE) -> DataFrame:
 def classify_plan(nodes: DataFrame) -> DataFrame:
     """P2 (+ Q4): which plan kinds an execution carries.
 
-    Nodes come in pre-order as a chain; the hook collects union children and
-    then meets the same child again in the pre-order walk, so a write command
-    right under a union is counted twice (``n_write_cmds``).
+    Nodes are a tree by ``parent_pos``.  The hook collects the children of
+    each union and then meets them again in its walk over the plan, so every
+    write command right under a union counts twice (``n_write_cmds``).
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy("event_id").orderBy("node_pos")
-    with_parent = nodes.withColumn("parent_cls", F.lag("cls").over(w))
+    parent = nodes.select("event_id", F.col("node_pos").alias("parent_pos"), F.col("cls").alias("parent_cls"))
+    with_parent = nodes.join(parent, ["event_id", "parent_pos"], "left")
     is_write = F.col("cls") == "DataWritingCommandExec"
     return with_parent.groupBy("event_id").agg(
         F.max((F.col("cls") == "ExecutedCommandExec").cast("int")).cast("boolean").alias("has_ddl"),

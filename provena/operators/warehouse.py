@@ -125,9 +125,19 @@ def overwrite_partition(df: DataFrame, table: str, partition: dict, staged: bool
 
 
 def overwrite_dynamic(df: DataFrame, table: str) -> DataFrame:
-    """K5: overwrite only the partitions present in ``df`` (dynamic mode, for this write alone)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-    return df.sparkSession.table(table)
+    """K5: overwrite only the partitions present in ``df``, which may read the table itself.
+
+    ``insertInto`` takes the mode from the session alone (a writer option is not heard, and the whole table would be
+    overwritten), so the session's mode is set for this write and put back."""
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, "STATIC")
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
+    return spark.table(table)
 
 
 def multi_insert(src: DataFrame, table: str, branches: list[tuple[str, dict]], staged: bool = True) -> DataFrame:

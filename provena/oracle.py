@@ -63,22 +63,25 @@ _view("fx_catalog_event", (), """
 SELECT event_id, ts, user_id AS session_id,
   CASE WHEN k < 5 THEN CASE event_type WHEN 'signup' THEN 'CreateDatabaseEvent' WHEN 'error' THEN 'DropDatabaseEvent' WHEN 'purchase' THEN 'AlterDatabaseEvent' ELSE 'Ignored' END
        ELSE CASE event_type WHEN 'signup' THEN 'CreateTableEvent' WHEN 'error' THEN 'DropTableEvent' WHEN 'purchase' THEN 'AlterTableEvent' WHEN 'click' THEN 'RenameTableEvent' ELSE 'CreateTablePre' END END AS kind,
-  'db' || CAST(k % 5 AS VARCHAR) AS db,
-  CASE WHEN k < 5 THEN NULL ELSE 't_' || CAST(k AS VARCHAR) END AS tbl,
-  CASE WHEN k >= 5 AND event_type = 'click' THEN 't_' || CAST(5 + (k + event_id) % 95 AS VARCHAR) END AS new_name,
+  CASE WHEN k % 5 = 4 THEN 'lake' ELSE 'db' || CAST(k % 5 AS VARCHAR) END AS db,
+  CASE WHEN k < 5 THEN NULL WHEN k % 10 = 7 THEN 'gone_' || CAST(k AS VARCHAR)
+       ELSE 't_' || CAST(k + 100 * (event_id // 2000) AS VARCHAR) END AS tbl,
+  CASE WHEN k >= 5 AND event_type = 'click'
+       THEN 't_' || CAST(5 + (k + event_id) % 95 + 100 * (event_id // 2000) AS VARCHAR) END AS new_name,
   CASE WHEN k >= 5 AND event_type = 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 'dataSchema' ELSE 'stats' END END AS change_kind
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) e""")
 
 _view("fx_catalog_column", (), """
-SELECT 'db' || CAST((p_partkey % 100) % 5 AS VARCHAR) AS db, 't_' || CAST(p_partkey % 100 AS VARCHAR) AS tbl,
-  CAST(row_number() OVER (PARTITION BY p_partkey % 100 ORDER BY p_partkey) AS INT) AS pos,
+SELECT CASE WHEN p_partkey % 5 = 4 THEN 'lake' ELSE 'db' || CAST(p_partkey % 5 AS VARCHAR) END AS db,
+  't_' || CAST(p_partkey % 100 + 100 * (p_partkey // 400) AS VARCHAR) AS tbl,
+  CAST(row_number() OVER (PARTITION BY p_partkey % 100 + 100 * (p_partkey // 400) ORDER BY p_partkey) AS INT) AS pos,
   'Col_' || CAST(p_partkey AS VARCHAR) AS name, lower(p_type) AS data_type,
   CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_name END AS comment
-FROM part WHERE p_partkey % 100 >= 10""")
+FROM part""")
 
 _view("fx_database", (), """
 SELECT 'db' || CAST(n_nationkey AS VARCHAR) AS name, n_name AS description, '/wh/' || lower(n_name) AS location_uri
-FROM nation WHERE n_nationkey < 4""")
+FROM nation""")
 
 _view("fx_sql_text", (), """
 SELECT user_id AS session_id, ts, 'sql_' || CAST(event_id AS VARCHAR) AS sql_text FROM events WHERE event_type = 'view'""")
@@ -110,7 +113,9 @@ SELECT l_orderkey AS event_id,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS node_pos,
   CASE l_partkey % 7 WHEN 0 THEN 'ExecutedCommandExec' WHEN 1 THEN 'DataWritingCommandExec'
        WHEN 2 THEN 'WriteToDataSourceV2Exec' WHEN 3 THEN 'UnionExec' WHEN 4 THEN 'ProjectExec'
-       WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls
+       WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls,
+  CASE WHEN row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) > 1
+       THEN CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) // 2 AS INT) END AS parent_pos
 FROM lineitem""")
 
 # --- derived views shared by the lineage queries (default policy) -----------

@@ -294,7 +294,8 @@ SELECT event_id, bool_or(cls = 'ExecutedCommandExec') AS has_ddl, bool_or(cls =
   CAST(sum(CASE WHEN cls = 'DataWritingCommandExec' THEN 1 ELSE 0 END)
      + sum(CASE WHEN cls = 'DataWritingCommandExec' AND parent_cls = 'UnionExec' THEN 1 ELSE 0 END) AS BIGINT)
     AS n_write_cmds
-FROM (SELECT *, lag(cls) OVER (PARTITION BY event_id ORDER BY node_pos) AS parent_cls FROM fx_plan_node) n
+FROM (SELECT n.*, p.cls AS parent_cls FROM fx_plan_node n
+      LEFT JOIN fx_plan_node p ON n.event_id = p.event_id AND n.parent_pos = p.node_pos) n
 GROUP BY event_id""", "fx_plan_node"))
 def classify_plan_q(spark, sf_dir):
     from .operators.route import classify_plan

@@ -13,10 +13,9 @@ attribute and ``events`` doubles as catalog log and SQL/execution log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import ordinal
 from ..session import Tables
 
 
@@ -106,25 +105,23 @@ def catalog_event(t: Tables) -> DataFrame:
                 ELSE CASE event_type WHEN 'signup' THEN 'CreateTableEvent' WHEN 'error' THEN 'DropTableEvent'
                                      WHEN 'purchase' THEN 'AlterTableEvent' WHEN 'click' THEN 'RenameTableEvent'
                                      ELSE 'CreateTablePre' END END AS kind""",
-        "concat('db', CAST(k % 5 AS STRING)) AS db",
-        "CASE WHEN k < 5 THEN NULL ELSE concat('t_', CAST(k AS STRING)) END AS tbl",
+        "CASE WHEN k % 5 = 4 THEN 'lake' ELSE concat('db', CAST(k % 5 AS STRING)) END AS db",
+        """CASE WHEN k < 5 THEN NULL WHEN k % 10 = 7 THEN concat('gone_', CAST(k AS STRING))
+                ELSE concat('t_', CAST(k + 100 * (event_id DIV 2000) AS STRING)) END AS tbl""",
         """CASE WHEN k >= 5 AND event_type = 'click'
-                THEN concat('t_', CAST(5 + (k + event_id) % 95 AS STRING)) END AS new_name""",
+                THEN concat('t_', CAST(5 + (k + event_id) % 95 + 100 * (event_id DIV 2000) AS STRING)) END AS new_name""",
         """CASE WHEN k >= 5 AND event_type = 'purchase'
                 THEN CASE WHEN event_id % 2 = 0 THEN 'dataSchema' ELSE 'stats' END END AS change_kind""",
     )
 
 
 def catalog_column(t: Tables) -> DataFrame:
-    """Current table definitions: one row per column.  Tables t_5..t_9 have none on purpose.
-
-    Only 90 tables exist, so column positions are numbered with ``ordinal``
-    (exact row numbers, each table split over many tasks) rather than a
-    window that would sort every table in one task."""
-    base = t.part.where("p_partkey % 100 >= 10").selectExpr(
-        "p_partkey % 100 AS grp", "p_partkey", "p_type", "p_size", "p_name")
-    return ordinal(base, ["grp"], ["p_partkey"], "pos").selectExpr(
-        "concat('db', CAST(grp % 5 AS STRING)) AS db",
+    """Current table definitions: one row per column.  The number of tables grows with ``part``, and a table has at
+    most a few columns.  The ``gone_`` tables of the events have none on purpose."""
+    base = t.part.selectExpr("p_partkey % 100 + 100 * (p_partkey DIV 400) AS grp", "p_partkey", "p_type", "p_size", "p_name")
+    pos = F.row_number().over(Window.partitionBy("grp").orderBy("p_partkey"))
+    return base.withColumn("pos", pos).selectExpr(
+        "CASE WHEN grp % 5 = 4 THEN 'lake' ELSE concat('db', CAST(grp % 5 AS STRING)) END AS db",
         "concat('t_', CAST(grp AS STRING)) AS tbl",
         "pos",
         "concat('Col_', CAST(p_partkey AS STRING)) AS name",
@@ -134,8 +131,8 @@ def catalog_column(t: Tables) -> DataFrame:
 
 
 def database(t: Tables) -> DataFrame:
-    """Database definitions; ``db4`` is missing on purpose."""
-    return t.nation.where("n_nationkey < 4").selectExpr(
+    """Database definitions; the events' ``lake`` has none on purpose."""
+    return t.nation.selectExpr(
         "concat('db', CAST(n_nationkey AS STRING)) AS name", "n_name AS description",
         "concat('/wh/', lower(n_name)) AS location_uri")
 
@@ -177,8 +174,7 @@ def ddl_event(t: Tables) -> DataFrame:
 
 
 def plan_node(t: Tables) -> DataFrame:
-    """Physical plan nodes of executions in pre-order (node_pos), as a chain
-    (each node's parent is the previous node)."""
+    """Physical plan nodes of executions: a tree by ``parent_pos``, in which every node may have two children."""
     return t.lineitem.selectExpr(
         "l_orderkey AS event_id",
         "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)"
@@ -186,7 +182,7 @@ def plan_node(t: Tables) -> DataFrame:
         """CASE l_partkey % 7 WHEN 0 THEN 'ExecutedCommandExec' WHEN 1 THEN 'DataWritingCommandExec'
                 WHEN 2 THEN 'WriteToDataSourceV2Exec' WHEN 3 THEN 'UnionExec' WHEN 4 THEN 'ProjectExec'
                 WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls""",
-    )
+    ).selectExpr("*", "CASE WHEN node_pos > 1 THEN node_pos DIV 2 END AS parent_pos")
 
 
 ALL = {

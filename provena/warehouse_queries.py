@@ -1,7 +1,6 @@
 """Warehouse workload queries.
 
-``customer`` plays the employee table (id, name, job, salary, deptno =
-nation key) and ``nation`` the department table.  Every query writes into a
+``customer`` gives a table of accounts, partitioned by nation; ``supplier`` and ``nation`` give the joined rows.  Every query writes into a
 fresh database under the shared checkpoint folder and returns the final
 table content, so the oracle compares what actually landed.
 """
@@ -17,177 +16,177 @@ from .operators import warehouse as W
 from .queries import query
 from .session import Tables, scratch_path
 
-EMP_SQL = ("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS job, c_acctbal AS salary, "
-           "c_nationkey AS deptno FROM customer")
-EMP_DEPT_SQL = ("SELECT c_name || c_mktsegment AS name_job, abs(c_acctbal) AS abs_balance, c_nationkey, n.* "
-                "FROM customer LEFT JOIN nation n ON c_nationkey = n_nationkey")
-EMP_SCHEMA = T.StructType([
+ACCOUNT_SQL = ("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance, "
+           "c_nationkey AS nation_no FROM customer")
+PLACES_SQL = ("SELECT s_suppkey AS account, concat(s_name, ':', CAST(s_suppkey AS VARCHAR)) AS label, abs(s_acctbal) AS amount, n.* "
+              "FROM supplier LEFT JOIN nation n ON n_nationkey = s_nationkey AND s_acctbal > 0")
+ACCOUNT_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
-    T.StructField("job", T.StringType()), T.StructField("salary", T.DoubleType()),
+    T.StructField("segment", T.StringType()), T.StructField("balance", T.DoubleType()),
 ])
-EMP_SCHEMA_P = T.StructType(EMP_SCHEMA.fields + [T.StructField("deptno", T.IntegerType())])
+ACCOUNT_SCHEMA_P = T.StructType(ACCOUNT_SCHEMA.fields + [T.StructField("nation_no", T.IntegerType())])
 
 
-def employees(spark, sf_dir):
+def accounts(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
     return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                    F.col("c_mktsegment").alias("job"), F.col("c_acctbal").alias("salary"),
-                    F.col("c_nationkey").alias("deptno"))
+                    F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"),
+                    F.col("c_nationkey").alias("nation_no"))
 
 
-def emp_dept(spark, sf_dir):
-    """J3 + P6 + F1 + F2: employee LEFT JOIN department, derived columns, qualified star."""
+def places(spark, sf_dir):
+    """J3 + P6 + F1 + F2: supplier LEFT JOIN nation (only where the balance is positive), derived columns, qualified star."""
     t = Tables(spark, sf_dir)
-    c, n = t.customer, t.nation
-    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
-    return j.select(F.concat(c["c_name"], c["c_mktsegment"]).alias("name_job"),
-                    F.abs(c["c_acctbal"]).alias("abs_balance"), c["c_nationkey"], n["*"])
+    s, n = t.supplier, t.nation
+    j = s.join(n, (n["n_nationkey"] == s["s_nationkey"]) & (s["s_acctbal"] > 0), "left")
+    return j.select(s["s_suppkey"].alias("account"), F.concat(s["s_name"], F.lit(":"), s["s_suppkey"].cast("string")).alias("label"),
+                    F.abs(s["s_acctbal"]).alias("amount"), n["*"])
 
 
-def _emp_table(spark, sf_dir, db, name="t_employee"):
-    return W.save_table(employees(spark, sf_dir), f"{db}.{name}", partition_by=["deptno"])
+def _account_table(spark, sf_dir, db, name="accounts"):
+    return W.save_table(accounts(spark, sf_dir), f"{db}.{name}", partition_by=["nation_no"])
 
 
-@query("emp_dept_left_join", EMP_DEPT_SQL)
+@query("emp_dept_left_join", PLACES_SQL)
 def emp_dept_left_join(spark, sf_dir):
-    return emp_dept(spark, sf_dir)
+    return places(spark, sf_dir)
 
 
-@query("ctas_readback", EMP_DEPT_SQL)
+@query("ctas_readback", PLACES_SQL)
 def ctas_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    return W.ctas(emp_dept(spark, sf_dir), f"{db}.t_results")
+    return W.ctas(places(spark, sf_dir), f"{db}.balances")
 
 
-@query("save_table_readback", EMP_DEPT_SQL)
+@query("save_table_readback", PLACES_SQL)
 def save_table_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    name = f"{db}.t_save_001"
-    W.save_table(employees(spark, sf_dir).where(F.col("id") % 2 == 0), name)
-    return W.save_table(emp_dept(spark, sf_dir), name, mode="overwrite")
+    name = f"{db}.balances_saved"
+    W.save_table(accounts(spark, sf_dir).where(F.col("id") % 2 == 0), name)
+    return W.save_table(places(spark, sf_dir), name, mode="overwrite")
 
 
-@query("append_readback", EMP_SQL)
+@query("append_readback", ACCOUNT_SQL)
 def append_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    name = f"{db}.t_emp"
-    emp = employees(spark, sf_dir)
+    name = f"{db}.accounts"
+    emp = accounts(spark, sf_dir)
     W.ctas(emp.where(F.col("id") % 2 == 0), name)
     return W.append_table(emp.where(F.col("id") % 2 == 1), name)
 
 
 @query("static_partition_overwrite", f"""
-SELECT * FROM ({EMP_SQL}) e WHERE deptno <> 20
-UNION ALL SELECT id, name, job, salary, 20 AS deptno FROM ({EMP_SQL}) e WHERE deptno = 10""")
+SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 20
+UNION ALL SELECT id, name, segment, balance, 20 AS nation_no FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10""")
 def static_partition_overwrite(spark, sf_dir):
     db = W.fresh_database(spark)
-    t = _emp_table(spark, sf_dir, db)
-    return W.overwrite_partition(t.where(F.col("deptno") == 10), f"{db}.t_employee", {"deptno": 20})
+    t = _account_table(spark, sf_dir, db)
+    return W.overwrite_partition(t.where(F.col("nation_no") == 10), f"{db}.accounts", {"nation_no": 20})
 
 
 @query("dynamic_partition_overwrite", f"""
-SELECT * FROM ({EMP_SQL}) e WHERE deptno <> 10
-UNION ALL SELECT * FROM ({EMP_SQL}) e WHERE deptno = 10 AND salary > 0""")
+SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 10
+UNION ALL SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10 AND balance > 0""")
 def dynamic_partition_overwrite(spark, sf_dir):
     db = W.fresh_database(spark)
-    t = _emp_table(spark, sf_dir, db)
-    return W.overwrite_dynamic(t.where((F.col("deptno") == 10) & (F.col("salary") > 0)), f"{db}.t_employee")
+    t = _account_table(spark, sf_dir, db)
+    return W.overwrite_dynamic(t.where((F.col("nation_no") == 10) & (F.col("balance") > 0)), f"{db}.accounts")
 
 
 @query("multi_insert", f"""
-SELECT * FROM ({EMP_SQL}) e WHERE deptno NOT IN (20, 21)
-UNION ALL SELECT id, name, job, salary, 20 AS deptno FROM ({EMP_SQL}) e WHERE deptno = 10
-UNION ALL SELECT * FROM ({EMP_SQL}) e WHERE deptno = 21 AND salary > 0""")
+SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no NOT IN (20, 21)
+UNION ALL SELECT id, name, segment, balance, 20 AS nation_no FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10
+UNION ALL SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 21 AND balance > 0""")
 def multi_insert(spark, sf_dir):
     db = W.fresh_database(spark)
-    t = _emp_table(spark, sf_dir, db)
-    return W.multi_insert(t, f"{db}.t_employee",
-                          [("deptno = 10", {"deptno": 20}), ("deptno = 21 AND salary > 0", {"deptno": 21})])
+    t = _account_table(spark, sf_dir, db)
+    return W.multi_insert(t, f"{db}.accounts",
+                          [("nation_no = 10", {"nation_no": 20}), ("nation_no = 21 AND balance > 0", {"nation_no": 21})])
 
 
-@query("overwrite_table_from_first", EMP_DEPT_SQL)
+@query("overwrite_table_from_first", PLACES_SQL)
 def overwrite_table_from_first(spark, sf_dir):
     db = W.fresh_database(spark)
-    name = f"{db}.t_emp_dim"
-    W.ctas(emp_dept(spark, sf_dir).where(F.col("c_nationkey") < 5), name)
+    name = f"{db}.balances_dim"
+    W.ctas(places(spark, sf_dir).where(F.col("account") < 5), name)
     t = Tables(spark, sf_dir)
-    cv, nv = f"customer_{uuid.uuid4().hex[:8]}", f"nation_{uuid.uuid4().hex[:8]}"
-    t.customer.createOrReplaceTempView(cv)
+    sv, nv = f"supplier_{uuid.uuid4().hex[:8]}", f"nation_{uuid.uuid4().hex[:8]}"
+    t.supplier.createOrReplaceTempView(sv)
     t.nation.createOrReplaceTempView(nv)
-    q = (f"SELECT concat(e.c_name, e.c_mktsegment) name_job, abs(e.c_acctbal) abs_balance, e.c_nationkey, d.* "
-         f"FROM {cv} e LEFT JOIN {nv} d ON e.c_nationkey = d.n_nationkey")
+    q = (f"SELECT s_suppkey account, concat(s_name, ':', CAST(s_suppkey AS STRING)) label, abs(s_acctbal) amount, n.* "
+         f"FROM {sv} LEFT JOIN {nv} n ON n_nationkey = s_nationkey AND s_acctbal > 0")
     return W.overwrite_table(spark, q, name)
 
 
-@query("json_readback", f"SELECT * FROM ({EMP_SQL}) e WHERE deptno = 10")
+@query("json_readback", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
 def json_readback(spark, sf_dir):
     path = scratch_path(spark, "results_json")
-    W.save_json(employees(spark, sf_dir).where(F.col("deptno") == 10), path)
-    return spark.read.schema(EMP_SCHEMA_P).json(path)
+    W.save_json(accounts(spark, sf_dir).where(F.col("nation_no") == 10), path)
+    return spark.read.schema(ACCOUNT_SCHEMA_P).json(path)
 
 
 @query("load_overwrite", f"""
-SELECT * FROM ({EMP_SQL}) e WHERE deptno <> 10
-UNION ALL SELECT id, name, job, salary, 10 AS deptno FROM ({EMP_SQL}) e""")
+SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 10
+UNION ALL SELECT id, name, segment, balance, 10 AS nation_no FROM ({ACCOUNT_SQL}) e""")
 def load_overwrite(spark, sf_dir):
     db = W.fresh_database(spark)
-    _emp_table(spark, sf_dir, db)
-    path = scratch_path(spark, "t_employee_file")
-    employees(spark, sf_dir).drop("deptno").write.csv(path)
-    return W.load_overwrite(spark, path, f"{db}.t_employee", EMP_SCHEMA, partition={"deptno": 10})
+    _account_table(spark, sf_dir, db)
+    path = scratch_path(spark, "accounts_file")
+    accounts(spark, sf_dir).drop("nation_no").write.csv(path)
+    return W.load_overwrite(spark, path, f"{db}.accounts", ACCOUNT_SCHEMA, partition={"nation_no": 10})
 
 
-@query("create_like", f"SELECT * FROM ({EMP_SQL}) e WHERE 1 = 0")
+@query("create_like", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE 1 = 0")
 def create_like(spark, sf_dir):
     db = W.fresh_database(spark)
-    _emp_table(spark, sf_dir, db)
-    return W.create_like(spark, f"{db}.t_employee01", f"{db}.t_employee").select("id", "name", "job", "salary",
-                                                                                  "deptno")
+    _account_table(spark, sf_dir, db)
+    return W.create_like(spark, f"{db}.accounts_empty", f"{db}.accounts").select("id", "name", "segment", "balance",
+                                                                                  "nation_no")
 
 
-@query("external_csv_partitioned", EMP_SQL)
+@query("external_csv_partitioned", ACCOUNT_SQL)
 def external_csv_partitioned(spark, sf_dir):
     db = W.fresh_database(spark)
-    path = scratch_path(spark, "t_employee_ext")
-    employees(spark, sf_dir).write.partitionBy("deptno").csv(path)
-    return W.read_external_csv(spark, f"{db}.t_employee", path, EMP_SCHEMA_P, ["deptno"])
+    path = scratch_path(spark, "accounts_ext")
+    accounts(spark, sf_dir).write.partitionBy("nation_no").csv(path)
+    return W.read_external_csv(spark, f"{db}.accounts", path, ACCOUNT_SCHEMA_P, ["nation_no"])
 
 
-@query("view_source", f"SELECT * FROM ({EMP_SQL}) e WHERE deptno = 10")
+@query("view_source", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
 def view_source(spark, sf_dir):
     db = W.fresh_database(spark)
-    _emp_table(spark, sf_dir, db)
-    spark.sql(f"CREATE VIEW {db}.t_employ_v AS SELECT * FROM {db}.t_employee")
-    return spark.table(f"{db}.t_employ_v").where(F.col("deptno") == 10)
+    _account_table(spark, sf_dir, db)
+    spark.sql(f"CREATE VIEW {db}.accounts_v AS SELECT * FROM {db}.accounts")
+    return spark.table(f"{db}.accounts_v").where(F.col("nation_no") == 10)
 
 
-@query("partition_filter", f"SELECT * FROM ({EMP_SQL}) e WHERE deptno = 10")
+@query("partition_filter", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
 def partition_filter(spark, sf_dir):
     db = W.fresh_database(spark)
-    _emp_table(spark, sf_dir, db)
-    return spark.table(f"{db}.t_employee").where(F.col("deptno") == 10)
+    _account_table(spark, sf_dir, db)
+    return spark.table(f"{db}.accounts").where(F.col("nation_no") == 10)
 
 
-@query("rename_readback", EMP_SQL)
+@query("rename_readback", ACCOUNT_SQL)
 def rename_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    W.ctas(employees(spark, sf_dir), f"{db}.t_results")
+    W.ctas(accounts(spark, sf_dir), f"{db}.balances")
     W.drop_table(spark, f"{db}.results")
-    return W.rename_table(spark, f"{db}.t_results", f"{db}.results")
+    return W.rename_table(spark, f"{db}.balances", f"{db}.results")
 
 
 @query("split_lines", """
-SELECT CAST(c_custkey AS INT) AS id, c_name AS name, c_acctbal > 0 AS sex, c_nationkey AS age, c_acctbal AS salary
+SELECT CAST(c_custkey AS INT) AS id, c_name AS name, c_acctbal > 0 AS sex, c_nationkey AS age, c_acctbal AS balance
 FROM customer""")
 def split_lines(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
-    path = scratch_path(spark, "t_user")
+    path = scratch_path(spark, "people")
     (c.select(F.concat_ws(" ", "c_custkey", "c_name", (F.col("c_acctbal") > 0).cast("string"), "c_nationkey",
                           "c_acctbal").alias("value"))
      .write.text(path))
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
                            T.StructField("sex", T.BooleanType()), T.StructField("age", T.IntegerType()),
-                           T.StructField("salary", T.DoubleType())])
+                           T.StructField("balance", T.DoubleType())])
     return W.read_split_lines(spark.read.text(path), schema)
 
 
@@ -195,7 +194,7 @@ def split_lines(spark, sf_dir):
 SELECT c_custkey AS key, 3 AS n_items, CAST(c_nationkey AS VARCHAR) AS nat, c_mktsegment AS seg FROM customer""")
 def text_table_collections(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
-    path = scratch_path(spark, "t_dept")
+    path = scratch_path(spark, "packed")
     items = F.concat_ws("|", "c_mktsegment", "c_nationkey", "c_name")
     kv = F.concat(F.lit("seg>"), F.col("c_mktsegment"), F.lit("|nat>"), F.col("c_nationkey").cast("string"))
     c.select(F.concat_ws(",", "c_custkey", "c_name", items, kv).alias("value")).write.text(path)

@@ -257,3 +257,11 @@ def test_asof_null_session_gets_no_text(spark):
     for buckets in (1, 4):
         got = {r.event_id: r.sql_text for r in attach_sql(ex, tx, num_buckets=buckets).collect()}
         assert got == {1: None, 2: "a"}
+
+
+def test_classify_plan_counts_every_write_under_a_union(spark):
+    from provena.operators.route import classify_plan
+    kinds = ["UnionExec", "DataWritingCommandExec", "FileSourceScanExec", "DataWritingCommandExec", "FileSourceScanExec"]
+    nodes = spark.createDataFrame([(1, i + 1, k, p) for i, (k, p) in enumerate(zip(kinds, [None, 1, 2, 1, 4]))],
+                                  "event_id bigint, node_pos int, cls string, parent_pos int")
+    assert classify_plan(nodes).first().n_write_cmds == 4
