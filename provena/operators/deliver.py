@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .ranking import ordinal
 
 
 def _entity_ref(r):
@@ -61,16 +62,20 @@ def to_messages(lineage, topic: str = K.HOOK_TOPIC) -> DataFrame:
                       F.col("entities")[0]["typeName"].alias("first_type"))
 
 
-def keyed_for_sink(messages: DataFrame, partitions: int | None = None) -> DataFrame:
-    """T5: messages of one key in one partition, in event order (Kafka partitions by key too)."""
-    df = messages.repartition(partitions, "key") if partitions else messages.repartition("key")
-    return df.sortWithinPartitions("key", "event_id")
+def keyed_for_sink(messages: DataFrame) -> DataFrame:
+    """T5: every message with its number ``seq`` among those of its key, in event order.
+
+    The rows are range partitioned by (key, event), so a key that holds a
+    third of them is written by many tasks, and a reader restores the order
+    of a key from the numbers."""
+    return ordinal(messages, ["key"], ["event_id"], "seq")
 
 
 def write_messages(messages: DataFrame, fmt: str = "kafka", options: dict | None = None,
                    path: str | None = None, mode: str = "append") -> None:
     """Write ``(topic, key, value)``; ``fmt='kafka'`` needs the Kafka connector on the classpath."""
-    w = messages.select("topic", "key", "value").write.format(fmt).options(**(options or {}))
+    kept = ["topic", "key", "value"] + (["seq"] if fmt != "kafka" and "seq" in messages.columns else [])
+    w = messages.select(*kept).write.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         w = w.mode(mode)
     w.save(path) if path else w.save()

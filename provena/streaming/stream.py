@@ -74,6 +74,12 @@ def _write_batch(df: DataFrame, out: str, product: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{out}/{product}/batch_id={batch_id}")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a batch's own intermediate (a folder this module wrote)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.NAMESPACE,
                          send=None, dead_letter_path: str | None = None):
     """``foreachBatch`` function: plan-log batch -> lineage products.
@@ -98,6 +104,7 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
         msgs = to_messages(lin)
         _write_batch(msgs, out, "messages", batch_id)
         msgs = spark.read.parquet(f"{out}/messages/batch_id={batch_id}")
+        _remove(spark, f"{out}/_nodes/batch_id={batch_id}")  # all products are stored
         if send is not None:
             send_with_retry(msgs.select("topic", "key", "value"), send, dead_letter_path, batch_id=batch_id)
     return run
