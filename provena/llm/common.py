@@ -173,25 +173,38 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (span_hash(_FOLDED[raw], start, end) if len(raw) else np.zeros(0, np.uint64)), doc
 
 
-def shingles(words: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> list[np.ndarray]:
-    """Per text the sorted distinct hashes of its k-word shingles; with fewer words, the whole sequence as one."""
+def shingles(words: np.ndarray, doc: np.ndarray, n_docs: int, k: int, rank: np.ndarray | None = None) -> list:
+    """Per text the sorted distinct hashes of its k-word shingles; with fewer words, the whole sequence as one.  With a
+    ``rank`` for every word, pairs of the hashes and the sum of the ranks of their words."""
     first = np.searchsorted(doc, np.arange(n_docs + 1))
+    low = None
     if len(words) >= k:
-        grams = np.zeros(len(words) - k + 1, np.uint64)
+        n = len(words) - k + 1
+        grams = np.zeros(n, np.uint64)
         for j in range(k):
-            grams = mix64(grams * np.uint64(0x9FB21C651E98DF25) + words[j:len(words) - k + 1 + j])
+            grams = mix64(grams * np.uint64(0x9FB21C651E98DF25) + words[j:n + j])
+        if rank is not None:
+            low = rank[:n].copy()
+            for j in range(1, k):
+                low += rank[j:n + j]
+    none = np.zeros(0, np.uint64)
     out = []
     for i in range(n_docs):
         a, b = first[i], first[i + 1]
         if b - a >= k:
-            out.append(np.unique(grams[a:b - k + 1]))
+            if rank is None:
+                out.append(np.unique(grams[a:b - k + 1]))
+            else:
+                h, at = np.unique(grams[a:b - k + 1], return_index=True)
+                out.append((h, low[a:b - k + 1][at]))
         elif b > a:
             h = np.zeros(1, np.uint64)
             for w in words[a:b]:
                 h = mix64(h * np.uint64(0x9FB21C651E98DF25) + w)
-            out.append(mix64(h + np.uint64(b - a)))
+            h = mix64(h + np.uint64(b - a))
+            out.append(h if rank is None else (h, rank[a:b].sum(keepdims=True)))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(none if rank is None else (none, none))
     return out
 
 

@@ -2,9 +2,10 @@
 
 1. Equal shingle sets form a class (a 128-bit digest of the sorted set); only classes go on.
 2. Two linked sets share a shingle among the first ``n - ceil(n * num / den) + 1`` of either, in any one order of all
-   shingles.  The order puts shingles that many documents share last (a list of the most frequent, whose length only
-   affects the order and never the result), so candidates are rare.  Shingles that a single class has are dropped by a
-   pre-aggregated count.
+   shingles.  The order goes by the logarithms of the counts of a shingle's words, summed; a word counts 0 if it is not
+   one of the most frequent (a list whose length affects the order and never the result).  So the first shingles are
+   those with several rare words, and unrelated texts seldom share one.  Shingles that a single class has are dropped
+   by a pre-aggregated count.
 3. What is left is dealt into tiles: a shingle and a band of sizes, with each class in its own band and the one below,
    since linked sets differ in size by ``num / den`` at most.  Tiles with the same members are one tile.
 4. In a tile a hashed bitmap of each set bounds the overlap from above: every differing bit is a shingle that only one
@@ -33,9 +34,11 @@ from pyspark.sql import types as T
 from .common import Lookup, add_columns, buffer_of, ship, shingles, slices, stored, texts_of, word_hashes
 from .components import components
 
-#: How many of the most frequent shingles the order knows; 2 MB of broadcast.
+#: How many of the most frequent words the order knows; 2 MB of broadcast.
 FREQUENT = 1 << 17
 BLOCK = 256
+#: up to so many candidate pairs for each member are told apart from the others of their tiles and checked once
+PAIRS = 4
 
 
 def sets_of(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -48,13 +51,12 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that most documents share, as far as a slice of the input holds them twice, and how often."""
+def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the most frequent words, as far as a slice of the input holds them twice, and their counts."""
 
     def count(batches):
         for b in slices(batches, "text"):
-            s = sets_of(texts_of(b, "text"), k)
-            h, c = np.unique(np.concatenate(s), return_counts=True)
+            h, c = np.unique(word_hashes(*buffer_of(texts_of(b, "text")))[0], return_counts=True)
             h, c = h[c > 1], c[c > 1]
             if len(h):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
@@ -65,62 +67,103 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n (set size), dig (binary digest), node (its first 64 bits), prefix (array of long)."""
+    """doc_id, n (set size), dig (binary digest), node (its first 64 bits), prefix (array of long), bits (bitmap)."""
     spark = docs.sparkSession
-    heavy = spark.sparkContext.broadcast(frequent_shingles(docs, k))
+    heavy = spark.sparkContext.broadcast(frequent_words(docs))
     fields = [T.StructField("n", T.LongType(), False), T.StructField("dig", T.BinaryType(), True),
-              T.StructField("node", T.LongType(), True), T.StructField("prefix", T.ArrayType(T.LongType()), True)]
+              T.StructField("node", T.LongType(), True), T.StructField("prefix", T.ArrayType(T.LongType()), True),
+              T.StructField("bits", T.BinaryType(), True)]
 
     def setup():
         h, c = heavy.value
-        return Lookup(h), c
+        return Lookup(h), np.round(16 * np.log2(1 + c)).astype(np.int64)
 
     def fn(state, texts, _):
         lookup, often = state
-        sets = sets_of(texts, k)
-        size = np.array([len(s) for s in sets])
-        at = lookup.find(np.concatenate(sets))
-        count = np.where(at >= 0, often[at] if len(often) else 0, 0)
-        ends = np.cumsum(size)
-        digs, nodes, prefixes = [], [], []
-        for s, e in zip(sets, ends.tolist()):
+        words, doc = word_hashes(*buffer_of(texts))
+        at = lookup.find(words)
+        rank = np.where(at >= 0, often[at] if len(often) else 0, 0)  # in whole steps, so that sums are exact
+        sets = shingles(words, doc, len(texts), k, rank)
+        size = np.array([len(s) for s, _ in sets], np.int64)
+        digs, nodes, prefixes, maps = [], [], [], []
+        for s, low in sets:
             n = len(s)
             if not n:
-                digs.append(None), nodes.append(None), prefixes.append(None)
+                for column in (digs, nodes, prefixes, maps):
+                    column.append(None)
                 continue
             need = n - -(-num * n // den) + 1
-            c = count[e - n:e]
-            light = s[c == 0]
-            if len(light) >= need:
-                p = light[:need]
-            else:
-                rest = np.argsort(c, kind="stable")[len(light):need]  # by count, then by hash
-                p = np.concatenate([light, s[rest]])
+            p = s[np.lexsort((s, low))[:need]]
             d = digest(s)
             digs.append(d)
             nodes.append(int.from_bytes(d[:8], "little", signed=True))
             prefixes.append(p.view(np.int64))
-        return [pa.array(size, pa.int64()), pa.array(digs, pa.binary()), pa.array(nodes, pa.int64()), prefixes]
+            maps.append(bitmap(s))
+        return [pa.array(size, pa.int64()), pa.array(digs, pa.binary()), pa.array(nodes, pa.int64()), prefixes, pa.array(maps, pa.binary())]
 
     return add_columns(docs, "text", fields, fn, setup=setup).drop("text")
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A hashed bitmap per set, of one width: at least two bits for each shingle of the largest."""
-    bits = 1 << max(6, int(2 * max(len(s) for s in sets) - 1).bit_length())
-    out = np.zeros((len(sets), bits), np.uint8)
-    for i, s in enumerate(sets):
-        out[i, (s & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(out, axis=1).view(np.uint64)
+def bitmap(s: np.ndarray) -> bytes:
+    """A hashed bitmap of a set: a power of two of bits, at least two for each shingle."""
+    bits = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    out = np.zeros(bits, np.uint8)
+    out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
 
 
-def links_between(left: list, right: list | None, num: int, den: int) -> list[tuple[bytes, bytes]]:
-    """Links of a block: members (digest, label, set) of the left with those of the right, or the left among
-    themselves.  Pairs of one label, or that this block has already joined, are left out."""
-    every = left + (right or [])
-    sets = [m[2] for m in every]
-    size = np.array([len(s) for s in sets])
-    maps = bitmaps(sets)
+def folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps of several widths at the smallest one: the upper half is laid over the lower."""
+    width = min(map(len, maps)) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, width), axis=0) for m in maps])
+
+
+def within_bound(i: int, js: np.ndarray, size: np.ndarray, maps: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Those of ``js`` that may be linked with i: a bit that differs is a shingle that only one of the two has, so the
+    differing bits bound the overlap from above."""
+    both = size[i] + size[js]
+    need = -(-num * both // (num + den))
+    fits = np.minimum(size[i], size[js]) >= need
+    js, both, need = js[fits], both[fits], need[fits]
+    differ = np.bitwise_count(maps[js] ^ maps[i]).sum(axis=1, dtype=np.int64)
+    return js[(both - differ) // 2 >= need]
+
+
+def partners(left: int, total: int, i: int) -> np.ndarray:
+    """Whom member i of the left is compared with: the right, or the left behind it where there is no right."""
+    return np.arange(left, total) if total > left else np.arange(i + 1, left)
+
+
+def candidates(left: list, right: list, num: int, den: int) -> tuple[list[tuple], list[tuple[int, tuple]]]:
+    """Pairs of members of a block with other labels and within the bound, as (digest, digest); where they would be
+    over ``PAIRS`` for each member, the members (side, member) that have such a partner instead.
+    A member: (digest, label, size, bitmap)."""
+    every = left + right
+    size = np.array([m[2] for m in every])
+    label = np.unique([m[1] for m in every], return_inverse=True)[1]
+    maps = folded([m[3] for m in every])
+    pairs: list[tuple] | None = []
+    live = np.zeros(len(every), bool)
+    for i in range(len(left)):
+        js = partners(len(left), len(every), i)
+        js = within_bound(i, js[label[js] != label[i]], size, maps, num, den)
+        live[js] = True
+        live[i] |= len(js) > 0
+        if pairs is not None:
+            pairs += [(every[i][0], every[j][0]) for j in js.tolist()]
+            if len(pairs) > PAIRS * len(every):
+                pairs = None
+    if pairs is not None:
+        return pairs, []
+    return [], [(int(k >= len(left)), every[k]) for k in np.flatnonzero(live).tolist()]
+
+
+def links_between(left: list, right: list, num: int, den: int) -> list[tuple[bytes, bytes]]:
+    """Links of a block by exact intersection, but for pairs of one label or already joined in this block.
+    A member: (digest, label, set)."""
+    every = left + right
+    size = np.array([len(m[2]) for m in every])
+    maps = folded([bitmap(m[2]) for m in every])
     root: dict[bytes, bytes] = {}
 
     def find(x: bytes) -> bytes:
@@ -131,58 +174,84 @@ def links_between(left: list, right: list | None, num: int, den: int) -> list[tu
 
     out = []
     for i in range(len(left)):
-        js = np.arange(len(left), len(every)) if right is not None else np.arange(i + 1, len(left))
-        if not len(js):
-            continue
-        both = size[i] + size[js]
-        need = -(-num * both // (num + den))
-        differ = np.bitwise_count(maps[js] ^ maps[i]).sum(axis=1, dtype=np.int64)
-        for j in js[(np.minimum(size[i], size[js]) >= need) & ((both - differ) // 2 >= need)].tolist():
+        for j in within_bound(i, partners(len(left), len(every), i), size, maps, num, den).tolist():
             a, b = find(every[i][1]), find(every[j][1])
             if a == b:
                 continue
-            same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            same = len(np.intersect1d(every[i][2], every[j][2], assume_unique=True))
             if den * same >= num * (size[i] + size[j] - same):
                 root[max(a, b)] = min(a, b)
                 out.append((every[i][0], every[j][0]))
     return out
 
 
-def links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) of the groups in ``members``: gid, side (0 or 1; a group with side 0 only is compared with itself),
-    dig, label."""
+def _groups(batches, columns: int):
+    """(gid, left members, right members) of rows sorted by gid and side."""
+    gid, group = None, ([], [])
+    for b in batches:
+        for g, side, *member in zip(*(b.column(i).to_pylist() for i in range(columns))):
+            if g != gid:
+                if gid is not None:
+                    yield gid, *group
+                gid, group = g, ([], [])
+            group[side].append(member)
+    if gid is not None:
+        yield gid, *group
+
+
+def links(members: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links (a, b), stored, of the groups in ``members``: gid, side (a group of side 0 only is compared with itself),
+    dig, label.  The bitmaps go to the groups first; then sets go where there are candidates.  A pair that is a
+    candidate in many groups is checked once."""
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (members.join(sets, "dig").select("gid", "side", "dig", "label", "set")
-            .repartition(n, "gid").sortWithinPartitions("gid", "side", "dig"))
-
-    def run(batches):
-        gid, group = None, ([], [])
 
-        def close():
-            found = links_between(group[0], group[1] or None, num, den) if group[0] and len(group[0]) + len(group[1]) > 1 else []
+    def sieve(batches):
+        for gid, left, right in _groups(batches, 6):
+            if left and len(left) + len(right) > 1:
+                pairs, live = candidates(left, right, num, den)
+                rows = [(None, 0, a, None, b) for a, b in pairs] + [(gid, side, m[0], m[1], None) for side, m in live]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                        pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["gid", "side", "dig", "label", "other"])
+
+    def settle(batches):
+        for _, left, right in _groups(batches, 5):
+            for side in (left, right):
+                for m in side:
+                    m[2] = np.frombuffer(m[2], np.uint64)
+            found = links_between(left, right, num, den) if left and len(left) + len(right) > 1 else []
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())],
                                                  names=["a", "b"])
 
-        for b in batches:
-            for g, side, dig, label, s in zip(*(b.column(i) for i in range(5))):
-                if g.as_py() != gid:
-                    yield from close()
-                    gid, group = g.as_py(), ([], [])
-                group[side.as_py()].append((dig.as_py(), label.as_py(), np.frombuffer(s.as_py(), np.uint64)))
-        yield from close()
+    live = stored(members.join(classes.select("dig", "n", "bits"), "dig").select("gid", "side", "dig", "label", "n", "bits")
+                  .repartition(n, "gid").sortWithinPartitions("gid", "side", "dig")
+                  .mapInArrow(sieve, "gid string, side int, dig binary, label binary, other binary"), "candidates")
+    pairs = live.where("other IS NOT NULL").select(F.least("dig", "other").alias("lead"), F.greatest("dig", "other").alias("dig")).distinct()
+    rows = stored(live.where("other IS NULL").drop("other").unionByName(_stars(pairs)), "members")
+    sets = _sets(docs, classes.join(rows.select("dig").distinct(), "dig", "left_semi"), k)
+    return stored(rows.join(sets, "dig").select("gid", "side", "dig", "label", "set")
+                  .repartition(n, "gid").sortWithinPartitions("gid", "side", "dig")
+                  .mapInArrow(settle, "a binary, b binary"), "links")
 
-    return rows.mapInArrow(run, "a binary, b binary")
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Groups (gid, side, dig, label) that compare each ``lead`` with its ``dig``s, a block of them at a time."""
+    share = pairs.groupBy("lead").agg(F.count(F.lit(1)).alias("c"))
+    block = F.pmod(F.hash("dig"), F.ceil(F.col("c") / BLOCK).cast("int"))
+    one = pairs.join(share, "lead").select(F.concat_ws(":", F.hex("lead"), block).alias("gid"), "lead", "dig")
+    member = one.select("gid", F.lit(1).alias("side"), "dig", F.col("dig").alias("label"))
+    first = one.select("gid", F.lit(0).alias("side"), F.col("lead").alias("dig"), F.col("lead").alias("label")).distinct()
+    return first.unionByName(member)
 
-def tiles(sig: DataFrame, num: int, den: int) -> DataFrame:
+
+def tiles(sig: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(tile, dig): classes that share a prefix shingle with another class of a size in reach; tiles with the same
     members are kept once."""
     keys = sig.select("node", F.explode("prefix").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     # classes by their 64-bit names until few are left, then by the whole digest
-    classes = sig.where("n > 0").groupBy("dig").agg(F.first("node").alias("node"), F.first("n").alias("n"))
-    met = keys.join(shared, "key").distinct().join(classes, "node")
+    met = keys.join(shared, "key").distinct().join(classes.select("node", "dig", "n"), "node")
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)) + 1e-9).cast("int")
     met = met.withColumn("band", F.explode(F.array(band, band - 1))).select("key", "band", "dig")
     met = stored(met, "tiles")
@@ -197,36 +266,30 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     ship(docs.sparkSession)
     src = docs.select("doc_id", "text")
     sig = stored(signatures(src, k, num, den), "signatures")
-    classes = stored(sig.where("n > 0").groupBy("dig").agg(F.min("doc_id").alias("rep")), "classes")
-    tile = stored(tiles(sig, num, den), "tile-members")
-
-    wanted = tile.select("dig").distinct()
-    sets = stored(_sets(src, sig.join(wanted, "dig", "left_semi"), k), "sets")
+    classes = stored(sig.where("n > 0").groupBy("dig").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("node", "n", "bits"))),
+                     "classes")
+    tile = stored(tiles(sig, classes, num, den), "tile-members")
 
     # every member with the smallest of its tile
     lead = tile.groupBy("tile").agg(F.min("dig").alias("lead"))
     star = tile.join(lead, "tile").where("dig <> lead").select("lead", "dig").distinct()
-    share = star.groupBy("lead").agg(F.count(F.lit(1)).alias("c"))
-    star = stored(star.join(share, "lead").select(
-        F.concat_ws(":", F.hex("lead"), F.pmod(F.hash("dig"), F.ceil(F.col("c") / BLOCK).cast("int"))).alias("gid"),
-        "lead", "dig"), "star")
-    member = star.select("gid", F.lit(1).alias("side"), "dig", F.col("dig").alias("label"))
-    first = star.select("gid", F.lit(0).alias("side"), F.col("lead").alias("dig"), F.col("lead").alias("label")).distinct()
-    found = stored(links(first.unionByName(member), sets, num, den), "star-links")
+    found = links(_stars(star), classes, src, k, num, den)
     root = components(found)
 
     # tiles whose members are not all joined yet, in full
     named = tile.join(root, F.col("dig") == F.col("node"), "left").select("tile", "dig", F.coalesce("root", "dig").alias("label"))
-    open_tiles = (named.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size"))
+    # the smallest member has been compared with all others, so the rest of the tile is what is left
+    body = named.join(lead, "tile").where("dig <> lead").drop("lead")
+    open_tiles = (body.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size"))
                   .where("x <> y").select("tile", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    left = named.join(open_tiles, "tile").withColumn("i", F.pmod(F.hash("dig"), F.col("blocks")))
+    left = body.join(open_tiles, "tile").withColumn("i", F.pmod(F.hash("dig"), F.col("blocks")))
     left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = left.select(F.concat_ws(":", "tile", F.least("i", "j"), F.greatest("i", "j")).alias("gid"),
                        F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "dig", "label")
-    more = stored(links(rest, sets, num, den), "tile-links")
+    more = links(rest, classes, src, k, num, den)
     root = components(found.unionByName(more))
 
-    comp = classes.join(root, F.col("dig") == F.col("node"), "left").select("dig", "rep", F.coalesce("root", "dig").alias("root"))
+    comp = classes.select("dig", "rep").join(root, F.col("dig") == F.col("node"), "left").select("dig", "rep", F.coalesce("root", "dig").alias("root"))
     least = comp.groupBy("root").agg(F.min("rep").alias("component_id"))
     comp = comp.join(least, "root").select("dig", "component_id")
     return (sig.select("doc_id", "n", "dig").join(comp, "dig", "left")
@@ -234,11 +297,11 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(dig, set) of the wanted classes, from the text of one document each."""
-    one = wanted.groupBy("dig").agg(F.min("doc_id").alias("doc_id")).where("doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.join(one, "doc_id", "left_semi")
-    # a class of documents without ids only
-    rows = rows.unionByName(docs.where("doc_id IS NULL")).select("text")
+    """(dig, set) of the wanted classes, from the text of one document each.  The list of those documents is stored, so
+    that the planner knows its size and sends it to the texts where it is small."""
+    ids = stored(wanted.select("rep").distinct(), "wanted")
+    rows = docs.join(ids.where("rep IS NOT NULL"), F.col("doc_id") == F.col("rep"), "left_semi")
+    rows = rows.unionByName(docs.where("doc_id IS NULL")).select("text")  # classes of documents without ids
 
     def run(batches):
         for b in slices(batches, "text"):
@@ -246,4 +309,4 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in s], pa.binary()),
                                               pa.array([x.tobytes() for x in s], pa.binary())], names=["dig", "set"])
 
-    return rows.mapInArrow(run, "dig binary, set binary").dropDuplicates(["dig"])
+    return rows.mapInArrow(run, "dig binary, set binary")
