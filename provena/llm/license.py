@@ -280,7 +280,8 @@ def fit_licences(docs: DataFrame, n: int = SAMPLE_DOCS) -> Model:
                 paragraphs += [" ".join(x.split()[:2 * HALF]) for x in t.split("\n")[:8]]  # examples, not what is scanned
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(paragraphs))], pa.binary())], names=["model"])
 
-    return pickle.loads(rows.mapInArrow(run, "model binary").collect()[0][0])
+    got = rows.mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0][0]) if got else Model([])  # without documents: the notices and like sentences alone
 
 
 def scan_licences(docs: DataFrame, model: Model) -> DataFrame:
