@@ -31,7 +31,7 @@ from .common import Lookup, add_columns, ship
 #: Fixed value: the word pattern of the tokenizer file (contractions, letters, one digit, other marks).
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 MAX_FILE_BYTES = 64 << 20
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
@@ -337,6 +337,16 @@ class WordBpe(ChunkEncoder):
         return b" ".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def token_texts(spec: bytes) -> list[bytes]:
+    """The text of every token id in UTF-8; all that decoding needs."""
+    d = json.loads(spec)
+    pairs = [*d["model"]["vocab"].items(), *((t["content"], t["id"]) for t in d["added_tokens"])]
+    out = [b""] * (max(i for _, i in pairs) + 1)
+    for s, i in pairs:
+        out[i] = s.encode()
+    return out
+
+
 _READY: dict[str, WordBpe] = {}
 
 
@@ -373,17 +383,17 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 def bpe_decode(ids: DataFrame, path: str, column: str = "token_ids") -> DataFrame:
     """All columns plus ``decoded`` (string).  A null id list decodes to ''."""
     ship(ids.sparkSession)
-    key, spec = load_tokenizer(ids.sparkSession, path)
+    _, spec = load_tokenizer(ids.sparkSession, path)
     src = ids.drop("decoded")
     schema = T.StructType([*src.schema.fields, T.StructField("decoded", T.StringType(), False)])
     at, names = src.columns.index(column), schema.names
 
     def run(batches):
-        enc = encoder_of(key, spec)
+        texts = token_texts(spec.value)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                out = [enc.decode(x or b"") for x in part.column(at).to_pylist()]
+                out = [b" ".join([texts[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary()).cast(pa.string())], names=names)
 
     return src.mapInArrow(run, schema)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 SLICE_BYTES = 2 << 20
+HASH_PIECE = 2 << 20
 
 _SHIPPED: set[str] = set()
 
@@ -141,7 +142,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for every pair, from one running sum; equal spans have equal hashes."""
+    """Hash of values[start:end] for every pair, from one running sum; equal spans have equal hashes.  Long rows are
+    worked through in pieces of about ``HASH_PIECE`` values (spans in ascending order), which gives the same hashes."""
+    if len(values) > HASH_PIECE and len(start) > 1:
+        out = np.empty(len(start), np.uint64)
+        a = 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(start, start[a] + HASH_PIECE)))
+            low, high = int(start[a]), int(end[b - 1])
+            out[a:b] = _span_hash(values[low:high], start[a:b] - low, end[a:b] - low)
+            a = b
+        return out
+    return _span_hash(values, start, end)
+
+
+def _span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = powers(len(values) + 1)
     run = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:len(values)], out=run[1:])

@@ -6,19 +6,19 @@ from tokenizers import Tokenizer
 from provena.llm.common import stored
 from provena.llm.queries import tokenizer_path
 
-from ..conftest import SF_SMALL
+from ..conftest import SF_MID
 from .cases import DOCS, odd_docs
 from .test_jaccard import plain_components
 
 
 def test_stages(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
-    bench = [r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    bench = [r.text for r in spark.read.parquet(f"{SF_MID}/benchmark.parquet").collect()]
     assert [name for name, _ in P.STAGES] == ["toxicity", "quality classifier", "n-gram Jaccard join", "benchmark decontamination",
                                               "BPE encoding and decoding"]
     for k, (_, stage) in enumerate(P.STAGES[:-1]):
-        out = stored(stage(spark, docs, SF_SMALL), "stage-test")
+        out = stored(stage(spark, docs, SF_MID), "stage-test")
         assert out.columns == docs.columns
         before, after = {r.doc_id: r for r in docs.collect()}, {r.doc_id: r for r in out.collect()}
         assert all(before[i] == r for i, r in after.items())
@@ -38,7 +38,7 @@ def test_stages(spark):
         docs = out
     t = Tokenizer.from_file(tokenizer_path())
     text = {r.doc_id: r.text for r in docs.collect()}
-    out = P.STAGES[-1][1](spark, docs, SF_SMALL).collect()
+    out = P.STAGES[-1][1](spark, docs, SF_MID).collect()
     assert len(out) == len(text)
     for r in out:
         assert np.frombuffer(r.token_ids, "<u4").tolist() == t.encode(text[r.doc_id], add_special_tokens=False).ids
@@ -48,9 +48,9 @@ def test_odd_rows(spark):
     """Nulls, clashing names and empty tables go through every stage; no column is lost or replaced."""
     docs = odd_docs(spark)
     for _, stage in P.STAGES[:-1]:
-        kept = stored(stage(spark, docs, SF_SMALL), "stage-test")
+        kept = stored(stage(spark, docs, SF_MID), "stage-test")
         assert kept.schema.names == DOCS.names
         assert kept.where("toxicity <> 'old'").count() == 0
-        assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
-    ids = [r.doc_id for r in P.drop_near_copies(spark, docs, SF_SMALL).where(F.col("doc_id").isNotNull()).collect()]
+        assert stage(spark, docs.limit(0), SF_MID).count() == 0
+    ids = [r.doc_id for r in P.drop_near_copies(spark, docs, SF_MID).where(F.col("doc_id").isNotNull()).collect()]
     assert 7 not in ids and ids.count(6) == 2  # rows of one id stay together
