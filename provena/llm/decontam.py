@@ -158,11 +158,17 @@ def find_items(items: Items, texts: list[str]) -> list[tuple[int, int, int, int,
     code, off = plain(texts)
     found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
     for d, i, low, high in items.regions(code, off):
+        places = found.get((d, i), ())
+        if any(distance == 0 and low <= start <= high for distance, start, _ in places):
+            continue  # the other row of bands saw this very place, without an edit
         text, item, k = code[off[d]:off[d + 1]], items.code[i], int(items.k[i])
         hit = align(item, text, low, high, k)
         if hit is None:
             continue
         distance, end = hit
+        if distance == 0:
+            found.setdefault((d, i), []).append((0, end - len(item), end))
+            continue
         # the start: the same alignment from the end, both turned round; its diagonals follow from the end
         turned = align(item[::-1], text[:end][::-1], -k, k, k)
         start = end - turned[1] if turned is not None and turned[0] == distance else max(0, end - len(item))
