@@ -8,8 +8,9 @@ syntax, that the mandatory fields are there once each, that the block has ``Cont
 ends, and that payload and block digests fit; anything else raises ``WarcError`` with file and offset.
 
 Payloads of at least ``MIN_REVISIT`` bytes that are equal (by SHA-1 and size) are kept once: the record of the largest
-``page_id`` is the response, the others are revisits that refer to it.  The pairing moves (page_id, digest, size) only,
-and the many copies of one payload are combined before the shuffle.
+``page_id`` is the response, the others are revisits that refer to it.  The pairing goes by page_id, size and digest, so
+two payloads of one page_id are decided apart; it moves these three only, and the many copies of one payload are combined
+before the shuffle.  Pages without an id, and rows that repeat ``OFTEN`` times or more, are spread over all archives.
 
 Defined results: null html is an empty payload; a null ``page_id`` is written as a record without that field and read
 back as null (it counts as smaller than any id); a null url becomes an empty target; repeated rows of one ``page_id``
@@ -32,12 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, slices
+from .common import ship, slices, stored
 from .tokenfile import store_of
 
 #: Fixed values of the formats: Zstandard's frame, dictionary and WARC's skippable frame numbers.
 FRAME_MAGIC, DICT_MAGIC, SKIP_MAGIC = 0xFD2FB528, 0xEC30A437, 0x184D2A5D
 MIN_REVISIT = 1000
+KEY = ("page_id", "size", "digest")
+#: A row repeated so often is spread over all archives; so many of them at most (a broadcast), the most frequent first.
+OFTEN, MOST = 1000, 1 << 16
 SAMPLE_BYTES, DICT_BYTES = 512 << 10, 32 << 10
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
@@ -205,38 +209,51 @@ def parse_record(data: bytes, where: str) -> dict:
     return fields | content
 
 
-def pair_copies(pages: DataFrame, minimum: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, refers_to) of every page whose payload another page with a larger id keeps."""
+def _known(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, size and SHA-1 (hex) of the payload."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    short = (pages.select("page_id", F.octet_length(payload).alias("size"), F.sha1(payload).alias("digest"))
-             .where((F.col("size") >= minimum) & F.col("page_id").isNotNull()))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
+                        F.octet_length(payload).alias("size"), F.sha1(payload).alias("digest"))
+
+
+def pair_copies(keys: DataFrame, minimum: int = MIN_REVISIT) -> DataFrame:
+    """(page_id, size, digest, refers_to), one row per key, of the keys whose payload a page with a larger id keeps.
+    ``keys`` has one row per (page_id, size, digest)."""
+    long = keys.where((F.col("size") >= minimum) & F.col("page_id").isNotNull()).select(*KEY)
     # the many copies of one payload are combined in each task before they move
-    keep = (short.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
+    keep = (long.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
             .where("least < refers_to").drop("least"))
-    return (short.join(keep, ["digest", "size"]).where("page_id < refers_to")
-            .select("page_id", "refers_to").distinct())
+    return long.join(keep, ["digest", "size"]).where("page_id < refers_to").select(*KEY, "refers_to")
 
 
 def write_archives(pages: DataFrame, folder: str, archives: int | None = None, minimum: int = MIN_REVISIT) -> DataFrame:
     """Write one record per page into ``archives`` files (the session's shuffle partitions by default), dealt by
-    ``page_id``; returns the stored list of files."""
+    page and payload; returns the stored list of files."""
     spark = pages.sparkSession
     ship(spark)
     n = archives or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    # dealt by page_id once: the join keeps that dealing, and the tasks that write get it
-    rows = (src.repartition(n, "page_id").join(pair_copies(src, minimum), "page_id", "left")
+    src = _known(pages)
+    keys = stored(src.where("page_id IS NOT NULL").groupBy(*KEY).agg(F.count(F.lit(1)).alias("times")), "warc-keys")
+    copies = stored(pair_copies(keys, minimum), "warc-copies")
+    # rows that repeat often, the most frequent of them, are spread over all archives; their pairs come by broadcast
+    often = (keys.where(F.col("times") >= OFTEN).orderBy(F.desc("times"), *KEY).limit(MOST).drop("times")
+             .join(copies, [*KEY], "left").select(*KEY, F.col("refers_to").alias("often_to"), F.lit(True).alias("often")))
+    spread = F.xxhash64(*KEY, F.when(F.col("page_id").isNull() | F.col("often").isNotNull(), F.monotonically_increasing_id()))
+    # dealt once: the join keeps that dealing, and the tasks that write get it
+    dealt = src.join(F.broadcast(stored(often, "warc-often")), [*KEY], "left").withColumn("deal", spread).repartition(n, "deal", *KEY)
+    rows = (dealt.join(copies.withColumn("deal", F.xxhash64(*KEY, F.lit(None).cast("long"))), ["deal", *KEY], "left")
+            .withColumn("refers_to", F.coalesce("refers_to", "often_to"))
             .withColumn("tie", F.xxhash64("url", "html")).sortWithinPartitions("page_id", "tie")
-            .select("page_id", "url", "html", "refers_to"))
+            .select("page_id", "url", "html", "refers_to", "digest"))
 
     def write(batches):
-        name, out, row = f"part-{TaskContext.get().partitionId():06d}.warc.zst", None, 0
+        part, out, row = TaskContext.get().partitionId(), None, 0
+        name = f"part-{part:06d}.warc.zst"
         for b in slices(batches, "html"):
             out = out or ArchiveWriter(folder, name)
-            for page_id, url, html, refers_to in zip(*(b.column(i).to_pylist() for i in range(4))):
-                payload = (html or "").encode()
-                out.add(record_bytes({"page_id": page_id, "url": url, "payload": payload, "refers_to": refers_to, "row": row,
-                                      "digest": hashlib.sha1(payload).hexdigest()}))
+            for page_id, url, html, refers_to, digest in zip(*(b.column(i).to_pylist() for i in range(5))):
+                out.add(record_bytes({"page_id": page_id, "url": url, "payload": (html or "").encode(), "refers_to": refers_to,
+                                      "row": f"{part}-{row}", "digest": digest}))
                 row += 1
         if out:
             out.close()

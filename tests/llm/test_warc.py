@@ -8,6 +8,7 @@ import zstandard
 from provena.llm.queries import op4_warc
 from provena.llm.warc import (DICT_MAGIC, SKIP_MAGIC, WarcError, archive_from_bytes, dictionary_of, parse_record, read_archives,
                               read_frames, record_bytes, write_archives)
+from provena.llm.tokenfile import store_of
 from provena.session import scratch_path
 
 from ..conftest import SF_SMALL
@@ -70,3 +71,28 @@ def test_query(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     got = op4_warc(spark, SF_SMALL).collect()
     assert {r.page_id: r.payload_digest for r in got} == {i: hashlib.sha1(h.encode()).hexdigest() for i, h in pages.items()}
+
+
+def test_one_id_with_two_long_payloads(spark, monkeypatch):
+    """A page crawled again: each payload is decided by itself, and a record is written for each row."""
+    a, b, c = "a" * 1500, "b" * 1500, "c" * 1500
+    rows = [(1, "u", a), (1, "u", b), (2, "u", a), (3, "u", c), (3, "u", a), (4, "u", c), (5, "u", a), (1, "u", a),
+            (None, "u", a), (None, "v", a), (7, None, "short"), (7, None, "short")]
+    want = sorted((str(i), hashlib.sha1(h.encode()).hexdigest(), {(1, a): 5, (2, a): 5, (3, a): 5, (3, c): 4}.get((i, h))) for i, _, h in rows)
+    want = sorted(map(str, want))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for often in (1000, 2):  # rows that repeat are spread over the archives, with the same result
+        monkeypatch.setattr("provena.llm.warc.OFTEN", often)
+        folder = scratch_path(spark, "warc-test")
+        files = write_archives(pages, folder, archives=5)
+        got = read_archives(files, folder).collect()
+        assert sorted(str((str(r.page_id), r.payload_digest, r.refers_to)) for r in got) == want
+        assert {bytes(r.payload).decode() for r in got if r.payload is not None} >= {a, b, c}
+        ids = [x["warc-record-id"] for f in files.collect() for x in archive_from_bytes(_bytes(folder, f.file))]
+        assert len(set(ids)) == len(rows)
+
+
+def _bytes(folder, name):
+    fs, base = store_of(folder)
+    with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
+        return stream.read()
