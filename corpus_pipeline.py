@@ -1,7 +1,8 @@
 """The corpus pipeline: documents go through the stages in order; each stage's result is stored and read by the next.
 
-A ``doc_id`` names a document: rows that share one stay or go together in the near-duplicate stage, and a row without
-an id is a group of its own there.  Null and empty texts go through the stages like any other: they have no toxic passage,
+A ``doc_id`` and a text name a document in the near-duplicate stage: two texts that share an id are decided apart, and
+rows that share both stay or go together.  Rows without an id are documents of their own that come after all ids, so
+of equal ones a single row stays.  Null and empty texts go through the stages like any other: they have no toxic passage,
 whatever quality the classifier gives them, no near copy, no benchmark item and no tokens.  All columns of the input
 stay, whatever their names.
 """
@@ -49,10 +50,19 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    linked = jaccard_components(docs, SHINGLE, *SIMILAR)
-    gone = stored(linked.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each group of near copies; of several texts of that id, the one with the
+    smallest digest."""
+    key = _free(docs, "near_key")
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"),
+                                          F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest")))
+    linked = jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"), SHINGLE, *SIMILAR)
+    gone = stored(linked.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "near-copies")
+    left = keyed.join(gone, key, "left_anti")
+    # equal texts without an id have one key: one row of them stays, but for texts without words, which are no copies
+    several = F.col("doc_id").isNull() & F.coalesce(F.col("text"), F.lit("")).rlike("[^ \\t-\\r]")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = left.where(several).groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return left.where(~several).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(one)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,19 @@ def test_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF_MID).count() == 0
     ids = [r.doc_id for r in P.drop_near_copies(spark, docs, SF_MID).where(F.col("doc_id").isNotNull()).collect()]
     assert 7 not in ids and ids.count(6) == 2  # rows of one id stay together
+
+
+def test_near_copies_are_decided_by_row(spark):
+    """Of two texts that share an id, only the copy goes; of equal rows without an id, one stays."""
+    words = lambda w: " ".join(f"{w}{i}" for i in range(60))
+    a, b, c, d = map(words, "abcd")
+    rows = [(1, a), (2, b), (2, a + " end"), (3, c), (None, c), (None, a), (None, d), (None, d), (None, d + " end"),
+            (None, ""), (None, ""), (None, " \n"), (None, None), (5, b + " end"), (5, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, extra int")
+    got = P.drop_near_copies(spark, docs, SF_MID)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    without = [x for x in kept if x[0] is None and (x[1] or "").startswith("d")]
+    assert len(without) == 1
+    assert [x for x in kept if x not in without] == sorted(
+        [(1, a), (2, b), (3, c), (None, ""), (None, ""), (None, " \n"), (None, None), (5, "")], key=str)
