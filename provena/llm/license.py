@@ -6,19 +6,24 @@ class for each licence family and one for everything else; it learns from the fa
 put in and set between other text, against paragraphs of the corpus and sentences that only sound alike.  A temperature
 fitted on examples kept aside calibrates the probabilities, so that the unknown class is a statement and not a rest.
 
-A paragraph whose best class is a family is compared with the family's templates: the share of common word 2-grams, in
-the shorter of the two.  ``SIMILAR`` of it confirms the prediction; both figures are returned.
+A paragraph is compared with the templates of every family that is likelier than the unknown class: the share of common
+word 2-grams, in the shorter of the two.  ``SIMILAR`` of it confirms the prediction; both figures are returned.  The
+likeliest family is compared first, and a template's 2-grams count for the first family that is confirmed by them, so
+that a line with two notices has both and a notice isn't taken for the kindred family with almost the same words.
 
 Learning takes the notices below and the paragraphs of at most ``SAMPLE_DOCS`` documents in one task; scanning is one
 pass, without a shuffle.
 
 Defined results: null and empty texts have no paragraph and no row; repeated rows are reported each; of overlapping
-windows of one family the likeliest is reported; a document with several licences has a row for each place.
+windows of one family the likeliest of the confirmed is reported, or the likeliest where none is; a document with several
+licences has a row for each place, and of the families of one window the likeliest and all that are confirmed.
 """
 
 from __future__ import annotations
 
 import pickle
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -137,20 +142,49 @@ def features(h: np.ndarray, line: np.ndarray) -> np.ndarray:
     return out
 
 
+def word_pairs(text: str) -> Counter:
+    """The word 2-grams of a text, each as often as it stands there; a single word is one by itself."""
+    b = text.encode()
+    h = class_tokens(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
+    w = h[0][h[4] < 3].tolist()
+    return Counter(zip(w, w[1:])) or Counter((x, 0) for x in w)
+
+
+@lru_cache
+def template_pairs(family: str) -> list[Counter]:
+    return [word_pairs(t) for t in TEMPLATES[family]]
+
+
+def closest(pairs: Counter, free: Counter, family: str) -> tuple[float, Counter]:
+    """The largest share of common word 2-grams with a template of the family, in the shorter of the two, and that
+    template; ``free`` are those of the text's ``pairs`` that may count."""
+    best, which = 0.0, Counter()
+    for q in template_pairs(family):
+        if pairs and q:
+            share = len(free.keys() & q.keys()) / min(len(pairs), len(q))
+            if share > best:
+                best, which = share, q
+    return best, which
+
+
 def similarity(text: str, family: str) -> float:
     """The largest share of common word 2-grams with a template of the family, in the shorter of the two."""
-    def pairs(t: str) -> set:
-        b = t.encode()
-        h = class_tokens(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
-        w = h[0][h[4] < 3].tolist()
-        return set(zip(w, w[1:])) or {(x, 0) for x in w}
-    p = pairs(text)
-    best = 0.0
-    for t in TEMPLATES[family]:
-        q = pairs(t)
-        if p and q:
-            best = max(best, len(p & q) / min(len(p), len(q)))
-    return best
+    p = word_pairs(text)
+    return closest(p, p, family)[0]
+
+
+def compare(text: str, families: list[tuple[int, float]]) -> list[tuple[int, float, float]]:
+    """(family, probability, similarity) of the first of ``families`` (family, probability; the likeliest first) and of
+    every other that 2-grams of the text confirm which confirmed none before."""
+    p = word_pairs(text)
+    free, out = p, []
+    for k, (c, probability) in enumerate(families):
+        s, template = closest(p, free, FAMILIES[c])
+        if s >= SIMILAR:
+            free = free - Counter(template.keys())
+        if s >= SIMILAR or k == 0:
+            out.append((c, probability, s))
+    return out
 
 
 class Model:
@@ -224,8 +258,9 @@ class Model:
             loss.append(-np.mean(q[np.arange(len(aside)), y[aside]] - np.log(np.exp(q).sum(axis=1))))
         self.temperature = float(grid[int(np.argmin(loss))])
 
-    def scan(self, texts: pa.Array) -> list[tuple[int, int, int, int, float]]:
-        """(text, first and last byte, family, probability) of the windows whose best class is a family."""
+    def scan(self, texts: pa.Array) -> list[tuple[int, int, int, list[tuple[int, float]]]]:
+        """(text, first and last byte, families) of the windows whose best class is a family; ``families`` are all that are
+        likelier than the unknown class, as (family, probability), the likeliest first."""
         raw, off = buffer_of(texts)
         h, start, end, doc, line = words_and_lines(raw, off)
         if not len(h):
@@ -261,7 +296,8 @@ class Model:
         for i in np.flatnonzero(best != UNKNOWN).tolist():
             w = window[i]
             last = stop[w + 1] - 1 if pair[i] else stop[w] - 1
-            out.append((int(doc[block[w]]), int(start[block[w]]), int(end[last]), int(best[i]), float(p[i, best[i]])))
+            likely = [(int(c), float(p[i, c])) for c in np.argsort(-p[i], kind="stable") if p[i, c] > p[i, UNKNOWN]]
+            out.append((int(doc[block[w]]), int(start[block[w]]), int(end[last]), likely or [(int(best[i]), float(p[i, best[i]]))]))
         return out
 
 
@@ -295,22 +331,22 @@ def scan_licences(docs: DataFrame, model: Model) -> DataFrame:
         for b in slices(batches, "text"):
             t = texts_of(b, "text")
             found: dict[tuple[int, int], list] = {}
-            for d, start, end, c, p in m.scan(t):
-                found.setdefault((d, c), []).append((p, start, end))
+            raw, off = buffer_of(t)
+            for d, start, end, families in m.scan(t):
+                text = raw[start:end].tobytes().decode("utf-8", "replace")
+                for c, p, s in compare(text, families):
+                    found.setdefault((d, c), []).append((s >= SIMILAR, p, s, start, end, text))
             if not found:
                 continue
-            raw, off = buffer_of(t)
             ids, cols = b.column(0).to_pylist(), [[] for _ in range(7)]
             for (d, c), places in sorted(found.items()):
                 kept: list[tuple[int, int]] = []
-                for p, start, end in sorted(places, key=lambda x: (-x[0], x[1])):
-                    if any(start < e and end > s for s, e in kept):
+                for confirmed, p, s, start, end, text in sorted(places, key=lambda x: (not x[0], -x[1], x[3])):
+                    if any(start < b2 and end > a2 for a2, b2 in kept):
                         continue
                     kept.append((start, end))
-                    text = raw[start:end].tobytes().decode("utf-8", "replace")
                     before = len(raw[off[d]:start].tobytes().decode("utf-8", "replace"))
-                    s = similarity(text, FAMILIES[c])
-                    for col, v in zip(cols, (ids[d], before, before + len(text), FAMILIES[c], p, s, s >= SIMILAR)):
+                    for col, v in zip(cols, (ids[d], before, before + len(text), FAMILIES[c], p, s, confirmed)):
                         col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],

@@ -1,3 +1,6 @@
+from functools import partial
+from types import SimpleNamespace
+
 from provena.llm.license import FAMILIES, TEMPLATES, fit_licences, scan_licences, similarity
 from provena.llm.queries import op10_licences
 
@@ -40,3 +43,25 @@ def test_odd_rows(spark):
     assert scan_licences(odd_docs(spark), model).where("confirmed").count() == 0
     assert scan_licences(no_docs(spark), model).count() == 0
     assert fit_licences(no_docs(spark)) is not None  # notices and like sentences alone
+
+
+def test_two_families_in_one_line(spark):
+    model = fit_licences(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    t = {f: TEMPLATES[f][0] for f in FAMILIES}
+    both = [("MIT", "All-rights-reserved"), ("Apache-2.0", "MIT"), ("GPL", "All-rights-reserved"), ("CC-BY-NC", "MIT"), ("BSD", "GPL"),
+            ("All-rights-reserved", "Apache-2.0"), ("LGPL", "BSD")]
+    rows = [(i, f"{t[a]} {t[b]}") for i, (a, b) in enumerate(both)]
+    alone = [(100 + i, t[f]) for i, f in enumerate(FAMILIES)]  # no kindred family beside the right one
+    got = scan_licences(spark.createDataFrame([*rows, *alone], "doc_id long, text string"), model).where("confirmed").collect()
+    assert {(r.doc_id, r.family) for r in got} == ({(i, f) for i, pair in enumerate(both) for f in pair}
+                                                   | {(100 + i, f) for i, f in enumerate(FAMILIES)})
+    assert all((r.start, r.end) == (0, len(dict(rows + alone)[r.doc_id].rstrip("."))) for r in got)
+
+
+def test_a_confirmed_window_before_a_likelier_one(spark):
+    """The likelier of two overlapping windows isn't confirmed; the other is, and stays."""
+    text = "twenty plain words. " + TEMPLATES["MIT"][0]
+    places = [(0, 0, 20, [(0, 0.99)]), (0, 10, len(text), [(0, 0.6)])]
+    model = SimpleNamespace(scan=partial(getattr, SimpleNamespace(places=places), "places"))  # whatever the texts, these places
+    got = scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert [(r.start, r.end, r.family, r.confirmed) for r in got] == [(10, len(text), "MIT", True)]
