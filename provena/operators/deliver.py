@@ -71,11 +71,23 @@ def keyed_for_sink(messages: DataFrame) -> DataFrame:
     return ordinal(messages, ["key"], ["event_id"], "seq")
 
 
+def sink_rows(messages: DataFrame, fmt: str = "kafka") -> DataFrame:
+    """The columns a sink takes: ``(topic, key, value)`` and, where the messages are numbered, ``seq``.  Kafka has no such
+    column, and a partition keeps the order of arrival, so there the number goes into the header ``seq`` (its digits)."""
+    kept = ["topic", "key", "value"]
+    if "seq" not in messages.columns:
+        return messages.select(*kept)
+    if fmt != "kafka":
+        return messages.select(*kept, "seq")
+    header = F.struct(F.lit("seq").alias("key"), F.col("seq").cast("string").cast("binary").alias("value"))
+    return messages.select(*kept, F.array(header).alias("headers"))
+
+
 def write_messages(messages: DataFrame, fmt: str = "kafka", options: dict | None = None,
                    path: str | None = None, mode: str = "append") -> None:
-    """Write ``(topic, key, value)``; ``fmt='kafka'`` needs the Kafka connector on the classpath."""
-    kept = ["topic", "key", "value"] + (["seq"] if fmt != "kafka" and "seq" in messages.columns else [])
-    w = messages.select(*kept).write.format(fmt).options(**(options or {}))
+    """Write ``(topic, key, value)`` and the number within the key; ``fmt='kafka'`` needs the Kafka connector on the
+    classpath."""
+    w = sink_rows(messages, fmt).write.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         w = w.mode(mode)
     w.save(path) if path else w.save()

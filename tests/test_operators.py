@@ -265,3 +265,16 @@ def test_classify_plan_counts_every_write_under_a_union(spark):
     nodes = spark.createDataFrame([(1, i + 1, k, p) for i, (k, p) in enumerate(zip(kinds, [None, 1, 2, 1, 4]))],
                                   "event_id bigint, node_pos int, cls string, parent_pos int")
     assert classify_plan(nodes).first().n_write_cmds == 4
+
+
+def test_kafka_rows_carry_the_number_within_the_key(spark):
+    rows = [(i, "t", f"k{i % 3 % 2}", f"v{i}") for i in range(40)]
+    keyed = D.keyed_for_sink(spark.createDataFrame(rows, "event_id long, topic string, key string, value string"))
+    out = D.sink_rows(keyed, "kafka")
+    assert out.columns == ["topic", "key", "value", "headers"]
+    assert out.schema["headers"].dataType.simpleString() == "array<struct<key:string,value:binary>>"
+    got = [(r.key, int(r.headers[0]["value"].decode()), r.value) for r in out.orderBy("value").collect() if r.headers[0]["key"] == "seq"]
+    for k in ("k0", "k1"):
+        assert [v for key, _, v in sorted(got) if key == k] == [v for _, _, key, v in rows if key == k]
+    assert D.sink_rows(keyed, "parquet").columns == ["topic", "key", "value", "seq"]
+    assert D.sink_rows(keyed.drop("seq")).columns == ["topic", "key", "value"]
