@@ -167,3 +167,38 @@ n AS (
   FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    from .lexsearch import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+         row_number() OVER () AS r
+  FROM documents WHERE text IS NOT NULL),
+d AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+c AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM t) GROUP BY r, term),
+i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY item_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, c WHERE term IN (SELECT term FROM q) GROUP BY term),
+s AS (
+  SELECT item_id, d.doc_id, d.r,
+         CAST(sum(q.times * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * d.n * c.nd) // c.l)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d ON d.r = tf.r, c
+  GROUP BY item_id, d.doc_id, d.r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
