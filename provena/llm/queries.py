@@ -202,3 +202,10 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM s WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
 """
+
+
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the paths its host's pages agree on."""
+    from .maintext import main_text
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "path")
