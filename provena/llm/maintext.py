@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 
 from .common import add_columns, ship, slices, stored, texts_of
 
-SHARE = 0.1
+#: a path wins that has this share of its host's votes, so five paths at most
+SHARE = 0.2
 WIDER = 0.25
 
 _TAG = re.compile(
@@ -325,7 +326,6 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html", share: fl
             .groupBy("host", "key").agg(F.min("path").alias("path"), F.sum("votes").alias("votes"), F.sum("chars").alias("chars")))
     cast = stored(cast, "votes")
     all_votes = cast.groupBy("host").agg(F.sum("votes").alias("all"))
-    # 1 / share paths of a host at most
     won = cast.join(all_votes, "host").where(F.col("votes") >= share * F.col("all"))
     order = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.col("chars")).alias("c"), "path", "key")))
     return won.groupBy("host").agg(order.alias("won")).select(
