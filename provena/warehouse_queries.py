@@ -1,8 +1,8 @@
 """Warehouse workload queries.
 
-``customer`` gives a table of accounts, partitioned by nation; ``supplier`` and ``nation`` give the joined rows.  Every query writes into a
-fresh database under the shared checkpoint folder and returns the final
-table content, so the oracle compares what actually landed.
+``customer`` gives a table of accounts, partitioned by the region of their nation; ``customer`` and ``nation`` give the
+joined rows, ``orders`` the text lines.  Every query writes into a fresh database under the shared checkpoint folder
+and returns the final table content, so the oracle compares what actually landed.
 """
 
 from __future__ import annotations
@@ -16,35 +16,31 @@ from .operators import warehouse as W
 from .queries import query
 from .session import Tables, scratch_path
 
-ACCOUNT_SQL = ("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance, "
-           "c_nationkey AS nation_no FROM customer")
-PLACES_SQL = ("SELECT s_suppkey AS account, concat(s_name, ':', CAST(s_suppkey AS VARCHAR)) AS label, abs(s_acctbal) AS amount, n.* "
-              "FROM supplier LEFT JOIN nation n ON n_nationkey = s_nationkey AND s_acctbal > 0")
-ACCOUNT_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
-    T.StructField("segment", T.StringType()), T.StructField("balance", T.DoubleType()),
-])
-ACCOUNT_SCHEMA_P = T.StructType(ACCOUNT_SCHEMA.fields + [T.StructField("nation_no", T.IntegerType())])
+ACCOUNT_SQL = "SELECT c_acctbal AS balance, c_custkey AS account, c_mktsegment AS segment, c_nationkey // 5 AS zone FROM customer"
+PLACES_SQL = ("SELECT c_custkey AS account, concat(n_name, '/', c_mktsegment) AS market, abs(c_acctbal) AS exposure, n.* "
+              "FROM customer LEFT JOIN nation n ON n_nationkey = c_nationkey AND c_acctbal > 0")
+ACCOUNT_SCHEMA = T.StructType([T.StructField("balance", T.DoubleType()), T.StructField("account", T.LongType()),
+                               T.StructField("segment", T.StringType())])
+ACCOUNT_SCHEMA_P = T.StructType(ACCOUNT_SCHEMA.fields + [T.StructField("zone", T.IntegerType())])
 
 
 def accounts(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
-    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                    F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"),
-                    F.col("c_nationkey").alias("nation_no"))
+    return c.select(F.col("c_acctbal").alias("balance"), F.col("c_custkey").alias("account"), F.col("c_mktsegment").alias("segment"),
+                    F.expr("c_nationkey DIV 5").cast("int").alias("zone"))
 
 
 def places(spark, sf_dir):
-    """J3 + P6 + F1 + F2: supplier LEFT JOIN nation (only where the balance is positive), derived columns, qualified star."""
+    """J3 + P6 + F1 + F2: customer LEFT JOIN nation (only where the balance is positive), derived columns, qualified star."""
     t = Tables(spark, sf_dir)
-    s, n = t.supplier, t.nation
-    j = s.join(n, (n["n_nationkey"] == s["s_nationkey"]) & (s["s_acctbal"] > 0), "left")
-    return j.select(s["s_suppkey"].alias("account"), F.concat(s["s_name"], F.lit(":"), s["s_suppkey"].cast("string")).alias("label"),
-                    F.abs(s["s_acctbal"]).alias("amount"), n["*"])
+    c, n = t.customer, t.nation
+    j = c.join(n, (n["n_nationkey"] == c["c_nationkey"]) & (c["c_acctbal"] > 0), "left")
+    return j.select(c["c_custkey"].alias("account"), F.concat(n["n_name"], F.lit("/"), c["c_mktsegment"]).alias("market"),
+                    F.abs(c["c_acctbal"]).alias("exposure"), n["*"])
 
 
 def _account_table(spark, sf_dir, db, name="accounts"):
-    return W.save_table(accounts(spark, sf_dir), f"{db}.{name}", partition_by=["nation_no"])
+    return W.save_table(accounts(spark, sf_dir), f"{db}.{name}", partition_by=["zone"])
 
 
 @query("emp_dept_left_join", PLACES_SQL)
@@ -55,14 +51,14 @@ def emp_dept_left_join(spark, sf_dir):
 @query("ctas_readback", PLACES_SQL)
 def ctas_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    return W.ctas(places(spark, sf_dir), f"{db}.balances")
+    return W.ctas(places(spark, sf_dir), f"{db}.exposures")
 
 
 @query("save_table_readback", PLACES_SQL)
 def save_table_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    name = f"{db}.balances_saved"
-    W.save_table(accounts(spark, sf_dir).where(F.col("id") % 2 == 0), name)
+    name = f"{db}.exposures_kept"
+    W.save_table(accounts(spark, sf_dir).where(F.col("account") % 2 == 0), name)
     return W.save_table(places(spark, sf_dir), name, mode="overwrite")
 
 
@@ -70,123 +66,127 @@ def save_table_readback(spark, sf_dir):
 def append_readback(spark, sf_dir):
     db = W.fresh_database(spark)
     name = f"{db}.accounts"
-    emp = accounts(spark, sf_dir)
-    W.ctas(emp.where(F.col("id") % 2 == 0), name)
-    return W.append_table(emp.where(F.col("id") % 2 == 1), name)
+    rows = accounts(spark, sf_dir)
+    W.ctas(rows.where(F.col("account") % 3 == 0), name)
+    W.append_table(rows.where(F.col("account") % 3 == 1), name)
+    return W.append_table(rows.where(F.col("account") % 3 == 2), name)
 
 
 @query("static_partition_overwrite", f"""
-SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 20
-UNION ALL SELECT id, name, segment, balance, 20 AS nation_no FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10""")
+SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone <> 3
+UNION ALL SELECT balance, account, segment, 3 AS zone FROM ({ACCOUNT_SQL}) a WHERE zone < 3 AND segment = 'BUILDING'""")
 def static_partition_overwrite(spark, sf_dir):
+    """The accounts of one segment from all lower zones replace a zone that the same table holds."""
     db = W.fresh_database(spark)
     t = _account_table(spark, sf_dir, db)
-    return W.overwrite_partition(t.where(F.col("nation_no") == 10), f"{db}.accounts", {"nation_no": 20})
+    return W.overwrite_partition(t.where("zone < 3 AND segment = 'BUILDING'"), f"{db}.accounts", {"zone": 3})
 
 
 @query("dynamic_partition_overwrite", f"""
-SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 10
-UNION ALL SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10 AND balance > 0""")
+SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone IN (1, 3) OR balance >= 0""")
 def dynamic_partition_overwrite(spark, sf_dir):
+    """Three zones of five are written anew without their overdrawn accounts; the others stay as they are."""
     db = W.fresh_database(spark)
     t = _account_table(spark, sf_dir, db)
-    return W.overwrite_dynamic(t.where((F.col("nation_no") == 10) & (F.col("balance") > 0)), f"{db}.accounts")
+    return W.overwrite_dynamic(t.where("zone IN (0, 2, 4) AND balance >= 0"), f"{db}.accounts")
 
 
 @query("multi_insert", f"""
-SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no NOT IN (20, 21)
-UNION ALL SELECT id, name, segment, balance, 20 AS nation_no FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10
-UNION ALL SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 21 AND balance > 0""")
+SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone > 2
+UNION ALL SELECT balance, account, segment, CASE WHEN balance < 0 THEN 0 WHEN balance < 5000 THEN 1 ELSE 2 END AS zone
+FROM ({ACCOUNT_SQL}) a WHERE zone <= 2""")
 def multi_insert(spark, sf_dir):
+    """Accounts of the lower zones are dealt anew by their balance, three partitions in one statement."""
     db = W.fresh_database(spark)
     t = _account_table(spark, sf_dir, db)
-    return W.multi_insert(t, f"{db}.accounts",
-                          [("nation_no = 10", {"nation_no": 20}), ("nation_no = 21 AND balance > 0", {"nation_no": 21})])
+    bands = ("balance < 0", "balance >= 0 AND balance < 5000", "balance >= 5000")
+    return W.multi_insert(t.where("zone <= 2"), f"{db}.accounts", [(band, {"zone": i}) for i, band in enumerate(bands)])
 
 
 @query("overwrite_table_from_first", PLACES_SQL)
 def overwrite_table_from_first(spark, sf_dir):
     db = W.fresh_database(spark)
-    name = f"{db}.balances_dim"
+    name = f"{db}.exposures"
     W.ctas(places(spark, sf_dir).where(F.col("account") < 5), name)
     t = Tables(spark, sf_dir)
-    sv, nv = f"supplier_{uuid.uuid4().hex[:8]}", f"nation_{uuid.uuid4().hex[:8]}"
-    t.supplier.createOrReplaceTempView(sv)
+    cv, nv = f"customer_{uuid.uuid4().hex[:8]}", f"nation_{uuid.uuid4().hex[:8]}"
+    t.customer.createOrReplaceTempView(cv)
     t.nation.createOrReplaceTempView(nv)
-    q = (f"SELECT s_suppkey account, concat(s_name, ':', CAST(s_suppkey AS STRING)) label, abs(s_acctbal) amount, n.* "
-         f"FROM {sv} LEFT JOIN {nv} n ON n_nationkey = s_nationkey AND s_acctbal > 0")
+    q = (f"SELECT c_custkey account, concat(n_name, '/', c_mktsegment) market, abs(c_acctbal) exposure, n.* "
+         f"FROM {cv} LEFT JOIN {nv} n ON n_nationkey = c_nationkey AND c_acctbal > 0")
     return W.overwrite_table(spark, q, name)
 
 
-@query("json_readback", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
+@query("json_readback", f"SELECT * FROM ({ACCOUNT_SQL}) a WHERE segment = 'MACHINERY'")
 def json_readback(spark, sf_dir):
-    path = scratch_path(spark, "results_json")
-    W.save_json(accounts(spark, sf_dir).where(F.col("nation_no") == 10), path)
+    path = scratch_path(spark, "accounts_json")
+    W.save_json(accounts(spark, sf_dir).where(F.col("segment") == "MACHINERY"), path)
     return spark.read.schema(ACCOUNT_SCHEMA_P).json(path)
 
 
 @query("load_overwrite", f"""
-SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no <> 10
-UNION ALL SELECT id, name, segment, balance, 10 AS nation_no FROM ({ACCOUNT_SQL}) e""")
+SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone <> 4
+UNION ALL SELECT balance, account, segment, 4 AS zone FROM ({ACCOUNT_SQL}) a""")
 def load_overwrite(spark, sf_dir):
     db = W.fresh_database(spark)
     _account_table(spark, sf_dir, db)
     path = scratch_path(spark, "accounts_file")
-    accounts(spark, sf_dir).drop("nation_no").write.csv(path)
-    return W.load_overwrite(spark, path, f"{db}.accounts", ACCOUNT_SCHEMA, partition={"nation_no": 10})
+    accounts(spark, sf_dir).drop("zone").write.csv(path)
+    return W.load_overwrite(spark, path, f"{db}.accounts", ACCOUNT_SCHEMA, partition={"zone": 4})
 
 
-@query("create_like", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE 1 = 0")
+@query("create_like", f"SELECT * FROM ({ACCOUNT_SQL}) a WHERE 1 = 0")
 def create_like(spark, sf_dir):
     db = W.fresh_database(spark)
     _account_table(spark, sf_dir, db)
-    return W.create_like(spark, f"{db}.accounts_empty", f"{db}.accounts").select("id", "name", "segment", "balance",
-                                                                                  "nation_no")
+    return W.create_like(spark, f"{db}.accounts_empty", f"{db}.accounts").select("balance", "account", "segment", "zone")
 
 
 @query("external_csv_partitioned", ACCOUNT_SQL)
 def external_csv_partitioned(spark, sf_dir):
     db = W.fresh_database(spark)
     path = scratch_path(spark, "accounts_ext")
-    accounts(spark, sf_dir).write.partitionBy("nation_no").csv(path)
-    return W.read_external_csv(spark, f"{db}.accounts", path, ACCOUNT_SCHEMA_P, ["nation_no"])
+    accounts(spark, sf_dir).write.partitionBy("zone").csv(path)
+    return W.read_external_csv(spark, f"{db}.accounts", path, ACCOUNT_SCHEMA_P, ["zone"])
 
 
-@query("view_source", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
+@query("view_source", f"SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone = 2")
 def view_source(spark, sf_dir):
     db = W.fresh_database(spark)
     _account_table(spark, sf_dir, db)
     spark.sql(f"CREATE VIEW {db}.accounts_v AS SELECT * FROM {db}.accounts")
-    return spark.table(f"{db}.accounts_v").where(F.col("nation_no") == 10)
+    return spark.table(f"{db}.accounts_v").where(F.col("zone") == 2)
 
 
-@query("partition_filter", f"SELECT * FROM ({ACCOUNT_SQL}) e WHERE nation_no = 10")
+@query("partition_filter", f"SELECT * FROM ({ACCOUNT_SQL}) a WHERE zone = 1")
 def partition_filter(spark, sf_dir):
     db = W.fresh_database(spark)
     _account_table(spark, sf_dir, db)
-    return spark.table(f"{db}.accounts").where(F.col("nation_no") == 10)
+    return spark.table(f"{db}.accounts").where(F.col("zone") == 1)
 
 
 @query("rename_readback", ACCOUNT_SQL)
 def rename_readback(spark, sf_dir):
     db = W.fresh_database(spark)
-    W.ctas(accounts(spark, sf_dir), f"{db}.balances")
-    W.drop_table(spark, f"{db}.results")
-    return W.rename_table(spark, f"{db}.balances", f"{db}.results")
+    W.ctas(accounts(spark, sf_dir), f"{db}.intake")
+    W.drop_table(spark, f"{db}.ledger")
+    return W.rename_table(spark, f"{db}.intake", f"{db}.ledger")
 
 
 @query("split_lines", """
-SELECT CAST(c_custkey AS INT) AS id, c_name AS name, c_acctbal > 0 AS sex, c_nationkey AS age, c_acctbal AS balance
-FROM customer""")
+SELECT o_orderpriority <> '5-LOW' AS pressing, o_totalprice AS price, CAST(o_orderdate AS DATE) AS ordered, o_orderstatus AS status,
+  CAST(o_custkey AS INT) AS account, o_orderkey AS number FROM orders""")
 def split_lines(spark, sf_dir):
-    c = Tables(spark, sf_dir).customer
-    path = scratch_path(spark, "people")
-    (c.select(F.concat_ws(" ", "c_custkey", "c_name", (F.col("c_acctbal") > 0).cast("string"), "c_nationkey",
-                          "c_acctbal").alias("value"))
+    """Lines of ``orders``, their items between one or several blanks, cast by position."""
+    o = Tables(spark, sf_dir).orders
+    path = scratch_path(spark, "order_lines")
+    (o.select(F.concat_ws("  ", (F.col("o_orderpriority") != "5-LOW").cast("string"),
+                          F.concat_ws(" ", "o_totalprice", F.col("o_orderdate").cast("date"), "o_orderstatus", "o_custkey"),
+                          "o_orderkey").alias("value"))
      .write.text(path))
-    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
-                           T.StructField("sex", T.BooleanType()), T.StructField("age", T.IntegerType()),
-                           T.StructField("balance", T.DoubleType())])
+    schema = T.StructType([T.StructField("pressing", T.BooleanType()), T.StructField("price", T.DoubleType()),
+                           T.StructField("ordered", T.DateType()), T.StructField("status", T.StringType()),
+                           T.StructField("account", T.IntegerType()), T.StructField("number", T.LongType())])
     return W.read_split_lines(spark.read.text(path), schema)
 
 
