@@ -71,3 +71,9 @@ REASON_NO_INPUT_TABLE = "NO_INPUT_TABLE"
 REASON_UNSUPPORTED = "UNSUPPORTED_COMMAND"
 REASON_FS_WRITE = "FS_WRITE"
 REASON_BAD_PLAN = "BAD_PLAN"
+
+# Physical plan nodes that tell what an execution did (class names without their package).
+NODE_DDL = "ExecutedCommandExec"
+NODE_WRITE = "DataWritingCommandExec"
+NODE_V2 = "WriteToDataSourceV2Exec"
+NODE_UNION = "UnionExec"

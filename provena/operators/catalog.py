@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .asof import attach_sql, micros
 
 ALIVE_CHANGES = ("CREATE_DATABASE", "ALTER_DATABASE", "CREATE_TABLE", "ALTER_TABLE")
 
@@ -80,6 +81,29 @@ def table_columns(changes: DataFrame, catalog_column: DataFrame) -> DataFrame:
     return j.withColumn("comment", F.when(F.col("name").isNotNull(), F.coalesce("comment", F.lit(""))))
 
 
+def table_columns_at(changes: DataFrame, history: DataFrame) -> DataFrame:
+    """C4 / C7 (+ J4) at the time of the event: create records -> one row per column of the definition that was in force
+    when the event came.
+
+    ``history`` has the definitions' versions: db, tbl, valid_from, pos, name, data_type, comment.  A version holds
+    until the table's next one; a version without columns (one row whose name is null) says that the table is gone.
+    An event before the first version, or while the table is gone, keeps one row with null columns.
+
+    The version of each event comes from the as-of join by rows of (table, time), so a table with very many versions or
+    events is spread over many tasks; the columns then join by table and version.
+    """
+    creates = changes.where(F.col("change") == "CREATE_TABLE")
+    name = F.to_json(F.struct("db", "tbl"))  # one text per table, whatever its name holds
+    versions = history.select(name.alias("_table"), F.col("valid_from").alias("_at")).distinct()
+    texts = versions.select("_table", F.col("_at").alias("ts"), micros("_at").cast("string").alias("sql_text"))
+    dated = attach_sql(creates.withColumn("_table", name), texts, by="_table").drop("sql_ts")
+    cols = history.where(F.col("name").isNotNull()).select(
+        F.col("db").alias("_db"), F.col("tbl").alias("_tbl"), micros("valid_from").cast("string").alias("_version"), "pos", "name", "data_type", "comment")
+    j = dated.join(cols, (F.col("db") == F.col("_db")) & (F.col("tbl") == F.col("_tbl")) & (F.col("sql_text") == F.col("_version")), "left")
+    return (j.withColumn("comment", F.when(F.col("name").isNotNull(), F.coalesce("comment", F.lit(""))))
+            .drop("_db", "_tbl", "_version", "_table", "sql_text"))
+
+
 def catalog_state(changes: DataFrame) -> DataFrame:
     """Per object (db, tbl) the last change by (ts, event_id, seq) decides;
     drops and renames-away leave the object not alive, and so does a later

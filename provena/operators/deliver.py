@@ -23,33 +23,19 @@ def _entity_ref(r):
                     r["relationship_type"].alias("relationshipType"))
 
 
-def entity_json(entities: DataFrame) -> DataFrame:
-    """Entity rows -> the JSON-shaped struct of one entity (null attributes are omitted by ``to_json``)."""
-    rel = F.col("relationships")
-    q = rel["query"]
-    return entities.withColumn("entity", F.struct(
-        F.col("type_name").alias("typeName"),
-        F.col("attributes").alias("attributes"),
-        F.struct(
-            F.transform(rel["inputs"], _entity_ref).alias("inputs"),
-            F.transform(rel["outputs"], _entity_ref).alias("outputs"),
-            F.when(q.isNotNull(), _entity_ref(q)).alias("query"),
-        ).alias("relationshipAttributes"),
-    ))
+def entity_json(entity) -> "F.Column":
+    """An entity (type_name, attributes, relationships) as the struct of its JSON (``to_json`` leaves null attributes out)."""
+    rel = entity["relationships"]
+    return F.struct(
+        entity["type_name"].alias("typeName"), entity["attributes"].alias("attributes"),
+        F.struct(F.transform(rel["inputs"], _entity_ref).alias("inputs"), F.transform(rel["outputs"], _entity_ref).alias("outputs"),
+                 F.when(rel["query"].isNotNull(), _entity_ref(rel["query"])).alias("query")).alias("relationshipAttributes"))
 
 
 def envelopes(lineage) -> DataFrame:
-    """One row per harvested event: key, entity list (process first), count."""
-    cols = entity_json(lineage.column_entities)
-    per_event = (cols.groupBy("event_id")
-                 .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("out_pos", F.lit(0)).alias("p"),
-                                                           F.col("out_name").alias("n"),
-                                                           F.col("entity").alias("e")))).alias("_cols")))
-    procs = entity_json(lineage.process_entities).select("event_id", "ts", "message_key", "entity")
-    j = procs.join(per_event, "event_id", "left")
-    col_list = F.transform(F.coalesce(F.col("_cols"), F.array()), lambda x: x["e"])
-    return j.select("event_id", "ts", F.col("message_key").alias("key"),
-                    F.concat(F.array("entity"), col_list).alias("entities"))
+    """One row per harvested event: key, entity list (process first)."""
+    return lineage.entity_lists().select("event_id", "ts", "key", F.concat(
+        F.array(entity_json(F.col("process"))), F.transform("columns", entity_json)).alias("entities"))
 
 
 def to_messages(lineage, topic: str = K.HOOK_TOPIC) -> DataFrame:
@@ -94,7 +80,7 @@ def write_messages(messages: DataFrame, fmt: str = "kafka", options: dict | None
 
 
 # ---------------------------------------------------------------------------
-# retry / dead letter, table form
+# retry / dead letter (inside foreachBatch)
 
 
 def max_attempts(max_retries: int = K.MAX_RETRIES) -> int:
@@ -102,35 +88,30 @@ def max_attempts(max_retries: int = K.MAX_RETRIES) -> int:
     return max(1, int(max_retries))
 
 
-def delivery_status(attempts: DataFrame, max_retries: int = K.MAX_RETRIES) -> DataFrame:
-    """Per message the attempt that succeeded (stop at first success) or
-    the last attempt made; attempts beyond the limit are never made."""
-    a = attempts.where(F.col("attempt") <= max_attempts(max_retries))
-    g = a.groupBy("msg_id").agg(
-        F.min(F.when(F.col("ok"), F.col("attempt"))).alias("first_ok"),
-        F.max("attempt").alias("last_attempt"))
-    return g.select("msg_id",
-                    F.coalesce("first_ok", "last_attempt").cast("int").alias("attempts_used"),
-                    F.col("first_ok").isNotNull().alias("delivered"))
-
-
-def dead_letters(attempts: DataFrame, max_retries: int = K.MAX_RETRIES) -> DataFrame:
-    """Messages not delivered after the last attempt."""
-    s = delivery_status(attempts, max_retries)
-    return s.where(~F.col("delivered")).select("msg_id", F.col("attempts_used").alias("last_attempt"))
+class DeliveryError(RuntimeError):
+    """Messages that no attempt could send, and nowhere to keep them."""
 
 
-# ---------------------------------------------------------------------------
-# retry / dead letter, live form (inside foreachBatch)
+def _noted(spark, ledger: str, batch_id: int) -> DataFrame | None:
+    """What the ledger holds of a batch."""
+    from ..streaming.store import versions
+    done = versions(spark, f"{ledger}/batch_id={batch_id}", "attempt=")
+    return spark.read.parquet(*(f"{ledger}/batch_id={batch_id}/attempt={a}" for a in done)) if done else None
 
 
-class DeliveryError(RuntimeError):
-    """Messages that no attempt could send, and nowhere to keep them."""
+def _note(tried: DataFrame, failed: DataFrame | None, path: str, attempt: int, ident: str) -> DataFrame:
+    """Write an attempt into the ledger; returns the messages that it left."""
+    rows = tried.select(ident).withColumn("delivered", F.lit(True))
+    if failed is not None:
+        missed = failed.select(ident).distinct().withColumn("delivered", F.lit(False))
+        rows = rows.join(missed, ident, "left_anti").unionByName(missed)
+    rows.select(ident, F.lit(attempt).alias("attempt"), "delivered").write.mode("overwrite").parquet(path)
+    return tried.join(tried.sparkSession.read.parquet(path).where(~F.col("delivered")).select(ident), ident, "left_semi")
 
 
 def send_with_retry(batch: DataFrame, send, dead_letter_path: str | None = None,
                     max_retries: int = K.MAX_RETRIES, retry_interval_ms: int = K.RETRY_INTERVAL_MS,
-                    sleep=time.sleep, batch_id: int = 0) -> tuple[int, bool]:
+                    sleep=time.sleep, batch_id: int = 0, ledger: str | None = None, ident: str = "event_id") -> tuple[int, bool]:
     """Call ``send(messages)`` up to ``max_attempts`` times, waiting between attempts.
 
     ``send`` raises if nothing can be counted as sent, or returns the
@@ -139,21 +120,45 @@ def send_with_retry(batch: DataFrame, send, dead_letter_path: str | None = None,
     ``<dead_letter_path>/batch_id=N``, replacing what an earlier run of the
     same batch wrote there; without a path it raises ``DeliveryError``, so
     that the batch is run again.  Returns (attempts made, all sent).
+
+    With a ``ledger``, every attempt writes which messages (by ``ident``) it
+    tried and delivered, under ``<ledger>/batch_id=N/attempt=A``.  A batch that
+    died half-way takes up where its ledger ends: what is delivered is not
+    sent again, and the attempts go on counting.  Only the attempt that was
+    under way is repeated (at least once).
     """
-    n = max_attempts(max_retries)
-    left, error = batch, None
-    for attempt in range(1, n + 1):
+    n, spark = max_attempts(max_retries), batch.sparkSession
+    left, error, first = batch, None, 1
+    if ledger is not None and (noted := _noted(spark, ledger, batch_id)) is not None:
+        first = noted.agg(F.max("attempt")).first()[0] + 1
+        left = batch.join(noted.where("delivered").select(ident), ident, "left_anti")
+        if left.isEmpty():
+            return first - 1, True
+    for attempt in range(first, n + 1):
         if attempt > 1:
             sleep(retry_interval_ms / 1000.0)
+        failed = left
         try:
-            failed = send(left)
+            failed, error = send(left), None
         except Exception as e:  # noqa: BLE001 - any send failure is retried
             error = e
-            continue
+        if ledger is not None:  # what failed is worked out once, and read from the ledger from then on
+            failed = _note(left, failed, f"{ledger}/batch_id={batch_id}/attempt={attempt}", attempt, ident)
         if failed is None or failed.isEmpty():
             return attempt, True
-        left, error = failed, None
+        left = failed
     if dead_letter_path is None:
         raise DeliveryError(f"not delivered after {n} attempts") from error
     left.withColumn("last_attempt", F.lit(n)).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
     return n, False
+
+
+def delivery_status(ledger: DataFrame, ident: str = "event_id") -> DataFrame:
+    """Per message, from the ledger, how many attempts it took and whether it was delivered."""
+    return ledger.groupBy(F.col(ident).alias("msg_id")).agg(
+        F.max("attempt").cast("int").alias("attempts_used"), F.max("delivered").alias("delivered"))
+
+
+def read_ledger(spark, ledger: str) -> DataFrame:
+    """Every attempt of every batch: (ident, attempt, delivered, batch_id)."""
+    return spark.read.option("recursiveFileLookup", "false").parquet(ledger)

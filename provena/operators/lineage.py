@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import names as N
-from .route import DEFAULT_POLICY, Policy, resolve_target, route_rules, route_writes, successful
+from .route import (DEFAULT_POLICY, Policy, process_identity, quarantine_reason, resolve_target, route_rules, route_writes,
+                    successful)
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,7 @@ class EventTables:
     @classmethod
     def from_tables(cls, t) -> "EventTables":
         from ..sources import fixtures as fx
-        rel = fx.scan_relation(t)
-        return cls(fx.write_event(t), rel, fx.scan_column(t, rel), fx.output_expr(t), fx.output_leaf(t))
+        return cls(fx.write_event(t), fx.scan_relation(t), fx.scan_column(t), fx.output_expr(t), fx.output_leaf(t))
 
 
 # ---------------------------------------------------------------------------
@@ -120,6 +120,38 @@ def _refs(arr_col, type_name: str, rel: str):
                                                    F.lit(rel).alias("relationship_type")))
 
 
+def _attributes(qn, ts, **given):
+    """The attributes that either kind of entity has; what a kind lacks is null and left out of its JSON."""
+    at = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    names = ("userName", "startTime", "endTime", "operationType", "queryId", "queryText", "recentQueries", "queryPlan", "clusterName",
+             K.DEP_TYPE_ATTR, "expression")
+    values = {"startTime": at, "endTime": at, "recentQueries": F.lit(None).cast("array<string>")} | given
+    return F.struct(qn.alias("qualifiedName"), qn.alias("name"), *(values.get(n, F.lit(None).cast("string")).alias(n) for n in names))
+
+
+def process_entity(ns: str = K.NAMESPACE) -> "F.Column":
+    """The hive_process of a harvested event, from its row: (type_name, qualified_name, attributes, relationships)."""
+    qn, text = F.col("process_qn"), F.col("query_text")
+    return F.struct(
+        F.lit(K.TYPE_PROCESS).alias("type_name"), qn.alias("qualified_name"),
+        _attributes(qn, F.col("ts"), userName=F.lit(K.USER_NAME), operationType=F.col("op_type"), queryId=text, queryText=text,
+                    recentQueries=F.array(text), queryPlan=F.lit(K.QUERY_PLAN), clusterName=F.lit(ns)).alias("attributes"),
+        F.struct(_refs(F.col("inputs"), K.TYPE_TABLE, K.REL_INPUTS).alias("inputs"),
+                 _refs(F.array("target_qn"), K.TYPE_TABLE, K.REL_OUTPUTS).alias("outputs"),
+                 F.lit(None).cast(_REF).alias("query")).alias("relationships"))
+
+
+def column_entity(ts, process_qn, lineage_id, output_qn, inputs, expression, dep_type) -> "F.Column":
+    """The hive_column_lineage of a column, linked to its process; fields as in ``process_entity``."""
+    return F.struct(
+        F.lit(K.TYPE_COLUMN_LINEAGE).alias("type_name"), lineage_id.alias("qualified_name"),
+        _attributes(lineage_id, ts, **{K.DEP_TYPE_ATTR: dep_type, "expression": expression}).alias("attributes"),
+        F.struct(_refs(inputs, K.TYPE_COLUMN, K.REL_INPUTS).alias("inputs"),
+                 _refs(F.array(output_qn), K.TYPE_COLUMN, K.REL_OUTPUTS).alias("outputs"),
+                 F.struct(F.lit(K.TYPE_PROCESS).alias("type_name"), process_qn.alias("qualified_name"),
+                          F.lit(K.REL_QUERY).alias("relationship_type")).alias("query")).alias("relationships"))
+
+
 # ---------------------------------------------------------------------------
 # the harvest
 
@@ -182,25 +214,11 @@ class Lineage:
         ev = self.routed.join(table_inputs(self.t.scan_relation, self.ns), "event_id", "left")
         ev = ev.withColumn("inputs", F.coalesce("inputs", F.array().cast("array<string>")))
         ev = ev.withColumn("n_inputs", F.size("inputs"))
-        p = self.policy
-        reason = F.when(F.lit(p.sql == "strict") & F.col("sql_text").isNull(), F.lit(K.REASON_NO_SQL_TEXT))
-        reason = (reason.when(F.col("route") == K.ROUTE_FS_WRITE, F.lit(K.REASON_FS_WRITE))
-                  .when(F.col("route") == K.ROUTE_UNSUPPORTED, F.lit(K.REASON_UNSUPPORTED))
-                  .when(F.col("root_kind") == K.ROOT_BAD, F.lit(K.REASON_BAD_PLAN))
-                  .when((F.col("empty_inputs") == "QUARANTINE") & (F.col("n_inputs") == 0),
-                        F.lit(K.REASON_NO_INPUT_TABLE)))
-        if p.literal == "strict":
+        if self.policy.literal == "strict":
             lit_ev = (literal_outputs(self.t.output_expr, self.t.output_leaf, self.dictionary)
                       .withColumn("_has_literal", F.lit(True)))
             ev = ev.join(lit_ev, "event_id", "left")
-            reason = reason.when((F.col("root_kind") == K.ROOT_PROJECT) & F.col("_has_literal"),
-                                 F.lit(K.REASON_LITERAL_LEAF))
-        ev = ev.withColumn("reason", reason)
-        proc_qn = F.when(F.col("id_rule") == "TARGET", F.col("target_qn")).otherwise(
-            F.concat(F.lit(K.PROCESS_ID_PREFIX), F.array_join("inputs", K.PROCESS_ID_SEP),
-                     F.lit(K.PROCESS_ID_INFIX), F.col("target_qn")))
-        return (ev.withColumn("process_qn", proc_qn)
-                .withColumn("query_text", N.empty_to_default("sql_text", F.col("fallback_sql"))))
+        return process_identity(ev.withColumn("reason", quarantine_reason(self.policy, F.col("_has_literal"))))
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -279,63 +297,28 @@ class Lineage:
     @cached_property
     def process_entities(self) -> DataFrame:
         """One hive_process per harvested event."""
-        ts_txt = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-        return self.good.select(
-            "event_id", "ts",
-            F.lit(K.TYPE_PROCESS).alias("type_name"),
-            F.col("process_qn").alias("qualified_name"),
-            F.col("target_qn").alias("message_key"),
-            F.struct(
-                F.col("process_qn").alias("qualifiedName"),
-                F.col("process_qn").alias("name"),
-                F.lit(K.USER_NAME).alias("userName"),
-                ts_txt.alias("startTime"), ts_txt.alias("endTime"),
-                F.col("op_type").alias("operationType"),
-                F.col("query_text").alias("queryId"),
-                F.col("query_text").alias("queryText"),
-                F.array("query_text").alias("recentQueries"),
-                F.lit(K.QUERY_PLAN).alias("queryPlan"),
-                F.lit(self.ns).alias("clusterName"),
-                F.lit(None).cast("string").alias(K.DEP_TYPE_ATTR),
-                F.lit(None).cast("string").alias("expression"),
-            ).alias("attributes"),
-            F.struct(
-                _refs(F.col("inputs"), K.TYPE_TABLE, K.REL_INPUTS).alias("inputs"),
-                _refs(F.array("target_qn"), K.TYPE_TABLE, K.REL_OUTPUTS).alias("outputs"),
-                F.lit(None).cast(_REF).alias("query"),
-            ).alias("relationships"),
-        )
+        return self.good.select("event_id", "ts", F.col("target_qn").alias("message_key"), process_entity(self.ns).alias("e")).select(
+            "event_id", "ts", "message_key", "e.*")
 
     @cached_property
     def column_entities(self) -> DataFrame:
         """One hive_column_lineage per column row, linked to its process."""
-        ts_txt = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-        c = self.column_lineage
-        return c.select(
-            "event_id", "ts", "out_pos", "out_name",
-            F.lit(K.TYPE_COLUMN_LINEAGE).alias("type_name"),
-            F.col("lineage_id").alias("qualified_name"),
-            F.struct(
-                F.col("lineage_id").alias("qualifiedName"),
-                F.col("lineage_id").alias("name"),
-                F.lit(None).cast("string").alias("userName"),
-                ts_txt.alias("startTime"), ts_txt.alias("endTime"),
-                F.lit(None).cast("string").alias("operationType"),
-                F.lit(None).cast("string").alias("queryId"),
-                F.lit(None).cast("string").alias("queryText"),
-                F.lit(None).cast("array<string>").alias("recentQueries"),
-                F.lit(None).cast("string").alias("queryPlan"),
-                F.lit(None).cast("string").alias("clusterName"),
-                F.col("dep_type").alias(K.DEP_TYPE_ATTR),
-                F.col("expression").alias("expression"),
-            ).alias("attributes"),
-            F.struct(
-                _refs(F.col("inputs"), K.TYPE_COLUMN, K.REL_INPUTS).alias("inputs"),
-                _refs(F.array("output_qn"), K.TYPE_COLUMN, K.REL_OUTPUTS).alias("outputs"),
-                F.struct(F.lit(K.TYPE_PROCESS).alias("type_name"), F.col("process_qn").alias("qualified_name"),
-                         F.lit(K.REL_QUERY).alias("relationship_type")).alias("query"),
-            ).alias("relationships"),
-        )
+        e = column_entity(*(F.col(c) for c in ("ts", "process_qn", "lineage_id", "output_qn", "inputs", "expression", "dep_type")))
+        return self.column_lineage.select("event_id", "ts", "out_pos", "out_name", e.alias("e")).select("event_id", "ts", "out_pos", "out_name", "e.*")
+
+    def entity_lists(self) -> DataFrame:
+        """Per harvested event its key, its process entity and the entities of its columns, in order.
+
+        The columns' rows are put together per event before any entity is built, so what the shuffle carries is the
+        lineage and not its entities."""
+        parts = ("lineage_id", "output_qn", "inputs", "expression", "dep_type")
+        order = F.struct(F.coalesce("out_pos", F.lit(0)).alias("p"), F.col("out_name").alias("n"), *parts)
+        per_event = self.column_lineage.groupBy("event_id").agg(F.sort_array(F.collect_list(order)).alias("_cols"))
+        j = self.good.join(per_event, "event_id", "left")
+        column = lambda c: column_entity(F.col("ts"), F.col("process_qn"), *(c[p] for p in parts))
+        some = F.coalesce("_cols", F.array().cast(j.schema["_cols"].dataType))
+        return j.select("event_id", "ts", F.col("target_qn").alias("key"), process_entity(self.ns).alias("process"),
+                        F.transform(some, column).alias("columns"))
 
     @cached_property
     def entities(self) -> DataFrame:

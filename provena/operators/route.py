@@ -1,4 +1,4 @@
-"""Routing of write events and plan nodes (P1, P2, X-H), execution-event
+"""Routing of write events (P1, X-H), execution-event
 source filter (S1) and the quarantine split (T4, Q1-Q3).
 
 Routing is data, not code: ``route_rules`` is a small table (one row per
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..functions import names as N
 
 RULE_SCHEMA = T.StructType([
     T.StructField("command", T.StringType(), False),
@@ -115,21 +116,21 @@ def resolve_target(routed: DataFrame, ns: str = K.NAMESPACE) -> DataFrame:
                                               F.lit("@" + ns))))
 
 
-def classify_plan(nodes: DataFrame) -> DataFrame:
-    """P2 (+ Q4): which plan kinds an execution carries.
-
-    Nodes are a tree by ``parent_pos``.  The hook collects the children of
-    each union and then meets them again in its walk over the plan, so every
-    write command right under a union counts twice (``n_write_cmds``).
-    """
-    parent = nodes.select("event_id", F.col("node_pos").alias("parent_pos"), F.col("cls").alias("parent_cls"))
-    with_parent = nodes.join(parent, ["event_id", "parent_pos"], "left")
-    is_write = F.col("cls") == "DataWritingCommandExec"
-    return with_parent.groupBy("event_id").agg(
-        F.max((F.col("cls") == "ExecutedCommandExec").cast("int")).cast("boolean").alias("has_ddl"),
-        F.max(is_write.cast("int")).cast("boolean").alias("has_write"),
-        F.max((F.col("cls") == "WriteToDataSourceV2Exec").cast("int")).cast("boolean").alias("has_v2"),
-        (F.sum(F.when(is_write, 1).otherwise(0))
-         + F.sum(F.when(is_write & (F.col("parent_cls") == "UnionExec"), 1).otherwise(0)))
-        .cast("bigint").alias("n_write_cmds"),
-    )
+def quarantine_reason(policy: Policy, has_literal) -> "F.Column":
+    """Q1-Q3, T4: why an event with its rule, ``n_inputs`` and ``root_kind`` cannot be harvested; null where it can.
+    ``has_literal`` tells whether a derived output holds a leaf without a name."""
+    reason = F.when(F.lit(policy.sql == "strict") & F.col("sql_text").isNull(), F.lit(K.REASON_NO_SQL_TEXT))
+    reason = (reason.when(F.col("route") == K.ROUTE_FS_WRITE, F.lit(K.REASON_FS_WRITE))
+              .when(F.col("route") == K.ROUTE_UNSUPPORTED, F.lit(K.REASON_UNSUPPORTED))
+              .when(F.col("root_kind") == K.ROOT_BAD, F.lit(K.REASON_BAD_PLAN))
+              .when((F.col("empty_inputs") == "QUARANTINE") & (F.col("n_inputs") == 0), F.lit(K.REASON_NO_INPUT_TABLE)))
+    if policy.literal == "strict":
+        reason = reason.when((F.col("root_kind") == K.ROOT_PROJECT) & has_literal, F.lit(K.REASON_LITERAL_LEAF))
+    return reason
+
+
+def process_identity(events: DataFrame) -> DataFrame:
+    """L2 + F7: ``process_qn`` from the rule's id rule, the inputs and the target, and ``query_text`` with its fallback."""
+    query_id = F.concat(F.lit(K.PROCESS_ID_PREFIX), F.array_join("inputs", K.PROCESS_ID_SEP), F.lit(K.PROCESS_ID_INFIX), F.col("target_qn"))
+    return (events.withColumn("process_qn", F.when(F.col("id_rule") == "TARGET", F.col("target_qn")).otherwise(query_id))
+            .withColumn("query_text", N.empty_to_default("sql_text", F.col("fallback_sql"))))

@@ -24,17 +24,16 @@ SELECT o_orderkey AS event_id, o_orderdate AS ts, o_custkey AS session_id,
   'T_' || CAST(o_custkey % 50 AS VARCHAR) AS target_table,
   'cur' || CAST(o_custkey % 3 AS VARCHAR) AS current_db,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN '' ELSE 'q' || CAST(o_orderkey AS VARCHAR) END AS sql_text,
-  CASE o_orderkey % 10 WHEN 0 THEN 'RELATION' WHEN 1 THEN 'OTHER' ELSE 'PROJECT' END AS root_kind
-FROM orders""")
+  CASE WHEN lo = hi THEN 'RELATION' WHEN o_orderkey % 10 = 1 THEN 'OTHER' ELSE 'PROJECT' END AS root_kind
+FROM orders LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS lo, max(l_suppkey) AS hi FROM lineitem GROUP BY l_orderkey) s
+  ON o_orderkey = l_orderkey""")
 
 _view("fx_scan_relation", (), """
 SELECT DISTINCT l_orderkey AS event_id, l_suppkey AS rel_pos,
   CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE 'src' || CAST(l_suppkey % 4 AS VARCHAR) END AS db,
   'S_' || CAST(l_suppkey % 40 AS VARCHAR) AS tbl,
   l_suppkey % 8 <> 0 AS is_catalog
-FROM lineitem
-WHERE l_orderkey % 10 <> 0
-   OR l_suppkey = (SELECT min(m.l_suppkey) FROM lineitem m WHERE m.l_orderkey = lineitem.l_orderkey)""")
+FROM lineitem""")
 
 _view("fx_scan_column", ("fx_scan_relation",), """
 SELECT DISTINCT l.l_orderkey AS event_id, l.l_suppkey AS rel_pos,
@@ -79,6 +78,11 @@ SELECT CASE WHEN p_partkey % 5 = 4 THEN 'lake' ELSE 'db' || CAST(p_partkey % 5 A
   CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_name END AS comment
 FROM part""")
 
+_view("fx_catalog_history", ("fx_catalog_column",), """
+SELECT db, tbl, grp, v, TIMESTAMP '2024-01-01 12:00:00' + to_days(CAST(v * (1 + grp % 9) AS INT)) AS valid_from, pos, name,
+  data_type || '_' || CAST(v AS VARCHAR) AS data_type, comment
+FROM (SELECT *, CAST(substr(tbl, 3) AS BIGINT) AS grp FROM fx_catalog_column) c, (SELECT unnest(range(3)) AS v) n""")
+
 _view("fx_database", (), """
 SELECT 'db' || CAST(n_nationkey AS VARCHAR) AS name, n_name AS description, '/wh/' || lower(n_name) AS location_uri
 FROM nation""")
@@ -89,12 +93,6 @@ SELECT user_id AS session_id, ts, 'sql_' || CAST(event_id AS VARCHAR) AS sql_tex
 _view("fx_exec", (), """
 SELECT event_id, user_id AS session_id, ts FROM events WHERE event_type = 'purchase'""")
 
-_view("fx_delivery_attempt", (), """
-SELECT l_orderkey AS msg_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS attempt,
-  (l_partkey + l_suppkey) % 3 = 0 AS ok
-FROM lineitem""")
-
 _view("fx_ddl_event", ("fx_catalog_event",), """
 SELECT event_id, ts,
   CASE kind WHEN 'CreateTableEvent' THEN CASE WHEN event_id % 5 = 0 THEN 'CreateViewCommand'
@@ -108,14 +106,29 @@ SELECT event_id, ts,
   CASE WHEN kind = 'CreateTableEvent' AND event_id % 2 = 1 THEN 't_' || CAST(event_id % 90 + 10 AS VARCHAR) END AS source_tbl
 FROM fx_catalog_event WHERE kind IN ('CreateTableEvent', 'DropTableEvent', 'RenameTableEvent', 'AlterTableEvent')""")
 
-_view("fx_plan_node", (), """
-SELECT l_orderkey AS event_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS node_pos,
-  CASE l_partkey % 7 WHEN 0 THEN 'ExecutedCommandExec' WHEN 1 THEN 'DataWritingCommandExec'
-       WHEN 2 THEN 'WriteToDataSourceV2Exec' WHEN 3 THEN 'UnionExec' WHEN 4 THEN 'ProjectExec'
-       WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls,
-  CASE WHEN row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) > 1
-       THEN CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) // 2 AS INT) END AS parent_pos
+# The nodes of an execution's physical plan: each branch by its own offsets (class, parent, last), under a union where
+# there is more than one.
+_view("ox_plan_node", ("ox_branch",), """
+SELECT event_id, 0 AS node_pos, CAST(NULL AS INT) AS parent_pos, CAST(sum(len(b)) AS INT) AS last_pos, 'UnionExec' AS cls
+FROM ox_branch GROUP BY event_id HAVING count(*) > 1
+UNION ALL
+SELECT event_id, CAST(base + n.i AS INT), CAST(CASE WHEN n.p >= 0 THEN base + n.p WHEN many THEN 0 END AS INT), CAST(base + n.l AS INT), n.c
+FROM (SELECT event_id, many, CAST(many AS INT) + coalesce(sum(len(b)) OVER (
+        PARTITION BY event_id ORDER BY branch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base, unnest(b) AS n
+      FROM (SELECT *, count(*) OVER (PARTITION BY event_id) > 1 AS many FROM ox_branch) m) x""")
+
+_view("ox_branch", (), """
+SELECT l_orderkey AS event_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS branch,
+  CASE WHEN l_partkey % 7 = 0 THEN [{'i': 0, 'c': 'ExecutedCommandExec', 'p': -1, 'l': 0}]
+       WHEN l_partkey % 7 <= 3 AND l_returnflag = 'N' THEN [{'i': 0, 'c': 'DataWritingCommandExec', 'p': -1, 'l': 2},
+         {'i': 1, 'c': 'ProjectExec', 'p': 0, 'l': 2}, {'i': 2, 'c': 'FileSourceScanExec', 'p': 1, 'l': 2}]
+       WHEN l_partkey % 7 <= 3 THEN [{'i': 0, 'c': 'DataWritingCommandExec', 'p': -1, 'l': 1}, {'i': 1, 'c': 'FileSourceScanExec', 'p': 0, 'l': 1}]
+       WHEN l_partkey % 7 = 4 THEN [{'i': 0, 'c': 'WriteToDataSourceV2Exec', 'p': -1, 'l': 1}, {'i': 1, 'c': 'FileSourceScanExec', 'p': 0, 'l': 1}]
+       WHEN l_partkey % 7 = 5 THEN [{'i': 0, 'c': 'UnionExec', 'p': -1, 'l': 4}, {'i': 1, 'c': 'DataWritingCommandExec', 'p': 0, 'l': 2},
+         {'i': 2, 'c': 'FileSourceScanExec', 'p': 1, 'l': 2}, {'i': 3, 'c': 'DataWritingCommandExec', 'p': 0, 'l': 4},
+         {'i': 4, 'c': 'FileSourceScanExec', 'p': 3, 'l': 4}]
+       ELSE [{'i': 0, 'c': 'ProjectExec', 'p': -1, 'l': 2}, {'i': 1, 'c': 'FilterExec', 'p': 0, 'l': 2}, {'i': 2, 'c': 'FileSourceScanExec', 'p': 1, 'l': 2}]
+  END AS b
 FROM lineitem""")
 
 # --- derived views shared by the lineage queries (default policy) -----------

@@ -169,3 +169,15 @@ def event_tables_from_plans(log: DataFrame, stage_path: str | None = None):
     leaves = part("leaf").select("event_id", F.col("pos").cast("int").alias("out_pos"), "leaf_pos", "attr_id",
                                  F.col("flag").alias("is_named"))
     return EventTables(ev, rel, col, out, leaves)
+
+
+def output_texts(log: DataFrame, plan_col: str = "plan_json") -> DataFrame:
+    """(event_id, out_pos, expression) of every output of a root projection that is more than a column's name, the
+    text folded out of the plan itself."""
+    from . import expr as X
+    plan = F.from_json(plan_col, f"array<struct<class:string,projectList:array<array<{X.NODE}>>>>")
+    root = F.get(plan, F.lit(0))
+    items = F.when(root["class"] == PROJECT, root["projectList"])
+    out = log.select("event_id", items.alias("items")).select("event_id", F.posexplode_outer("items").alias("out_pos", "e"))
+    return (out.where(F.col("e")[0]["class"] != ATTRIBUTE)
+            .select("event_id", "out_pos", X.expression_text(F.slice("e", 2, F.size("e"))).alias("expression")))

@@ -205,6 +205,38 @@ def envelope_sizes(spark, sf_dir):
     return m.select("topic", "key", F.col("n_entities").cast("bigint").alias("n_entities"), "first_type")
 
 
+@query("message_entities", with_views("""
+SELECT event_id, 0 AS place, 'hive_process' AS type_name, process_qn AS qualified_name, process_qn AS name, 'Spark' AS user_name,
+  op_type AS operation_type, query_text AS query_id, query_text, query_text AS recent_queries, 'Not Supported' AS query_plan, '5k' AS cluster_name,
+  CAST(NULL AS VARCHAR) AS dep_type, CAST(NULL AS VARCHAR) AS expression, strftime(ts, '%Y-%m-%dT%H:%M:%S.000') AS start_time,
+  coalesce(string_agg_inputs, '') AS inputs, 'hive_table:' || target_qn AS outputs, CAST(NULL AS VARCHAR) AS query
+FROM (SELECT g.*, list_aggregate(list_transform(string_split(nullif(inputs_txt, ''), '|'), lambda x: 'hive_table:' || x), 'string_agg', '|') AS string_agg_inputs
+      FROM ox_good g) g
+UNION ALL
+SELECT event_id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY coalesce(pos, 0), out_name) AS INT), 'hive_column_lineage', lineage_id, lineage_id,
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, dep_type, expression, strftime(ts, '%Y-%m-%dT%H:%M:%S.000'),
+  coalesce(list_aggregate(list_transform(string_split(nullif(inputs_txt, ''), '|'), lambda x: 'hive_column:' || x), 'string_agg', '|'), ''),
+  'hive_column:' || output_qn, 'hive_process:' || process_qn
+FROM (SELECT c.*, CASE WHEN c.branch <> 'DIRECT' THEN CAST(substr(c.out_name, 5) AS INT) END AS pos FROM ox_colineage c) c""", "ox_good", "ox_colineage"))
+def message_entities(spark, sf_dir):
+    """K12 + F11: the JSON of every message read back, entity by entity and attribute by attribute."""
+    from .operators.deliver import to_messages
+    ref = "struct<typeName:string,uniqueAttributes:struct<qualifiedName:string>>"
+    schema = ("struct<entities:struct<entities:array<struct<typeName:string,attributes:map<string,string>,"
+              f"relationshipAttributes:struct<inputs:array<{ref}>,outputs:array<{ref}>,query:{ref}>>>>>")
+    m = to_messages(lineage(spark, sf_dir)).select("event_id", F.from_json("value", schema)["entities"]["entities"].alias("e"))
+    e = m.select("event_id", F.posexplode("e").alias("place", "x"))
+    a, r = F.col("x.attributes"), F.col("x.relationshipAttributes")
+    name = lambda q: F.concat(q["typeName"], F.lit(":"), q["uniqueAttributes"]["qualifiedName"])
+    one = {"qualifiedName": "qualified_name", "name": "name", "userName": "user_name", "operationType": "operation_type", "queryId": "query_id",
+           "queryText": "query_text", "queryPlan": "query_plan", "clusterName": "cluster_name", K.DEP_TYPE_ATTR: "dep_type",
+           "expression": "expression", "startTime": "start_time"}
+    return e.select("event_id", "place", F.col("x.typeName").alias("type_name"), *(a[k].alias(v) for k, v in one.items()),
+                    F.from_json(a["recentQueries"], "array<string>")[0].alias("recent_queries"),
+                    F.array_join(F.transform(r["inputs"], name), "|").alias("inputs"), F.array_join(F.transform(r["outputs"], name), "|").alias("outputs"),
+                    name(r["query"]).alias("query"))
+
+
 @query("edges", with_views("""
 SELECT DISTINCT kind, src, dst FROM (
   SELECT 'dataset_process_inputs' AS kind, coalesce(r.db, 'default') || '.' || r.tbl || '@5k' AS src, g.process_qn AS dst
@@ -288,20 +320,6 @@ def route_rules_q(spark, sf_dir):
     return lin.routed.groupBy("route", "command").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("classify_plan", with_views("""
-SELECT event_id, bool_or(cls = 'ExecutedCommandExec') AS has_ddl, bool_or(cls = 'DataWritingCommandExec') AS has_write,
-  bool_or(cls = 'WriteToDataSourceV2Exec') AS has_v2,
-  CAST(sum(CASE WHEN cls = 'DataWritingCommandExec' THEN 1 ELSE 0 END)
-     + sum(CASE WHEN cls = 'DataWritingCommandExec' AND parent_cls = 'UnionExec' THEN 1 ELSE 0 END) AS BIGINT)
-    AS n_write_cmds
-FROM (SELECT n.*, p.cls AS parent_cls FROM fx_plan_node n
-      LEFT JOIN fx_plan_node p ON n.event_id = p.event_id AND n.parent_pos = p.node_pos) n
-GROUP BY event_id""", "fx_plan_node"))
-def classify_plan_q(spark, sf_dir):
-    from .operators.route import classify_plan
-    return classify_plan(fx.plan_node(Tables(spark, sf_dir)))
-
-
 # ---------------------------------------------------------------------------
 # J1
 
@@ -332,7 +350,8 @@ def sql_text_asof_max_age(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # S2, C1-C10, J4, J5
 
-_CHANGES = """
+_KINDS = ", ".join(f"'{k}'" for k in K.CATALOG_KINDS)
+_CHANGES = f"""
 SELECT event_id, ts, kind, 0 AS seq,
   CASE kind WHEN 'CreateDatabaseEvent' THEN 'CREATE_DATABASE' WHEN 'DropDatabaseEvent' THEN 'DROP_DATABASE'
             WHEN 'AlterDatabaseEvent' THEN 'ALTER_DATABASE' WHEN 'CreateTableEvent' THEN 'CREATE_TABLE'
@@ -340,7 +359,7 @@ SELECT event_id, ts, kind, 0 AS seq,
   db, tbl,
   CASE kind WHEN 'AlterTableEvent' THEN change_kind WHEN 'RenameTableEvent' THEN new_name END AS detail
 FROM fx_catalog_event
-WHERE kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent', 'AlterTableEvent', 'RenameTableEvent')
+WHERE kind IN ({_KINDS})
 UNION ALL
 SELECT event_id, ts, kind, 1, 'CREATE_TABLE', db, new_name, NULL FROM fx_catalog_event WHERE kind = 'RenameTableEvent'"""
 
@@ -351,9 +370,9 @@ def _changes(spark, sf_dir, with_db=True):
     return catalog_changes(fx.catalog_event(t), fx.database(t) if with_db else None)
 
 
-@query("catalog_feed", with_views("""
+@query("catalog_feed", with_views(f"""
 SELECT kind, count(*) AS n FROM fx_catalog_event
-WHERE kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent', 'AlterTableEvent', 'RenameTableEvent')
+WHERE kind IN ({_KINDS})
 GROUP BY kind""", "fx_catalog_event"))
 def catalog_feed(spark, sf_dir):
     from .operators.catalog import read_catalog_events
@@ -394,6 +413,20 @@ def rename_table_columns(spark, sf_dir):
     return _table_columns(spark, sf_dir, "RenameTableEvent")
 
 
+@query("table_columns_at_event", with_views(f"""
+SELECT c.event_id, c.seq, c.db, c.tbl, h.pos, h.name, h.data_type, CASE WHEN h.name IS NOT NULL THEN coalesce(h.comment, '') END AS comment
+FROM (SELECT * FROM ({_CHANGES}) c WHERE change = 'CREATE_TABLE') c
+ASOF LEFT JOIN (SELECT DISTINCT db, tbl, v, valid_from FROM fx_catalog_history) w ON c.db = w.db AND c.tbl = w.tbl AND c.ts >= w.valid_from
+LEFT JOIN fx_catalog_history h ON h.db = w.db AND h.tbl = w.tbl AND h.v = w.v
+  AND NOT (h.v = 2 AND h.grp % 4 = 0) AND (h.pos = 1 OR (h.pos + h.v) % 3 <> 0)""", "fx_catalog_event", "fx_catalog_history"))
+def table_columns_at_event(spark, sf_dir):
+    """C4 + C7 + J4: the columns of the definition that was in force when a table was created or renamed."""
+    from .operators.catalog import table_columns_at
+    t = Tables(spark, sf_dir)
+    out = table_columns_at(_changes(spark, sf_dir, with_db=False), fx.catalog_column_history(t))
+    return out.select("event_id", "seq", "db", "tbl", "pos", "name", "data_type", "comment")
+
+
 @query("catalog_state", with_views(f"""
 SELECT db, tbl, change AS last_kind, event_id AS last_event_id,
   change IN ('CREATE_DATABASE', 'ALTER_DATABASE', 'CREATE_TABLE', 'ALTER_TABLE')
@@ -407,9 +440,8 @@ def catalog_state_q(spark, sf_dir):
     return catalog_state(_changes(spark, sf_dir, with_db=False))
 
 
-@query("catalog_tally", with_views("""
-SELECT CASE WHEN kind IN ('CreateDatabaseEvent', 'DropDatabaseEvent', 'AlterDatabaseEvent', 'CreateTableEvent', 'DropTableEvent',
-                          'AlterTableEvent', 'RenameTableEvent') THEN kind ELSE 'UNSUPPORTED' END AS kind, count(*) AS n
+@query("catalog_tally", with_views(f"""
+SELECT CASE WHEN kind IN ({_KINDS}) THEN kind ELSE 'UNSUPPORTED' END AS kind, count(*) AS n
 FROM fx_catalog_event GROUP BY 1""", "fx_catalog_event"))
 def catalog_tally_q(spark, sf_dir):
     from .operators.catalog import catalog_tally
@@ -430,27 +462,6 @@ def ddl_changes_q(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
-# ---------------------------------------------------------------------------
-# K13, K14
-
-
-@query("delivery_status", with_views("""
-SELECT msg_id, CAST(coalesce(min(CASE WHEN ok THEN attempt END), max(attempt)) AS INT) AS attempts_used,
-  min(CASE WHEN ok THEN attempt END) IS NOT NULL AS delivered
-FROM fx_delivery_attempt WHERE attempt <= 3 GROUP BY msg_id""", "fx_delivery_attempt"))
-def delivery_status_q(spark, sf_dir):
-    from .operators.deliver import delivery_status
-    return delivery_status(fx.delivery_attempt(Tables(spark, sf_dir)), K.MAX_RETRIES)
-
-
-@query("dead_letters", with_views("""
-SELECT msg_id, CAST(max(attempt) AS INT) AS last_attempt
-FROM fx_delivery_attempt WHERE attempt <= 3 GROUP BY msg_id HAVING NOT bool_or(ok)""", "fx_delivery_attempt"))
-def dead_letters_q(spark, sf_dir):
-    from .operators.deliver import dead_letters
-    return dead_letters(fx.delivery_attempt(Tables(spark, sf_dir)), K.MAX_RETRIES)
-
-
 # ---------------------------------------------------------------------------
 # F10, F12 over customer rows
 
@@ -514,6 +525,64 @@ def _plan_tables(spark, sf_dir):
     return event_tables_from_plans(log, stage_path=scratch_path(spark, "plan_nodes"))
 
 
+_PHYSICAL_LOG: dict = {}
+
+
+def physical_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """The executions' physical plans, written once per session like the plan log."""
+    from .session import scratch_path
+    from .sources.plan_log import physical_log
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PHYSICAL_LOG:
+        path = scratch_path(spark, "physical_log")
+        physical_log(Tables(spark, sf_dir)).write.parquet(path)
+        _PHYSICAL_LOG[key] = path
+    return _PHYSICAL_LOG[key]
+
+
+@query("plan_nodes", with_views("""
+SELECT event_id, node_pos, parent_pos, last_pos, cls FROM ox_plan_node""", "ox_plan_node"))
+def plan_nodes_q(spark, sf_dir):
+    from .plans.tree import plan_nodes
+    return plan_nodes(spark.read.parquet(physical_log_path(spark, sf_dir)))
+
+
+@query("classify_plan", with_views("""
+SELECT n.event_id, bool_or(n.cls = 'ExecutedCommandExec') AS has_ddl, bool_or(n.cls = 'DataWritingCommandExec') AS has_write,
+  bool_or(n.cls = 'WriteToDataSourceV2Exec') AS has_v2,
+  CAST(sum(CASE WHEN n.cls = 'DataWritingCommandExec' THEN CASE WHEN p.cls = 'UnionExec' THEN 2 ELSE 1 END ELSE 0 END) AS BIGINT) AS n_write_cmds
+FROM ox_plan_node n LEFT JOIN ox_plan_node p ON n.event_id = p.event_id AND n.parent_pos = p.node_pos
+GROUP BY n.event_id""", "ox_plan_node"))
+def classify_plan_q(spark, sf_dir):
+    from .plans.tree import classify_plans
+    return classify_plans(spark.read.parquet(physical_log_path(spark, sf_dir)))
+
+
+@query("plan_expression_text", with_views("""
+SELECT o.event_id, CAST(o.pos AS INT) AS out_pos,
+  CASE WHEN o.expr_text LIKE '%(%' THEN 'coalesce(' || string_agg(l.t, ', ' ORDER BY l.leaf_pos) || ')'
+       ELSE repeat('(', CAST(count(*) - 1 AS INT)) || string_agg(CASE WHEN l.leaf_pos = 1 THEN l.t ELSE ' + ' || l.t || ')' END, '' ORDER BY l.leaf_pos)
+  END AS expression
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY out_pos) - 1 AS pos FROM fx_output_expr) o
+JOIN fx_write_event w ON o.event_id = w.event_id AND w.root_kind = 'PROJECT'
+JOIN (SELECT *, CASE WHEN attr_id IS NULL THEN CAST(leaf_pos AS VARCHAR) ELSE 'Col_' || CAST(attr_id // 1000 AS VARCHAR) END AS t
+      FROM fx_output_leaf) l ON o.event_id = l.event_id AND o.out_pos = l.out_pos
+WHERE o.n_children > 0
+GROUP BY o.event_id, o.pos, o.expr_text""", "fx_output_expr", "fx_write_event", "fx_output_leaf"))
+def plan_expression_text(spark, sf_dir):
+    """The texts of all derived outputs, folded out of the plan's own expression nodes (the ids of a run left out)."""
+    from .functions.names import strip_expr_ids
+    from .plans.shred import output_texts
+    log = spark.read.parquet(plan_log_path(spark, sf_dir))
+    return output_texts(log).select("event_id", "out_pos", strip_expr_ids("expression").alias("expression"))
+
+
+def _plan_lineage(spark, sf_dir, policy: Policy = DEFAULT_POLICY):
+    """The lineage of the plan log, each execution's in its own row."""
+    from .plans.in_row import PlanLineage
+    return PlanLineage(spark.read.parquet(plan_log_path(spark, sf_dir)), policy=policy)
+
+
 @query("plan_scans", with_views("""
 SELECT pr.event_id, CAST(pr.node_pos AS BIGINT) AS rel_pos,
   CASE WHEN pr.is_catalog THEN pr.db END AS db, CASE WHEN pr.is_catalog THEN pr.tbl END AS tbl, pr.is_catalog,
@@ -550,14 +619,14 @@ def plan_outputs(spark, sf_dir):
 
 @query("plan_table_lineage", ORACLE["table_lineage"])
 def plan_table_lineage(spark, sf_dir):
-    g = Lineage(_plan_tables(spark, sf_dir)).good
+    g = _plan_lineage(spark, sf_dir).good
     return g.select("event_id", "target_qn", _join("inputs").alias("inputs"),
                     F.col("n_inputs").cast("bigint").alias("n_inputs"))
 
 
 @query("plan_column_lineage", ORACLE["column_lineage"])
 def plan_column_lineage(spark, sf_dir):
-    c = Lineage(_plan_tables(spark, sf_dir)).column_lineage
+    c = _plan_lineage(spark, sf_dir).column_lineage
     return c.select("event_id", "branch", "lineage_id", _join("inputs").alias("inputs"), "dep_type", "expression")
 
 

@@ -2,7 +2,7 @@
 
 Each function turns base tables into one of the L1 event tables the engine
 consumes (write events, scanned relations and columns, output expressions
-and leaves, catalog events, SQL-text log, delivery attempts).  They are the
+and leaves, catalog events, SQL-text log).  They are the
 scalable stand-in for a captured query log: the row count grows with the
 scale factor, and every view is one declarative plan (no Python per row).
 
@@ -20,7 +20,10 @@ from ..session import Tables
 
 
 def write_event(t: Tables) -> DataFrame:
-    return t.orders.selectExpr(
+    """One write event per order.  Its query is a bare relation where all line items come from one supplier, i.e. where
+    one table is scanned; else a projection, or in one case of ten something else."""
+    scanned = t.lineitem.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"))
+    return t.orders.join(scanned, F.col("o_orderkey") == F.col("l_orderkey"), "left").selectExpr(
         "o_orderkey AS event_id", "o_orderdate AS ts", "o_custkey AS session_id",
         "CASE WHEN o_orderkey % 17 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
         """CASE o_orderpriority WHEN '1-URGENT' THEN 'CreateHiveTableAsSelectCommand'
@@ -32,23 +35,13 @@ def write_event(t: Tables) -> DataFrame:
         "concat('cur', CAST(o_custkey % 3 AS STRING)) AS current_db",
         """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN ''
                 ELSE concat('q', CAST(o_orderkey AS STRING)) END AS sql_text""",
-        "CASE o_orderkey % 10 WHEN 0 THEN 'RELATION' WHEN 1 THEN 'OTHER' ELSE 'PROJECT' END AS root_kind",
+        "CASE WHEN lo = hi THEN 'RELATION' WHEN o_orderkey % 10 = 1 THEN 'OTHER' ELSE 'PROJECT' END AS root_kind",
     )
 
 
 def scan_relation(t: Tables) -> DataFrame:
-    """One row per (event, scanned relation).  Events whose query is a bare
-    relation (event_id % 10 = 0) keep only their first relation.
-
-    Written as two partial aggregations instead of a correlated subquery:
-    distinct pairs for ordinary events, ``min`` per event for bare-relation
-    events; both combine map-side, so a huge event never lands whole in one
-    task before the reduce.
-    """
-    li = t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos")
-    many = li.where("event_id % 10 <> 0").distinct()
-    one = li.where("event_id % 10 = 0").groupBy("event_id").agg(F.min("rel_pos").alias("rel_pos"))
-    return many.unionByName(one).selectExpr(
+    """One row per (event, scanned relation): the suppliers of an order."""
+    return t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos").distinct().selectExpr(
         "event_id", "rel_pos",
         "CASE WHEN rel_pos % 9 = 0 THEN NULL ELSE concat('src', CAST(rel_pos % 4 AS STRING)) END AS db",
         "concat('S_', CAST(rel_pos % 40 AS STRING)) AS tbl",
@@ -56,13 +49,11 @@ def scan_relation(t: Tables) -> DataFrame:
     )
 
 
-def scan_column(t: Tables, relations: DataFrame | None = None) -> DataFrame:
+def scan_column(t: Tables) -> DataFrame:
     """Data and partition columns of every scanned relation; attr ids are unique per event."""
-    rel = (relations if relations is not None else scan_relation(t)).select("event_id", "rel_pos")
     li = t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos", "l_partkey AS pk")
     part = t.part.selectExpr("p_partkey AS pk", "p_type = 'PROMO' AS is_partition_col")
-    return (li.join(rel, ["event_id", "rel_pos"], "left_semi")
-            .join(part, "pk")
+    return (li.join(part, "pk")
             .selectExpr("event_id", "rel_pos", "pk * 1000 + rel_pos AS attr_id",
                         "concat('Col_', CAST(pk AS STRING)) AS col", "is_partition_col")
             .distinct())
@@ -130,6 +121,21 @@ def catalog_column(t: Tables) -> DataFrame:
     )
 
 
+def catalog_column_history(t: Tables) -> DataFrame:
+    """Versions of the table definitions: each table gets three, some days apart.  A version leaves out a third of the
+    columns, another third each time; the last version of every fourth table has none, as the table is gone."""
+    base = catalog_column(t).selectExpr("*", "CAST(substr(tbl, 3) AS BIGINT) AS grp").withColumn("v", F.explode(F.array(*map(F.lit, range(3)))))
+    rows = base.selectExpr(
+        "db", "tbl", "grp", "v", "TIMESTAMP_NTZ '2024-01-01 12:00:00' + make_dt_interval(CAST(v * (1 + grp % 9) AS INT)) AS valid_from",
+        "pos", "name", "concat(data_type, '_', v) AS data_type", "comment")
+    gone = rows.selectExpr("db", "tbl", "grp", "v", "valid_from").where("v = 2 AND grp % 4 = 0").distinct().selectExpr(
+        "db", "tbl", "valid_from", "CAST(NULL AS INT) AS pos", "CAST(NULL AS STRING) AS name", "CAST(NULL AS STRING) AS data_type",
+        "CAST(NULL AS STRING) AS comment")
+    # the first column is in every version, so that none comes to nothing
+    held = rows.where("NOT (v = 2 AND grp % 4 = 0) AND (pos = 1 OR (pos + v) % 3 <> 0)").drop("grp", "v")
+    return held.unionByName(gone)
+
+
 def database(t: Tables) -> DataFrame:
     """Database definitions; the events' ``lake`` has none on purpose."""
     return t.nation.selectExpr(
@@ -146,15 +152,6 @@ def exec_event(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'purchase'").selectExpr("event_id", "user_id AS session_id", "ts")
 
 
-def delivery_attempt(t: Tables) -> DataFrame:
-    return t.lineitem.selectExpr(
-        "l_orderkey AS msg_id",
-        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)"
-        " AS attempt",
-        "(l_partkey + l_suppkey) % 3 = 0 AS ok",
-    )
-
-
 def ddl_event(t: Tables) -> DataFrame:
     """DDL command log derived from the catalog log (table events only)."""
     c = catalog_event(t).where("kind IN ('CreateTableEvent', 'DropTableEvent', 'RenameTableEvent', 'AlterTableEvent')")
@@ -173,16 +170,20 @@ def ddl_event(t: Tables) -> DataFrame:
     )
 
 
-def plan_node(t: Tables) -> DataFrame:
-    """Physical plan nodes of executions: a tree by ``parent_pos``, in which every node may have two children."""
+def plan_branch(t: Tables) -> DataFrame:
+    """What an execution ran, one branch per line item, as a pre-order array of (class, number of children): commands,
+    writes with or without a projection, a union of two writes, or a read."""
+    node = lambda cls, n: f"named_struct('class', '{cls}', 'num-children', {n})"
+    scan, write = node("FileSourceScanExec", 0), node("DataWritingCommandExec", 1)
     return t.lineitem.selectExpr(
         "l_orderkey AS event_id",
-        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)"
-        " AS node_pos",
-        """CASE l_partkey % 7 WHEN 0 THEN 'ExecutedCommandExec' WHEN 1 THEN 'DataWritingCommandExec'
-                WHEN 2 THEN 'WriteToDataSourceV2Exec' WHEN 3 THEN 'UnionExec' WHEN 4 THEN 'ProjectExec'
-                WHEN 5 THEN 'FileSourceScanExec' ELSE 'FilterExec' END AS cls""",
-    ).selectExpr("*", "CASE WHEN node_pos > 1 THEN node_pos DIV 2 END AS parent_pos")
+        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS branch",
+        f"""CASE WHEN l_partkey % 7 = 0 THEN array({node("ExecutedCommandExec", 0)})
+                 WHEN l_partkey % 7 <= 3 AND l_returnflag = 'N' THEN array({write}, {node("ProjectExec", 1)}, {scan})
+                 WHEN l_partkey % 7 <= 3 THEN array({write}, {scan})
+                 WHEN l_partkey % 7 = 4 THEN array({node("WriteToDataSourceV2Exec", 1)}, {scan})
+                 WHEN l_partkey % 7 = 5 THEN array({node("UnionExec", 2)}, {write}, {scan}, {write}, {scan})
+                 ELSE array({node("ProjectExec", 1)}, {node("FilterExec", 1)}, {scan}) END AS nodes""")
 
 
 ALL = {
@@ -193,10 +194,10 @@ ALL = {
     "output_expr": output_expr,
     "catalog_event": catalog_event,
     "catalog_column": catalog_column,
+    "catalog_column_history": catalog_column_history,
     "database": database,
     "sql_text": sql_text,
     "exec_event": exec_event,
-    "delivery_attempt": delivery_attempt,
     "ddl_event": ddl_event,
-    "plan_node": plan_node,
+    "plan_branch": plan_branch,
 }

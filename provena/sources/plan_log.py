@@ -10,10 +10,14 @@ fixture events back out as plan JSON, one pre-order node array per event:
 * OTHER root:    Aggregate -> Union(n) -> relations
 
 Relations are ``LogicalRelation`` nodes with a ``catalogTable`` (catalog
-tables) or ``LogicalRDD`` nodes without one.  A derived output is
-``Alias -> Coalesce(k) -> k leaves``; a pass-through output is a bare
-``AttributeReference``.  Every list is built per event with ordered
-``collect_list`` and serialised with ``to_json``: all on the executors.
+tables) or ``LogicalRDD`` nodes without one.  A pass-through output is a bare
+``AttributeReference``; a derived output is an ``Alias`` over a call of ``coalesce``
+or a chain of additions of its leaves, as its text in the event tables has parentheses
+or not.  Every list is built per event with ordered ``collect_list`` and serialised with
+``to_json``: all on the executors.
+
+``physical_log`` writes the executions' physical plans in the same way: a union over
+the branches that an execution ran, or its only branch.
 """
 
 from __future__ import annotations
@@ -29,16 +33,20 @@ RDD = "org.apache.spark.sql.execution.LogicalRDD"
 UNION = "org.apache.spark.sql.catalyst.plans.logical.Union"
 AGGREGATE = "org.apache.spark.sql.catalyst.plans.logical.Aggregate"
 COALESCE = "org.apache.spark.sql.catalyst.expressions.Coalesce"
+ADD = "org.apache.spark.sql.catalyst.expressions.Add"
 LITERAL = "org.apache.spark.sql.catalyst.expressions.Literal"
+PHYSICAL_UNION = "org.apache.spark.sql.execution.UnionExec"
 
 
-def _expr_node(cls, n_children, name=None, expr_id=None):
+def _expr_node(cls, n_children, name=None, expr_id=None, value=None, kind=None):
+    text = lambda x: (x if x is not None else F.lit(None)).cast("string")
     return F.struct(F.lit(cls).alias("class") if isinstance(cls, str) else cls.alias("class"),
                     F.lit(n_children).alias("num-children") if isinstance(n_children, int)
                     else n_children.alias("num-children"),
-                    (name if name is not None else F.lit(None).cast("string")).alias("name"),
+                    text(name).alias("name"),
                     F.when(expr_id.isNotNull(), F.struct(expr_id.alias("id"))).alias("exprId")
-                    if expr_id is not None else F.lit(None).cast("struct<id:bigint>").alias("exprId"))
+                    if expr_id is not None else F.lit(None).cast("struct<id:bigint>").alias("exprId"),
+                    text(value).alias("value"), text(kind).alias("dataType"))
 
 
 def relation_nodes(relations: DataFrame, columns: DataFrame) -> DataFrame:
@@ -65,9 +73,14 @@ def project_items(outputs: DataFrame, leaves: DataFrame) -> DataFrame:
     leaf_nodes = F.transform(
         F.coalesce(F.col("l"), F.array().cast("array<struct<leaf_pos:int,attr_id:bigint>>")),
         lambda x: _expr_node(F.when(x["attr_id"].isNotNull(), F.lit(S.ATTRIBUTE)).otherwise(F.lit(LITERAL)), 0,
-                             None, x["attr_id"]))
-    derived = F.concat(F.array(_expr_node(S.ALIAS, 1, F.col("out_name"), F.col("out_attr_id")),
-                               _expr_node(COALESCE, F.size(leaf_nodes), None, None)), leaf_nodes)
+                             F.when(x["attr_id"].isNotNull(), F.concat(F.lit("Col_"), F.floor(x["attr_id"] / 1000))),
+                             x["attr_id"], F.when(x["attr_id"].isNull(), x["leaf_pos"]),
+                             F.when(x["attr_id"].isNotNull(), F.lit("long")).otherwise(F.lit("integer"))))
+    alias = F.array(_expr_node(S.ALIAS, 1, F.col("out_name"), F.col("out_attr_id")))
+    # pre-order of (((a + b) + c) + d): as many additions as leaves but one, then the leaves
+    added = F.array_repeat(_expr_node(ADD, 2), F.size(leaf_nodes) - 1)
+    called = F.array(_expr_node(COALESCE, F.size(leaf_nodes)))
+    derived = F.concat(alias, F.when(F.contains("expr_text", F.lit("(")), called).otherwise(added), leaf_nodes)
     bare = F.array(_expr_node(S.ATTRIBUTE, 0, F.col("out_name"), F.col("out_attr_id")))
     item = F.when(F.col("n_children") == 0, bare).otherwise(derived)
     per_event = (j.groupBy("event_id")
@@ -77,10 +90,18 @@ def project_items(outputs: DataFrame, leaves: DataFrame) -> DataFrame:
                             F.transform("o", lambda x: x["expr_text"]).alias("expr_texts"))
 
 
+def physical_log(t) -> DataFrame:
+    """(event_id, plan_json): the physical plan of every execution."""
+    b = (fx.plan_branch(t).groupBy("event_id").agg(F.sort_array(F.collect_list(F.struct("branch", "nodes"))).alias("b")))
+    full = lambda n: F.struct(F.concat(F.lit("org.apache.spark.sql.execution."), n["class"]).alias("class"), n["num-children"].alias("num-children"))
+    nodes = F.transform(F.flatten(F.transform("b", lambda x: x["nodes"])), full)
+    union = F.array(F.struct(F.lit(PHYSICAL_UNION).alias("class"), F.size("b").alias("num-children")))
+    return b.select("event_id", F.to_json(F.when(F.size("b") > 1, F.concat(union, nodes)).otherwise(nodes)).alias("plan_json"))
+
+
 def plan_log(t) -> DataFrame:
     """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``."""
-    rel = fx.scan_relation(t)
-    return plan_log_from(fx.write_event(t), rel, fx.scan_column(t, rel), fx.output_expr(t), fx.output_leaf(t))
+    return plan_log_from(fx.write_event(t), fx.scan_relation(t), fx.scan_column(t), fx.output_expr(t), fx.output_leaf(t))
 
 
 def plan_log_from(ev: DataFrame, rel: DataFrame, columns: DataFrame, outputs: DataFrame,

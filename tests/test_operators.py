@@ -63,12 +63,38 @@ def test_ddl_changes(spark):
 
 
 def test_retry_zero_means_one_attempt(spark):
-    a = spark.createDataFrame([(1, 1, False), (1, 2, True), (2, 1, True)], "msg_id bigint, attempt int, ok boolean")
-    s0 = {r.msg_id: (r.attempts_used, r.delivered) for r in D.delivery_status(a, 0).collect()}
-    assert s0 == {1: (1, False), 2: (1, True)}
-    s3 = {r.msg_id: (r.attempts_used, r.delivered) for r in D.delivery_status(a, 3).collect()}
-    assert s3 == {1: (2, True), 2: (1, True)}
-    assert [r.msg_id for r in D.dead_letters(a, 0).collect()] == [1]
+    assert [D.max_attempts(n) for n in (-1, 0, 1, 3)] == [1, 1, 1, 3]
+    df = spark.range(2).select(F.col("id").alias("event_id"), F.lit("k").alias("key"))
+    tried = []
+    with pytest.raises(D.DeliveryError):
+        D.send_with_retry(df, lambda m: tried.append(1) or m, max_retries=0, sleep=lambda s: None)
+    assert tried == [1]
+
+
+def test_ledger_takes_up_a_batch_that_died(spark, tmp_path):
+    """Attempts write what they delivered; a batch that dies and runs again sends only what is left, and goes on counting."""
+    df = spark.range(6).select(F.col("id").alias("event_id"), F.lit("t").alias("topic"), F.lit("k").alias("key"), F.lit("v").alias("value"))
+    ledger, dead = str(tmp_path / "ledger"), str(tmp_path / "dead")
+    sent = []
+
+    def send(messages):
+        ids = sorted(r.event_id for r in messages.collect())
+        sent.append(ids)
+        if len(sent) == 2:
+            raise SystemExit("the driver dies")  # no Exception: nothing catches it
+        return messages.where("event_id >= 3") if len(sent) == 1 else messages.where("event_id = 5")
+
+    with pytest.raises(SystemExit):
+        D.send_with_retry(df, send, dead, sleep=lambda s: None, batch_id=4, ledger=ledger)
+    assert D.send_with_retry(df, send, dead, sleep=lambda s: None, batch_id=4, ledger=ledger) == (3, False)
+    assert sent == [[0, 1, 2, 3, 4, 5], [3, 4, 5], [3, 4, 5], [5]]
+    status = {r.msg_id: (r.attempts_used, r.delivered) for r in D.delivery_status(D.read_ledger(spark, ledger)).collect()}
+    assert status == {0: (1, True), 1: (1, True), 2: (1, True), 3: (2, True), 4: (2, True), 5: (3, False)}
+    assert [(r.event_id, r.last_attempt) for r in spark.read.parquet(dead).collect()] == [(5, 3)]
+    done = lambda m: None
+    assert D.send_with_retry(df, done, sleep=lambda s: None, batch_id=5, ledger=ledger) == (1, True)
+    assert D.send_with_retry(df, send, sleep=lambda s: None, batch_id=5, ledger=ledger) == (1, True)  # nothing is left to send
+    assert len(sent) == 4
 
 
 def test_send_with_retry_live(spark, tmp_path):
@@ -259,12 +285,18 @@ def test_asof_null_session_gets_no_text(spark):
         assert got == {1: None, 2: "a"}
 
 
-def test_classify_plan_counts_every_write_under_a_union(spark):
-    from provena.operators.route import classify_plan
-    kinds = ["UnionExec", "DataWritingCommandExec", "FileSourceScanExec", "DataWritingCommandExec", "FileSourceScanExec"]
-    nodes = spark.createDataFrame([(1, i + 1, k, p) for i, (k, p) in enumerate(zip(kinds, [None, 1, 2, 1, 4]))],
-                                  "event_id bigint, node_pos int, cls string, parent_pos int")
-    assert classify_plan(nodes).first().n_write_cmds == 4
+def test_columns_in_force_when_the_event_came(spark):
+    ev = spark.createDataFrame([(i, t(m), k, "d", tbl, new, None) for i, (m, k, tbl, new) in enumerate([
+        (1, "CreateTableEvent", "a", None), (5, "CreateTableEvent", "a", None), (9, "CreateTableEvent", "a", None), (20, "CreateTableEvent", "a", None),
+        (30, "CreateTableEvent", "a", None), (5, "CreateTableEvent", "b", None), (6, "RenameTableEvent", "b", "a"), (6, "DropTableEvent", "a", None)])], CAT)
+    none = (None, None, None, None)
+    history = spark.createDataFrame([("d", "a", t(5), 1, "x", "int", None), ("d", "a", t(9), 1, "x", "int", "n"), ("d", "a", t(9), 2, "y", "date", None),
+                                     ("d", "a", t(20), *none), ("d", "a", t(30), 1, "z", "int", None)],
+                                    "db string, tbl string, valid_from timestamp_ntz, pos int, name string, data_type string, comment string")
+    got = sorted(((r.event_id, r.seq, r.name, r.comment) for r in C.table_columns_at(C.catalog_changes(ev), history).collect()), key=str)
+    assert got == sorted([(0, 0, None, None), (1, 0, "x", ""), (2, 0, "x", "n"), (2, 0, "y", ""), (3, 0, None, None), (4, 0, "z", ""),
+                          (5, 0, None, None), (6, 1, "x", "")], key=str)
+    assert C.table_columns_at(C.catalog_changes(ev), history.limit(0)).count() == 7
 
 
 def test_kafka_rows_carry_the_number_within_the_key(spark):
