@@ -15,7 +15,8 @@ one pass over the documents for each, and a block is all that the driver holds.
 
 Defined results: null and empty texts hold nothing; an item under ``Q`` characters is never found; where RATE * m edits
 would leave no q-gram, k is the largest that leaves one; several places of one item in a document are a row each, but of
-overlapping ones the nearest (then the first) only; repeated rows and items are reported each.
+overlapping ones the nearest (then the first) only; repeated rows and items are reported each; texts of any length are
+taken whole; all columns of the input stay, but for one with the name of the new column.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Lookup, add_columns, mix64
+from .common import Lookup, add_columns, mix64, stored
 
 Q = 8
 RATE = 0.1
@@ -129,50 +130,85 @@ class Items:
         return out
 
 
-def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int] | None:
-    """(distance, end) of the nearest stretch of ``text`` to the whole item, by alignment on the diagonals from
-    low - k to high + k; nothing where it is over k.  Of equals the first end."""
-    m, n = len(item), len(text)
-    width = high - low + 2 * k + 1
-    base = low - k  # row i, cell c: text place base + i + c
+#: cells that are aligned at once, and rows after which finished regions are left out
+_CELLS, _ROWS = 1 << 18, 16
+_ONE = 1 << 40  # an edit; below it stands how far from the text's end the stretch begins, so that of equals it begins late
+_FAR = 1 << 60
+
+
+def align(regions: list[tuple[np.ndarray, np.ndarray, int, int, int]]) -> list[tuple[int, int, int] | None]:
+    """For each region (item, text, low, high, k) the nearest stretch of the text to the whole item, by alignment on the
+    diagonals from low - k to high + k: (distance, start, end), nothing where it is over k.  Of equals the first end, then
+    the last start.  Many regions are aligned at once, one row of all their items at a time."""
+    out: list = [None] * len(regions)
+    order = sorted(range(len(regions)), key=lambda r: len(regions[r][0]))
+    a = 0
+    while a < len(order):
+        b = a
+        width = 0
+        while b < len(order):
+            _, _, low, high, k = regions[order[b]]
+            width = max(width, high - low + 2 * k + 1)
+            # the texts of the batch are laid out too, one place for each row and cell
+            if b > a and (b + 1 - a) * (width + len(regions[order[b]][0])) > _CELLS:
+                break
+            b += 1
+        _align(regions, order[a:b], out)
+        a = b
+    return out
+
+
+def _align(regions: list, which: list[int], out: list) -> None:
+    m = np.array([len(regions[r][0]) for r in which])
+    n = np.array([len(regions[r][1]) for r in which])
+    k = np.array([regions[r][4] for r in which])
+    base = np.array([regions[r][2] for r in which]) - k  # row i, cell c: text place base + i + c
+    own = np.array([regions[r][3] - regions[r][2] for r in which]) + 2 * k + 1
+    width, rows = int(own.max()), int(m.max())
+    letters = np.zeros((len(which), rows), np.uint32)
+    text = np.full((len(which), rows + width), 0xFFFFFFFF, np.uint32)  # text[c] is the character at base + c
+    for x, r in enumerate(which):
+        item, t, *_ = regions[r]
+        letters[x, :len(item)] = item
+        low, high = max(0, int(base[x])), min(len(t), int(base[x]) + rows + width)
+        if low < high:
+            text[x, low - base[x]:high - base[x]] = t[low:high]
     cells = np.arange(width)
-    far = m + n + 1
-    start = base + cells
-    row = np.where((start >= 0) & (start <= n), 0, far)  # an occurrence may begin anywhere
-    for i in range(1, m + 1):
-        at = base + i + cells  # characters of the text used so far
-        ok = (at >= 0) & (at <= n)
-        char = text[np.clip(at - 1, 0, max(0, n - 1))] if n else np.zeros(width, np.uint32)
-        new = np.where((at >= 1) & ok, row + (char != item[i - 1]), far)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # a character of the item without one in the text
-        new = np.where(ok, new, far)
-        row = np.where(ok, np.minimum.accumulate(new - cells) + cells, far)  # a character of the text left over
-        if row.min() > k:
-            return None
-    best = int(row.min())
-    return (best, base + m + int(np.argmin(row))) if best <= k else None
+    place = base[:, None] + np.arange(rows + width + 1)
+    inside = (place >= 0) & (place <= n[:, None])
+    start = place[:, :width]
+    row = np.where(inside[:, :width] & (cells < own[:, None]), n[:, None] - start, _FAR)  # an occurrence may begin anywhere
+    steps = cells * _ONE
+    live = np.arange(len(which))
+    for i in range(1, rows + 1):
+        new = row + (text[:, i - 1:i - 1 + width] != letters[:, i - 1:i]) * _ONE
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + _ONE)  # a character of the item without one in the text
+        new[~inside[:, i:i + width] | (cells >= own[:, None])] = _FAR
+        row = np.minimum(np.minimum.accumulate(new - steps, axis=1) + steps, _FAR)  # a character of the text left over
+        row[~inside[:, i:i + width] | (cells >= own[:, None])] = _FAR
+        done = m[live] == i
+        if done.any() or i % _ROWS == 0:
+            least = (row >> 40).min(axis=1)
+            for x in np.flatnonzero(done & (least <= k[live])).tolist():
+                cell = int(np.argmax((row[x] >> 40) == least[x]))
+                r = live[x]
+                out[which[r]] = (int(least[x]), int(n[r] - (row[x, cell] & (_ONE - 1))), int(base[r] + i + cell))
+            stay = ~done & (least <= k[live])
+            if not stay.all():
+                live, row, text, letters, inside, own = live[stay], row[stay], text[stay], letters[stay], inside[stay], own[stay]
+            if not len(live):
+                return
 
 
 def find_items(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, distance) of every item found."""
     code, off = plain(texts)
+    regions = items.regions(code, off)
     found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    for d, i, low, high in items.regions(code, off):
-        places = found.get((d, i), ())
-        if any(distance == 0 and low <= start <= high for distance, start, _ in places):
-            continue  # the other row of bands saw this very place, without an edit
-        text, item, k = code[off[d]:off[d + 1]], items.code[i], int(items.k[i])
-        hit = align(item, text, low, high, k)
-        if hit is None:
-            continue
-        distance, end = hit
-        if distance == 0:
-            found.setdefault((d, i), []).append((0, end - len(item), end))
-            continue
-        # the start: the same alignment from the end, both turned round; its diagonals follow from the end
-        turned = align(item[::-1], text[:end][::-1], -k, k, k)
-        start = end - turned[1] if turned is not None and turned[0] == distance else max(0, end - len(item))
-        found.setdefault((d, i), []).append((distance, start, end))
+    hits = align([(items.code[i], code[off[d]:off[d + 1]], low, high, int(items.k[i])) for d, i, low, high in regions])
+    for (d, i, _, _), hit in zip(regions, hits):
+        if hit is not None:
+            found.setdefault((d, i), []).append(hit)
     out = []
     for (d, i), places in found.items():
         kept: list[tuple[int, int, int]] = []
@@ -184,24 +220,31 @@ def find_items(items: Items, texts: list[str]) -> list[tuple[int, int, int, int,
 
 
 def item_blocks(benchmark: DataFrame):
-    """The items in blocks of about ``BLOCK_CHARS`` characters: broadcasts of (ids, texts), one at a time."""
-    spark = benchmark.sparkSession
+    """The items in blocks of about ``BLOCK_CHARS`` characters, one at a time: (ids, texts)."""
     sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = sized.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))
     for b in range(blocks):
         rows = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        yield spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+        yield [r[0] for r in rows], [r[1] for r in rows]
 
 
 def mark_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "benchmark_items") -> DataFrame:
-    """All columns plus ``benchmark_items``: array of (item_id, start, end in characters, distance in edits)."""
+    """All columns plus ``name``: array of (item_id, start, end in characters, distance in edits).  Each block of items but
+    the last is a pass of its own over the documents, whose result is stored before the next block is read, so no task
+    and not the driver holds two blocks."""
+    spark = docs.sparkSession
     kind = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start", T.LongType()),
                                      T.StructField("end", T.LongType()), T.StructField("distance", T.IntegerType())]))
-    out = docs.drop(name)
-    names = []
+    out = docs.select(*(docs[f"`{c}`"] for c in docs.columns if c.lower() != name.lower()))
+    taken = {c.lower() for c in out.columns}
+    so_far = next(x for k in range(len(taken) + 1) if (x := f"found_before_{k}") not in taken)
+    earlier = None
     for items in item_blocks(benchmark):
-        names.append(f"{name}_{len(names)}")
+        if earlier is not None:
+            out = stored(out.withColumnRenamed(name, so_far) if earlier == 1 else
+                         out.withColumn(so_far, F.concat(so_far, name)).drop(name), "benchmark-items")
+        shared = spark.sparkContext.broadcast(items)
 
         def fn(index, texts, _):
             found: list[list] = [[] for _ in range(len(texts))]
@@ -209,9 +252,9 @@ def mark_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", name:
                 found[d].append({"item_id": index.ids[i], "start": start, "end": end, "distance": distance})
             return [found]
 
-        out = add_columns(out, text, [T.StructField(names[-1], kind, False)], fn, limit=1 << 20,
-                          setup=lambda items=items: Items(*items.value))
-    return out.withColumn(name, F.concat(*names)).drop(*names)
+        out = add_columns(out, text, [T.StructField(name, kind, False)], fn, limit=1 << 20, setup=lambda shared=shared: Items(*shared.value))
+        earlier = 1 if earlier is None else 2
+    return out if earlier == 1 else out.withColumn(name, F.concat(so_far, name)).drop(so_far)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
