@@ -6,6 +6,8 @@ Python worker's memory is bounded by the longest text and not by the number of r
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -23,7 +25,29 @@ from ..session import scratch_path
 SLICE_BYTES = 2 << 20
 HASH_PIECE = 2 << 20
 
+#: Bounds of a sample that a classifier learns from, next to its number of documents: bytes in all, bytes of a text.
+FIT_BYTES, FIT_TEXT_BYTES = 16 << 20, 1 << 20
+
 _SHIPPED: set[str] = set()
+#: what tasks of one operator keep in a Python worker for its next tasks
+CACHES: list[dict] = []
+_OWNER = [""]
+
+
+def claim(owner: str) -> None:
+    """Called where a task begins: empties the caches that another operator's tasks have left in this worker, and gives
+    the freed memory back to the system (workers are used again, stage after stage)."""
+    if _OWNER[0] == owner:
+        return
+    _OWNER[0] = owner
+    for c in CACHES:
+        c.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def ship(spark: SparkSession) -> None:
@@ -43,13 +67,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate once under the shared checkpoint folder and read it back (survives lost executors)."""
+def stored(df: DataFrame, name: str, scope: list[str] | None = None) -> DataFrame:
+    """Write an intermediate once under the shared checkpoint folder and read it back (survives lost executors).  Its
+    path goes into ``scope``, for ``discard`` when nothing reads it any more; without one it stays."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if scope is not None:
+        scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scope: list[str]) -> None:
+    """Delete the stored intermediates of a scope."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in scope:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    scope.clear()
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     """The text column without nulls (null: empty), as string with 64-bit offsets."""
     a = batch.column(batch.schema.get_field_index(column))
@@ -72,6 +108,12 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             row = stop
 
 
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Cut an array of texts as ``slices`` cuts batches: (place of the first text, texts)."""
+    for b in slices([pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), texts], names=["at", "text"])], "text", limit):
+        yield b.column(0)[0].as_py(), b.column(1)
+
+
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a large_string array and the offsets of its texts in them, counted from 0."""
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -96,7 +138,10 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField],
     kinds = [to_arrow_type(f.dataType) for f in fields]
     names = schema.names
 
+    owner = f"{fn.__module__}.{fn.__qualname__}"
+
     def run(batches):
+        claim(owner)
         state = setup() if setup else None
         for b in slices(batches, text, limit):
             t = texts_of(b, text)
@@ -127,12 +172,13 @@ _FOLD[65:91] += 32
 _FOLDED = _BYTE[_FOLD]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_POWERS: dict[str, np.ndarray] = {}
+CACHES.append(_POWERS)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B^0..B^(n-1) and their inverses modulo 2^64; kept for the next call."""
-    if len(_POWERS["up"]) < n:
+    if not _POWERS or len(_POWERS["up"]) < n:
         size = max(n, 1 << 16)
         for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             p = np.full(size, base, np.uint64)
@@ -255,6 +301,24 @@ class Lookup:
 
 
 
+def byte_hashes(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """64-bit hash of each text, byte by byte."""
+    return span_hash(_BYTE[raw], off[:-1], off[1:]) if len(off) > 1 else np.zeros(0, np.uint64)
+
+
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether a[a_at:a_at + size] and b[b_at:b_at + size] are equal, for every triple."""
+    ok = np.ones(len(size), bool)
+    live = np.flatnonzero(size > 0)
+    x, y, left = a_at[live], b_at[live], size[live]
+    while len(live):
+        same = a[x] == b[y]
+        ok[live[~same]] = False
+        same &= left > 1
+        live, x, y, left = live[same], x[same] + 1, y[same] + 1, left[same] - 1
+    return ok
+
+
 #: byte classes: 0 white space and control, 1 letters (and all of UTF-8's multi-byte characters), 2 digits, 3 other marks
 _CLASS = np.full(256, 1, np.uint8)
 _CLASS[:33] = 0
@@ -290,22 +354,34 @@ def training_rows(labels: DataFrame, fold: int = 5) -> DataFrame:
 
 
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, fit: Callable[[pa.Array, np.ndarray], object]):
-    """``fit(texts, labels)`` on at most ``n`` labelled documents, chosen by a hash of their ids, in one task; returns
-    what it returns.  ``n`` bounds the task, the model and what comes to the driver."""
+    """``fit(texts, labels)`` on at most ``n`` labelled documents and ``FIT_BYTES`` of text, in the order of a hash of
+    their ids, in one task; returns what it returns.  Texts above ``FIT_TEXT_BYTES`` are not learnt from.  Of several texts of
+    an id the least is taken, of several labels the greatest.  The bounds hold for the task, the model and what comes to
+    the driver."""
     import pickle
     spark = docs.sparkSession
     ship(spark)
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
              .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-            .select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id"))
+    text = F.coalesce("text", F.lit(""))
+    rows = (docs.select("doc_id", text.alias("text")).where(F.octet_length("text") <= FIT_TEXT_BYTES).join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).withColumn("place", F.xxhash64("doc_id"))
+            .repartition(1).sortWithinPartitions("place", "doc_id").select("text", "label"))
+    limit, owner = FIT_BYTES, f"{fit.__module__}.{fit.__qualname__}"
 
     def run(batches):
-        parts = list(batches)
-        if parts:
-            t = pa.Table.from_batches(parts)
-            model = fit(pa.chunked_array([texts_of(b, "text") for b in parts]).combine_chunks(), t["label"].to_numpy())
+        claim(owner)
+        texts, known, left = [], [], limit
+        for b in batches:
+            t = texts_of(b, "text")
+            size = np.cumsum(pc.binary_length(t).to_numpy(zero_copy_only=False).astype(np.int64))
+            fits = int(np.searchsorted(size, left, side="right"))
+            left = left - int(size[-1]) if fits == len(size) else -1
+            texts.append(t.slice(0, fits))
+            known.append(b.column(1).to_numpy()[:fits])
+        if any(map(len, texts)):
+            model = fit(pa.chunked_array(texts, pa.large_string()).combine_chunks(), np.concatenate(known))
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     got = rows.mapInArrow(run, "model binary").collect()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Lookup, buffer_of, ship, slices, span_hash, stored, texts_of
+from .common import Lookup, buffer_of, same_bytes, ship, slices, span_hash, stored, texts_of
 
 ITEM_CHARS = 1 << 20
 DENSE_TERMS = 512
@@ -75,12 +75,8 @@ class Vocabulary:
         live = np.flatnonzero(out >= 0)
         out[live[end[live] - start[live] != self.length[out[live]]]] = -1
         live = live[out[live] >= 0]
-        a, b, left = start[live], self.start[out[live]], end[live] - start[live]
-        while len(live):
-            ok = raw[a] == self.raw[b]
-            out[live[~ok]] = -1
-            ok &= left > 1
-            live, a, b, left = live[ok], a[ok] + 1, b[ok] + 1, left[ok] - 1
+        same = same_bytes(raw, start[live], self.raw, self.start[out[live]], end[live] - start[live])
+        out[live[~same]] = -1
         return out
 
 

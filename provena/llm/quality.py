@@ -6,11 +6,12 @@ training texts do not hold (or hold once) stands for its shape: class, length, t
 the mean of its tokens' vectors, with its length and its shares of distinct tokens and of tokens like the one before.  A network of one hidden layer gives a
 logit, and a temperature fitted on training texts kept aside makes it a probability.
 
-Learning takes at most ``FIT_DOCS`` labelled texts in one task, so the table of word vectors has a bound; scoring is one
-pass, without a shuffle.
+Learning takes at most ``FIT_DOCS`` labelled texts (and bytes, see ``fit_on_sample``) in one task, so the table of word
+vectors has a bound; scoring is one pass, without a shuffle, over whole texts of any length.
 
 Defined results: null and empty texts, and texts without tokens, have the zero vector and whatever score the network
-gives it; without any training text all scores are 0.5.
+gives it; without any training text all scores are 0.5.  Repeated rows are scored each, and alike.  Words of the same count
+are kept in the order of their hashes.  All columns of the input stay; one with the name of the new column is replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import Lookup, add_columns, buffer_of, class_tokens, fit_on_sample, mix64
+from .common import Lookup, add_columns, buffer_of, class_tokens, fit_on_sample, mix64, text_slices
 
 FIT_DOCS = 6000
 DIM, NONZERO, REACH = 64, 4, 2
@@ -70,27 +71,31 @@ class Model:
             self.temperature = float(grid[int(np.argmin(loss))])
 
     def _learn_words(self, texts: pa.Array) -> None:
-        raw, off = buffer_of(texts)
-        h, start, end, doc, kind = class_tokens(raw, off)
-        keys, back, n = np.unique(h, return_inverse=True, return_counts=True)
+        counts = [np.unique(class_tokens(*buffer_of(part))[0], return_counts=True) for _, part in text_slices(texts)]
+        keys, back = np.unique(np.concatenate([k for k, _ in counts]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([c for _, c in counts]), minlength=len(keys))
         usual = np.flatnonzero(n > 1)
         usual = usual[np.argsort(-n[usual], kind="stable")][:WORDS]
-        column = np.full(len(keys), -1)
-        column[usual] = np.arange(len(usual))
-        word = column[back]
+        at = Lookup(keys[usual])
         v = np.zeros((len(usual), DIM), np.float32)
-        step = 1 << 18
-        for d in range(1, REACH + 1):
-            for a in range(0, max(0, len(h) - d), step):
-                i = np.arange(a, min(a + step, len(h) - d))
-                i = i[doc[i] == doc[i + d]]
-                for here, there in ((i, i + d), (i + d, i)):
-                    known = word[here] >= 0
-                    np.add.at(v, word[here[known]], index_vectors(h[there[known]]) / d)
+        step = 1 << 16
+        for _, part in text_slices(texts):
+            h, _, _, doc, _ = class_tokens(*buffer_of(part))
+            word = at.find(h)
+            for d in range(1, REACH + 1):
+                for a in range(0, max(0, len(h) - d), step):
+                    i = np.arange(a, min(a + step, len(h) - d))
+                    i = i[doc[i] == doc[i + d]]
+                    for here, there in ((i, i + d), (i + d, i)):
+                        known = word[here] >= 0
+                        np.add.at(v, word[here[known]], index_vectors(h[there[known]]) / d)
         self.keys, self.vectors = keys[usual], _unit(v)
         self.at = Lookup(self.keys)
 
     def features(self, texts: pa.Array) -> np.ndarray:
+        return np.concatenate([self._features(part) for _, part in text_slices(texts)] or [np.zeros((0, DIM + 3))])
+
+    def _features(self, texts: pa.Array) -> np.ndarray:
         raw, off = buffer_of(texts)
         h, start, end, doc, kind = class_tokens(raw, off)
         n = len(texts)

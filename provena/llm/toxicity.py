@@ -11,10 +11,12 @@ exp(lambda s) = 1 over clean tokens and K is fitted to the clean texts' best seg
 are passages.  A text's passages are added up as -log E, and a logistic curve fitted on the training texts turns the
 sum into a probability.
 
-Learning takes at most ``FIT_DOCS`` labelled texts; scoring is one pass, without a shuffle.
+Learning takes at most ``FIT_DOCS`` labelled texts (and bytes, see ``fit_on_sample``); scoring is one pass, without a
+shuffle, over whole texts of any length.
 
 Defined results: null and empty texts, and texts without tokens, have no passage and the score of a text without one;
-without any training text all scores are 0.
+without any training text all scores are 0.  Repeated rows are scored each.  All columns of the input stay; one with the
+name of a new column is replaced (both names are parameters).  Of two segments that are equally good to join, the nearer counts.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import Lookup, add_columns, buffer_of, class_tokens, fit_on_sample
+from .common import Lookup, add_columns, buffer_of, class_tokens, fit_on_sample, text_slices
 
 FIT_DOCS = 6000
 PRIOR = 0.05  # the prior's weight, as a share of all counts
@@ -38,45 +40,51 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
     Only tokens above zero can begin a segment; what lies between two of them is one sum.  Each segment keeps the sum
     before it (``left``) and up to its end (``right``); a new one is joined with the last one whose left is lower,
-    if its right is lower too.
+    if its right is lower too.  Each segment also keeps which one that was: all between have a left that is no lower
+    than its own, so a search that passes the segment goes on there, and none is passed twice.
     """
     run = np.cumsum(scores)
-    out: list[list] = []  # start, end, left, right
-    for i in np.flatnonzero(scores > 0).tolist():
-        right = float(run[i])
-        s = [i, i + 1, right - float(scores[i]), right]
+    out: list[tuple] = []  # start, end, left, right, the last one before with a lower left
+    at = np.flatnonzero(scores > 0)
+    for i, right, own in zip(at.tolist(), run[at].tolist(), scores[at].tolist()):
+        start, left = i, right - own
+        j = len(out) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= s[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= s[3]:
-                out.append(s)
+            while j >= 0 and out[j][2] >= left:
+                j = out[j][4]
+            if j < 0 or out[j][3] >= right:
+                out.append((start, i + 1, left, right, j))
                 break
-            s = [out[j][0], s[1], out[j][2], s[3]]
+            start, _, left, _, before = out[j]
             del out[j:]
-    return [(a, b, r - left) for a, b, left, r in out]
+            j = before
+    return [(a, b, r - left) for a, b, left, r, _ in out]
 
 
 class Model:
     """Token scores and the laws fitted to them."""
 
     def __init__(self, texts: pa.Array, toxic: np.ndarray):
-        raw, off = buffer_of(texts)
-        h, _, _, doc, _ = class_tokens(raw, off)
-        keys, back = np.unique(h, return_inverse=True)
         bad = toxic.astype(bool)
-        # each text counts a token once, so that no single text makes a score
-        once = np.unique(doc * len(keys) + back)
-        by, which = once // max(1, len(keys)), once % max(1, len(keys))
-        y1 = np.bincount(which, weights=bad[by], minlength=len(keys))
-        y0 = np.bincount(which, minlength=len(keys)) - y1
+        found = []  # per slice of the texts: keys, texts with the key (toxic, clean), uses in clean texts
+        for first, part in text_slices(texts):
+            raw, off = buffer_of(part)
+            h, _, _, doc, _ = class_tokens(raw, off)
+            keys, back = np.unique(h, return_inverse=True)
+            # each text counts a token once, so that no single text makes a score
+            once = np.unique(doc * len(keys) + back)
+            by, which = first + once // max(1, len(keys)), once % max(1, len(keys))
+            y1 = np.bincount(which, weights=bad[by], minlength=len(keys))
+            use = np.bincount(back, weights=~bad[first + doc], minlength=len(keys))  # of clean text, token by token
+            found.append((keys, y1, np.bincount(which, minlength=len(keys)) - y1, use))
+        keys, back = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        y1, y0, use = (np.bincount(back, weights=np.concatenate([f[i] for f in found]), minlength=len(keys)) for i in (1, 2, 3))
         n1, n0 = max(1.0, y1.sum()), max(1.0, y0.sum())
         prior = PRIOR * (n0 + n1)
         a = prior * (y0 + y1) / (n0 + n1)
         odds = np.log((y1 + a) / (n1 + prior - y1 - a)) - np.log((y0 + a) / (n0 + prior - y0 - a))
         z = odds / np.sqrt(1 / (y1 + a) + 1 / (y0 + a))
         score = np.where(np.abs(z) >= Z_MIN, odds, 0.0)
-        use = np.bincount(back, weights=~bad[doc], minlength=len(keys))  # of clean text, token by token
         uses = max(1.0, use.sum())
         mean = (score * use).sum() / uses
         self.drift = DRIFT + max(0.0, mean)
@@ -95,15 +103,13 @@ class Model:
                 low, high = (mid, high) if law(mid) < 0 else (low, mid)
         self.lam = high
         self.k = 1.0
-        best, size = [], []
-        for tokens, found in self._found(texts):
-            best.append(max((s for _, _, s in found), default=0.0))
-            size.append(tokens)
-        best, size = np.array(best), np.array(size)
+        texts_found = [f for _, part in text_slices(texts) for f in self._found(part)]
+        best = np.array([max((s for _, _, s in f), default=0.0) for _, f in texts_found])
+        size = np.array([tokens for tokens, _ in texts_found])
         fit = ~bad & (best > 0) & (size > 0)
         if fit.any():  # the mean of an extreme-value law with this lambda
             self.k = float(np.exp(np.mean(self.lam * best[fit] - np.log(size[fit])) - np.euler_gamma))
-        x = np.array([self._sum(n, f) for n, f in self._found(texts)])
+        x = np.array([self._sum(n, f) for n, f in texts_found])
         self.curve = logistic(np.log1p(x), bad.astype(float))
 
     def _found(self, texts: pa.Array):

@@ -63,3 +63,27 @@ def test_odd_rows(spark):
     none = fit_toxicity(no_docs(spark), labels)
     assert none is None and {r.toxicity for r in score_toxicity(odd_docs(spark), none).collect()} == {0.0}
     assert score_toxicity(no_docs(spark), model).count() == 0
+
+
+def test_segments_are_found_in_linear_time():
+    import time
+    for n in (100_000, 200_000):
+        begin = time.process_time()
+        got = segments(np.tile([1.0, -2.0], n))
+        assert len(got) == n and time.process_time() - begin < 2
+    rng = random.Random(9)
+    for _ in range(40):
+        s = np.array([rng.uniform(-3, 2) for _ in range(200)])
+        got, want = segments(s), plain_segments(s)
+        assert np.isclose(sum(x[2] for x in got), sum(x[2] for x in want))
+        assert all(np.isclose(s[a:b].sum(), v) for a, b, v in got)
+
+
+def test_a_text_of_a_million_words(spark):
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    words = ["vile filth" if i % 2 else "calm river" for i in range(20)]
+    docs = spark.createDataFrame([(i, f"{w} stone " * 30) for i, w in enumerate(words)], "doc_id long, text string")
+    model = fit_toxicity(docs, labels)
+    long = spark.createDataFrame([(1, "calm river vile stone " * 250_000), (2, "calm")], "doc_id long, text string")
+    got = {r.doc_id: r for r in score_toxicity(long, model).select("doc_id", "toxicity", F.size("passages").alias("n")).collect()}
+    assert set(got) == {1, 2} and 0 <= got[1].toxicity <= 1
