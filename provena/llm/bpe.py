@@ -22,17 +22,18 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import Lookup, add_columns, ship
+from .common import CACHES, Lookup, add_columns, buffer_of, byte_hashes, claim, same_bytes, ship, slices
 
 #: Fixed value: the word pattern of the tokenizer file (contractions, letters, one digit, other marks).
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 MAX_FILE_BYTES = 64 << 20
-MEMO_WORDS = 100_000
-_SEPARATORS = regex.compile("[\x1c-\x1f]")
+#: pieces in each of the memo's two generations
+MEMO_WORDS = 250_000
 
 
 def byte_alphabet() -> list[str]:
@@ -45,51 +46,168 @@ def byte_alphabet() -> list[str]:
     return [chars[b] for b in range(256)]
 
 
+class Memo:
+    """Ids of pieces.  Pieces are known by a hash, in a table with open addressing, and told apart by their bytes; their
+    bytes and ids stand in one row each.  A piece is named by its number."""
+
+    def __init__(self):
+        self.n, self.raw_used, self.ids_used = 0, 0, 0
+        self.slots = np.zeros(1 << 16, np.int32)  # number + 1; 0: free
+        self.raw, self.ids = np.zeros(1 << 18, np.uint8), np.zeros(1 << 16, np.uint32)
+        self.hash = np.zeros(1 << 14, np.uint64)
+        self.raw_at, self.raw_size, self.ids_at, self.ids_size = (np.zeros(1 << 14, np.int64) for _ in range(4))
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - (len(self.slots).bit_length() - 1))).astype(np.int64)
+
+    def find(self, h: np.ndarray, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """The number of each piece (its hash, bytes and their offsets), or -1."""
+        out = np.full(len(h), -1, np.int64)
+        live, at = np.arange(len(h)), self._slot(h)
+        size = np.diff(off)
+        while len(live):
+            seen = self.slots[at].astype(np.int64) - 1
+            there = seen >= 0
+            live, at, seen = live[there], at[there], seen[there]
+            hit = np.flatnonzero((self.hash[seen] == h[live]) & (self.raw_size[seen] == size[live]))
+            same = hit[same_bytes(raw, off[live[hit]], self.raw, self.raw_at[seen[hit]], size[live[hit]])]
+            out[live[same]] = seen[same]
+            go = np.ones(len(live), bool)
+            go[same] = False
+            live, at = live[go], (at[go] + 1) & (len(self.slots) - 1)
+        return out
+
+    def add(self, h: np.ndarray, raw: np.ndarray, off: np.ndarray, which: np.ndarray, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Keep new pieces (those of ``which``) with their ids, one after the other; returns their numbers."""
+        m, size = len(which), np.diff(off)[which]
+        number = np.arange(self.n, self.n + m)
+        for name in ("hash", "raw_at", "raw_size", "ids_at", "ids_size"):
+            setattr(self, name, _room(getattr(self, name), self.n + m))
+        self.raw, self.ids = _room(self.raw, self.raw_used + int(size.sum())), _room(self.ids, self.ids_used + len(ids))
+        self.hash[number], self.raw_size[number], self.ids_size[number] = h[which], size, count
+        self.raw_at[number] = self.raw_used + np.cumsum(size) - size
+        self.ids_at[number] = self.ids_used + np.cumsum(count) - count
+        self.raw[self.raw_used:self.raw_used + int(size.sum())] = raw[_runs(off[:-1][which], size)]
+        self.ids[self.ids_used:self.ids_used + len(ids)] = ids
+        self.n, self.raw_used, self.ids_used = self.n + m, self.raw_used + int(size.sum()), self.ids_used + len(ids)
+        if 2 * self.n > len(self.slots):
+            self.slots = np.zeros(1 << int(4 * self.n - 1).bit_length(), np.int32)
+            self._place(np.arange(self.n))
+        else:
+            self._place(number)
+        return number
+
+    def _place(self, number: np.ndarray) -> None:
+        at = self._slot(self.hash[number])
+        while len(number):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = number[free] + 1  # of several for one slot the last stays, the others go on
+            left = self.slots[at] != number + 1
+            number, at = number[left], (at[left] + 1) & (len(self.slots) - 1)
+
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces with these numbers, one after the other, and how many each has."""
+        count = self.ids_size[which]
+        return self.ids[_runs(self.ids_at[which], count)], count
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for ``size`` places each, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a larger copy that holds n values."""
+    if n <= len(a):
+        return a
+    out = np.zeros(max(n, 2 * len(a)), a.dtype)
+    out[:len(a)] = a
+    return out
+
+
 class ChunkEncoder:
-    """Encodes texts by their pieces between white space, each distinct piece once while the memo holds it.  White
-    space never takes part in a token, and special tokens are cut out of the raw text first, so a text's ids are its
-    pieces' ids in order."""
+    """Encodes texts by their pieces between white space, each distinct piece once while the memo holds it.  The memo has
+    two generations: when the young one is full it becomes the old one, and a piece found in the old one is young again,
+    so what is in use stays.  White space never takes part in a token, and special tokens are cut out of the raw text
+    first, so a text's ids are its pieces' ids in order.  Splitting and telling pieces apart is Arrow's work, putting ids
+    together numpy's; Python sees the pieces only that are new."""
 
     def __init__(self, special: dict[str, int]):
         self.special = special
-        self.split = regex.compile("(" + "|".join(regex.escape(s) for s in special) + ")") if special else None
+        cut = "|".join(regex.escape(s) for s in special)
+        self.split = regex.compile(f"({cut})") if special else None
+        #: texts that Arrow must not split: a special token, or a character that it takes for white space and the tokenizer doesn't
+        self.odd = "[\x1c-\x1f]" + (f"|{cut}" if special else "")
         self.gap = regex.compile(r"\p{White_Space}+")
-        self.memo: dict[str, bytes] = {}
+        self.memo, self.old = Memo(), Memo()
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after the other, and how many each has."""
         raise NotImplementedError
 
-    def _chunks(self, piece: str) -> list[str]:
-        if _SEPARATORS.search(piece):  # white space to str.split, not to the tokenizer
-            return [c for c in self.gap.split(piece) if c]
-        return piece.split()
+    def _chunks(self, text: str) -> list[str]:
+        row: list[str] = []
+        for k, piece in enumerate(self.split.split(text) if self.split is not None else [text]):
+            if k % 2:
+                row.append("\n" + piece)  # a special token; no piece holds a line end
+            else:
+                row.extend(c for c in self.gap.split(piece) if c)
+        return row
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The memo's numbers of distinct pieces; what it does not hold is encoded."""
+        if self.memo.n > MEMO_WORDS:
+            self.memo, self.old = Memo(), self.memo
+        raw, off = buffer_of(pieces)
+        h = byte_hashes(raw, off)
+        out = self.memo.find(h, raw, off)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            size = np.diff(off)[new]
+            body, ends = raw[_runs(off[:-1][new], size)], np.r_[0, np.cumsum(size)]
+            was = self.old.find(h[new], body, ends)
+            again, fresh = np.flatnonzero(was >= 0), np.flatnonzero(was < 0)
+            out[new[again]] = self.memo.add(h, raw, off, new[again], *self.old.gather(was[again]))
+            if len(fresh):
+                words = pieces.take(pa.array(new[fresh])).to_pylist()
+                special = np.array([w[:1] == "\n" for w in words])
+                for part, encode in ((~special, self._encode_chunks), (special, self._encode_special)):
+                    if part.any():
+                        named = [w for w, p in zip(words, part.tolist()) if p]
+                        out[new[fresh[part]]] = self.memo.add(h, raw, off, new[fresh[part]], *encode(named))
+        return out
+
+    def _encode_special(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([self.special[p[1:]] for p in pieces], np.uint32), np.ones(len(pieces), np.int64)
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (a large_string array without nulls), one after the other, and how many each has."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        rows = [self._chunks(t) for t in texts.filter(pa.array(odd)).to_pylist()] if odd.any() else []
+        lists = pc.utf8_split_whitespace(texts.filter(pa.array(~odd)) if rows else texts)
+        flat = lists.flatten()
+        if rows:
+            flat = pa.concat_arrays([flat, pa.array([p for row in rows for p in row], pa.large_string())])
+        coded = flat.dictionary_encode()  # an empty piece (white space at an end) encodes to nothing
+        codes = coded.indices.to_numpy()
+        per = np.zeros(len(texts), np.int64)
+        per[~odd] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        if rows:
+            per[odd] = [len(row) for row in rows]
+            place, from_odd = np.empty(len(codes), np.int64), np.repeat(odd, per)
+            place[~from_odd] = np.arange(len(codes) - int(from_odd.sum()))
+            place[from_odd] = np.arange(len(codes) - int(from_odd.sum()), len(codes))
+            codes = codes[place]
+        numbers = self._numbers(coded.dictionary)
+        ids, count = self.memo.gather(numbers[codes])
+        run, ends = np.r_[0, np.cumsum(count)], np.cumsum(per)
+        return ids, run[ends] - run[ends - per]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts: list[list[str]] = []
-        special: set[str] = set()
-        for t in texts:
-            if self.split is not None and "<" in t:
-                row: list[str] = []
-                for k, piece in enumerate(self.split.split(t)):
-                    if k % 2:
-                        row.append("\n" + piece)  # a special token; no chunk holds a line end
-                        special.add(row[-1])
-                    else:
-                        row.extend(self._chunks(piece))
-            else:
-                row = self._chunks(t)
-            parts.append(row)
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for c in special:
-            memo[c] = self.special[c[1:]].to_bytes(4, "little")
-        fresh = list({c for row in parts for c in row if c not in memo})
-        if fresh:
-            memo.update(zip(fresh, self._encode_chunks(fresh)))
-        get = memo.__getitem__
-        return [b"".join(map(get, row)) for row in parts]
+        ids, count = self.encode_array(pa.array(texts, pa.large_string()))
+        data, ends = ids.astype("<u4").tobytes(), (np.cumsum(count) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
 class WordBpe(ChunkEncoder):
@@ -106,7 +224,7 @@ class WordBpe(ChunkEncoder):
         self.texts = [""] * size
         for s, i in [*vocab.items(), *self.special.items()]:
             self.texts[i] = s
-        self.texts_utf8 = [s.encode() for s in self.texts]
+        self.token_texts = pa.array(self.texts, pa.string())
         self.base = np.array([vocab[alphabet[b]] for b in range(256)] + [vocab[alphabet[b] + self.end] for b in range(256)], np.int64)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         left = np.array([vocab[a] for a, _ in merges], np.int64)
@@ -306,7 +424,7 @@ class WordBpe(ChunkEncoder):
         return token, count
 
     # -- texts ----------------------------------------------------------------------------------------------
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces without white space: normalised and cut into words all at once, a line end between two."""
         text = "\n".join(chunks)
         if not text.isascii():
@@ -326,28 +444,26 @@ class WordBpe(ChunkEncoder):
         keep = ~np.repeat(mark, size)
         ids, count = self._encode_flat(raw[keep], size[~mark])
         owner = np.cumsum(mark)[~mark]
-        per_chunk = np.bincount(owner, weights=count, minlength=len(chunks)).astype(np.int64)
-        data = ids.astype("<u4").tobytes()
-        ends = (np.cumsum(per_chunk) * 4).tolist()
-        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return ids.astype(np.uint32), np.bincount(owner, weights=count, minlength=len(chunks)).astype(np.int64)
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens' texts with a space between two, special tokens included, in UTF-8."""
-        texts = self.texts_utf8
-        return b" ".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        ids = np.frombuffer(ids, "<u4")
+        return decoded_texts(self.token_texts, ids, np.array([len(ids)]))[0].as_py().encode()
 
 
-def token_texts(spec: bytes) -> list[bytes]:
-    """The text of every token id in UTF-8; all that decoding needs."""
+def token_texts(spec: bytes) -> pa.Array:
+    """The text of every token id; all that decoding needs."""
     d = json.loads(spec)
     pairs = [*d["model"]["vocab"].items(), *((t["content"], t["id"]) for t in d["added_tokens"])]
-    out = [b""] * (max(i for _, i in pairs) + 1)
+    out = [""] * (max(i for _, i in pairs) + 1)
     for s, i in pairs:
-        out[i] = s.encode()
-    return out
+        out[i] = s
+    return pa.array(out, pa.string())
 
 
 _READY: dict[str, WordBpe] = {}
+CACHES.append(_READY)
 
 
 def encoder_of(key: str, spec) -> WordBpe:
@@ -367,15 +483,32 @@ def load_tokenizer(spark: SparkSession, path: str):
     return hashlib.sha256(spec).hexdigest(), spark.sparkContext.broadcast(spec)
 
 
-def bpe_encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """All columns plus ``token_ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens`` (long)."""
+def decoded_texts(texts: pa.Array, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The tokens' texts with a space between two, for rows of ids that end at ``ends``."""
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), texts.take(pa.array(ids)))
+    return pc.binary_join(lists, " ")
+
+
+def bpe_encode(docs: DataFrame, path: str, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """All columns plus ``token_ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens`` (long), and with ``decoded``
+    a column of that name with the ids decoded again, in the same pass."""
     ship(docs.sparkSession)
     key, spec = load_tokenizer(docs.sparkSession, path)
     fields = [T.StructField("token_ids", T.BinaryType(), False), T.StructField("n_tokens", T.LongType(), False)]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType(), False))
 
     def fn(enc, texts, _):
-        ids = enc.encode(texts.to_pylist())
-        return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+        ids, count = enc.encode_array(texts)
+        ends = np.r_[0, np.cumsum(count) * 4]
+        if ends[-1] < 1 << 31:
+            data = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+        else:  # more than a column of a batch holds; Arrow says so
+            data = pa.array([ids[a // 4:b // 4].astype("<u4").tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
+        out = [data, pa.array(count, pa.int64())]
+        if decoded:
+            out.append(decoded_texts(enc.token_texts, ids, np.cumsum(count)))
+        return out
 
     return add_columns(docs, text, fields, fn, setup=lambda: encoder_of(key, spec))
 
@@ -389,11 +522,13 @@ def bpe_decode(ids: DataFrame, path: str, column: str = "token_ids") -> DataFram
     at, names = src.columns.index(column), schema.names
 
     def run(batches):
+        claim("bpe_decode")
         texts = token_texts(spec.value)
-        for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                out = [b" ".join([texts[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary()).cast(pa.string())], names=names)
+        for b in slices(batches, column):
+            rows = pc.fill_null(b.column(at).cast(pa.large_binary()), b"")
+            size = pc.binary_length(rows).to_numpy(zero_copy_only=False)
+            raw, _ = buffer_of(rows)
+            out = decoded_texts(texts, np.frombuffer(raw.tobytes(), "<u4"), np.cumsum(size) // 4)
+            yield pa.RecordBatch.from_arrays([*b.columns, out], names=names)
 
     return src.mapInArrow(run, schema)

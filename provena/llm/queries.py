@@ -32,10 +32,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
-    from .bpe import bpe_decode, bpe_encode
+    from .bpe import bpe_encode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe_encode(docs, tokenizer_path()).drop("text")
-    out = bpe_decode(ids, tokenizer_path())
+    out = bpe_encode(docs, tokenizer_path(), decoded="decoded")
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -88,6 +87,25 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+ORACLE["op8_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n p ON p.doc_id = a.doc_id JOIN n q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
 @query
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code length of every text under a byte model of the training texts, beside a word-count baseline."""

@@ -202,21 +202,21 @@ class LibraryEncoder(ChunkEncoder):
         super().__init__({t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()})
         (self.mark,) = self._ids("\x01")
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Many pieces in one call.  The byte 1 as a word of its own stands between two; its token comes from no other
         text, so it marks where the ids of a piece end.  Pieces that hold the byte go alone."""
-        out = {c: np.array(self._ids(c), "<u4").tobytes() for c in chunks if "\x01" in c}
+        out = {c: np.array(self._ids(c), np.uint32) for c in chunks if "\x01" in c}
         rest = [c for c in chunks if c not in out] if out else chunks
         for k in range(0, len(rest), 4096):
             part = rest[k:k + 4096]
-            ids = np.array(self._ids(" \x01 ".join(part)), "<u4")
+            ids = np.array(self._ids(" \x01 ".join(part)), np.uint32)
             cut = np.flatnonzero(ids == self.mark)
             if len(cut) != len(part) - 1:
                 raise ValueError("the tokenizer does not keep the pieces apart")
-            data = ids.tobytes()
-            for c, a, b in zip(part, [0, *((cut + 1) * 4).tolist()], [*(cut * 4).tolist(), len(data)]):
-                out[c] = data[a:b]
-        return [out[c] for c in chunks]
+            for c, a, b in zip(part, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]):
+                out[c] = ids[a:b]
+        found = [out[c] for c in chunks]
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -258,8 +258,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         end = np.array([end_id], np.uint32)
         for b in slices(batches, "text"):
             out = out or FileWriter(folder, name)
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts_of(b, "text").to_pylist())):
-                out.add(doc, np.concatenate([np.frombuffer(ids, "<u4"), end]))
+            ids, count = enc.encode_array(texts_of(b, "text"))
+            ends = np.cumsum(count)
+            for doc, x, y in zip(b.column(0).to_pylist(), (ends - count).tolist(), ends.tolist()):
+                out.add(doc, np.concatenate([ids[x:y], end]))
         if out:
             n_docs, n_ids = out.close()
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n_docs], pa.int64()), pa.array([n_ids], pa.int64())],
@@ -267,6 +269,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     made = src.mapInArrow(write, "file string, n_docs long, n_tokens long")
     path = f"{folder}/_manifest"
+    made = made.repartition(1)  # one short row per file
     made.write.mode("overwrite").parquet(path)
     made = spark.read.schema(made.schema).parquet(path)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one short row per file
