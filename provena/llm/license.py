@@ -1,22 +1,26 @@
 """Licence scans: a trained paragraph classifier, with an unknown class, confirmed by comparison with templates.
 
-Paragraphs are lines; a line of more than ``2 * HALF`` words is read in windows of that size that overlap by half.  A
-paragraph's features are its word 1-, 2- and 3-grams, hashed.  A multinomial logistic regression over them has one
+Paragraphs are lines; a line that ends in a word or a comma goes on in the next one, if that is not blank, so
+a notice that is wrapped, also behind comment marks, is one paragraph.  A paragraph of more than ``2 * HALF`` words is read
+in windows of that size that overlap by half.  A paragraph's features are its word 1-, 2- and 3-grams, hashed.  A multinomial logistic regression over them has one
 class for each licence family and one for everything else; it learns from the families' notices with words left out,
 put in and set between other text, against paragraphs of the corpus and sentences that only sound alike.  A temperature
 fitted on examples kept aside calibrates the probabilities, so that the unknown class is a statement and not a rest.
 
 A paragraph is compared with the templates of every family that is likelier than the unknown class: the share of common
-word 2-grams, in the shorter of the two.  ``SIMILAR`` of it confirms the prediction; both figures are returned.  The
+word 2-grams, in the shorter of the two.  ``SIMILAR`` of it confirms the prediction, if at least ``PAIRS`` 2-grams are common
+(or all, of a template with fewer), so that two or three usual words confirm nothing; both figures are returned.  The
 likeliest family is compared first, and a template's 2-grams count for the first family that is confirmed by them, so
 that a line with two notices has both and a notice isn't taken for the kindred family with almost the same words.
 
-Learning takes the notices below and the paragraphs of at most ``SAMPLE_DOCS`` documents in one task; scanning is one
-pass, without a shuffle.
+Learning takes the notices below and the paragraphs of at most ``SAMPLE_DOCS`` documents in one task (texts of at most
+``FIT_TEXT_BYTES``, ``FIT_BYTES`` of them in all; of several texts of an id the least); scanning is one pass, without a
+shuffle, over whole texts of any length.
 
 Defined results: null and empty texts have no paragraph and no row; repeated rows are reported each; of overlapping
 windows of one family the likeliest of the confirmed is reported, or the likeliest where none is; a document with several
-licences has a row for each place, and of the families of one window the likeliest and all that are confirmed.
+licences has a row for each place, and of the families of one window the likeliest and all that are confirmed.  Of the
+input only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, class_tokens, mix64, ship, slices, texts_of
+from .common import FIT_BYTES, FIT_TEXT_BYTES, buffer_of, claim, class_tokens, mix64, ship, slices, texts_of
 
 #: Notices as the licences word them.
 TEMPLATES = {
@@ -114,16 +118,36 @@ FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 SAMPLE_DOCS = 1000
 BITS, HALF = 15, 24
-SIMILAR = 0.6
+SIMILAR, PAIRS = 0.6, 3
 EXAMPLES = 40  # for each notice
 
 
+#: White space and what comments begin with; and what a line ends in that goes on.
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32, *b"#*/"]] = True
+_GOES_ON = np.zeros(256, bool)
+_GOES_ON[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz,-(\"'", *range(128, 256)]] = True
+
+
+def paragraph_ends(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are line ends that end a paragraph: behind anything but a word or a comma, or with a blank line there."""
+    end = raw == 10
+    at, solid = np.flatnonzero(end), np.flatnonzero(~_BLANK[raw])
+    if len(at) and len(solid):
+        i = np.searchsorted(solid, at)
+        before, after = solid[np.maximum(i - 1, 0)], solid[np.minimum(i, len(solid) - 1)]
+        seen = np.cumsum(end)
+        soft = (i > 0) & (i < len(solid)) & (seen[after] - seen[before] == 1) & _GOES_ON[raw[before]]
+        end[at[soft]] = False
+    return end
+
+
 def words_and_lines(raw: np.ndarray, off: np.ndarray):
     """(hash, start, end, text number, line number) of every word; lines are numbered through all texts."""
     h, start, end, doc, kind = class_tokens(raw, off)
     word = kind < 3
     h, start, end, doc = h[word], start[word], end[word], doc[word]
-    ends = np.cumsum(raw == 10)
+    ends = np.cumsum(paragraph_ends(raw))
     line = (ends[start] if len(start) else np.zeros(0, np.int64)) + doc  # a new text is a new line too
     return h, start, end, doc, line
 
@@ -161,7 +185,8 @@ def closest(pairs: Counter, free: Counter, family: str) -> tuple[float, Counter]
     best, which = 0.0, Counter()
     for q in template_pairs(family):
         if pairs and q:
-            share = len(free.keys() & q.keys()) / min(len(pairs), len(q))
+            common = len(free.keys() & q.keys())
+            share = common / min(len(pairs), len(q)) if common >= min(PAIRS, len(q)) else 0.0
             if share > best:
                 best, which = share, q
     return best, which
@@ -306,13 +331,19 @@ def fit_licences(docs: DataFrame, n: int = SAMPLE_DOCS) -> Model:
     spark = docs.sparkSession
     ship(spark)
     chosen = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-            .repartition(1).sortWithinPartitions("doc_id").select("text"))
+    rows = (docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_TEXT_BYTES).join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text")).repartition(1).sortWithinPartitions("doc_id").select("text"))
+    limit = FIT_BYTES
 
     def run(batches):
+        claim("fit_licences")
         paragraphs: list[str] = []
+        left = limit
         for b in slices(batches, "text"):
             for t in texts_of(b, "text").to_pylist():
+                left -= len(t)
+                if left < 0:
+                    break
                 paragraphs += [" ".join(x.split()[:2 * HALF]) for x in t.split("\n")[:8]]  # examples, not what is scanned
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(paragraphs))], pa.binary())], names=["model"])
 

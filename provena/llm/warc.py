@@ -65,8 +65,7 @@ def record_bytes(page: dict) -> bytes:
             ("WARC-Date", DATE), ("WARC-Target-URI", re.sub(r"[\x00-\x20]+", "%20", page["url"] or "")),
             ("Content-Type", "application/http; msgtype=response"),
             ("WARC-Payload-Digest", "sha1:" + sha(bytes.fromhex(digest))),
-            ("WARC-Block-Digest", "sha1:" + sha(hashlib.sha1(block).digest())),
-            ("Payload-Length", str(len(payload)))]
+            ("WARC-Block-Digest", "sha1:" + sha(hashlib.sha1(block).digest()))]
     if page["page_id"] is not None:
         head.append(("Page-ID", str(page["page_id"])))
     if revisit:
@@ -199,16 +198,47 @@ def parse_record(data: bytes, where: str) -> dict:
     block, tail = data[end + 4:end + 4 + int(fields["content-length"])], data[end + 4 + int(fields["content-length"]):]
     if len(block) != int(fields["content-length"]) or tail != b"\r\n\r\n":
         raise WarcError(f"{where}: content-length {fields['content-length']}, the block and its end have {len(data) - end - 4} bytes")
-    content = {"block": block}
-    if fields["warc-type"] == "response":
-        content["payload"] = block[block.find(b"\r\n\r\n") + 4:]
+    content = {"block": block} | _payload(fields, block, where)
     for name, part in content.items():
         name = f"warc-{name}-digest"
-        if name in fields and fields[name] != "sha1:" + base64.b32encode(hashlib.sha1(part).digest()).decode():
+        if not isinstance(part, bytes) or name not in fields:
+            continue
+        kind, _, value = fields[name].partition(":")
+        if kind.lower() == "sha1" and value.upper() not in (base64.b32encode(hashlib.sha1(part).digest()).decode(), hashlib.sha1(part).hexdigest().upper()):
             raise WarcError(f"{where}: {name} doesn't fit")
+    if "payload-length" in fields and (not fields["payload-length"].isdigit() or int(fields["payload-length"]) != content.get("payload-bytes")):
+        raise WarcError(f"{where}: payload-length {fields['payload-length']}, the payload has {content.get('payload-bytes')} bytes")
     return fields | content
 
 
+def _payload(fields: dict, block: bytes, where: str) -> dict:
+    """The payload of a record and its size, by its type.  An HTTP message's payload is what follows its headers, and has
+    the ``Content-Length`` that these tell; a revisit has the headers of a message that is kept elsewhere, so only the
+    size is known.  What is no HTTP message is its own payload; warcinfo and metadata records count as such."""
+    http = fields.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+    if not http:
+        return {} if fields["warc-type"] == "revisit" else {"payload": block, "payload-bytes": len(block)}
+    end = block.find(b"\r\n\r\n")
+    if end < 0:
+        raise WarcError(f"{where}: no end of the HTTP headers")
+    told = re.search(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$", block[:end])
+    whole = re.search(rb"(?im)^transfer-encoding:", block[:end]) is None
+    if fields["warc-type"] == "revisit":
+        return {"payload-bytes": int(told[1])} if told else {}
+    payload = block[end + 4:]
+    if fields["warc-type"] == "response" and told and whole and int(told[1]) != len(payload) and "warc-truncated" not in fields:
+        raise WarcError(f"{where}: the HTTP message tells {int(told[1])} bytes and has {len(payload)}")
+    return {"payload": payload, "payload-bytes": len(payload)}
+
+
+def _digest(record: dict) -> str | None:
+    """SHA-1 of the payload in hex: as the record's header has it, or worked out where the payload is there."""
+    kind, _, value = record.get("warc-payload-digest", "").partition(":")
+    if kind.lower() == "sha1":
+        return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+    return hashlib.sha1(record["payload"]).hexdigest() if "payload" in record else None
+
+
 def _known(pages: DataFrame) -> DataFrame:
     """page_id, url, html, size and SHA-1 (hex) of the payload."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -266,10 +296,12 @@ def write_archives(pages: DataFrame, folder: str, archives: int | None = None, m
 
 
 def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """One row per record: page_id, url, record_type, refers_to, payload_bytes, payload_digest (SHA-1, hex), payload
-    (binary, null for a revisit)."""
+    """One row per record, of whatever type: page_id and refers_to (null where the record has no such field), url, record_type,
+    record_id, refers_to_record, payload_bytes (measured; of a revisit as its HTTP headers tell), payload_digest (SHA-1,
+    hex), payload (binary, null for a revisit)."""
     ship(files.sparkSession)
-    schema = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+    schema = ("page_id long, url string, record_type string, record_id string, refers_to long, refers_to_record string, payload_bytes long, "
+              "payload_digest string"
               + (", payload binary" if with_payload else ""))
 
     def rows(name: str):
@@ -279,14 +311,16 @@ def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> D
                 yield parse_record(data, f"{name} at {at}")
 
     def batch(records: list[dict]) -> pa.RecordBatch:
-        number = lambda r, k: int(r[k]) if k in r else None
+        number = lambda r, k: int(r[k]) if re.fullmatch("-?[0-9]+", r.get(k, "")) else None
         cols = [pa.array([number(r, "page-id") for r in records], pa.int64()),
                 pa.array([r.get("warc-target-uri") for r in records], pa.string()),
                 pa.array([r["warc-type"] for r in records], pa.string()),
+                pa.array([r["warc-record-id"] for r in records], pa.string()),
                 pa.array([number(r, "refers-to-page") for r in records], pa.int64()),
-                pa.array([number(r, "payload-length") for r in records], pa.int64()),
-                pa.array([base64.b32decode(r["warc-payload-digest"][5:]).hex() for r in records], pa.string())]
-        names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
+                pa.array([r.get("warc-refers-to") for r in records], pa.string()),
+                pa.array([r.get("payload-bytes") for r in records], pa.int64()),
+                pa.array([_digest(r) for r in records], pa.string())]
+        names = ["page_id", "url", "record_type", "record_id", "refers_to", "refers_to_record", "payload_bytes", "payload_digest"]
         if with_payload:
             cols.append(pa.array([r.get("payload") for r in records], pa.binary()))
             names.append("payload")

@@ -65,3 +65,15 @@ def test_a_confirmed_window_before_a_likelier_one(spark):
     model = SimpleNamespace(scan=partial(getattr, SimpleNamespace(places=places), "places"))  # whatever the texts, these places
     got = scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
     assert [(r.start, r.end, r.family, r.confirmed) for r in got] == [(10, len(text), "MIT", True)]
+
+
+def test_short_lines_confirm_nothing_and_wrapped_notices_are_one(spark):
+    model = fit_licences(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    short = ["of the", "under the", "General Public", "the License", "Version 2.0", "rights reserved"]
+    assert all(similarity(t, f) < 0.6 for t in short for f in FAMILIES)
+    words = TEMPLATES["MIT"][2].split()
+    wrapped = "\n".join(" ".join(words[i:i + 9]) for i in range(0, len(words), 9))
+    commented = "\n".join(" * " + " ".join(words[i:i + 9]) for i in range(0, len(words), 9))
+    rows = [*enumerate(short), (100, wrapped), (101, "/*\n" + commented + "\n */\nint main;"), (102, TEMPLATES["MIT"][0] + "\n\n" + TEMPLATES["BSD"][0])]
+    got = scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), model).where("confirmed").collect()
+    assert sorted((r.doc_id, r.family) for r in got) == [(100, "MIT"), (101, "MIT"), (102, "BSD"), (102, "MIT")]

@@ -96,3 +96,42 @@ def _bytes(folder, name):
     fs, base = store_of(folder)
     with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
         return stream.read()
+
+
+def test_records_of_other_writers():
+    """Records without the fields that this writer adds, of any type, are read; lengths that don't fit are found."""
+    def record(kind, block, *more, content="application/http; msgtype=response"):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date: 2024-01-01T00:00:00Z", f"Content-Type: {content}",
+                f"Content-Length: {len(block)}", *more]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\n"
+    assert parse_record(record("warcinfo", b"software: x\r\n", content="application/warc-fields"), "x")["payload"] == b"software: x\r\n"
+    assert parse_record(record("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", content="application/http; msgtype=request"), "x")["payload-bytes"] == 0
+    assert parse_record(record("metadata", b"", content="text/plain"), "x")["payload-bytes"] == 0
+    assert parse_record(record("resource", b"raw", content="image/png"), "x")["payload"] == b"raw"
+    assert parse_record(record("response", http + b"body"), "x")["payload-bytes"] == 4
+    again = parse_record(record("revisit", http, "WARC-Refers-To: <urn:uuid:9>", "WARC-Payload-Digest: sha1:" + "A" * 32), "x")
+    assert again["payload-bytes"] == 4 and "payload" not in again and again["warc-refers-to"] == "<urn:uuid:9>"
+    assert parse_record(record("response", http + b"body", "WARC-Payload-Digest: sha1:" + hashlib.sha1(b"body").hexdigest()), "x")["payload"] == b"body"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 9\r\n\r\n4\r\nbody\r\n"
+    assert parse_record(record("response", chunked), "x")["payload-bytes"] == 9
+    for bad in (record("response", http + b"longer body"), record("response", http + b"body", "Payload-Length: 999"), record("response", b"no headers"),
+                record("response", http + b"body", "WARC-Payload-Digest: sha1:" + "A" * 32)):
+        with pytest.raises(WarcError):
+            parse_record(bad, "x")
+
+
+def test_archive_of_another_writer_is_read(spark):
+    folder = scratch_path(spark, "warc-foreign")
+    info = (b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:0>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n"
+            b"Content-Type: application/warc-fields\r\nContent-Length: 3\r\n\r\na:b\r\n\r\n")
+    fs, base = store_of(folder)
+    fs.create_dir(base, recursive=True)
+    with fs.open_output_stream(f"{base}/x.warc.zst", compression=None) as out:
+        for r in (info, record_bytes(page(3, "<p>hello</p>")), record_bytes(page(2, "<p>hello</p>", 3))):
+            out.write(zstandard.ZstdCompressor().compress(r))
+    got = {r.record_type: r for r in read_archives(spark.createDataFrame([("x.warc.zst",)], "file string"), folder).collect()}
+    assert got["warcinfo"].page_id is None and bytes(got["warcinfo"].payload) == b"a:b" and got["warcinfo"].payload_digest
+    assert (got["response"].page_id, got["revisit"].refers_to, got["revisit"].payload_bytes) == (3, 3, 12)
+    assert got["revisit"].payload_digest == got["response"].payload_digest and got["revisit"].payload is None
