@@ -111,9 +111,11 @@ def fingerprint_neighbours(docs: DataFrame, groups: int | None = None, k: int =
 
     def placed(df: DataFrame) -> DataFrame:
         df = ranges.transform(df.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
-        return df.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("range").cast("int"))).drop("at")
+        # rows without an id stand in the order of their texts' hashes: as many ranges of these, before all others
+        by_hash = F.least(F.floor((F.col("tie") / 2.0 ** 64 + 0.5) * n), F.lit(n - 1)).cast("int") - n
+        return df.withColumn("range", F.when(F.col("doc_id").isNull(), by_hash).otherwise(F.col("range").cast("int"))).drop("at")
 
-    src = placed(src).withColumn("tie", F.xxhash64("text"))
+    src = placed(src.withColumn("tie", F.xxhash64("text")))
     # one row per range: its first document's text, sent to the range before (the last range gets the first text);
     # the broadcast has one short row per range
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
@@ -126,7 +128,7 @@ def fingerprint_neighbours(docs: DataFrame, groups: int | None = None, k: int =
             .dropDuplicates(["of"])
             .select("doc_id", "text", F.col("to").alias("range"), "tie", F.lit(True).alias("end")))
     rows = (src.withColumn("end", F.lit(False)).select("doc_id", "text", "range", "tie", "end").unionByName(ends)
-            .repartition(n, "range").sortWithinPartitions("range", "end", "doc_id", "tie").select("doc_id", "text", "end"))
+            .repartitionById(n, F.pmod("range", F.lit(n))).sortWithinPartitions("range", "end", "doc_id", "tie").select("doc_id", "text", "end"))
     schema = ("doc_id long, n_chars long, edited string, fingerprint binary, edited_fingerprint binary, "
               "positions array<long>, near_edited double, near_next double")
 

@@ -58,3 +58,14 @@ def test_odd_rows(spark):
     one = fingerprint_neighbours(odd_docs(spark).where("doc_id = 8")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0  # the next document of the only one is itself
     assert fingerprint(odd_docs(spark)).count() == 13
+
+
+def test_rows_without_ids_follow_each_other_by_hash(spark):
+    """They are spread over ranges of their own, before all ids; equal ids stand together."""
+    from pyspark.sql import functions as F
+    rows = [(None, f"without an id {i} " * (1 + i % 7)) for i in range(40)] + [(i // 3, f"with the id {i} " * 9) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie))
+    for groups in (1, 5, 16):
+        got = {(r.doc_id, r.n_chars, r.edited) for r in fingerprint_neighbours(docs, groups=groups).collect()}
+        assert got == {(r.doc_id, len(r.text), edited(r.text, after.text)) for r, after in zip(order, order[1:] + order[:1])}
