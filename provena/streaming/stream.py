@@ -162,11 +162,10 @@ def redrive(log: DataFrame, out: str, rules: DataFrame, number: int, reasons=(K.
             again = again.join(spark.read.parquet(f"{out}/redriven/redrive={v}/table_lineage").select("event_id"), "event_id", "left_anti")
     root = f"{out}/redriven/redrive={number}"
     lineage_batch_writer(root, policy, rules=rules, **kw)(again, 0)
-    spark.range(0).write.mode("overwrite").parquet(f"{root}/_commit")
-    fs_mark(spark, root)
+    _mark(spark, root)
 
 
-def fs_mark(spark: SparkSession, folder: str) -> None:
+def _mark(spark: SparkSession, folder: str) -> None:
     """Mark a folder of several products as complete."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
