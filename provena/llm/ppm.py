@@ -42,6 +42,8 @@ ORDER = 5
 #: what the escape takes from each distinct next byte; on held-out texts 0.3 codes shorter than 0.1, 0.2, 0.4 and 0.5
 ESCAPE = 0.3
 BLOCK_ROWS = 16_384
+#: distinct runs of a part that are worked out in one task; a larger part is cut by a third context byte
+PART_RUNS = 1 << 18
 #: bytes of text that are scored or counted at once; their runs take many times the room
 SLICE = 1 << 19
 #: the end token's key among the word hashes
@@ -93,15 +95,20 @@ def _inside(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1], dtype=np.int8).astype(bool)
 
 
-def trie_logs(key: np.ndarray, count: np.ndarray, order: int, pairs: np.ndarray) -> np.ndarray:
+def trie_logs(key: np.ndarray, count: np.ndarray, order: int, pairs: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
     """log10 probability of the last byte of every run.  ``key``: distinct runs that hold all runs with their last two
-    context bytes; ``count``: their training counts; ``pairs``: training counts of all (byte, next byte), 256 x 256."""
+    context bytes; ``count``: their training counts; ``pairs``: training counts of all (byte, next byte), 256 x 256.
+    With ``after``, the training counts of the bytes behind these two, the runs need only be all those with their last
+    three context bytes."""
     out = np.zeros(len(key))
     open_ = np.ones(len(key), bool)
     upper = None  # of the context one byte longer: (seen, sum of lower counts of its symbols, distinct), per run
     for j in range(order, -1, -1):
         mask = np.uint64((1 << (8 * (j + 1))) - 1)
-        if j >= 2:
+        if j == 2 and after is not None:
+            low, mid = (key & np.uint64(255)).astype(np.int64), ((key >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
+            c, t, d = after[low], np.full(len(key), after.sum()), np.full(len(key), (after > 0).sum())
+        elif j >= 2:
             sym, back = np.unique(key & mask, return_inverse=True)
             c_sym = np.bincount(back, weights=count, minlength=len(sym))
             ctx, c_back = np.unique(sym >> np.uint64(8), return_inverse=True)
@@ -123,7 +130,10 @@ def trie_logs(key: np.ndarray, count: np.ndarray, order: int, pairs: np.ndarray)
         out[miss] += np.log10(ESCAPE * de[miss] / te[miss])
         open_ &= ~hit
 
-        if j >= 2:
+        if j == 2 and after is not None:
+            def upper(lower, mid=mid, d=d):
+                return ((after > 0)[None, :] * pairs).sum(axis=1)[mid], d
+        elif j >= 2:
             def upper(lower, sym=sym, back=back, c_sym=c_sym, c_back=c_back, d=d):
                 """For the context of this level: the shorter context's counts of its symbols, and how many they are."""
                 one = np.zeros(len(sym))
@@ -213,10 +223,11 @@ def ppm_score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     src = with_blocks(docs)
     seen = stored(count_blocks(src, order), "ppm-seen")
 
-    # words: a key has at most one row per block
-    per_key = Window.partitionBy("key")
-    words = stored(seen.where(F.col("kind") == WORD).withColumn("c", F.sum("cnt").over(per_key))
-                   .withColumn("lead", F.col("block") == F.min("block").over(per_key)).drop("kind"), "ppm-words")
+    # words: a key has a row per block, or several where a block's rows are read by several tasks; one of them all leads
+    per_key = Window.partitionBy("key").orderBy("block")
+    whole = per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = stored(seen.where(F.col("kind") == WORD).withColumn("c", F.sum("cnt").over(whole))
+                   .withColumn("lead", F.row_number().over(per_key) == 1).drop("kind"), "ppm-words")
     n_train, v_train = words.agg(F.coalesce(F.sum("cnt"), F.lit(0)), F.count(F.when(F.col("lead") & (F.col("c") > 0), 1))).first()
     # a word seen once, in a training text of this very block, needs no answer; nor does one never seen in training
     told = words.where("c > 0 AND (c > 1 OR held)").select("block", F.lit(WORD).cast("byte").alias("kind"), "key",
@@ -231,12 +242,23 @@ def ppm_score(docs: DataFrame, order: int = ORDER) -> DataFrame:
         pairs[r["pair"]] = r["n"]
     pairs = spark.sparkContext.broadcast(pairs.reshape(256, 256))
 
-    def logs(pdf):
+    # parts with very many runs are cut by one more context byte; what they need in common is 256 counts each
+    cut = total.withColumn("part", F.shiftright("key", 8).bitwiseAND(0xFFFF))
+    large = stored(cut.groupBy("part").agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") > PART_RUNS).select("part"), "ppm-large")
+    behind = (cut.join(large, "part").groupBy("part", F.col("key").bitwiseAND(0xFF).alias("byte")).agg(F.sum("cnt").alias("n")).collect())
+    after = {r["part"]: np.zeros(256) for r in behind}
+    for r in behind:  # at most 65,536 parts of 256 counts
+        after[r["part"]][r["byte"]] = r["n"]
+    after = spark.sparkContext.broadcast(after)
+
+    def logs(by, pdf):
         import pandas as pd
         key = pdf["key"].to_numpy(np.int64)
-        return pd.DataFrame({"key": key, "value": trie_logs(key.view(np.uint64), pdf["cnt"].to_numpy(np.float64), order, pairs.value)})
+        return pd.DataFrame({"key": key, "value": trie_logs(key.view(np.uint64), pdf["cnt"].to_numpy(np.float64), order, pairs.value,
+                                                            after.value.get(int(by[0])))})
 
-    value = (total.withColumn("part", F.shiftright("key", 8).bitwiseAND(0xFFFF)).groupBy("part")
+    third = F.when(F.col("large"), F.shiftright("key", 24).bitwiseAND(0xFF)).otherwise(F.lit(-1).cast("long"))
+    value = (cut.join(large.withColumn("large", F.lit(True)), "part", "left").withColumn("third", third).groupBy("part", "third")
              .applyInPandas(logs, "key long, value double"))
     answers = told.unionByName(runs.select("block", "kind", "key").join(value, "key").select("block", "kind", "key", "value"))
     folder = scratch_path(spark, "ppm-answers")

@@ -65,8 +65,10 @@ def close(rows, texts, held):
         assert r.score == pytest.approx(model.score(t), rel=1e-9, abs=1e-9)
 
 
-def test_query(spark, monkeypatch):
+@pytest.mark.parametrize("part_runs", [1 << 20, 0, 30])
+def test_query(spark, monkeypatch, part_runs):
     monkeypatch.setattr(ppm, "BLOCK_ROWS", 64)  # several blocks
+    monkeypatch.setattr(ppm, "PART_RUNS", part_runs)  # whole parts, all of them cut, the larger ones cut
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").limit(60).collect()
     short = [(r.doc_id, r.text[:600]) for r in docs]
     held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in short]
@@ -86,3 +88,23 @@ def test_odd_rows(spark):
     assert ppm_score(no_docs(spark).withColumn("held", F.lit(False))).count() == 0
     alone = ppm_score(docs.where("doc_id = 3").withColumn("held", F.lit(True))).first()  # nothing to learn from
     assert alone.train_tokens == 0 and alone.base_score == 0.0 and alone.score == pytest.approx(2 * math.log10(1 / 256))
+
+
+def test_blocks_that_several_tasks_read(spark, tmp_path):
+    """A file whose row groups are read by different tasks: a word of a block is still one word of the vocabulary."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    texts = [f"river {w} plain {w}{i % 3} silt" for i, w in enumerate("stone mud reed fish boat stone mud reed fish boat".split() * 4)]
+    held = [i % 7 == 2 for i in range(len(texts))]
+    pq.write_table(pa.table({"doc_id": list(range(len(texts))), "text": texts, "held": held}), tmp_path / "docs.parquet", row_group_size=5)
+    keys = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        docs = spark.read.parquet(str(tmp_path))
+        assert docs.rdd.getNumPartitions() > 4
+        close(ppm_score(docs).orderBy("doc_id").collect(), texts, held)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
