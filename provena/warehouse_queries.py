@@ -17,7 +17,7 @@ from .queries import query
 from .session import Tables, scratch_path
 
 ACCOUNT_SQL = "SELECT c_acctbal AS balance, c_custkey AS account, c_mktsegment AS segment, c_nationkey // 5 AS zone FROM customer"
-PLACES_SQL = ("SELECT c_custkey AS account, concat(n_name, '/', c_mktsegment) AS market, abs(c_acctbal) AS exposure, n.* "
+PLACES_SQL = ("SELECT c_custkey AS account, n_name || '/' || c_mktsegment AS market, abs(c_acctbal) AS exposure, n.* "
               "FROM customer LEFT JOIN nation n ON n_nationkey = c_nationkey AND c_acctbal > 0")
 ACCOUNT_SCHEMA = T.StructType([T.StructField("balance", T.DoubleType()), T.StructField("account", T.LongType()),
                                T.StructField("segment", T.StringType())])
