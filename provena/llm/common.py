@@ -28,6 +28,8 @@ HASH_PIECE = 2 << 20
 #: Bounds of a sample that a classifier learns from, next to its number of documents: bytes in all, bytes of a text.
 FIT_BYTES, FIT_TEXT_BYTES = 16 << 20, 1 << 20
 
+GATHER = 8
+
 _SHIPPED: set[str] = set()
 #: what tasks of one operator keep in a Python worker for its next tasks
 CACHES: list[dict] = []
@@ -67,10 +69,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def stored(df: DataFrame, name: str, scope: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, scope: list[str] | None = None, small: bool = False) -> DataFrame:
     """Write an intermediate once under the shared checkpoint folder and read it back (survives lost executors).  Its
-    path goes into ``scope``, for ``discard`` when nothing reads it any more; without one it stays."""
+    path goes into ``scope``, for ``discard`` when nothing reads it any more; without one it stays.  What is ``small``
+    next to the input is gathered into ``1 / GATHER`` as many files as the session has shuffle partitions."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    if small:
+        df = df.repartition(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // GATHER))
     df.write.parquet(path)
     if scope is not None:
         scope.append(path)

@@ -18,16 +18,16 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     scope: list[str] = []  # what the next round still reads
     e = edges.select("a", "b").where("a <> b").distinct()
-    e = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", scope)
+    e = stored(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", scope, True)
     names = None
     while not e.isEmpty():
         before, scope = scope, []
-        p = stored(e.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")), "parents", scope)
+        p = stored(e.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")), "parents", scope, True)
         names = (p.select(F.col("a").alias("node"), F.col("p").alias("root")) if names is None else
                  stored(names.join(p, F.col("root") == F.col("a"), "left")
-                        .select("node", F.coalesce("p", "root").alias("root")), "roots", scope))
+                        .select("node", F.coalesce("p", "root").alias("root")), "roots", scope, True))
         pa, pb = p.select("a", F.col("p").alias("x")), p.select(F.col("a").alias("b"), F.col("p").alias("y"))
         e = stored(e.join(pa, "a").join(pb, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
-                   "edges", scope)
+                   "edges", scope, True)
         discard(spark, before)
     return names if names is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root")).where("false")

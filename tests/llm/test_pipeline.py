@@ -53,7 +53,16 @@ def test_odd_rows(spark):
         assert kept.where("toxicity <> 'old'").count() == 0
         assert stage(spark, docs.limit(0), SF_MID).count() == 0
     ids = [r.doc_id for r in P.drop_near_copies(spark, docs, SF_MID).where(F.col("doc_id").isNotNull()).collect()]
-    assert 7 not in ids and ids.count(6) == 2  # rows of one id stay together
+    assert 7 not in ids and ids.count(6) == 1  # one row of a group stays, also where several share its id
+    out = P.tokenise(spark, docs, SF_MID)
+    assert out.columns == [*(f"{c}_" if c == "token_ids" else c for c in DOCS.names if c != "text"), "token_ids", "n_tokens", "decoded_sha256"]
+    assert out.count() == docs.count() and out.where("token_ids_ <> 'old'").count() == 0
+    clash = docs.selectExpr("doc_id", "text", "lang AS decoded", "n AS n_tokens", "Score AS decoded_sha256", "quality AS n_tokens_", "block AS benchmark_items_0")
+    for name, stage in P.STAGES[:-1]:
+        assert stored(stage(spark, clash, SF_MID), "stage-test").columns == clash.columns, name
+    assert P.tokenise(spark, clash, SF_MID).columns == ["doc_id", "decoded", "n_tokens__", "decoded_sha256_", "n_tokens_", "benchmark_items_0", "token_ids",
+                                                        "n_tokens", "decoded_sha256"]
+    assert P.tokenise(spark, docs.limit(0), SF_MID).count() == 0
 
 
 def test_near_copies_are_decided_by_row(spark):
@@ -70,3 +79,5 @@ def test_near_copies_are_decided_by_row(spark):
     assert len(without) == 1
     assert [x for x in kept if x not in without] == sorted(
         [(1, a), (2, b), (3, c), (None, ""), (None, ""), (None, " \n"), (None, None), (5, "")], key=str)
+    again = P.drop_near_copies(spark, docs.unionByName(docs).unionByName(docs), SF_MID)  # rows that are equal in all columns
+    assert sorted(((r.doc_id, r.text) for r in again.where(F.col("text").rlike("[a-z]")).collect()), key=str) == [x for x in kept if (x[1] or "").strip()]
