@@ -6,9 +6,9 @@ pure DataFrame algebra:
 * per-event lists (inputs of a process) are built with ``collect_list`` of
   ``(position, value)`` structs and sorted afterwards, so order never depends
   on shuffle order and duplicates survive (a self-join lists its table twice);
-* every join key starts with ``event_id`` and adds the finest key available
-  (``attr_id``, ``out_pos``), so one event with a huge plan is spread over
-  many tasks instead of one;
+* every join is by ``event_id``, and finer keys (``attr_id``, ``out_pos``) are
+  compared inside the event: tables that lie together by event are joined
+  where they are, and no name made of them crosses a shuffle;
 * the lists that are collected are bounded by one plan's size: every leaf and
   output of one event came from one query plan held in one driver's memory.
 """
@@ -58,10 +58,24 @@ def table_inputs(scan_relation: DataFrame, ns: str = K.NAMESPACE) -> DataFrame:
     return agg.select("event_id", F.transform("_rels", lambda r: r["table_qn"]).alias("inputs"))
 
 
+def join_in_event(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by ``event_id`` and ``keys`` (numbers).
+
+    For an equality of several columns Spark moves both sides by all of them, although rows that are dealt by event
+    already lie together.  So ``keys`` are compared as a range of one value among the rows of an event, which are as few
+    as its plan has."""
+    r = right.select(F.col("event_id").alias("_event_id"), *(F.col(k).alias(f"_{k}") for k in keys),
+                     *(c for c in right.columns if c != "event_id" and c not in keys))
+    on = F.col("event_id") == F.col("_event_id")
+    for k in keys:
+        on = on & (F.col(k) <= F.col(f"_{k}")) & (F.col(k) >= F.col(f"_{k}"))
+    return left.join(r, on, how).drop("_event_id", *(f"_{k}" for k in keys))
+
+
 def catalog_columns(scan_relation: DataFrame, scan_column: DataFrame, ns: str = K.NAMESPACE) -> DataFrame:
     """Columns (data + partition) of catalog relations with their input qualified name."""
     rel = scan_relation.where(F.col("is_catalog")).select("event_id", "rel_pos", "db", "tbl")
-    return (scan_column.join(rel, ["event_id", "rel_pos"])
+    return (join_in_event(scan_column, rel, ["rel_pos"])
             .select("event_id", "rel_pos", "attr_id", "col", "is_partition_col",
                     N.input_col_qn("db", "tbl", "col", ns).alias("input_qn")))
 
@@ -70,8 +84,8 @@ def attr_dictionary(cat_cols: DataFrame) -> DataFrame:
     """J2 dictionary: (event, attr id) -> source column.  If an id occurs twice
     the later registration wins (later relation, partition after data; the
     greater name if even that ties, so the pick is deterministic).
-    The aggregate's output is hash-partitioned on (event_id, attr_id): exactly
-    what the lookup join needs, so it costs no extra exchange."""
+    Columns that lie together by event are combined and looked up where they
+    are."""
     return (cat_cols.groupBy("event_id", "attr_id")
             .agg(F.max_by("input_qn", F.struct("rel_pos", "is_partition_col", "input_qn")).alias("input_qn")))
 
@@ -80,14 +94,12 @@ def resolve_leaves(output_expr: DataFrame, output_leaf: DataFrame, dictionary: D
     """One dictionary lookup for both lineage branches.  Each output
     probes its own attribute id (L3) next to the ids of its leaves (L4).  Per
     output: ``pass_qn`` (its own id's source column) and ``inputs`` (leaf hits
-    in leaf order, duplicates kept, literals and unknown ids skipped).  The
-    dictionary is built and shuffled once, and only narrow probe rows cross
-    the lookup shuffle."""
+    in leaf order, duplicates kept, literals and unknown ids skipped)."""
     own = output_expr.select("event_id", "out_pos", F.col("out_attr_id").alias("attr_id"),
                              F.lit(None).cast("int").alias("leaf_pos"), F.lit(True).alias("_own"))
     leaves = (output_leaf.where(F.col("attr_id").isNotNull())
               .select("event_id", "out_pos", "attr_id", "leaf_pos", F.lit(False).alias("_own")))
-    hits = own.unionByName(leaves).join(dictionary, ["event_id", "attr_id"])
+    hits = join_in_event(own.unionByName(leaves), dictionary, ["attr_id"])
     agg = hits.groupBy("event_id", "out_pos").agg(
         F.max(F.when(F.col("_own"), F.col("input_qn"))).alias("pass_qn"),
         F.sort_array(F.collect_list(F.when(~F.col("_own"), F.struct("leaf_pos", "input_qn")))).alias("_hits"))
@@ -100,9 +112,8 @@ def literal_outputs(output_expr: DataFrame, output_leaf: DataFrame, dictionary:
     the outputs' own ids are looked up (an anti join), not their leaves."""
     lit_out = output_leaf.where(~F.col("is_named")).select("event_id", "out_pos").distinct()
     d = dictionary.select("event_id", F.col("attr_id").alias("out_attr_id"))
-    derived = (output_expr.where(F.col("n_children") >= 1)
-               .join(d, ["event_id", "out_attr_id"], "left_anti"))
-    return derived.join(lit_out, ["event_id", "out_pos"], "left_semi").select("event_id").distinct()
+    derived = join_in_event(output_expr.where(F.col("n_children") >= 1), d, ["out_attr_id"], "left_anti")
+    return join_in_event(derived, lit_out, ["out_pos"], "left_semi").select("event_id").distinct()
 
 
 def dependency_type(expression) -> "F.Column":
@@ -234,7 +245,7 @@ class Lineage:
     def _outputs(self) -> DataFrame:
         """``output_expr`` with its lookups (``pass_qn``, ``inputs``; null when nothing hit)."""
         hits = resolve_leaves(self.t.output_expr, self.t.output_leaf, self.dictionary)
-        return self.t.output_expr.join(hits, ["event_id", "out_pos"], "left")
+        return join_in_event(self.t.output_expr, hits, ["out_pos"], "left")
 
     @cached_property
     def project_rows(self) -> DataFrame:
@@ -283,8 +294,9 @@ class Lineage:
         rows = self.project_rows.unionByName(self.direct_rows)
         g = self.good.where(F.col("root_kind").isin(K.ROOT_PROJECT, K.ROOT_RELATION)).select(
             "event_id", "ts", "root_kind", "database", "target_table", "process_qn")
-        j = rows.join(g, "event_id").where(
-            (F.col("branch") == K.BRANCH_DIRECT) == (F.col("root_kind") == K.ROOT_RELATION))
+        # an equality of the two would become a join key, and move all rows once more
+        fits = F.when(F.col("branch") == K.BRANCH_DIRECT, F.col("root_kind") == K.ROOT_RELATION).otherwise(F.col("root_kind") == K.ROOT_PROJECT)
+        j = rows.join(g, "event_id").where(fits)
         return j.select(
             "event_id", "ts", "root_kind", "branch", "out_pos", "out_name", "process_qn",
             N.lineage_id("database", "target_table", "out_name", self.ns).alias("lineage_id"),
