@@ -52,7 +52,8 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     shuffle.  A null key is a key."""
     rest = [c for c in rows.columns if c not in keys]
     by = [*order, *(c for c in rest if c not in order and not _unordered(rows.schema[c].dataType))]
-    top = F.max_by(F.struct(*rest), F.struct(*by)).alias("_top")
+    # where every column takes part in the order, one struct is both the row and its rank, and moves once
+    top = (F.max(F.struct(*by)) if set(by) == set(rest) else F.max_by(F.struct(*rest), F.struct(*by))).alias("_top")
     return rows.groupBy(*keys).agg(top).select(*keys, "_top.*").select(*rows.columns)
 
 
@@ -112,15 +113,19 @@ class BucketTable:
         names = [f.name for f in self.schema.fields]
         new = latest(rows.select(*names), self.keys, self.order)
         staged = f"{self.path}/_new-{batch_id}"
-        new.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).write.mode("overwrite").parquet(staged)
+        new.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).write.mode("overwrite").option("compression", "zstd").parquet(staged)
         new = spark.read.parquet(staged)
         touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
         places = self._places(spark, batch_id - 1)
         old = self._read(spark, {b: v for b, v in places.items() if b in touched})
         both = new.select(*names, "bucket").unionByName(old)
-        merged = latest(both, ["bucket", *self.keys], self.order)
-        n = max(1, min(len(touched), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-        merged.repartition(n, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v={batch_id}")
+        # a bucket is dealt to several tasks by its keys, and merged where it is written
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        deals = -(-2 * tasks // len(touched)) if 0 < len(touched) < tasks else 1
+        dealt = both.withColumn("_deal", F.pmod(F.xxhash64(*self.keys, F.lit("deal")), F.lit(deals)).cast("int"))
+        dealt = dealt.repartition(max(1, min(len(touched) * deals, tasks)), "bucket", "_deal")
+        merged = latest(dealt, ["bucket", "_deal", *self.keys], self.order).drop("_deal")
+        merged.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/v={batch_id}")
         remove(spark, staged)
         for b in touched:  # what this batch read stays for a replay; what was older goes
             for v in self._versions_of(spark, b):
