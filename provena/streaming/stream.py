@@ -75,7 +75,8 @@ SEGMENT_ROWS = 10_000
 def append_notifications(messages: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS) -> None:
     """Append ``(topic, key, value)`` rows to a notification log: a folder per topic, in segments of at most
     ``segment_rows`` rows."""
-    messages.select("topic", "key", "value").write.mode("append").option("maxRecordsPerFile", segment_rows).partitionBy("topic").parquet(path)
+    (messages.select("topic", "key", "value").write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", segment_rows)
+     .partitionBy("topic").parquet(path))
 
 
 def read_notification_log(spark: SparkSession, path: str, topics: str, rows_per_trigger: int | None = None,
@@ -103,7 +104,7 @@ def read_notification_log(spark: SparkSession, path: str, topics: str, rows_per_
 
 
 def _write_batch(df: DataFrame, out: str, product: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{out}/{product}/batch_id={batch_id}")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/{product}/batch_id={batch_id}")
 
 
 ENTITY_KEYS = ["type_name", "qualified_name"]

@@ -18,6 +18,7 @@ from .queries import ORACLE, lineage, plan_log_path, query
 from .session import Tables, scratch_path
 from .sources import fixtures as fx
 from .streaming import stream as S
+from .streaming.store import remove
 
 TRIGGERS = 3  # about how many micro-batches each run takes
 
@@ -237,15 +238,20 @@ def notification_feed(spark, sf_dir):
     msgs = to_messages(lineage(spark, sf_dir)).select("event_id", "topic", "key", "value")
     log = scratch_path(spark, "notification_log")
     staged = scratch_path(spark, "notifications")
-    second = msgs.where(F.col("event_id") % 3 == 0).withColumn("topic", F.lit("OTHER_TOPIC"))
-    msgs.unionByName(second).unionByName(msgs.withColumn("topic", F.lit("NOT_ASKED_FOR"))).write.parquet(staged)
-    rows = spark.read.parquet(staged)
+    msgs.write.option("compression", "zstd").parquet(staged)  # each message once; the topics' copies are made as the log is written
+    hook = spark.read.parquet(staged)
+    second = hook.where(F.col("event_id") % 3 == 0).withColumn("topic", F.lit("OTHER_TOPIC"))
+    rows = hook.unionByName(second).unionByName(hook.withColumn("topic", F.lit("NOT_ASKED_FOR")))
+    # as many triggers for a long log as for a short one: Spark keeps files for every trigger and every segment
+    intake = max(2000, -(-hook.count() // (2 * TRIGGERS)))
+    segment = max(500, min(S.SEGMENT_ROWS, intake // 4))
     out, ck = scratch_path(spark, "notifications_out"), scratch_path(spark, "notifications_ck")
     for half in (0, 1):
-        part = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
-        S.append_notifications(part.repartition(_files(spark), "key", F.xxhash64("value")), log, segment_rows=500)
-        feed = S.read_notification_log(spark, log, f" {K.HOOK_TOPIC} , ,OTHER_TOPIC,", rows_per_trigger=2000, segment_rows=500)
-        (feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+        S.append_notifications(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half), log, segment_rows=segment)
+        if half == 1:
+            remove(spark, staged)  # the log holds it all
+        feed = S.read_notification_log(spark, log, f" {K.HOOK_TOPIC} , ,OTHER_TOPIC,", rows_per_trigger=intake, segment_rows=segment)
+        (feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).option("compression", "zstd")
          .outputMode("append").trigger(availableNow=True).start().awaitTermination())
     return (spark.read.parquet(out).groupBy("topic", "key")
             .agg(F.count(F.lit(1)).alias("n_messages")))
