@@ -142,7 +142,7 @@ class PlanLineage(Lineage):
 
     def stage(self, path: str) -> "PlanLineage":
         """Store the harvested rows once under ``path`` and build every product from them."""
-        self.rows.write.mode("overwrite").parquet(path)
+        self.rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return PlanLineage(rows=self.rows.sparkSession.read.schema(self.rows.schema).parquet(path), rules=self.rules, policy=self.policy, ns=self.ns)
 
     @cached_property

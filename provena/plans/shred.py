@@ -153,7 +153,7 @@ def event_tables_from_plans(log: DataFrame, stage_path: str | None = None):
     ev_cols = [c for c in log.columns if c not in _SKIP]
     rows = shred_plans(log)
     if stage_path is not None:
-        rows.write.mode("overwrite").partitionBy("_t").parquet(stage_path)
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("_t").parquet(stage_path)
         rows = log.sparkSession.read.schema(rows.schema).parquet(stage_path)  # an empty batch writes no file
 
     def part(t):

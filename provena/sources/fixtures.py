@@ -19,6 +19,13 @@ from pyspark.sql import functions as F
 from ..session import Tables
 
 
+def _items(t: Tables, *cols: str) -> DataFrame:
+    """These columns of the line items, each order's in one task.  What is worked out for a single execution then stays
+    there: keys that begin with ``l_orderkey`` need no other exchange, and the texts made of the columns move nowhere."""
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.lineitem.select("l_orderkey", *cols).repartition(n, "l_orderkey")
+
+
 def write_event(t: Tables) -> DataFrame:
     """One write event per order.  Its query is a bare relation where all line items come from one supplier, i.e. where
     one table is scanned; else a projection, or in one case of ten something else."""
@@ -41,7 +48,7 @@ def write_event(t: Tables) -> DataFrame:
 
 def scan_relation(t: Tables) -> DataFrame:
     """One row per (event, scanned relation): the suppliers of an order."""
-    return t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos").distinct().selectExpr(
+    return _items(t, "l_suppkey").selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos").distinct().selectExpr(
         "event_id", "rel_pos",
         "CASE WHEN rel_pos % 9 = 0 THEN NULL ELSE concat('src', CAST(rel_pos % 4 AS STRING)) END AS db",
         "concat('S_', CAST(rel_pos % 40 AS STRING)) AS tbl",
@@ -53,7 +60,8 @@ def scan_column(t: Tables) -> DataFrame:
     """Data and partition columns of every scanned relation; attr ids are unique per event."""
     li = t.lineitem.selectExpr("l_orderkey AS event_id", "l_suppkey AS rel_pos", "l_partkey AS pk")
     part = t.part.selectExpr("p_partkey AS pk", "p_type = 'PROMO' AS is_partition_col")
-    return (li.join(part, "pk")
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return (li.join(part, "pk").repartition(n, "event_id")
             .selectExpr("event_id", "rel_pos", "pk * 1000 + rel_pos AS attr_id",
                         "concat('Col_', CAST(pk AS STRING)) AS col", "is_partition_col")
             .distinct())
@@ -61,7 +69,7 @@ def scan_column(t: Tables) -> DataFrame:
 
 def output_leaf(t: Tables) -> DataFrame:
     """Leaves of every output column in leaf order; a null attr id is a literal."""
-    return t.lineitem.selectExpr(
+    return _items(t, "l_linenumber", "l_partkey", "l_suppkey").selectExpr(
         "l_orderkey AS event_id", "l_linenumber AS out_pos",
         "CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS INT)"
         " AS leaf_pos",
@@ -72,7 +80,7 @@ def output_leaf(t: Tables) -> DataFrame:
 
 def output_expr(t: Tables) -> DataFrame:
     """Root project list: per output column its name, attr id, child count and text."""
-    g = (t.lineitem.groupBy("l_orderkey", "l_linenumber")
+    g = (_items(t, "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").groupBy("l_orderkey", "l_linenumber")
          .agg(F.expr("count(1) AS n"), F.expr("min(l_returnflag) AS flag"),
               F.expr("min(l_partkey * 1000 + l_suppkey) AS attr")))
     single = "(n = 1 AND flag = 'N')"
@@ -175,9 +183,11 @@ def plan_branch(t: Tables) -> DataFrame:
     writes with or without a projection, a union of two writes, or a read."""
     node = lambda cls, n: f"named_struct('class', '{cls}', 'num-children', {n})"
     scan, write = node("FileSourceScanExec", 0), node("DataWritingCommandExec", 1)
-    return t.lineitem.selectExpr(
-        "l_orderkey AS event_id",
-        "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS branch",
+    # the branches are numbered first: in one select with the numbers, Spark makes the nodes before the rows are moved
+    numbered = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").withColumn(
+        "branch", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")))
+    return numbered.selectExpr(
+        "l_orderkey AS event_id", "branch",
         f"""CASE WHEN l_partkey % 7 = 0 THEN array({node("ExecutedCommandExec", 0)})
                  WHEN l_partkey % 7 <= 3 AND l_returnflag = 'N' THEN array({write}, {node("ProjectExec", 1)}, {scan})
                  WHEN l_partkey % 7 <= 3 THEN array({write}, {scan})

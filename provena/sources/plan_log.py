@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators.lineage import join_in_event
 from ..plans import shred as S
 from . import fixtures as fx
 
@@ -53,7 +54,7 @@ def relation_nodes(relations: DataFrame, columns: DataFrame) -> DataFrame:
     """One JSON relation node per (event_id, rel_pos)."""
     cols = (columns.groupBy("event_id", "rel_pos")
             .agg(F.sort_array(F.collect_list(F.struct("attr_id", "col", "is_partition_col"))).alias("c")))
-    j = relations.join(cols, ["event_id", "rel_pos"], "left")
+    j = join_in_event(relations, cols, ["rel_pos"], "left")
     c = F.coalesce(F.col("c"), F.array().cast("array<struct<attr_id:bigint,col:string,is_partition_col:boolean>>"))
     output = F.transform(c, lambda a: F.array(_expr_node(S.ATTRIBUTE, 0, a["col"], a["attr_id"])))
     pcols = F.transform(F.filter(c, lambda a: a["is_partition_col"]), lambda a: a["col"])
@@ -69,7 +70,7 @@ def project_items(outputs: DataFrame, leaves: DataFrame) -> DataFrame:
     """Per event: project list JSON items in output order, and the child texts."""
     lv = (leaves.groupBy("event_id", "out_pos")
           .agg(F.sort_array(F.collect_list(F.struct("leaf_pos", "attr_id"))).alias("l")))
-    j = outputs.join(lv, ["event_id", "out_pos"], "left")
+    j = join_in_event(outputs, lv, ["out_pos"], "left")
     leaf_nodes = F.transform(
         F.coalesce(F.col("l"), F.array().cast("array<struct<leaf_pos:int,attr_id:bigint>>")),
         lambda x: _expr_node(F.when(x["attr_id"].isNotNull(), F.lit(S.ATTRIBUTE)).otherwise(F.lit(LITERAL)), 0,
@@ -100,8 +101,13 @@ def physical_log(t) -> DataFrame:
 
 
 def plan_log(t) -> DataFrame:
-    """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``."""
-    return plan_log_from(fx.write_event(t), fx.scan_relation(t), fx.scan_column(t), fx.output_expr(t), fx.output_leaf(t))
+    """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``.
+
+    The rows are dealt by event before a plan is made of them, so no JSON is moved: the log has a part for each shuffle
+    partition."""
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    events = fx.write_event(t).repartition(n, "event_id")
+    return plan_log_from(events, fx.scan_relation(t), fx.scan_column(t), fx.output_expr(t), fx.output_leaf(t))
 
 
 def plan_log_from(ev: DataFrame, rel: DataFrame, columns: DataFrame, outputs: DataFrame,
