@@ -33,9 +33,9 @@ def entity_json(entity) -> "F.Column":
 
 
 def envelopes(lineage) -> DataFrame:
-    """One row per harvested event: key, entity list (process first)."""
-    return lineage.entity_lists().select("event_id", "ts", "key", F.concat(
-        F.array(entity_json(F.col("process"))), F.transform("columns", entity_json)).alias("entities"))
+    """One row per harvested event: key, entity list (process first), how many they are."""
+    return lineage.entity_lists(entity_json).select(
+        "event_id", "ts", "key", F.concat(F.array("process"), "columns").alias("entities"), "n_entities")
 
 
 def to_messages(lineage, topic: str = K.HOOK_TOPIC) -> DataFrame:
@@ -43,9 +43,9 @@ def to_messages(lineage, topic: str = K.HOOK_TOPIC) -> DataFrame:
     env = envelopes(lineage)
     value = F.to_json(F.struct(F.lit(K.MESSAGE_TYPE).alias("type"), F.lit(K.PRODUCER).alias("user"),
                                F.struct(F.col("entities").alias("entities")).alias("entities")))
-    return env.select("event_id", F.lit(topic).alias("topic"), "key", value.alias("value"),
-                      F.size("entities").alias("n_entities"),
-                      F.col("entities")[0]["typeName"].alias("first_type"))
+    # the entities are read once, by their text: a second use would have them stored in the row, and copied, before it
+    return env.select("event_id", F.lit(topic).alias("topic"), "key", value.alias("value"), "n_entities",
+                      F.lit(K.TYPE_PROCESS).alias("first_type"))
 
 
 def keyed_for_sink(messages: DataFrame) -> DataFrame:

@@ -131,32 +131,39 @@ def _refs(arr_col, type_name: str, rel: str):
                                                    F.lit(rel).alias("relationship_type")))
 
 
-def _attributes(qn, ts, **given):
+def entity_time(ts) -> "F.Column":
+    """The text of a time in an entity."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+
+
+def _attributes(qn, at, **given):
     """The attributes that either kind of entity has; what a kind lacks is null and left out of its JSON."""
-    at = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
     names = ("userName", "startTime", "endTime", "operationType", "queryId", "queryText", "recentQueries", "queryPlan", "clusterName",
              K.DEP_TYPE_ATTR, "expression")
     values = {"startTime": at, "endTime": at, "recentQueries": F.lit(None).cast("array<string>")} | given
     return F.struct(qn.alias("qualifiedName"), qn.alias("name"), *(values.get(n, F.lit(None).cast("string")).alias(n) for n in names))
 
 
-def process_entity(ns: str = K.NAMESPACE) -> "F.Column":
-    """The hive_process of a harvested event, from its row: (type_name, qualified_name, attributes, relationships)."""
-    qn, text = F.col("process_qn"), F.col("query_text")
+def process_entity(ns: str = K.NAMESPACE, at=None, qn="process_qn", op_type="op_type", text="query_text", inputs="inputs",
+                   target_qn="target_qn") -> "F.Column":
+    """The hive_process of a harvested event, from its row: (type_name, qualified_name, attributes, relationships).
+    ``at`` is the text of its time, if it is at hand."""
+    qn, op_type, text, inputs = (F.col(c) if isinstance(c, str) else c for c in (qn, op_type, text, inputs))
     return F.struct(
         F.lit(K.TYPE_PROCESS).alias("type_name"), qn.alias("qualified_name"),
-        _attributes(qn, F.col("ts"), userName=F.lit(K.USER_NAME), operationType=F.col("op_type"), queryId=text, queryText=text,
+        _attributes(qn, entity_time("ts") if at is None else at, userName=F.lit(K.USER_NAME), operationType=op_type, queryId=text, queryText=text,
                     recentQueries=F.array(text), queryPlan=F.lit(K.QUERY_PLAN), clusterName=F.lit(ns)).alias("attributes"),
-        F.struct(_refs(F.col("inputs"), K.TYPE_TABLE, K.REL_INPUTS).alias("inputs"),
-                 _refs(F.array("target_qn"), K.TYPE_TABLE, K.REL_OUTPUTS).alias("outputs"),
+        F.struct(_refs(inputs, K.TYPE_TABLE, K.REL_INPUTS).alias("inputs"),
+                 _refs(F.array(target_qn), K.TYPE_TABLE, K.REL_OUTPUTS).alias("outputs"),
                  F.lit(None).cast(_REF).alias("query")).alias("relationships"))
 
 
-def column_entity(ts, process_qn, lineage_id, output_qn, inputs, expression, dep_type) -> "F.Column":
-    """The hive_column_lineage of a column, linked to its process; fields as in ``process_entity``."""
+def column_entity(at, process_qn, lineage_id, output_qn, inputs, expression, dep_type) -> "F.Column":
+    """The hive_column_lineage of a column, linked to its process; fields as in ``process_entity``, ``at`` the text of
+    its time."""
     return F.struct(
         F.lit(K.TYPE_COLUMN_LINEAGE).alias("type_name"), lineage_id.alias("qualified_name"),
-        _attributes(lineage_id, ts, **{K.DEP_TYPE_ATTR: dep_type, "expression": expression}).alias("attributes"),
+        _attributes(lineage_id, at, **{K.DEP_TYPE_ATTR: dep_type, "expression": expression}).alias("attributes"),
         F.struct(_refs(inputs, K.TYPE_COLUMN, K.REL_INPUTS).alias("inputs"),
                  _refs(F.array(output_qn), K.TYPE_COLUMN, K.REL_OUTPUTS).alias("outputs"),
                  F.struct(F.lit(K.TYPE_PROCESS).alias("type_name"), process_qn.alias("qualified_name"),
@@ -315,25 +322,49 @@ class Lineage:
     @cached_property
     def column_entities(self) -> DataFrame:
         """One hive_column_lineage per column row, linked to its process."""
-        e = column_entity(*(F.col(c) for c in ("ts", "process_qn", "lineage_id", "output_qn", "inputs", "expression", "dep_type")))
+        e = column_entity(entity_time("ts"), *(F.col(c) for c in ("process_qn", "lineage_id", "output_qn", "inputs", "expression", "dep_type")))
         return self.column_lineage.select("event_id", "ts", "out_pos", "out_name", e.alias("e")).select("event_id", "ts", "out_pos", "out_name", "e.*")
 
-    def entity_lists(self) -> DataFrame:
-        """Per harvested event its key, its process entity and the entities of its columns, in order.
+    def entity_lists(self, form=lambda entity: entity) -> DataFrame:
+        """Per harvested event its key, its process entity, the entities of its columns, in order, and how many all are.
 
-        The columns' rows are put together per event before any entity is built, so what the shuffle carries is the
-        lineage and not its entities."""
+        ``form`` is applied to each entity where it is made.  The columns' rows are put together per event before any
+        entity is built, so what the shuffle carries is the lineage and not its entities."""
         parts = ("lineage_id", "output_qn", "inputs", "expression", "dep_type")
         order = F.struct(F.coalesce("out_pos", F.lit(0)).alias("p"), F.col("out_name").alias("n"), *parts)
         per_event = self.column_lineage.groupBy("event_id").agg(F.sort_array(F.collect_list(order)).alias("_cols"))
         j = self.good.join(per_event, "event_id", "left")
-        column = lambda c: column_entity(F.col("ts"), F.col("process_qn"), *(c[p] for p in parts))
         some = F.coalesce("_cols", F.array().cast(j.schema["_cols"].dataType))
-        return j.select("event_id", "ts", F.col("target_qn").alias("key"), process_entity(self.ns).alias("process"),
-                        F.transform(some, column).alias("columns"))
+        return self._entity_lists(j.withColumn("_cols", some), form)
+
+    def _entity_lists(self, events: DataFrame, form) -> DataFrame:
+        """``entity_lists`` of events with their columns, in order, in ``_cols``."""
+        column = lambda c: form(column_entity(
+            F.col("_at"), F.col("process_qn"), *(c[p] for p in ("lineage_id", "output_qn", "inputs", "expression", "dep_type"))))
+        return events.withColumn("_at", entity_time("ts")).select(
+            "event_id", "ts", F.col("target_qn").alias("key"), form(process_entity(self.ns, F.col("_at"))).alias("process"),
+            F.transform("_cols", column).alias("columns"), (F.size("_cols") + 1).alias("n_entities"))
 
     @cached_property
     def entities(self) -> DataFrame:
         """All entities in one schema (process entities get a null out_pos)."""
         cols = ["event_id", "ts", "type_name", "qualified_name", "attributes", "relationships"]
         return self.process_entities.select(*cols).unionByName(self.column_entities.select(*cols))
+
+    def latest_entities(self) -> DataFrame:
+        """A5 over ``entities``: the latest of each (type_name, qualified_name), by ts, event_id and then the other fields.
+
+        What an entity is made of is compared in the order that it has in the entity, so the entities are built of the
+        rows that are kept, and no other moves."""
+        order = ("ts", "event_id", "kind", "text", "inputs", "output_qn", "process_qn")
+        process = self.good.select(F.lit(K.TYPE_PROCESS).alias("type_name"), F.col("process_qn").alias("qualified_name"), F.struct(
+            "ts", "event_id", F.col("op_type").alias("kind"), F.col("query_text").alias("text"), "inputs", F.col("target_qn").alias("output_qn"),
+            F.lit(None).cast("string").alias("process_qn")).alias("_e"))
+        column = self.column_lineage.select(F.lit(K.TYPE_COLUMN_LINEAGE).alias("type_name"), F.col("lineage_id").alias("qualified_name"), F.struct(
+            "ts", "event_id", F.col("dep_type").alias("kind"), F.col("expression").alias("text"), "inputs", "output_qn", "process_qn").alias("_e"))
+        kept = process.unionByName(column).groupBy("type_name", "qualified_name").agg(F.max("_e").alias("_e"))
+        kept = kept.select("type_name", "qualified_name", *(F.col(f"_e.{c}").alias(c) for c in order))
+        qn, at = F.col("qualified_name"), entity_time("ts")
+        made = F.when(F.col("type_name") == K.TYPE_PROCESS, process_entity(self.ns, at, qn, *(F.col(c) for c in ("kind", "text", "inputs", "output_qn")))).otherwise(
+            column_entity(at, F.col("process_qn"), qn, *(F.col(c) for c in ("output_qn", "inputs", "text", "kind"))))
+        return kept.select("event_id", "ts", made.alias("_e")).select("event_id", "ts", "_e.*")

@@ -26,24 +26,22 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import names as N
-from ..operators.lineage import Lineage, column_entity, dependency_type, process_entity
+from ..operators.lineage import Lineage, dependency_type
 from ..operators.route import DEFAULT_POLICY, DEFAULT_RULES, RULE_SCHEMA, Policy, process_identity, quarantine_reason, resolve_target, route_writes, successful
 from . import expr as X
 from . import shred as S
 
 _META = S._META
-_NODE = (f"struct<class:string,`num-children`:int,catalogTable:{_META},tableMeta:{_META},output:array<array<{X.NODE}>>,"
-         f"dataCols:array<array<{X.NODE}>>,partitionCols:array<array<{X.NODE}>>,projectList:array<array<{X.NODE}>>>")
-_ENTRY = "array<struct<key:bigint,rel_pos:int,is_partition_col:boolean,qn:string>>"
-_NAMED = "array<struct<key:string,rel_pos:int,is_partition_col:boolean,qn:string>>"
+#: Of a relation's columns only the id and the name are read.
+_COLUMN = "struct<name:string,exprId:struct<id:bigint>>"
+_NODE = (f"struct<class:string,`num-children`:int,catalogTable:{_META},tableMeta:{_META},output:array<array<{_COLUMN}>>,"
+         f"dataCols:array<array<{_COLUMN}>>,partitionCols:array<array<{_COLUMN}>>,projectList:array<array<{X.NODE}>>>")
 
 
 def _latest(entries: Column) -> Column:
     """Of the entries (structs that begin with ``key``) the greatest of each key, in order of the keys."""
-    ordered = F.array_sort(entries)
-    pairs = F.arrays_zip(ordered.alias("x"), F.slice(ordered, 2, F.greatest(F.size(entries), F.lit(1))).alias("after"))
-    kept = F.filter(pairs, lambda p: p["after"].isNull() | (p["after"]["key"] != p["x"]["key"]))
-    return F.transform(kept, lambda p: p["x"])
+    return N.let(F.sort_array(entries), lambda ordered: F.filter(ordered, lambda x, i: (
+        F.get(ordered, i + 1).isNull() | (F.get(ordered, i + 1)["key"] != x["key"]))))
 
 
 def _dictionary(entries: Column) -> Column:
@@ -73,62 +71,86 @@ def harvest(log: DataFrame, rules: DataFrame | None = None, policy: Policy = DEF
     inputs, n_inputs, expression, dep_type), whatever the reason."""
     ev = [c for c in log.columns if c not in (plan_col, "expr_texts")]
     texts = F.col("expr_texts") if "expr_texts" in log.columns else F.lit(None).cast("array<string>")
-    d = routed(log, rules, ns)
-    d = d.withColumn("_n", F.from_json(plan_col, f"array<{_NODE}>")).withColumn("_texts", texts)
-    unread = F.col(plan_col).isNotNull() & (F.trim(plan_col) != "") & (
-        F.col("_n").isNull() | ((F.size("_n") > 0) & F.get("_n", F.lit(0))["class"].isNull()))
-    root = F.get(F.col("_n"), F.lit(0))
-    d = d.withColumn("root_kind", F.when(unread, F.lit(K.ROOT_BAD)).otherwise(S.root_kind_of(root)))
-
-    # the catalog relations, with the place of each, and their columns
-    nodes = F.transform(F.coalesce("_n", F.array().cast(f"array<{_NODE}>")), lambda n, i: F.struct(i.alias("i"), n.alias("n")))
-    rels = F.filter(nodes, lambda x: S._is_relation(x["n"]["class"]) & S._meta(x["n"])["identifier"].isNotNull())
-    d = d.withColumn("_rels", F.transform(rels, lambda x: F.struct(
-        x["i"].alias("i"), S._meta(x["n"])["identifier"].alias("id"),
-        F.coalesce(S._meta(x["n"])["partitionColumnNames"], F.array().cast("array<string>")).alias("parts"),
-        F.transform(S._attrs(x["n"]), lambda a: F.struct(a[0]["exprId"]["id"].alias("id"), a[0]["name"].alias("name"))).alias("attrs"))))
-    d = d.withColumn("inputs", F.transform("_rels", lambda r: N.table_qn(r["id"]["database"], r["id"]["table"], ns)))
-    d = d.withColumn("n_inputs", F.size("inputs"))
-    d = d.withColumn("_cols", F.flatten(F.transform("_rels", lambda r: F.transform(r["attrs"], lambda a: F.struct(
-        a["id"].alias("id"), a["name"].alias("name"), r["i"].alias("rel_pos"), F.array_contains(r["parts"], a["name"]).alias("is_part"),
-        N.input_col_qn(r["id"]["database"], r["id"]["table"], a["name"], ns).alias("qn"))))))
-    by_id = F.transform("_cols", lambda c: F.struct(c["id"], c["rel_pos"], c["is_part"], c["qn"])).cast(_ENTRY)
-    by_name = F.transform("_cols", lambda c: F.struct(c["name"], c["rel_pos"], c["is_part"], c["qn"])).cast(_NAMED)
-    d = d.withColumn("_dict", _dictionary(by_id))
-
-    # outputs of a root projection: what their own id and their leaves mean
-    items = F.when(F.col("root_kind") == K.ROOT_PROJECT, F.coalesce(root["projectList"], F.array().cast(f"array<array<{X.NODE}>>")))
-    lookup = lambda key: F.col("_dict")[key]
-    d = d.withColumn("_outs", F.transform(items, lambda e, i: F.struct(
-        i.alias("pos"), e[0]["name"].alias("name"), lookup(e[0]["exprId"]["id"]).alias("own"),
-        F.when(e[0]["class"] == S.ATTRIBUTE, F.lit(0)).otherwise(F.coalesce(e[0]["num-children"], F.lit(0))).alias("n"),
-        F.filter(F.transform(F.filter(e, lambda x: (x["num-children"] == 0) & x["exprId"]["id"].isNotNull()),
-                             lambda x: lookup(x["exprId"]["id"])), lambda q: q.isNotNull()).alias("hits"),
-        F.exists(e, lambda x: (x["num-children"] == 0) & ~x["class"].isin(*S.NAMED_LEAVES)).alias("literal"),
-        F.coalesce(F.get(F.col("_texts"), i), F.when(F.col("_texts").isNull() & (e[0]["class"] != S.ATTRIBUTE),
-                                                     X.expression_text(F.slice(e, 2, F.size(e))))).alias("text"))))
-    d = d.withColumn("_outs", F.filter("_outs", lambda o: o["own"].isNotNull() | (o["n"] >= 1)))
-    renamed = lambda o: (F.size(o["hits"]) == 1) & ~F.coalesce(o["text"].contains("(") & o["text"].contains(")"), F.lit(False))
-    projected = F.transform("_outs", lambda o: F.struct(
-        F.when(o["own"].isNotNull(), F.lit(K.BRANCH_PASSTHROUGH)).otherwise(F.lit(K.BRANCH_DERIVED)).alias("branch"), o["pos"].alias("out_pos"),
-        o["name"].alias("out_name"), F.when(o["own"].isNotNull(), F.array(o["own"])).otherwise(o["hits"]).alias("inputs"),
-        F.when(o["own"].isNull() & ~renamed(o), o["text"]).alias("expression")))
-    direct = F.transform(_latest(by_name), lambda c: F.struct(
-        F.lit(K.BRANCH_DIRECT).alias("branch"), F.lit(None).cast("int").alias("out_pos"), c["key"].alias("out_name"),
-        F.array(c["qn"]).alias("inputs"), F.lit(K.DIRECT_MAPPING).alias("expression")))
-    row = "array<struct<branch:string,out_pos:int,out_name:string,inputs:array<string>,expression:string>>"
-    d = d.withColumn("_rows", F.when(F.col("root_kind") == K.ROOT_PROJECT, projected.cast(row))
-                     .when(F.col("root_kind") == K.ROOT_RELATION, direct.cast(row)).otherwise(F.array().cast(row)))
-    d = d.withColumn("columns", F.transform("_rows", lambda c: F.struct(
-        c["branch"].alias("branch"), c["out_pos"].alias("out_pos"), c["out_name"].alias("out_name"),
-        N.lineage_id(F.col("database"), F.col("target_table"), c["out_name"], ns).alias("lineage_id"),
-        N.output_col_qn(F.col("database"), F.col("target_table"), c["out_name"], ns).alias("output_qn"),
-        c["inputs"].alias("inputs"), F.size(c["inputs"]).alias("n_inputs"), c["expression"].alias("expression"),
-        dependency_type(c["expression"]).alias("dep_type"))))
-    literal = F.coalesce(F.exists("_outs", lambda o: o["own"].isNull() & (o["n"] >= 1) & o["literal"]), F.lit(False))
-    d = process_identity(d.withColumn("reason", quarantine_reason(policy, literal)))
+    d = routed(log, rules, ns).withColumn("_p", N.let(F.from_json(plan_col, f"array<{_NODE}>"), lambda n: _parts(n, F.col(plan_col), texts, ns)))
+    for name in ("root_kind", "inputs", "n_inputs"):
+        d = d.withColumn(name, F.col("_p")[name])
+    d = process_identity(d.withColumn("reason", quarantine_reason(policy, _holds_literal(F.col("_p"), ns) if policy.literal == "strict" else None)))
     rule = [f.name for f in RULE_SCHEMA.fields if f.name != "command"]
-    return d.select(*ev, *rule, "database", "target_qn", "root_kind", "inputs", "n_inputs", "reason", "process_qn", "query_text", "columns")
+    return d.select(*ev, *rule, "database", "target_qn", "root_kind", "inputs", "n_inputs", "reason", "process_qn", "query_text",
+                    _columns(F.col("_p"), ns).alias("columns"))
+
+
+def _parts(n: Column, text: Column, texts: Column, ns: str) -> Column:
+    """What lineage needs of a parsed plan: ``root_kind``, ``inputs`` (L1), the catalog relations ``rels`` with the place of
+    each and its columns, and the outputs ``outs`` of a root projection with the ids that they refer to."""
+    root = F.get(n, F.lit(0))
+    unread = (n.isNull() | ((F.size(n) > 0) & root["class"].isNull())) & text.isNotNull() & (F.trim(text) != "")
+    kind = F.when(unread, F.lit(K.ROOT_BAD)).otherwise(S.root_kind_of(root))
+
+    def relation(x, i):
+        name = S._meta(x)["identifier"]
+        of_part = lambda a: F.array_contains(F.coalesce(S._meta(x)["partitionColumnNames"], F.array().cast("array<string>")), a)
+        column = lambda a: F.struct(a[0]["exprId"]["id"].alias("id"), a[0]["name"].alias("name"), of_part(a[0]["name"]).alias("is_part"))
+        return F.when(S._is_relation(x["class"]) & name.isNotNull(), F.struct(
+            i.alias("i"), name["database"].alias("db"), name["table"].alias("tbl"), F.transform(S._attrs(x), column).alias("cols")))
+
+    rels = F.filter(F.transform(F.coalesce(n, F.array().cast(f"array<{_NODE}>")), relation), lambda r: r.isNotNull())
+
+    def output(e, i):
+        leaf = lambda x: x["num-children"] == 0
+        bare = e[0]["class"] == S.ATTRIBUTE
+        return F.struct(
+            i.alias("pos"), e[0]["name"].alias("name"), e[0]["exprId"]["id"].alias("id"),
+            F.when(bare, F.lit(0)).otherwise(F.coalesce(e[0]["num-children"], F.lit(0))).alias("n"),
+            F.transform(F.filter(e, lambda x: leaf(x) & x["exprId"]["id"].isNotNull()), lambda x: x["exprId"]["id"]).alias("ids"),
+            F.exists(e, lambda x: leaf(x) & ~x["class"].isin(*S.NAMED_LEAVES)).alias("literal"),
+            F.coalesce(F.get(texts, i), F.when(texts.isNull() & ~bare, X.expression_text(F.slice(e, 2, F.size(e))))).alias("text"))
+
+    items = F.when(root["class"] == S.PROJECT, F.coalesce(root["projectList"], F.array().cast(f"array<array<{X.NODE}>>")))
+    return N.let(rels, lambda r: F.struct(
+        kind.alias("root_kind"), F.transform(r, lambda x: N.table_qn(x["db"], x["tbl"], ns)).alias("inputs"), F.size(r).alias("n_inputs"),
+        r.alias("rels"), F.transform(items, output).alias("outs")))
+
+
+def _entries(p: Column, key: str, ns: str) -> Column:
+    """The columns of the catalog relations by id or by name, with what decides between two of the same key."""
+    return F.flatten(F.transform(p["rels"], lambda r: F.transform(r["cols"], lambda c: F.struct(
+        c[key].alias("key"), r["i"].alias("rel_pos"), c["is_part"].alias("is_partition_col"),
+        N.input_col_qn(r["db"], r["tbl"], c["name"], ns).alias("qn")))))
+
+
+def _holds_literal(p: Column, ns: str) -> Column:
+    """Q2: whether a derived output holds a leaf without a name."""
+    found = N.let(_dictionary(_entries(p, "id", ns)), lambda d: F.exists(p["outs"], lambda o: d[o["id"]].isNull() & (o["n"] >= 1) & o["literal"]))
+    return F.coalesce(F.when(p["outs"].isNotNull(), found), F.lit(False))
+
+
+def _columns(p: Column, ns: str) -> Column:
+    """The column lineage of a plan's parts, one struct per output."""
+    def row(branch, out_pos, out_name, inputs, n_inputs, expression):
+        return F.struct(
+            branch.alias("branch"), out_pos.cast("int").alias("out_pos"), out_name.alias("out_name"),
+            N.lineage_id(F.col("database"), F.col("target_table"), out_name, ns).alias("lineage_id"),
+            N.output_col_qn(F.col("database"), F.col("target_table"), out_name, ns).alias("output_qn"),
+            inputs.alias("inputs"), n_inputs.alias("n_inputs"), expression.alias("expression"), dependency_type(expression).alias("dep_type"))
+
+    # outputs whose own id is a source column (L3), or that have children (L4): what their ids mean
+    meant = N.let(_dictionary(_entries(p, "id", ns)), lambda d: F.transform(p["outs"], lambda o: F.struct(
+        o["pos"].alias("pos"), o["name"].alias("name"), o["n"].alias("n"), o["text"].alias("text"), d[o["id"]].alias("own"),
+        F.filter(F.transform(o["ids"], lambda i: d[i]), lambda q: q.isNotNull()).alias("hits"))))
+
+    def projected(o):
+        own, hits, text = o["own"], o["hits"], o["text"]
+        renamed = (F.size(hits) == 1) & ~F.coalesce(text.contains("(") & text.contains(")"), F.lit(False))
+        return row(F.when(own.isNotNull(), F.lit(K.BRANCH_PASSTHROUGH)).otherwise(F.lit(K.BRANCH_DERIVED)), o["pos"], o["name"],
+                   F.when(own.isNotNull(), F.array(own)).otherwise(hits), F.when(own.isNotNull(), F.lit(1)).otherwise(F.size(hits)),
+                   F.when(own.isNull() & ~renamed, text))
+
+    direct = lambda c: row(F.lit(K.BRANCH_DIRECT), F.lit(None), c["key"], F.array(c["qn"]), F.lit(1), F.lit(K.DIRECT_MAPPING))
+    kind = p["root_kind"]
+    return (F.when(kind == K.ROOT_PROJECT, F.transform(F.filter(meant, lambda o: o["own"].isNotNull() | (o["n"] >= 1)), projected))
+            .when(kind == K.ROOT_RELATION, F.transform(_latest(_entries(p, "name", ns)), direct))
+            .otherwise(F.array()))
 
 
 class PlanLineage(Lineage):
@@ -161,12 +183,8 @@ class PlanLineage(Lineage):
         return c.select("event_id", "ts", "root_kind", "c.branch", "c.out_pos", "c.out_name", "process_qn", "c.lineage_id", "c.output_qn",
                         "c.inputs", "c.n_inputs", "c.expression", "c.dep_type")
 
-    def entity_lists(self) -> DataFrame:
+    def entity_lists(self, form=lambda entity: entity) -> DataFrame:
         """Per event its key, its process entity and the entities of its columns, in order; nothing is regrouped."""
         ordered = F.array_sort(F.transform("columns", lambda c: F.struct(F.coalesce(c["out_pos"], F.lit(0)).alias("p"), c["out_name"].alias("n"),
                                                                       c.alias("c"))))
-        good = self.good.withColumn("columns", F.transform(ordered, lambda x: x["c"]))
-        column = lambda c: column_entity(F.col("ts"), F.col("process_qn"), c["lineage_id"], c["output_qn"], c["inputs"], c["expression"],
-                                         c["dep_type"])
-        return good.select("event_id", "ts", F.col("target_qn").alias("key"), process_entity(self.ns).alias("process"),
-                           F.transform("columns", column).alias("columns"))
+        return self._entity_lists(self.good.withColumn("_cols", F.transform(ordered, lambda x: x["c"])), form)

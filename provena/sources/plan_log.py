@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.names import let
 from ..operators.lineage import join_in_event
 from ..plans import shred as S
 from . import fixtures as fx
@@ -100,14 +101,107 @@ def physical_log(t) -> DataFrame:
     return b.select("event_id", F.to_json(F.when(F.size("b") > 1, F.concat(union, nodes)).otherwise(nodes)).alias("plan_json"))
 
 
+def _text(*parts) -> "F.Column":
+    """Parts (literal strings, or texts) as one text.  Inside a lambda nothing is compiled, and there ``concat`` takes many
+    times as long as joining an array."""
+    flat: list = []
+    for x in parts:
+        if isinstance(x, str) and flat and isinstance(flat[-1], str):
+            flat[-1] += x
+        else:
+            flat.append(x)
+    return F.array_join(F.array(*(F.lit(x) if isinstance(x, str) else x for x in flat)), "")
+
+
+def _if_known(value, *parts) -> "F.Column":
+    """A field whose value may be null: then it is left out."""
+    return F.when(value.isNotNull(), _text(*parts))
+
+
+def _id(expr_id) -> list:
+    return [',"exprId":{"id":', expr_id.cast("string"), "}"]
+
+
+def _listed(texts) -> "F.Column":
+    return _text("[", F.array_join(texts, ","), "]")
+
+
+def _attr(x) -> "F.Column":
+    return x["pk"] * 1000 + x["sk"]
+
+
+def _relation_json(items, sk) -> "F.Column":
+    """``fx.scan_relation`` and ``fx.scan_column`` of one relation of an event, as its node."""
+    column = lambda x: F.transform(x["parts"], lambda p: F.struct(
+        _attr(x).alias("attr_id"), _text("Col_", x["pk"].cast("string")).alias("col"), p["is_partition_col"].alias("part")))
+    cols = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(items, lambda x: (x["sk"] == sk) & x["parts"].isNotNull()), column))))
+
+    def node(c):
+        output = _listed(F.transform(c, lambda a: _text(f'[{{"class":"{S.ATTRIBUTE}","num-children":0,"name":"', a["col"], '"', *_id(a["attr_id"]), "}]")))
+        parts = _listed(F.transform(F.filter(c, lambda a: a["part"]), lambda a: _text('"', a["col"], '"')))
+        database = F.when(sk % 9 != 0, _text(',"database":"src', (sk % 4).cast("string"), '"'))
+        return F.when(sk % 8 != 0, _text(
+            f'{{"class":"{S.LOGICAL_RELATION}","num-children":0,"output":', output, ',"catalogTable":{"identifier":{"table":"S_', (sk % 40).cast("string"), '"',
+            database, '},"partitionColumnNames":', parts, "}}")).otherwise(_text(f'{{"class":"{RDD}","num-children":0,"output":', output, "}"))
+
+    return let(cols, node)
+
+
+def _output_json(items, ln) -> "F.Column":
+    """``fx.output_expr`` and ``fx.output_leaf`` of one output of an event: its expression and its text."""
+    leaf_id = lambda x: F.when(F.coalesce(x["sk"] % 20 != 3, F.lit(True)), _attr(x))
+
+    def leaf(x, i):
+        return let(leaf_id(x), lambda a: F.when(a.isNotNull(), _text(
+            f'{{"class":"{S.ATTRIBUTE}","num-children":0,"name":"Col_', F.floor(a / 1000).cast("string"), '"', *_id(a), ',"dataType":"long"}')).otherwise(_text(
+                f'{{"class":"{LITERAL}","num-children":0,"value":"', (i + 1).cast("string"), '","dataType":"integer"}')))
+
+    def out(own):
+        flag, number = F.array_min(F.transform(own, lambda x: x["flag"])), ln.cast("string")
+        single = (F.size(own) == 1) & (flag == "N")
+        text = F.when(single, None).when(ln.isNotNull(), F.when(flag == "A", _text("f(", number, ")")).otherwise(_text("x", number)))
+        # an output without a number has no name, and no leaf belongs to it
+        name = lambda expr_id: [_if_known(ln, ',"name":"Out_', number, '"'), _if_known(expr_id, *_id(expr_id))]
+        leaves = F.transform(F.sort_array(F.transform(F.filter(own, lambda x: x["ln"].isNotNull()), lambda x: F.struct(
+            x["pk"].alias("pk"), x["sk"].alias("sk")))), leaf)
+        call = F.when((flag == "A") & ln.isNotNull(), F.array(_text(f'{{"class":"{COALESCE}","num-children":', F.size(own).cast("string"), "}"))).otherwise(
+            F.array_repeat(F.lit(f'{{"class":"{ADD}","num-children":2}}'), F.when(ln.isNotNull(), F.size(own)).otherwise(0) - 1))
+        alias = _text(f'{{"class":"{S.ALIAS}","num-children":1', *name(-ln), "}")
+        bare = let(F.array_min(F.transform(own, _attr)), lambda a: _text(f'{{"class":"{S.ATTRIBUTE}","num-children":0', *name(a), "}"))
+        derived = F.flatten(F.array(F.array(alias), call, leaves))
+        return F.struct(_listed(F.when(single, F.array(bare)).otherwise(derived)).alias("item"), text.alias("text"))
+
+    return let(F.filter(items, lambda x: x["ln"].eqNullSafe(ln)), out)
+
+
 def plan_log(t) -> DataFrame:
-    """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``.
+    """Write events + plan JSON + child texts, schema of ``plans.capture.PLAN_LOG_SCHEMA``: the rows of ``plan_log_from`` over
+    the fixture tables.
 
-    The rows are dealt by event before a plan is made of them, so no JSON is moved: the log has a part for each shuffle
-    partition."""
+    The line items of an event are put together once, before a plan is made of them, and its nodes are written in their row;
+    no JSON is moved.  The log has a part for each shuffle partition."""
     n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    events = fx.write_event(t).repartition(n, "event_id")
-    return plan_log_from(events, fx.scan_relation(t), fx.scan_column(t), fx.output_expr(t), fx.output_leaf(t))
+    part = (t.part.selectExpr("p_partkey AS pk", "struct(p_type = 'PROMO' AS is_partition_col) AS p")
+            .groupBy("pk").agg(F.collect_set("p").alias("parts")))
+    items = (t.lineitem.selectExpr("l_orderkey", "l_linenumber AS ln", "l_partkey AS pk", "l_suppkey AS sk", "l_returnflag AS flag")
+             .where("l_orderkey IS NOT NULL").join(part, "pk", "left").repartition(n, "l_orderkey"))
+    per = items.groupBy("l_orderkey").agg(F.collect_list(F.struct("ln", "pk", "sk", "flag", "parts")).alias("it"))
+    j = fx.write_event(t).repartition(n, "event_id").join(per.withColumnRenamed("l_orderkey", "_event_id"), F.col("event_id") == F.col("_event_id"), "left")
+    it, rk = F.col("it"), F.col("root_kind")
+    numbers = lambda c: F.sort_array(F.array_distinct(F.transform(it, lambda x: x[c])))
+    rels = F.coalesce(numbers("sk"), F.array().cast("array<bigint>"))
+    rels = F.when(rk == K.ROOT_RELATION, F.slice(rels, 1, 1)).otherwise(rels)
+    j = j.withColumn("_rels", F.transform(rels, lambda sk: _relation_json(it, sk))).withColumn(
+        "_outs", F.when(rk == K.ROOT_PROJECT, F.transform(numbers("ln"), lambda ln: _output_json(it, ln))))
+    items_json = _listed(F.coalesce(F.transform("_outs", lambda o: o["item"]), F.array().cast("array<string>")))
+    union = _text(f'{{"class":"{UNION}","num-children":', F.size("_rels").cast("string"), "}")
+    project = _text(f'{{"class":"{S.PROJECT}","num-children":1,"projectList":', items_json, ',"child":0}')
+    aggregate = F.lit(f'{{"class":"{AGGREGATE}","num-children":1}}')
+    nodes = (F.when(rk == K.ROOT_RELATION, F.col("_rels"))
+             .when(rk == K.ROOT_PROJECT, F.concat(F.array(project, union), "_rels"))
+             .otherwise(F.concat(F.array(aggregate, union), "_rels")))
+    return j.select("event_id", "ts", "session_id", "status", "command", "target_db", "target_table", "current_db", "sql_text",
+                    _listed(nodes).alias("plan_json"), F.transform("_outs", lambda o: o["text"]).alias("expr_texts"))
 
 
 def plan_log_from(ev: DataFrame, rel: DataFrame, columns: DataFrame, outputs: DataFrame,
