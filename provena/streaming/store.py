@@ -106,12 +106,12 @@ class BucketTable:
     def __init__(self, path: str, schema: T.StructType, keys: list[str], order: list[str], buckets: int = 64):
         self.path, self.schema, self.keys, self.order, self.buckets = path, schema, keys, order, buckets
 
-    def write(self, rows: DataFrame, batch_id: int) -> list[int]:
+    def write(self, rows: DataFrame, batch_id: int, unique: bool = False) -> list[int]:
         """Merge a batch into the buckets of its keys; returns the buckets written anew (a list of their numbers is all
-        that comes to the driver)."""
+        that comes to the driver).  ``unique``: the rows are the latest of their keys already, one of each."""
         spark = rows.sparkSession
         names = [f.name for f in self.schema.fields]
-        new = latest(rows.select(*names), self.keys, self.order)
+        new = rows.select(*names) if unique else latest(rows.select(*names), self.keys, self.order)
         staged = f"{self.path}/_new-{batch_id}"
         new.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).write.mode("overwrite").option("compression", "zstd").parquet(staged)
         new = spark.read.parquet(staged)

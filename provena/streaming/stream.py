@@ -138,7 +138,7 @@ def lineage_batch_writer(out: str, policy: Policy = DEFAULT_POLICY, ns: str = K.
         _write_batch(lin.quarantine, out, "quarantine", batch_id)
         _write_batch(to_messages(lin), out, "messages", batch_id)
         if entities is not None:
-            entities.write(lin.entities, batch_id)
+            entities.write(lin.latest_entities(), batch_id, unique=True)
         remove(spark, rows)  # all products are stored
         if send is not None:
             msgs = spark.read.parquet(f"{out}/messages/batch_id={batch_id}")
