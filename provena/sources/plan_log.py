@@ -133,12 +133,12 @@ def _attr(x) -> "F.Column":
 def _relation_json(items, sk) -> "F.Column":
     """``fx.scan_relation`` and ``fx.scan_column`` of one relation of an event, as its node."""
     column = lambda x: F.transform(x["parts"], lambda p: F.struct(
-        _attr(x).alias("attr_id"), _text("Col_", x["pk"].cast("string")).alias("col"), p["is_partition_col"].alias("part")))
+        _attr(x).alias("attr_id"), x["pk"].alias("pk"), p["is_partition_col"].alias("part"), x["column"].alias("column")))
     cols = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(items, lambda x: (x["sk"] == sk) & x["parts"].isNotNull()), column))))
 
     def node(c):
-        output = _listed(F.transform(c, lambda a: _text(f'[{{"class":"{S.ATTRIBUTE}","num-children":0,"name":"', a["col"], '"', *_id(a["attr_id"]), "}]")))
-        parts = _listed(F.transform(F.filter(c, lambda a: a["part"]), lambda a: _text('"', a["col"], '"')))
+        output = _listed(F.transform(c, lambda a: a["column"]))
+        parts = _listed(F.transform(F.filter(c, lambda a: a["part"]), lambda a: _text('"Col_', a["pk"].cast("string"), '"')))
         database = F.when(sk % 9 != 0, _text(',"database":"src', (sk % 4).cast("string"), '"'))
         return F.when(sk % 8 != 0, _text(
             f'{{"class":"{S.LOGICAL_RELATION}","num-children":0,"output":', output, ',"catalogTable":{"identifier":{"table":"S_', (sk % 40).cast("string"), '"',
@@ -149,12 +149,7 @@ def _relation_json(items, sk) -> "F.Column":
 
 def _output_json(items, ln) -> "F.Column":
     """``fx.output_expr`` and ``fx.output_leaf`` of one output of an event: its expression and its text."""
-    leaf_id = lambda x: F.when(F.coalesce(x["sk"] % 20 != 3, F.lit(True)), _attr(x))
-
-    def leaf(x, i):
-        return let(leaf_id(x), lambda a: F.when(a.isNotNull(), _text(
-            f'{{"class":"{S.ATTRIBUTE}","num-children":0,"name":"Col_', F.floor(a / 1000).cast("string"), '"', *_id(a), ',"dataType":"long"}')).otherwise(_text(
-                f'{{"class":"{LITERAL}","num-children":0,"value":"', (i + 1).cast("string"), '","dataType":"integer"}')))
+    literal = lambda i: _text(f'{{"class":"{LITERAL}","num-children":0,"value":"', (i + 1).cast("string"), '","dataType":"integer"}')
 
     def out(own):
         flag, number = F.array_min(F.transform(own, lambda x: x["flag"])), ln.cast("string")
@@ -163,7 +158,7 @@ def _output_json(items, ln) -> "F.Column":
         # an output without a number has no name, and no leaf belongs to it
         name = lambda expr_id: [_if_known(ln, ',"name":"Out_', number, '"'), _if_known(expr_id, *_id(expr_id))]
         leaves = F.transform(F.sort_array(F.transform(F.filter(own, lambda x: x["ln"].isNotNull()), lambda x: F.struct(
-            x["pk"].alias("pk"), x["sk"].alias("sk")))), leaf)
+            x["pk"].alias("pk"), x["sk"].alias("sk"), x["leaf"].alias("leaf")))), lambda x, i: F.coalesce(x["leaf"], literal(i)))
         call = F.when((flag == "A") & ln.isNotNull(), F.array(_text(f'{{"class":"{COALESCE}","num-children":', F.size(own).cast("string"), "}"))).otherwise(
             F.array_repeat(F.lit(f'{{"class":"{ADD}","num-children":2}}'), F.when(ln.isNotNull(), F.size(own)).otherwise(0) - 1))
         alias = _text(f'{{"class":"{S.ALIAS}","num-children":1', *name(-ln), "}")
@@ -185,7 +180,13 @@ def plan_log(t) -> DataFrame:
             .groupBy("pk").agg(F.collect_set("p").alias("parts")))
     items = (t.lineitem.selectExpr("l_orderkey", "l_linenumber AS ln", "l_partkey AS pk", "l_suppkey AS sk", "l_returnflag AS flag")
              .where("l_orderkey IS NOT NULL").join(part, "pk", "left").repartition(n, "l_orderkey"))
-    per = items.groupBy("l_orderkey").agg(F.collect_list(F.struct("ln", "pk", "sk", "flag", "parts")).alias("it"))
+    # the nodes of a column and of a leaf follow from the line item alone; they are made here, where code is compiled
+    attr = F.expr("pk * 1000 + sk")
+    node = lambda name, *rest: F.concat(F.lit(f'{{"class":"{S.ATTRIBUTE}","num-children":0,"name":"Col_'), name.cast("string"),
+                                        F.lit('","exprId":{"id":'), attr.cast("string"), *map(F.lit, rest))
+    items = items.withColumn("column", F.concat(F.lit("["), node(F.col("pk"), "}}]"))).withColumn(
+        "leaf", F.when(F.coalesce(F.col("sk") % 20 != 3, F.lit(True)), node(F.floor(attr / 1000), '},"dataType":"long"}')))
+    per = items.groupBy("l_orderkey").agg(F.collect_list(F.struct("ln", "pk", "sk", "flag", "parts", "column", "leaf")).alias("it"))
     j = fx.write_event(t).repartition(n, "event_id").join(per.withColumnRenamed("l_orderkey", "_event_id"), F.col("event_id") == F.col("_event_id"), "left")
     it, rk = F.col("it"), F.col("root_kind")
     numbers = lambda c: F.sort_array(F.array_distinct(F.transform(it, lambda x: x[c])))
